@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.keys import scd_id as _scd_id
 from tidemark.operators.load import require_unique
-from tidemark.operators.scan import SEG, fill_last, plan_segments
+from tidemark.operators.scan import SEG, fill_last, plan_segments, scan
 
 Keys = str | Sequence[str]
 
@@ -194,21 +194,21 @@ def lookup_version(facts: DataFrame, versions: DataFrame, key: Keys, ts: str, *,
         columns = [c for c in versions.columns if c not in vk]
     columns = list(columns)
     vers = versions.filter(~_any_null(vk) & F.col(valid_from).isNotNull())
+    if method == "join":
+        return _lookup_join(facts, vers, fk, vk, ts, valid_from, valid_to, columns, backdate_first)
+    if method != "scan":
+        raise ValueError(f"unknown method {method!r}")
+    return _lookup_scan(facts, vers, fk, vk, ts, valid_from, valid_to, columns, backdate_first, seg_opts)
+
+
+def _lookup_join(facts, vers, fk, vk, ts, valid_from, valid_to, columns, backdate_first):
     if backdate_first:
         firsts = vers.groupBy(*vk).agg(F.min(valid_from).alias("_first"))
         vers = (vers.join(firsts, vk, "left")
                 .withColumn("_lower", F.when(F.col(valid_from) == F.col("_first"), F.lit(None))
-                            .otherwise(F.col(valid_from))).drop("_first"))
+                            .otherwise(F.col(valid_from))))
     else:
         vers = vers.withColumn("_lower", F.col(valid_from))
-    if method == "join":
-        return _lookup_join(facts, vers, fk, vk, ts, valid_to, columns)
-    if method != "scan":
-        raise ValueError(f"unknown method {method!r}")
-    return _lookup_scan(facts, vers, fk, vk, ts, valid_to, columns, seg_opts)
-
-
-def _lookup_join(facts, vers, fk, vk, ts, valid_to, columns):
     v = vers.select(*[F.col(k).alias(f"_vk{i}") for i, k in enumerate(vk)],
                     F.col("_lower").alias("_vlo"), F.col(valid_to).alias("_vhi"),
                     *[F.col(c).alias(f"_vc{i}") for i, c in enumerate(columns)])
@@ -222,31 +222,47 @@ def _lookup_join(facts, vers, fk, vk, ts, valid_to, columns):
                          *[F.col(f"_vc{i}").alias(c) for i, c in enumerate(columns)])
 
 
-def _lookup_scan(facts, vers, fk, vk, ts, valid_to, columns, seg_opts):
+# Rows with a NULL key are spread over this many segments (they match nothing).
+NULL_KEY_SPREAD = 4096
+
+
+def _lookup_scan(facts, vers, fk, vk, ts, valid_from, valid_to, columns, backdate_first, seg_opts):
+    """Facts and versions sorted together per (key, segment) in one shuffle.
+
+    A fact takes the last version at or before it (versions sort before facts
+    at equal instants) if the fact is still before that version's end.  With
+    back-dating, a fact that precedes every version of its key takes the key's
+    first version (first non-NULL version of the whole key, same sort).
+    """
     fact_cols = facts.columns
     key_names = [f"_k{i}" for i in range(len(fk))]
     payload = F.struct(*[F.col(c).alias(c) for c in columns], F.col(valid_to).alias("_vt"))
-    has_key = ~_any_null(fk)
-    f_rows = facts.filter(has_key).select(*[F.col(k).alias(n) for k, n in zip(fk, key_names)],
-                                          F.col(ts).alias("_t"), F.lit(1).alias("_kind"),
-                                          F.lit(0).cast("long").alias("_tb"),
-                                          F.struct(*fact_cols).alias("_fact"))
+    f_rows = facts.select(*[F.col(k).alias(n) for k, n in zip(fk, key_names)],
+                          F.col(ts).alias("_t"), F.lit(1).alias("_kind"),
+                          F.lit(0).cast("long").alias("_tb"),
+                          F.struct(*fact_cols).alias("_fact"))
     v_rows = vers.select(*[F.col(k).alias(n) for k, n in zip(vk, key_names)],
-                         F.col("_lower").alias("_t"), F.lit(0).alias("_kind"),
+                         F.col(valid_from).alias("_t"), F.lit(0).alias("_kind"),
                          F.xxhash64(payload).alias("_tb"), payload.alias("_ver"))
     union = f_rows.unionByName(v_rows, allowMissingColumns=True)
     segs = plan_segments(union, key_names, "_t", **seg_opts)
-    rows = fill_last(segs.assign(union), segs, "_ver", "_prev", ["_t", "_kind", "_tb"])
-    prev = F.col("_prev")
-    t = F.col("_t")
-    hit = t.isNotNull() & prev.isNotNull() & (prev["_vt"].isNull() | (t < prev["_vt"]))
-    matched = rows.filter(F.col("_kind") == 1).select(
-        *[F.col(f"_fact.{c}").alias(c) for c in fact_cols],
-        *[F.when(hit, prev[c]).alias(c) for c in columns])
-    # Facts without a key match nothing; they bypass the sort (and cannot pile up in one task).
-    nullkey = facts.filter(~has_key).select(
-        *fact_cols, *[F.lit(None).cast(vers.schema[c].dataType).alias(c) for c in columns])
-    return matched.unionByName(nullkey)
+    rows = segs.assign(union, null_key_spread=NULL_KEY_SPREAD)
+    order = ["_t", "_kind", "_tb"]
+    if backdate_first:
+        rows = scan(rows, segs, order, last=[("_ver", "_prev")], first_of_key=[("_ver", "_first")])
+    else:
+        rows = scan(rows, segs, order, last=[("_ver", "_prev")])
+    prev, t = F.col("_prev"), F.col("_t")
+    in_force = prev.isNotNull() & (prev["_vt"].isNull() | (t < prev["_vt"]))
+    version = F.when(t.isNotNull() & in_force, prev)
+    if backdate_first:
+        first = F.col("_first")
+        before_first = prev.isNull() & first.isNotNull() & (first["_vt"].isNull() | (t < first["_vt"]))
+        version = version.when(t.isNotNull() & before_first, first)
+    return (rows.filter(F.col("_kind") == 1)
+            .select("_fact", version.alias("_v"))
+            .select(*[F.col(f"_fact.{c}").alias(c) for c in fact_cols],
+                    *[F.col(f"_v.{c}").alias(c) for c in columns]))
 
 
 __all__ = ["SNAPSHOT_COLUMNS", "lookup_version", "merge_timelines", "replay_snapshots",

@@ -26,6 +26,7 @@ result: the carry makes each segment see exactly what a single window would.
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -59,6 +60,13 @@ def order_position(df: DataFrame, col: str) -> Column:
         return c.cast("long")
     if isinstance(dtype, (T.FloatType, T.DoubleType, T.DecimalType)):
         return F.floor(c).cast("long")
+    if isinstance(dtype, (T.StringType, T.BinaryType)):
+        # Leading 7 bytes as a big-endian number: never decreases in Spark's
+        # (byte-wise) string order.  It only routes rows to segments; values
+        # sharing those bytes stay in one segment and are compared whole.
+        raw = c.cast("binary")
+        hexed = F.rpad(F.hex(F.substring(raw, 1, 7)), 14, "0")
+        return F.conv(hexed, 16, 10).cast("long")
     raise TypeError(f"cannot segment on {col} of type {dtype.simpleString()}")
 
 
@@ -70,8 +78,23 @@ class Segments:
     order_col: str
     splits: DataFrame | None
 
-    def assign(self, df: DataFrame) -> DataFrame:
-        """Add ``_seg`` (0 for cold keys) to ``df``; ``df`` must carry the keys and order column."""
+    def assign(self, df: DataFrame, null_key_spread: int = 0) -> DataFrame:
+        """Add ``_seg`` (0 for cold keys) to ``df``; ``df`` must carry the keys and order column.
+
+        With ``null_key_spread > 0`` rows with a NULL key (which match nothing)
+        get negative segments from a hash of the row, so they spread over many
+        tasks instead of forming one NULL group.
+        """
+        out = self._assign(df)
+        if null_key_spread > 0:
+            null_key = F.lit(False)
+            for k in self.keys:
+                null_key = null_key | F.col(k).isNull()
+            spread = -1 - F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(null_key_spread))
+            out = out.withColumn(SEG, F.when(null_key, spread.cast("int")).otherwise(F.col(SEG)))
+        return out
+
+    def _assign(self, df: DataFrame) -> DataFrame:
         if self.splits is None:
             return df.withColumn(SEG, F.lit(0))
         pos = order_position(df, self.order_col)
@@ -94,7 +117,10 @@ def plan_segments(df: DataFrame, keys: list[str], order_col: str, *,
     """Find hot keys of ``df`` and cut each into segments of its ``order_col``."""
     spark = df.sparkSession
     pos = order_position(df, order_col)
-    counted = (df.select(*keys, pos.alias(POS))
+    has_key = F.lit(True)
+    for k in keys:
+        has_key = has_key & F.col(k).isNotNull()
+    counted = (df.filter(has_key).select(*keys, pos.alias(POS))
                .groupBy(*keys)
                .agg(F.count(F.lit(1)).alias("_n"), F.min(POS).alias("_lo"), F.max(POS).alias("_hi"))
                .filter(F.col("_n") > rows_per_segment))
@@ -127,40 +153,84 @@ def _orders(order_cols: list[str], reverse: bool) -> list[Column]:
     return [F.col(c).asc_nulls_first() for c in order_cols]
 
 
+def scan(df: DataFrame, segments: Segments, order_cols: list[str], *,
+         last: Sequence[tuple[str, str]] = (), last_before: Sequence[tuple[str, str]] = (),
+         first_of_key: Sequence[tuple[str, str]] = (), reverse: bool = False) -> DataFrame:
+    """Per-key scan outputs computed by one window operator (one sort) per call.
+
+    * ``last``: ``(value, out)`` -> last non-NULL ``value`` up to and including the row;
+    * ``last_before``: the same, excluding the row itself;
+    * ``first_of_key``: the first non-NULL ``value`` of the whole key.
+
+    "Last"/"first" follow ``order_cols`` (or its reverse).  ``df`` must carry
+    ``_seg`` (:meth:`Segments.assign`); ``order_cols`` must order the rows of a
+    key totally (add a unique tie-break) so every task picks the same row.
+    """
+    keys = segments.keys
+    spec = Window.partitionBy(*keys, SEG).orderBy(*_orders(order_cols, reverse))
+    upto = spec.rowsBetween(Window.unboundedPreceding, 0)
+    before = spec.rowsBetween(Window.unboundedPreceding, -1)
+    whole = spec.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    local = {}
+    for value, out in last:
+        local[out] = F.last(F.col(value), ignorenulls=True).over(upto)
+    for value, out in last_before:
+        local[out] = F.last(F.col(value), ignorenulls=True).over(before)
+    for value, out in first_of_key:
+        local[out] = F.first(F.col(value), ignorenulls=True).over(whole)
+    if segments.splits is None:
+        return df.withColumns(local)
+    tmp = {out: f"_local_{out}" for out in local}
+    rows = df.withColumns({tmp[o]: e for o, e in local.items()})
+    carry = _carry_table(df, segments, order_cols, reverse,
+                         [*last, *last_before], list(first_of_key))
+    rows = rows.join(F.broadcast(carry), [*keys, SEG], "left")
+    outs = {}
+    for _, out in [*last, *last_before]:
+        outs[out] = F.coalesce(F.col(tmp[out]), F.col(f"_carry_{out}"))
+    for _, out in first_of_key:
+        outs[out] = F.coalesce(F.col(f"_carry_{out}"), F.col(tmp[out]))
+    drop = list(tmp.values()) + [f"_carry_{o}" for o in local]
+    return rows.withColumns(outs).drop(*drop)
+
+
 def fill_last(df: DataFrame, segments: Segments, value: str, out: str, order_cols: list[str], *,
               inclusive: bool = True, reverse: bool = False) -> DataFrame:
     """For each row, the last non-NULL ``value`` among rows of its key before it in order.
 
-    ``df`` must already carry ``_seg`` (``Segments.assign``).  ``order_cols``
-    must order rows of one key totally (add a unique tie-break column).
     ``inclusive`` counts the row itself; ``reverse`` scans from the end (the
-    first non-NULL value *after* the row).
+    first non-NULL value *after* the row).  See :func:`scan`.
     """
-    keys = segments.keys
-    w = (Window.partitionBy(*keys, SEG).orderBy(*_orders(order_cols, reverse))
-         .rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1))
-    local = F.last(F.col(value), ignorenulls=True).over(w)
-    if segments.splits is None:
-        return df.withColumn(out, local)
-    carry = _carry_table(df, segments, value, order_cols, reverse)
-    return (df.withColumn("_local", local)
-            .join(F.broadcast(carry), [*keys, SEG], "left")
-            .withColumn(out, F.coalesce(F.col("_local"), F.col("_carry")))
-            .drop("_local", "_carry"))
+    if inclusive:
+        return scan(df, segments, order_cols, last=[(value, out)], reverse=reverse)
+    return scan(df, segments, order_cols, last_before=[(value, out)], reverse=reverse)
 
 
-def _carry_table(df: DataFrame, segments: Segments, value: str, order_cols: list[str],
-                 reverse: bool) -> DataFrame:
-    """(key, segment) -> last non-NULL value of all earlier segments of the key (hot keys only)."""
+def _carry_table(df: DataFrame, segments: Segments, order_cols: list[str], reverse: bool,
+                 carried: list[tuple[str, str]], firsts: list[tuple[str, str]]) -> DataFrame:
+    """(hot key, segment) -> values carried in from other segments of the key.
+
+    ``_carry_<out>`` of a ``carried`` output is the last non-NULL value of all
+    earlier segments; of a ``firsts`` output, the key's first non-NULL value.
+    One row per hot segment (a bounded table); built from one partial
+    aggregation over the hot keys' rows.
+    """
     keys = segments.keys
     ordering = F.struct(*[F.col(c) for c in order_cols])
-    pick = F.min_by if reverse else F.max_by
+    last_pick = F.min_by if reverse else F.max_by
+    first_pick = F.max_by if reverse else F.min_by
     hot_rows = df.join(F.broadcast(segments.splits.select(*keys)), keys, "left_semi")
-    last_in_seg = (hot_rows.filter(F.col(value).isNotNull())
-                   .groupBy(*keys, SEG)
-                   .agg(pick(F.col(value), ordering).alias("_v")))
+    aggs = []
+    for value, out in carried:
+        aggs.append(last_pick(F.col(value), F.when(F.col(value).isNotNull(), ordering)).alias(f"_l_{out}"))
+    for value, out in firsts:
+        aggs.append(first_pick(F.col(value), F.when(F.col(value).isNotNull(), ordering)).alias(f"_f_{out}"))
+    per_seg = hot_rows.groupBy(*keys, SEG).agg(*aggs)
     all_segs = segments.splits.select(*keys, F.explode(F.sequence(F.lit(0), F.col("_nseg") - 1)).alias(SEG))
     seg_order = F.col(SEG).desc() if reverse else F.col(SEG).asc()
-    w = Window.partitionBy(*keys).orderBy(seg_order).rowsBetween(Window.unboundedPreceding, -1)
-    return (all_segs.join(last_in_seg, [*keys, SEG], "left")
-            .select(*keys, SEG, F.last("_v", ignorenulls=True).over(w).alias("_carry")))
+    w_before = Window.partitionBy(*keys).orderBy(seg_order).rowsBetween(Window.unboundedPreceding, -1)
+    w_whole = Window.partitionBy(*keys).orderBy(seg_order).rowsBetween(Window.unboundedPreceding,
+                                                                        Window.unboundedFollowing)
+    cols = [F.last(f"_l_{out}", ignorenulls=True).over(w_before).alias(f"_carry_{out}") for _, out in carried]
+    cols += [F.first(f"_f_{out}", ignorenulls=True).over(w_whole).alias(f"_carry_{out}") for _, out in firsts]
+    return all_segs.join(per_seg, [*keys, SEG], "left").select(*keys, SEG, *cols)

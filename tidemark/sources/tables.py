@@ -1,9 +1,14 @@
-"""Layered table storage: one folder per (layer, table), one sub-folder per published version.
+"""Layered table storage: one folder per (layer, table).
 
-A write never touches the folder being read: ``publish`` writes
-``<root>/<layer>/<table>/v=<stamp>`` and Spark's ``_SUCCESS`` marker is
-written last, so ``read_table`` picks the newest *complete* version.  An
-interrupted job leaves an incomplete folder that readers ignore.
+Two kinds of table:
+
+* *versioned* (current-state tables, rebuilt or merged per run): ``publish``
+  writes ``<table>/v=<stamp>``; Spark's ``_SUCCESS`` marker is written last, so
+  ``read_table`` picks the newest *complete* version and a write never touches
+  the folder being read.  An interrupted job leaves a folder readers ignore.
+* *log* (append-only event tables): ``append_log`` adds only the new rows to
+  ``<table>/log``, partitioned by load, so a daily load writes one day of data
+  instead of rewriting the history.
 """
 
 from __future__ import annotations
@@ -42,9 +47,21 @@ def versions(root: str, layer: str, name: str) -> list[str]:
     return out
 
 
+def log_path(root: str, layer: str, name: str) -> str:
+    return os.path.join(table_path(root, layer, name), "log")
+
+
+def _has_log(root: str, layer: str, name: str) -> bool:
+    base = _local(log_path(root, layer, name))
+    return os.path.isdir(base) and any(not d.startswith(("_", ".")) for d in os.listdir(base))
+
+
 def read_table(spark: SparkSession, root: str, layer: str, name: str,
                schema: T.StructType | None = None) -> DataFrame | None:
-    """Newest complete version of a table, or an empty DataFrame of ``schema`` (None without one)."""
+    """A log table, else the newest complete version, else an empty DataFrame of
+    ``schema`` (None without one)."""
+    if _has_log(root, layer, name):
+        return spark.read.option("basePath", log_path(root, layer, name)).parquet(log_path(root, layer, name))
     vs = versions(root, layer, name)
     if vs:
         return spark.read.parquet(vs[-1])
@@ -72,3 +89,16 @@ def publish(df: DataFrame, root: str, layer: str, name: str, *, partition_by: li
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
     return path
+
+
+def append_log(df: DataFrame, root: str, layer: str, name: str, load_id: str) -> str:
+    """Append new rows to a log table under partition ``load_id=<load_id>``.
+
+    Spark's commit protocol moves files into place only when the job commits,
+    so a failed append adds nothing; re-running the same load must be guarded
+    by the caller (``insert_absent`` writes only keys not yet present).
+    """
+    from pyspark.sql import functions as F
+    path = log_path(root, layer, name)
+    df.withColumn("load_id", F.lit(load_id)).write.mode("append").partitionBy("load_id").parquet(path)
+    return path

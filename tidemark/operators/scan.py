@@ -17,9 +17,10 @@ contiguous segments of its order column:
    broadcast.  Its size is bounded by construction:
    ``max_hot_keys * bands + max_segments`` rows.
 
-Cold keys keep segment 0 and need no carry.  The small split table is
-checkpointed to the session's checkpoint folder, so recomputation after a lost
-executor sees the same segments.  Segmenting changes where work runs, never the
+Cold keys keep segment 0 and need no carry.  The hot-key and split tables are
+bounded (at most ``max_hot_keys`` rows) and are materialized once as a local
+relation, so every stage, and any recomputation after a lost executor, sees
+the same segments.  Segmenting changes where work runs, never the
 result: the carry makes each segment see exactly what a single window would.
 """
 
@@ -113,26 +114,39 @@ class Segments:
 def plan_segments(df: DataFrame, keys: list[str], order_col: str, *,
                   rows_per_segment: int = ROWS_PER_SEGMENT, max_hot_keys: int = MAX_HOT_KEYS,
                   bands: int = BANDS, max_segments: int = MAX_SEGMENTS,
-                  accuracy: int = 10_000) -> Segments:
-    """Find hot keys of ``df`` and cut each into segments of its ``order_col``."""
+                  accuracy: int = 10_000, hot_keys: bool | DataFrame = True) -> Segments:
+    """Find hot keys of ``df`` and cut each into segments of its ``order_col``.
+
+    ``hot_keys=True`` detects them (one extra, column-pruned pass over ``df``);
+    ``False`` disables splitting (every key in one task); a DataFrame of key
+    values (at most ``max_hot_keys`` rows) names them and skips detection.
+    """
     spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    if hot_keys is False:
+        return Segments(keys, order_col, None)
     pos = order_position(df, order_col)
     has_key = F.lit(True)
     for k in keys:
         has_key = has_key & F.col(k).isNotNull()
-    counted = (df.filter(has_key).select(*keys, pos.alias(POS))
-               .groupBy(*keys)
+    base = df.filter(has_key).select(*keys, pos.alias(POS))
+    if isinstance(hot_keys, DataFrame):
+        named = hot_keys.select(*keys).distinct().limit(max_hot_keys)
+        base = base.join(F.broadcast(named), keys, "left_semi")
+        threshold = -1
+    else:
+        threshold = rows_per_segment
+    counted = (base.groupBy(*keys)
                .agg(F.count(F.lit(1)).alias("_n"), F.min(POS).alias("_lo"), F.max(POS).alias("_hi"))
-               .filter(F.col("_n") > rows_per_segment))
-    # Top-k heavy hitters: a bounded list (at most max_hot_keys rows).
-    hot = counted.orderBy(F.col("_n").desc(), *keys).limit(max_hot_keys)
-    ensure_checkpoint_dir(spark)
-    hot = hot.checkpoint(eager=True)
-    stats = hot.agg(F.count(F.lit(1)).alias("k"), F.sum("_n").alias("n")).first()
-    if not stats or not stats["k"]:
+               .filter(F.col("_n") > threshold))
+    # Top-k heavy hitters: a bounded list (at most max_hot_keys rows), fixed
+    # once computed so every later stage and any recomputation sees the same keys.
+    hot = _fixed(spark, counted.orderBy(F.col("_n").desc(), *keys).limit(max_hot_keys))
+    if hot is None:
         return Segments(keys, order_col, None)
+    total = sum(r["_n"] for r in hot.select("_n").collect())
     # Segment budget: never more than max_segments in total, never fewer rows than requested.
-    per_segment = max(rows_per_segment, math.ceil(stats["n"] / max_segments))
+    per_segment = max(rows_per_segment, math.ceil(total / max_segments))
     fractions = [i / bands for i in range(1, bands)]
     quant = (df.select(*keys, pos.alias(POS))
              .join(F.broadcast(hot.select(*keys)), keys, "left_semi")
@@ -144,7 +158,19 @@ def plan_segments(df: DataFrame, keys: list[str], order_col: str, *,
                       F.concat(F.array(F.col("_lo")), F.array_sort(F.col("_q")), F.array(F.col("_hi"))).alias("_b"),
                       F.ceil(F.col("_n") / F.lit(per_segment * bands)).cast("int").alias("_m")))
     splits = splits.withColumn("_nseg", (F.lit(bands) * F.col("_m")).cast("int"))
-    return Segments(keys, order_col, splits.checkpoint(eager=True))
+    return Segments(keys, order_col, _fixed(spark, splits))
+
+
+def _fixed(spark, small: DataFrame) -> DataFrame | None:
+    """Materialize a bounded table (<= max_hot_keys rows) as a local relation; None when empty.
+
+    One job computes it; the result is then part of the plan itself, so it is
+    identical in every stage and survives lost executors without recomputation.
+    """
+    data = small.collect()
+    if not data:
+        return None
+    return spark.createDataFrame(data, small.schema)
 
 
 def _orders(order_cols: list[str], reverse: bool) -> list[Column]:

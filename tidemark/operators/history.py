@@ -161,8 +161,7 @@ def merge_timelines(histories: Sequence[tuple[DataFrame, Sequence[str]]], key: K
     order = ["_t", "_kind", "_tb"]
     segs = plan_segments(union, keys, "_t", **seg_opts)
     rows = segs.assign(union)
-    for i in range(len(histories)):
-        rows = fill_last(rows, segs, f"_h{i}", f"_s{i}", order)
+    rows = scan(rows, segs, order, last=[(f"_h{i}", f"_s{i}") for i in range(len(histories))])
     rows = fill_last(rows, segs, "_pt", "_next", order, inclusive=False, reverse=True)
     rows = rows.filter(F.col("_kind") == 1)
     out = [*keys, F.col("_t").alias("valid_from"), F.col("_next").alias("valid_to")]

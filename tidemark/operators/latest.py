@@ -115,27 +115,33 @@ def number_within_key(df: DataFrame, key: Keys, order: Sequence[str], *, out: st
     The per-key listing the reference builds in memory ("cards of an account")
     is expressed as numbered rows instead of a collected array, so no group is
     ever held in one row.  Hot keys are cut into segments: a row's ordinal is
-    its number inside the segment plus the row count of earlier segments.
+    its number inside the segment plus the row count of earlier segments, and
+    the key's count is the sum over its segments (a bounded table).  Cold keys
+    get both from the one window over the key, without any join.
     """
     keys = _keys(key)
     segs = plan_segments(df, keys, order[0], **seg_opts)
     rows = segs.assign(df)
     w = Window.partitionBy(*keys, SEG).orderBy(*[F.col(c).asc_nulls_first() for c in order])
-    rows = rows.withColumn("_local", F.row_number().over(w).cast("long"))
-    seg_sizes = rows.groupBy(*keys, SEG).agg(F.count(F.lit(1)).alias("_sz"))
-    ws = Window.partitionBy(*keys).orderBy(SEG).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = seg_sizes.select(*keys, SEG, F.coalesce(F.sum("_sz").over(ws), F.lit(0)).cast("long").alias("_off"))
+    whole = Window.partitionBy(*keys, SEG)
+    rows = rows.withColumn("_local", F.row_number().over(w).cast("long")) \
+               .withColumn("_segn", F.count(F.lit(1)).over(whole))
     if segs.splits is None:
-        rows = rows.withColumn(out, F.col("_local"))
+        rows = rows.withColumn(out, F.col("_local")).withColumn("_total", F.col("_segn"))
     else:
-        rows = (rows.join(F.broadcast(offsets.join(F.broadcast(segs.splits.select(*keys)), keys, "left_semi")),
-                          [*keys, SEG], "left")
-                .withColumn(out, F.col("_local") + F.coalesce(F.col("_off"), F.lit(0))))
-    rows = rows.drop("_local", "_off")
+        hot = rows.join(F.broadcast(segs.splits.select(*keys)), keys, "left_semi")
+        seg_sizes = hot.groupBy(*keys, SEG).agg(F.count(F.lit(1)).alias("_sz"))
+        before = Window.partitionBy(*keys).orderBy(SEG).rowsBetween(Window.unboundedPreceding, -1)
+        every = Window.partitionBy(*keys)
+        # One row per hot segment: bounded by the segment budget, so it is broadcast.
+        offsets = seg_sizes.select(*keys, SEG, F.coalesce(F.sum("_sz").over(before), F.lit(0)).alias("_off"),
+                                   F.sum("_sz").over(every).alias("_keyn"))
+        rows = (rows.join(F.broadcast(offsets), [*keys, SEG], "left")
+                .withColumn(out, F.col("_local") + F.coalesce(F.col("_off"), F.lit(0)))
+                .withColumn("_total", F.coalesce(F.col("_keyn"), F.col("_segn"))))
     if count_out:
-        sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(count_out))
-        rows = rows.join(sizes, keys, "left")
-    return rows.drop(SEG)
+        rows = rows.withColumn(count_out, F.col("_total").cast("long"))
+    return rows.drop("_local", "_segn", "_off", "_keyn", "_total", SEG)
 
 
 def next_ids(df: DataFrame, start: Column | int, order: Sequence[str], *, out: str = "new_id") -> DataFrame:

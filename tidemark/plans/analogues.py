@@ -171,6 +171,62 @@ def state_before_cutoff(spark, sf_dir) -> DataFrame:
                        addition_order=["ts", "event_id"], change_order=["ts", "event_id"])
 
 
+def _order_histories(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """Two customer histories from orders: priority and order status, each a new version on change."""
+    orders = load(spark, sf_dir, "orders").withColumnRenamed("o_custkey", "customer_id")
+    prio = replay_snapshots(orders.select("customer_id", "o_orderdate", F.col("o_orderpriority").alias("priority")),
+                            "customer_id", "o_orderdate", ["priority"], order=["priority"])
+    stat = replay_snapshots(orders.select("customer_id", "o_orderdate", F.col("o_orderstatus").alias("order_status")),
+                            "customer_id", "o_orderdate", ["order_status"], order=["order_status"])
+    return prio, stat
+
+
+def _contacts(spark, sf_dir) -> DataFrame:
+    c = load(spark, sf_dir, "customer")
+    return c.select(F.col("c_custkey").alias("customer_id"),
+                    mask_phone(F.col("c_custkey").cast("string")).alias("phone"),
+                    mask_email(F.concat(F.lower(F.regexp_replace("c_name", "#", ".")), F.lit("@mail.example")))
+                    .alias("email"))
+
+
+def gold_dim_customers(spark, sf_dir) -> DataFrame:
+    """G4 (gold model): customer dimension from two histories plus contacts."""
+    from tidemark.plans import gold
+    prio, stat = _order_histories(spark, sf_dir)
+    return gold.dim_customers(prio, stat, _contacts(spark, sf_dir),
+                              customer_attrs=["priority"], address_attrs=["order_status"])
+
+
+def gold_fact_transactions(spark, sf_dir) -> DataFrame:
+    """G1 + G5 (gold models): line items as transactions resolved to account, card, merchant
+    and customer-version keys through the gold account and customer dimensions."""
+    from tidemark.plans import gold
+    orders = load(spark, sf_dir, "orders")
+    li = load(spark, sf_dir, "lineitem")
+    accounts = orders.select(F.col("o_orderkey").cast("string").alias("account_id"),
+                             F.col("o_custkey").alias("customer_id"), F.col("o_orderpriority").alias("product_id"),
+                             F.col("o_orderstatus").alias("currency_code"),
+                             F.to_date("o_orderdate").alias("opened_date"), F.lit("active").alias("status"),
+                             F.col("o_orderdate").alias("dwh_load_date"))
+    products = orders.select(F.col("o_orderpriority").alias("product_id")).distinct().select(
+        "product_id", F.concat(F.lit("priority "), F.col("product_id")).alias("product_name"),
+        F.lit("USD").alias("default_currency"))
+    dim_acc = gold.dim_accounts(accounts, products)
+    dim_cust = gold_dim_customers(spark, sf_dir)
+    tx = li.select(
+        F.concat(F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string")).alias("transaction_id"),
+        F.col("l_shipdate").alias("transaction_timestamp"), F.col("l_orderkey").cast("string").alias("account_id"),
+        F.when(F.col("l_returnflag") == "R", F.lit(None)).otherwise(F.col("l_partkey").cast("string")).alias("card_id"),
+        F.col("l_suppkey").cast("string").alias("merchant_id"), F.col("l_returnflag").alias("transaction_type"),
+        F.col("l_linestatus").alias("currency_code"), to_amount(F.col("l_quantity").cast("string")).alias("amount"),
+        F.lit("approved").alias("status"), F.col("l_shipdate").alias("dwh_load_date"))
+    types = li.select(F.col("l_returnflag").alias("transaction_type")).distinct().select(
+        "transaction_type", F.concat(F.lit("flag "), F.col("transaction_type")).alias("description"))
+    currencies = li.select(F.col("l_linestatus").alias("currency_code")).distinct().select(
+        "currency_code", F.concat(F.lit("status "), F.col("currency_code")).alias("currency_name"))
+    return gold.fact_rows(tx, types, currencies, dim_acc, dim_cust)
+
+
 # --------------------------------------------------------------------------- loads
 def _order_rollup(lineitem: DataFrame) -> DataFrame:
     return lineitem.groupBy("l_orderkey").agg(
@@ -422,4 +478,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "lines_per_order": lines_per_order,
     "next_ids": new_customer_ids,
     "stream_landing": stream_events,
+    "gold_dim_customers": gold_dim_customers,
+    "gold_fact_transactions": gold_fact_transactions,
 }

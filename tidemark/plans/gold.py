@@ -38,15 +38,17 @@ def dim_merchants(merchants: DataFrame, categories: DataFrame) -> DataFrame:
         "city", "category_name", "dwh_load_date")
 
 
-def dim_customers(customers_snapshot: DataFrame, addresses_snapshot: DataFrame, contacts: DataFrame) -> DataFrame:
+def dim_customers(customers_snapshot: DataFrame, addresses_snapshot: DataFrame, contacts: DataFrame, *,
+                  customer_attrs: list[str] = CUSTOMER_ATTRS, address_attrs: list[str] = ADDRESS_ATTRS,
+                  **seg_opts) -> DataFrame:
     """One row per customer and change point of either history (H2), keyed by
     md5(customer_id || valid_from text) (H8), with contact data attached (J9) and ``is_current``."""
-    merged = merge_timelines([(customers_snapshot, CUSTOMER_ATTRS), (addresses_snapshot, ADDRESS_ATTRS)],
-                             "customer_id")
+    merged = merge_timelines([(customers_snapshot, customer_attrs), (addresses_snapshot, address_attrs)],
+                             "customer_id", **seg_opts)
     ct = contacts.select("customer_id", "phone", "email")
     joined = merged.join(ct, "customer_id", "left")
     return joined.select(versioned_key("customer_id", "valid_from").alias("customer_sk"), "customer_id",
-                         *CUSTOMER_ATTRS, *ADDRESS_ATTRS, "phone", "email", "valid_from", "valid_to",
+                         *customer_attrs, *address_attrs, "phone", "email", "valid_from", "valid_to",
                          F.col("valid_to").isNull().alias("is_current"))
 
 

@@ -366,6 +366,86 @@ SELECT CAST(event_id AS VARCHAR) AS event_id, CAST(ts AS VARCHAR) AS ts, CAST(us
 FROM events
 """
 
+def _order_history(name: str, col: str, src: str) -> str:
+    return f"""
+{name}_run AS (
+  SELECT o_custkey AS customer_id, o_orderdate AS run, max({src}) AS {col}
+  FROM orders GROUP BY o_custkey, o_orderdate),
+{name}_m AS (
+  SELECT *, lag({col}) OVER (PARTITION BY customer_id ORDER BY run) AS prev,
+         row_number() OVER (PARTITION BY customer_id ORDER BY run) AS rn FROM {name}_run),
+{name} AS (
+  SELECT customer_id, {col}, run AS valid_from,
+         lead(run) OVER (PARTITION BY customer_id ORDER BY run) AS valid_to
+  FROM {name}_m WHERE rn = 1 OR {col} IS DISTINCT FROM prev)"""
+
+
+_GOLD_DIM = f"""
+{_order_history('h1', 'priority', 'o_orderpriority')},
+{_order_history('h2', 'order_status', 'o_orderstatus')},
+change_points AS (
+  SELECT customer_id, valid_from AS change_at FROM h1
+  UNION
+  SELECT customer_id, valid_from AS change_at FROM h2),
+combined AS (
+  SELECT cp.customer_id, cp.change_at AS valid_from,
+         lead(cp.change_at) OVER (PARTITION BY cp.customer_id ORDER BY cp.change_at) AS valid_to,
+         c.priority, a.order_status
+  FROM change_points cp
+  LEFT JOIN h1 c ON cp.customer_id = c.customer_id AND cp.change_at >= c.valid_from
+                AND (c.valid_to IS NULL OR cp.change_at < c.valid_to)
+  LEFT JOIN h2 a ON cp.customer_id = a.customer_id AND cp.change_at >= a.valid_from
+                AND (a.valid_to IS NULL OR cp.change_at < a.valid_to)),
+contacts AS (
+  SELECT c_custkey AS customer_id,
+         REPEAT('*', GREATEST(LENGTH(CAST(c_custkey AS VARCHAR)) - 4, 0)) || RIGHT(CAST(c_custkey AS VARCHAR), 4) AS phone,
+         LEFT(e, 1) || '***@' || SPLIT_PART(e, '@', 2) AS email
+  FROM (SELECT *, lower(replace(c_name, '#', '.')) || '@mail.example' AS e FROM customer)),
+dim_customers AS (
+  SELECT md5(CAST(combined.customer_id AS VARCHAR) || CAST(combined.valid_from AS VARCHAR)) AS customer_sk,
+         combined.customer_id, combined.priority, combined.order_status, ct.phone, ct.email,
+         combined.valid_from, combined.valid_to, (combined.valid_to IS NULL) AS is_current
+  FROM combined LEFT JOIN contacts ct ON combined.customer_id = ct.customer_id)"""
+
+GOLD_DIM_CUSTOMERS = f"""
+WITH {_GOLD_DIM}
+SELECT * FROM dim_customers
+"""
+
+GOLD_FACT_TRANSACTIONS = f"""
+WITH {_GOLD_DIM},
+customers AS (
+  SELECT customer_id, customer_sk,
+         CASE WHEN ROW_NUMBER() OVER (PARTITION BY customer_id ORDER BY valid_from) = 1
+              THEN NULL ELSE valid_from END AS valid_from,
+         valid_to
+  FROM dim_customers),
+accounts AS (SELECT CAST(o_orderkey AS VARCHAR) AS account_id, o_custkey AS customer_id FROM orders),
+types AS (SELECT DISTINCT l_returnflag AS transaction_type, 'flag ' || l_returnflag AS description FROM lineitem),
+currencies AS (SELECT DISTINCT l_linestatus AS currency_code, 'status ' || l_linestatus AS currency_name FROM lineitem),
+transactions AS (
+  SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS transaction_id,
+         l_shipdate AS transaction_timestamp, CAST(l_orderkey AS VARCHAR) AS account_id,
+         CASE WHEN l_returnflag = 'R' THEN NULL ELSE CAST(l_partkey AS VARCHAR) END AS card_id,
+         CAST(l_suppkey AS VARCHAR) AS merchant_id, l_returnflag AS transaction_type,
+         l_linestatus AS currency_code, CAST(CAST(l_quantity AS VARCHAR) AS DECIMAL(12, 2)) AS amount,
+         'approved' AS status, l_shipdate AS dwh_load_date
+  FROM lineitem)
+SELECT t.transaction_id, t.transaction_timestamp, md5(t.account_id) AS account_sk,
+       CASE WHEN t.card_id IS NULL OR t.card_id = '' THEN NULL ELSE md5(t.card_id) END AS card_sk,
+       CASE WHEN t.merchant_id IS NULL OR t.merchant_id = '' THEN NULL ELSE md5(t.merchant_id) END AS merchant_sk,
+       c.customer_sk, t.transaction_type, ty.description AS transaction_type_description, t.currency_code,
+       cur.currency_name, t.amount, t.status, t.dwh_load_date
+FROM transactions t
+LEFT JOIN types ty ON t.transaction_type = ty.transaction_type
+LEFT JOIN currencies cur ON t.currency_code = cur.currency_code
+LEFT JOIN accounts a ON t.account_id = a.account_id
+LEFT JOIN customers c
+  ON a.customer_id = c.customer_id
+ AND t.transaction_timestamp >= COALESCE(c.valid_from, TIMESTAMP '-infinity')
+ AND (c.valid_to IS NULL OR t.transaction_timestamp < c.valid_to)
+"""
+
 ORACLES: dict[str, str] = {
     "asof_fact": ASOF_FACT,
     "asof_fact_join": ASOF_FACT,
@@ -396,4 +476,6 @@ ORACLES: dict[str, str] = {
     "lines_per_order": LINES_PER_ORDER,
     "next_ids": NEXT_IDS,
     "stream_landing": STREAM_LANDING,
+    "gold_dim_customers": GOLD_DIM_CUSTOMERS,
+    "gold_fact_transactions": GOLD_FACT_TRANSACTIONS,
 }

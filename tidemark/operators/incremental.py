@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.operators.load import append_rows, upsert_latest
 from tidemark.operators.sizing import BROADCAST_MAX_ROWS, fits
@@ -18,18 +19,35 @@ def high_water(target: DataFrame, column: str = "dwh_load_date") -> DataFrame:
     return target.select(F.max(column).alias("high_water"))
 
 
-def after_high_water(source: DataFrame, target: DataFrame | None, column: str = "dwh_load_date") -> DataFrame:
+def after_high_water(source: DataFrame, target: DataFrame | None, column: str = "dwh_load_date", *,
+                     eager: bool = True) -> DataFrame:
     """Source rows strictly above the target's high-water mark.
 
-    The mark is an uncorrelated scalar subquery, so it reaches the Parquet scan
-    as a pushed filter.  An empty (or missing) target loads everything.
+    ``eager=True`` reads the mark first (one aggregation job returning one
+    value) and filters on it as a literal: the filter reaches the Parquet
+    scan's row-group statistics and partition pruning, and every retry uses
+    the same mark.  ``eager=False`` keeps it an uncorrelated scalar subquery
+    inside the plan (also pushed to the scan).  An empty (or missing) target
+    loads everything.
     """
     if target is None:
         return source
+    if eager:
+        mark = target.agg(F.max(column).alias("m")).first()["m"]
+        if mark is None:
+            return source
+        return source.filter(F.col(column) > _literal(mark, target.schema[column].dataType))
     mark = target.select(F.max(column)).scalar()
     return source.filter(mark.isNull() | (F.col(column) > mark))
 
 
+def _literal(value, dtype) -> F.Column:
+    """A literal of the column's exact type (wall-clock timestamps go through text, never a time zone)."""
+    if isinstance(dtype, T.TimestampNTZType):
+        return F.lit(value.isoformat(sep=" ")).cast(dtype)
+    return F.lit(value).cast(dtype)
+
+
 def merge_by_key(target: DataFrame | None, source: DataFrame, key: Keys,
                  column: str = "dwh_load_date") -> DataFrame:
     """Incremental *merge*: rows above the high-water mark replace rows with the same key."""

@@ -54,20 +54,43 @@ def require_unique(df: DataFrame, key: Keys, what: str = "batch") -> DataFrame:
     return df
 
 
-def _batch_keys(batch: DataFrame, keys: list[str], max_rows: int) -> DataFrame:
+def inspect_batch(batch: DataFrame, key: Keys) -> tuple[int, dict | None]:
+    """One aggregation job over the batch keys: (number of keys, first duplicate or NULL key)."""
+    keys = _keys(key)
+    null_key = F.lit(False)
+    for k in keys:
+        null_key = null_key | F.col(k).isNull()
+    per_key = batch.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    bad = F.when((F.col("n") > 1) | null_key, F.struct(*[F.col(k) for k in keys], F.col("n")))
+    row = per_key.agg(F.count(F.lit(1)).alias("keys"), F.first(bad, ignorenulls=True).alias("bad")).first()
+    return row["keys"], (row["bad"].asDict() if row["bad"] is not None else None)
+
+
+def _checked_keys(batch: DataFrame, keys: list[str], check_unique: bool, max_rows: int) -> DataFrame:
+    """The batch keys, broadcast when their count is proven small; raises on a bad key.
+
+    Uniqueness and size come from one aggregation job when both are needed.
+    """
     k = batch.select(*keys)
-    return F.broadcast(k) if fits(k, max_rows) else k
+    if check_unique:
+        n_keys, bad = inspect_batch(batch, keys)
+        if bad is not None:
+            raise DuplicateKeyError(f"batch: key {keys} not unique or NULL, e.g. {bad}")
+        small = n_keys <= max_rows
+    else:
+        small = fits(k, max_rows)
+    return F.broadcast(k) if small else k
 
 
 def upsert_latest(target: DataFrame | None, batch: DataFrame, key: Keys, *,
                   check_unique: bool = True, max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """INSERT ... ON CONFLICT (key) DO UPDATE: batch rows replace stored rows with the same key."""
     keys = _keys(key)
-    if check_unique:
-        require_unique(batch, keys)
     if target is None:
+        if check_unique:
+            require_unique(batch, keys)
         return batch
-    kept = target.join(_batch_keys(batch, keys, max_broadcast_rows), keys, "left_anti")
+    kept = target.join(_checked_keys(batch, keys, check_unique, max_broadcast_rows), keys, "left_anti")
     return kept.unionByName(batch.select(*target.columns))
 
 
@@ -86,11 +109,12 @@ def new_rows(target: DataFrame | None, batch: DataFrame, key: Keys, *, check_uni
     batch keys, so the large side is scanned once on its key column.
     """
     keys = _keys(key)
-    if check_unique:
-        require_unique(batch, keys)
     if target is None:
+        if check_unique:
+            require_unique(batch, keys)
         return batch
-    present = target.select(*keys).join(_batch_keys(batch, keys, max_broadcast_rows), keys, "left_semi")
+    probe = _checked_keys(batch, keys, check_unique, max_broadcast_rows)
+    present = target.select(*keys).join(probe, keys, "left_semi")
     return batch.join(present, keys, "left_anti")
 
 

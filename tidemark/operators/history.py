@@ -63,37 +63,51 @@ def snapshot_check(target: DataFrame | None, source: DataFrame, key: Keys, check
     snapshot.  Output columns: source columns + scd_id, updated_at, valid_from,
     valid_to.  Re-running with the same source and a later clock adds nothing.
     """
+    if target is None:
+        return snapshot_step(None, source, key, check_cols, run_ts, check_unique=check_unique)
+    cols = list(source.columns) + list(SNAPSHOT_COLUMNS)
+    closed = target.filter(F.col("valid_to").isNotNull()).select(*cols)
+    opened = target.filter(F.col("valid_to").isNull()).select(*cols)
+    return closed.unionByName(snapshot_step(opened, source, key, check_cols, run_ts, check_unique=check_unique))
+
+
+def snapshot_step(open_versions: DataFrame | None, source: DataFrame, key: Keys, check_cols: Sequence[str],
+                  run_ts, *, check_unique: bool = True) -> DataFrame:
+    """The part of a snapshot run that touches open versions.
+
+    Returns every previously open version (closed at ``run_ts`` when its key
+    changed, else as it was) plus the versions opened by this run.  Closed
+    history is not an input: a job stores it append-only and rewrites only the
+    open set (one full outer join of open versions with the source on the key,
+    which is unique on both sides).
+    """
     keys = _keys(key)
     run = _lit(run_ts)
     if check_unique:
         require_unique(source, keys, what="snapshot source")
     data_cols = list(source.columns)
-    if target is None:
-        return source.select(*data_cols, _scd_id(F.concat_ws("|", *keys) if len(keys) > 1 else F.col(keys[0]), run).alias("scd_id"),
-                             run.alias("updated_at"), run.alias("valid_from"),
-                             F.lit(None).cast(run_type(source, run)).alias("valid_to"))
     out_cols = data_cols + list(SNAPSHOT_COLUMNS)
-    is_open = F.col("valid_to").isNull()
-    closed = target.filter(~is_open).select(*out_cols)
-    opened = target.filter(is_open).select(*out_cols)
-    o = opened.select(*keys, F.struct(*out_cols).alias("_o"))
+    null_end = F.lit(None).cast(run_type(source, run))
+    key_text = F.concat_ws("|", *[F.col(k) for k in keys]) if len(keys) > 1 else F.col(keys[0])
+    if open_versions is None:
+        return source.select(*data_cols, _scd_id(key_text, run).alias("scd_id"), run.alias("updated_at"),
+                             run.alias("valid_from"), null_end.alias("valid_to"))
+    o = open_versions.select(*keys, F.struct(*out_cols).alias("_o"))
     s = source.select(*keys, F.struct(*data_cols).alias("_s"))
     both = o.join(s, keys, "full")
-    changed = _null_safe_equal([F.col(f"_o.{c}") for c in check_cols], [F.col(f"_s.{c}") for c in check_cols])
+    same = _null_safe_equal([F.col(f"_o.{c}") for c in check_cols], [F.col(f"_s.{c}") for c in check_cols])
     has_o, has_s = F.col("_o").isNotNull(), F.col("_s").isNotNull()
-    is_change = has_o & has_s & ~changed
-    key_expr = F.concat_ws("|", *[F.col(f"_s.{k}") for k in keys]) if len(keys) > 1 else F.col(f"_s.{keys[0]}")
+    is_change = has_o & has_s & ~same
+    s_key = F.concat_ws("|", *[F.col(f"_s.{k}") for k in keys]) if len(keys) > 1 else F.col(f"_s.{keys[0]}")
     old_version = F.when(has_o, F.struct(*[F.col(f"_o.{c}").alias(c) for c in out_cols if c != "valid_to"],
                                          F.when(is_change, run).otherwise(F.col("_o.valid_to")).alias("valid_to")))
+    old_version = F.when(has_o, F.struct(*[old_version[c].alias(c) for c in out_cols]))
     new_version = F.when(has_s & (~has_o | is_change),
                          F.struct(*[F.col(f"_s.{c}").alias(c) for c in data_cols],
-                                  _scd_id(key_expr, run).alias("scd_id"), run.alias("updated_at"),
-                                  run.alias("valid_from"), F.lit(None).cast(run_type(source, run)).alias("valid_to")))
-    # Re-order the old version's fields to the output order before the union.
-    old_version = F.when(has_o, F.struct(*[old_version[c].alias(c) for c in out_cols]))
-    current = (both.select(F.explode(F.array_compact(F.array(old_version, new_version))).alias("_v"))
-               .select("_v.*"))
-    return closed.unionByName(current)
+                                  _scd_id(s_key, run).alias("scd_id"), run.alias("updated_at"),
+                                  run.alias("valid_from"), null_end.alias("valid_to")))
+    return (both.select(F.explode(F.array_compact(F.array(old_version, new_version))).alias("_v"))
+            .select("_v.*"))
 
 
 def run_type(df: DataFrame, run: Column) -> str:
@@ -265,4 +279,4 @@ def _lookup_scan(facts, vers, fk, vk, ts, valid_from, valid_to, columns, backdat
 
 
 __all__ = ["SNAPSHOT_COLUMNS", "lookup_version", "merge_timelines", "replay_snapshots",
-           "snapshot_check", "SEG"]
+           "snapshot_check", "snapshot_step", "SEG"]

@@ -2,9 +2,9 @@
 
 Storage layout under ``root``: ``bronze/``, ``silver/``, ``gold/`` with one
 folder per table (:mod:`tidemark.sources.tables`).  Event logs (bronze
-transactions and customer changes, silver transactions, the gold fact) only
-receive new rows; current-state tables and snapshots are published as new
-versions.  Clocks are arguments: ``run_ts`` stamps loads and opens snapshot
+transactions and customer changes, their silver models, the gold fact) and the
+closed part of each snapshot only receive new rows; current-state tables and
+the open part of each snapshot are published as new versions.  Clocks are arguments: ``run_ts`` stamps loads and opens snapshot
 versions (one value shared by both snapshots), ``as_of`` dates the age bracket.
 """
 
@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.load import new_rows, require_unique, stamp_load, upsert_latest
 from tidemark.operators.quality import Check, enforce, run_checks
-from tidemark.operators.history import snapshot_check
+from tidemark.operators.history import snapshot_step
 from tidemark.operators.sizing import BROADCAST_MAX_ROWS, fits
 from tidemark.plans import gold, silver
 from tidemark.plans.checks import GOLD_CHECKS, SILVER_CHECKS
@@ -91,27 +91,50 @@ def build_silver(spark: SparkSession, root: str, as_of: _dt.date) -> None:
     tx_target = _table(spark, root, SILVER, "transactions")
     append_log(silver.new_transactions(b["transactions"], tx_target), root, SILVER, "transactions",
                _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%dT%H%M%S%f"))
-    publish(silver.customer_changes(b["customer_changes"]), root, SILVER, "customer_changes")
+    append_log(silver.new_customer_changes(b["customer_changes"], _table(spark, root, SILVER, "customer_changes")),
+               root, SILVER, "customer_changes", _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%dT%H%M%S%f"))
     publish(silver.customer_contacts(b["customer_contacts"]), root, SILVER, "customer_contacts")
     publish(silver.customers_current(b["customers"], b["customer_changes"], as_of), root, SILVER, "customers_current")
     publish(silver.addresses_current(b["customer_addresses"], b["customer_changes"]), root, SILVER,
             "addresses_current")
 
 
+SNAPSHOTS = [("customers_snapshot", "customers_current", ["status"]),
+             ("addresses_snapshot", "addresses_current", ["address_line", "city", "country"])]
+
+
 def take_snapshots(spark: SparkSession, root: str, run_ts: _dt.datetime) -> None:
-    """Both check snapshots with one shared clock."""
+    """Both check snapshots with one shared clock.
+
+    A snapshot is stored in two parts: ``<name>_open`` (versioned, the open
+    versions, rewritten each run) and ``<name>_closed`` (a log, closed
+    versions only appended).  A run reads and rewrites the open set only.
+    """
     run = F.lit(run_ts).cast("timestamp")
-    for name, current, check in [("customers_snapshot", "customers_current", ["status"]),
-                                 ("addresses_snapshot", "addresses_current", ["address_line", "city", "country"])]:
-        snap = snapshot_check(_table(spark, root, SILVER, name), _table(spark, root, SILVER, current),
-                              "customer_id", check, run)
-        publish(snap, root, SILVER, name)
+    for name, current, check in SNAPSHOTS:
+        opened = _table(spark, root, SILVER, f"{name}_open")
+        touched = snapshot_step(opened, _table(spark, root, SILVER, current), "customer_id", check, run)
+        touched = touched.checkpoint(eager=True)          # written twice below: compute once
+        append_log(touched.filter(F.col("valid_to").isNotNull()), root, SILVER, f"{name}_closed", load_id(run_ts))
+        publish(touched.filter(F.col("valid_to").isNull()), root, SILVER, f"{name}_open")
+
+
+def snapshot_table(spark: SparkSession, root: str, name: str) -> DataFrame | None:
+    """A whole snapshot: closed history plus open versions."""
+    opened = _table(spark, root, SILVER, f"{name}_open")
+    closed = _table(spark, root, SILVER, f"{name}_closed")
+    if opened is None:
+        return closed
+    return opened if closed is None else closed.unionByName(opened)
 
 
 def silver_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     names = list(silver.PASSTHROUGH) + ["accounts", "cards", "transactions", "customer_changes",
-                                        "customer_contacts", "customers_snapshot", "addresses_snapshot"]
-    return {n: _table(spark, root, SILVER, n) for n in names}
+                                        "customer_contacts"]
+    tables = {n: _table(spark, root, SILVER, n) for n in names}
+    for name, _, _ in SNAPSHOTS:
+        tables[name] = snapshot_table(spark, root, name)
+    return tables
 
 
 def build_gold(spark: SparkSession, root: str, *, max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> None:

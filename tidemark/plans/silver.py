@@ -70,6 +70,11 @@ def customer_changes(bronze: DataFrame) -> DataFrame:
                          to_timestamp("change_timestamp").alias("change_timestamp"), "dwh_load_date")
 
 
+def new_customer_changes(bronze: DataFrame, target: DataFrame | None = None) -> DataFrame:
+    """M4, stored as a log: the change events loaded after the last run, typed."""
+    return customer_changes(after_high_water(bronze, target))
+
+
 def customer_contacts(bronze: DataFrame) -> DataFrame:
     """M5: contacts with masked phone and email, typed validity dates."""
     return bronze.select("contact_id", "customer_id", mask_phone("phone").alias("phone"),

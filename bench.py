@@ -32,6 +32,7 @@ HEADLINE = [
     "quality_checks",
     "lines_per_order",
     "redact_digits",
+    "gold_fact_transactions",   # dimensions + fact end to end
 ]
 
 

@@ -43,3 +43,12 @@ def test_swapped_header(spark, tmpdir_path):
 def test_missing_path_raises(spark, tmpdir_path):
     with pytest.raises(Exception):
         read_landing(spark, "currencies", os.path.join(tmpdir_path, "nope.csv")).collect()
+
+
+def test_load_rejects_overlong_text(spark, tmpdir_path):
+    import datetime as dt
+    from tidemark.operators.quality import QualityError
+    from tidemark.plans.jobs import load_entity
+    p = write(tmpdir_path, "currencies.csv", "currency_code,currency_name,symbol\nUSD," + "x" * 256 + ",$\n")
+    with pytest.raises(QualityError):
+        load_entity(spark, "currencies", p, tmpdir_path + "/wh", dt.datetime(2026, 7, 13))

@@ -32,6 +32,7 @@ from tidemark.operators.load import insert_absent, upsert_latest
 from tidemark.operators.sizing import lookup_join
 from tidemark.schemas import INSERT_ABSENT, Entity
 from tidemark.session import scratch_path
+from tidemark.sources.tables import materialize
 
 # Fixed parameters of the analogues.
 SPLIT_SHIPDATE = "1998-01-01"          # lineitem: base before, batch from this date
@@ -193,6 +194,8 @@ def gold_dim_customers(spark, sf_dir) -> DataFrame:
     """G4 (gold model): customer dimension from two histories plus contacts."""
     from tidemark.plans import gold
     prio, stat = _order_histories(spark, sf_dir)
+    # Snapshots are stored tables in the daily job; stored the same way here.
+    prio, stat = materialize(prio, "hist-priority"), materialize(stat, "hist-status")
     return gold.dim_customers(prio, stat, _contacts(spark, sf_dir),
                               customer_attrs=["priority"], address_attrs=["order_status"])
 
@@ -211,8 +214,10 @@ def gold_fact_transactions(spark, sf_dir) -> DataFrame:
     products = orders.select(F.col("o_orderpriority").alias("product_id")).distinct().select(
         "product_id", F.concat(F.lit("priority "), F.col("product_id")).alias("product_name"),
         F.lit("USD").alias("default_currency"))
-    dim_acc = gold.dim_accounts(accounts, products)
-    dim_cust = gold_dim_customers(spark, sf_dir)
+    # The daily job stores the dimensions before the fact reads them; here they
+    # are written once to the shared checkpoint folder for the same effect.
+    dim_acc = materialize(gold.dim_accounts(accounts, products), "dim-accounts")
+    dim_cust = materialize(gold_dim_customers(spark, sf_dir), "dim-customers")
     tx = li.select(
         F.concat(F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string")).alias("transaction_id"),
         F.col("l_shipdate").alias("transaction_timestamp"), F.col("l_orderkey").cast("string").alias("account_id"),

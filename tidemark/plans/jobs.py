@@ -17,12 +17,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.load import new_rows, require_unique, stamp_load, upsert_latest
-from tidemark.operators.quality import Check, enforce, run_checks
+from tidemark.operators.quality import Check, enforce, max_length, run_checks
 from tidemark.operators.history import snapshot_step
 from tidemark.operators.sizing import BROADCAST_MAX_ROWS, fits
 from tidemark.plans import gold, silver
 from tidemark.plans.checks import GOLD_CHECKS, SILVER_CHECKS
-from tidemark.schemas import DAILY_FILES, ENTITIES, INSERT_ABSENT
+from tidemark.schemas import DAILY_FILES, ENTITIES, INSERT_ABSENT, MAX_TEXT_LENGTH
 from tidemark.schemas import entity as _entity
 from tidemark.sources.landing import read_landing
 from tidemark.sources.tables import append_log, log_path, publish, read_table
@@ -48,11 +48,15 @@ def _table(spark: SparkSession, root: str, layer: str, name: str) -> DataFrame |
 
 
 def load_entity(spark: SparkSession, entity: str, path: str, root: str, run_ts: _dt.datetime, *,
-                strict_header: bool = False) -> None:
-    """One landing file into bronze: read, enforce the key, stamp, upsert or insert-if-absent."""
+                strict_header: bool = False, check_lengths: bool = True) -> None:
+    """One landing file into bronze: read, enforce the key (and text width), stamp,
+    upsert or insert-if-absent."""
     ent = _entity(entity)
     batch = read_landing(spark, ent, path, strict_header=strict_header)
     require_unique(batch, ent.key, what=f"{ent.name} landing file {path}")
+    if check_lengths:
+        checks = [max_length(ent.name, c, MAX_TEXT_LENGTH) for c in ent.columns]
+        enforce(run_checks({ent.name: batch}, checks), checks)
     batch = stamp_load(batch, F.lit(run_ts).cast("timestamp"))
     target = read_table(spark, root, BRONZE, ent.name)
     if target is not None and "load_id" in target.columns:

@@ -102,3 +102,16 @@ def append_log(df: DataFrame, root: str, layer: str, name: str, load_id: str) ->
     path = log_path(root, layer, name)
     df.withColumn("load_id", F.lit(load_id)).write.mode("append").partitionBy("load_id").parquet(path)
     return path
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as Parquet under the shared checkpoint folder and read it back.
+
+    Cuts lineage like ``checkpoint()`` but computes the plan only once (an
+    eager checkpoint of an uncached plan computes it twice: count, then write).
+    """
+    from tidemark.session import scratch_path
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)

@@ -165,3 +165,17 @@ def test_merge_timelines_properties(spark):
         assert sum(1 for _, e in spans if e is None) == 1            # exactly one current row
         for (s0, e0), (s1, _) in zip(spans, spans[1:]):
             assert e0 == s1                                          # no gaps, no overlaps
+
+
+def test_overlap_guard(spark):
+    from tidemark.operators.history import OverlappingVersionsError, overlapping_versions
+    v = spark.createDataFrame([("x", D[0], D[5], "a"), ("x", D[3], D[8], "b"),      # b starts inside a
+                               ("x", D[8], None, "c"), ("x", D[9], D[10], "d"),     # d starts while c is open
+                               ("y", D[0], D[2], "e"), ("y", D[2], None, "f")], HIST)  # touching, fine
+    for opts in ({}, {"rows_per_segment": 1, "bands": 2}):
+        assert rows(overlapping_versions(v, "k", **opts), "a") == [("b",), ("d",)]
+    facts = spark.createDataFrame([(1, "x", D[4])], FACT)
+    with pytest.raises(OverlappingVersionsError):
+        lookup_version(facts, v, "k", "ts", columns=["a"], check_overlap=True)
+    ok = v.filter(F.col("k") == "y")
+    assert rows(lookup_version(facts, ok, "k", "ts", columns=["a"], check_overlap=True), "fid", "a") == [(1, None)]

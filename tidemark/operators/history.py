@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.keys import scd_id as _scd_id
@@ -115,6 +115,54 @@ def run_type(df: DataFrame, run: Column) -> str:
     return df.sparkSession.range(1).select(run.alias("r")).schema["r"].dataType.simpleString()
 
 
+# --------------------------------------------------------------------------- overlap guard
+class OverlappingVersionsError(ValueError):
+    """Versions of one key overlap, so "the version in force" is ambiguous."""
+
+
+def overlapping_versions(versions: DataFrame, key: Keys, *, valid_from: str = "valid_from",
+                         valid_to: str = "valid_to", **seg_opts) -> DataFrame:
+    """Versions that start before the previous version of their key has ended.
+
+    In valid_from order, a version overlaps when some earlier version is still
+    open (NULL end) or ends after it starts.  Computed as a running maximum of
+    earlier ends in the same skew-safe per-key scan; NULL ends count as +inf.
+    """
+    keys = _keys(key)
+    v = versions.filter(~_any_null(keys) & F.col(valid_from).isNotNull())
+    v = v.withColumn("_tb", F.xxhash64(*[F.col(c) for c in v.columns]))
+    segs = plan_segments(v, keys, valid_from, **seg_opts)
+    rows = segs.assign(v)
+    # The end of the earlier version that ends last; an open earlier version wins.
+    end_rank = F.struct(F.col(valid_to).isNull().alias("open"), F.col(valid_to).alias("end"))
+    rows = rows.withColumn("_end", end_rank)
+    order = [valid_from, "_tb"]
+    w = (Window.partitionBy(*keys, SEG).orderBy(*[F.col(c).asc_nulls_first() for c in order])
+         .rowsBetween(Window.unboundedPreceding, -1))
+    rows = rows.withColumn("_prev_end", F.max("_end").over(w))
+    if segs.splits is not None:
+        hot = rows.join(F.broadcast(segs.splits.select(*keys)), keys, "left_semi")
+        per_seg = hot.groupBy(*keys, SEG).agg(F.max("_end").alias("_m"))
+        all_segs = segs.splits.select(*keys, F.explode(F.sequence(F.lit(0), F.col("_nseg") - 1)).alias(SEG))
+        before = Window.partitionBy(*keys).orderBy(SEG).rowsBetween(Window.unboundedPreceding, -1)
+        carry = all_segs.join(per_seg, [*keys, SEG], "left").select(
+            *keys, SEG, F.max("_m").over(before).alias("_carry_end"))
+        rows = (rows.join(F.broadcast(carry), [*keys, SEG], "left")
+                .withColumn("_prev_end", F.greatest("_prev_end", "_carry_end")))
+    prev = F.col("_prev_end")
+    overlaps = prev.isNotNull() & (prev["open"] | (prev["end"] > F.col(valid_from)))
+    return rows.filter(overlaps).select(*versions.columns)
+
+
+def require_disjoint(versions: DataFrame, key: Keys, *, valid_from: str = "valid_from",
+                     valid_to: str = "valid_to", **seg_opts) -> DataFrame:
+    """Raise :class:`OverlappingVersionsError` when versions of a key overlap; return ``versions``."""
+    bad = overlapping_versions(versions, key, valid_from=valid_from, valid_to=valid_to, **seg_opts).take(1)
+    if bad:
+        raise OverlappingVersionsError(f"versions overlap for key {_keys(key)}, e.g. {bad[0].asDict()}")
+    return versions
+
+
 # --------------------------------------------------------------------------- H6
 def replay_snapshots(observations: DataFrame, key: Keys, run_col: str, check_cols: Sequence[str], *,
                      order: Sequence[str] | None = None, **seg_opts) -> DataFrame:
@@ -147,7 +195,8 @@ def replay_snapshots(observations: DataFrame, key: Keys, run_col: str, check_col
 
 # --------------------------------------------------------------------------- H2
 def merge_timelines(histories: Sequence[tuple[DataFrame, Sequence[str]]], key: Keys, *,
-                    valid_from: str = "valid_from", valid_to: str = "valid_to", **seg_opts) -> DataFrame:
+                    valid_from: str = "valid_from", valid_to: str = "valid_to", check_overlap: bool = False,
+                    **seg_opts) -> DataFrame:
     """Merge independently timed histories of one key into a single timeline.
 
     Change points are the distinct ``valid_from`` values of all histories; at
@@ -158,6 +207,9 @@ def merge_timelines(histories: Sequence[tuple[DataFrame, Sequence[str]]], key: K
     in the given order.  Keys must be non-NULL.
     """
     keys = _keys(key)
+    if check_overlap:
+        for df, _ in histories:
+            require_disjoint(df, keys, valid_from=valid_from, valid_to=valid_to)
     points = None
     for df, _ in histories:
         p = df.select(*keys, F.col(valid_from).alias("_t"))
@@ -190,7 +242,8 @@ def merge_timelines(histories: Sequence[tuple[DataFrame, Sequence[str]]], key: K
 def lookup_version(facts: DataFrame, versions: DataFrame, key: Keys, ts: str, *,
                    version_key: Keys | None = None, valid_from: str = "valid_from",
                    valid_to: str = "valid_to", columns: Sequence[str] | None = None,
-                   backdate_first: bool = True, method: str = "scan", **seg_opts) -> DataFrame:
+                   backdate_first: bool = True, method: str = "scan", check_overlap: bool = False,
+                   **seg_opts) -> DataFrame:
     """Attach to each fact the version of its key in force at ``ts``.
 
     A version is in force when ``valid_from <= ts`` and (``valid_to`` is NULL or
@@ -198,7 +251,9 @@ def lookup_version(facts: DataFrame, versions: DataFrame, key: Keys, ts: str, *,
     has no lower bound, so facts before the first version still resolve.  Facts
     with a NULL key or NULL ``ts`` get no version; every fact is returned once.
     ``columns`` (default: all version columns but the key) are appended to the
-    fact columns.  ``method="scan"`` sorts facts and versions together per
+    fact columns.  Versions of one key must not overlap (the join form would
+    repeat the fact once per overlapping version); ``check_overlap=True``
+    verifies it first (:func:`require_disjoint`).  ``method="scan"`` sorts facts and versions together per
     (key, segment); ``method="join"`` is the equi + range left join.
     """
     fk = _keys(key)
@@ -206,6 +261,8 @@ def lookup_version(facts: DataFrame, versions: DataFrame, key: Keys, ts: str, *,
     if columns is None:
         columns = [c for c in versions.columns if c not in vk]
     columns = list(columns)
+    if check_overlap:
+        require_disjoint(versions, vk, valid_from=valid_from, valid_to=valid_to)
     vers = versions.filter(~_any_null(vk) & F.col(valid_from).isNotNull())
     if method == "join":
         return _lookup_join(facts, vers, fk, vk, ts, valid_from, valid_to, columns, backdate_first)
@@ -278,5 +335,6 @@ def _lookup_scan(facts, vers, fk, vk, ts, valid_from, valid_to, columns, backdat
                     *[F.col(f"_v.{c}").alias(c) for c in columns]))
 
 
-__all__ = ["SNAPSHOT_COLUMNS", "lookup_version", "merge_timelines", "replay_snapshots",
-           "snapshot_check", "snapshot_step", "SEG"]
+__all__ = ["SNAPSHOT_COLUMNS", "OverlappingVersionsError", "lookup_version", "merge_timelines",
+           "overlapping_versions", "replay_snapshots", "require_disjoint", "snapshot_check", "snapshot_step",
+           "SEG"]

@@ -232,6 +232,17 @@ def gold_fact_transactions(spark, sf_dir) -> DataFrame:
     return gold.fact_rows(tx, types, currencies, dim_acc, dim_cust)
 
 
+def overlapping_order_versions(spark, sf_dir) -> DataFrame:
+    """Overlap guard (H2/H3 precondition): each customer's order opens a 60-day
+    version; report versions starting before an earlier one has ended."""
+    orders = load(spark, sf_dir, "orders")
+    versions = (orders.groupBy("o_custkey", "o_orderdate").agg(F.max("o_orderkey").alias("o_orderkey"))
+                .select("o_custkey", "o_orderkey", F.col("o_orderdate").alias("valid_from"),
+                        (F.col("o_orderdate") + F.expr("INTERVAL 60 DAYS")).alias("valid_to")))
+    from tidemark.operators.history import overlapping_versions
+    return overlapping_versions(versions, "o_custkey")
+
+
 # --------------------------------------------------------------------------- loads
 def _order_rollup(lineitem: DataFrame) -> DataFrame:
     return lineitem.groupBy("l_orderkey").agg(
@@ -483,6 +494,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "lines_per_order": lines_per_order,
     "next_ids": new_customer_ids,
     "stream_landing": stream_events,
+    "overlapping_versions": overlapping_order_versions,
     "gold_dim_customers": gold_dim_customers,
     "gold_fact_transactions": gold_fact_transactions,
 }

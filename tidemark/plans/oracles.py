@@ -446,6 +446,18 @@ LEFT JOIN customers c
  AND (c.valid_to IS NULL OR t.transaction_timestamp < c.valid_to)
 """
 
+OVERLAPPING_VERSIONS = """
+WITH v AS (
+  SELECT o_custkey, max(o_orderkey) AS o_orderkey, o_orderdate AS valid_from,
+         o_orderdate + INTERVAL 60 DAY AS valid_to
+  FROM orders GROUP BY o_custkey, o_orderdate),
+w AS (
+  SELECT *, max(valid_to) OVER (PARTITION BY o_custkey ORDER BY valid_from
+                                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev_end
+  FROM v)
+SELECT o_custkey, o_orderkey, valid_from, valid_to FROM w WHERE prev_end > valid_from
+"""
+
 ORACLES: dict[str, str] = {
     "asof_fact": ASOF_FACT,
     "asof_fact_join": ASOF_FACT,
@@ -476,6 +488,7 @@ ORACLES: dict[str, str] = {
     "lines_per_order": LINES_PER_ORDER,
     "next_ids": NEXT_IDS,
     "stream_landing": STREAM_LANDING,
+    "overlapping_versions": OVERLAPPING_VERSIONS,
     "gold_dim_customers": GOLD_DIM_CUSTOMERS,
     "gold_fact_transactions": GOLD_FACT_TRANSACTIONS,
 }

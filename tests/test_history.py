@@ -179,3 +179,16 @@ def test_overlap_guard(spark):
         lookup_version(facts, v, "k", "ts", columns=["a"], check_overlap=True)
     ok = v.filter(F.col("k") == "y")
     assert rows(lookup_version(facts, ok, "k", "ts", columns=["a"], check_overlap=True), "fid", "a") == [(1, None)]
+
+
+def test_hot_key_is_split_into_bounded_segments(spark):
+    from tidemark.operators.scan import SEG, plan_segments
+    rnd = random.Random(3)
+    data = [("hot" if i % 3 else f"k{i % 50}", D[0] + dt.timedelta(minutes=rnd.randrange(40000))) for i in range(6000)]
+    df = spark.createDataFrame(data, "k string, t timestamp")
+    segs = plan_segments(df, ["k"], "t", rows_per_segment=500, bands=8)
+    sizes = {(r["k"], r[SEG]): r["n"] for r in segs.assign(df).groupBy("k", SEG).count().withColumnRenamed("count", "n").collect()}
+    hot = [n for (k, _), n in sizes.items() if k == "hot"]
+    assert len(hot) >= 8                                  # the hot key (4,000 rows) is spread out
+    assert max(hot) <= 2 * 500                            # no segment far above the target
+    assert all(seg == 0 for (k, seg) in sizes if k != "hot")   # cold keys stay whole

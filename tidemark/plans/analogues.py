@@ -90,6 +90,26 @@ def asof_fact_join(spark, sf_dir) -> DataFrame:
     return out.withColumnRenamed("priority", "cust_priority")
 
 
+HOT_CUSTOMER = 7               # the customer that receives a third of all line items
+HOT_ROWS_PER_SEGMENT = 2000    # rows per task for hot keys in the skewed variant
+
+
+def asof_fact_skewed(spark, sf_dir) -> DataFrame:
+    """H3 under skew: line items 1 and 2 of every order (about a third of all rows)
+    belong to one customer, whose rows the lookup cuts into time segments."""
+    versions = order_priority_versions(spark, sf_dir).withColumn(
+        "customer_sk", versioned_key("o_custkey", "valid_from"))
+    orders = load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    facts = (load(spark, sf_dir, "lineitem")
+             .select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate")
+             .join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "left").drop("o_orderkey")
+             .withColumn("o_custkey", F.when(F.col("l_linenumber") <= 2, F.lit(HOT_CUSTOMER).cast("long"))
+                         .otherwise(F.col("o_custkey"))))
+    out = lookup_version(facts, versions, "o_custkey", "l_shipdate", columns=["customer_sk", "priority"],
+                         backdate_first=True, rows_per_segment=HOT_ROWS_PER_SEGMENT)
+    return out.withColumnRenamed("priority", "cust_priority")
+
+
 def signup_versions(events: DataFrame) -> DataFrame:
     signups = events.filter(F.col("event_type") == "signup").select(
         "user_id", "ts", F.col("event_id").alias("signup_id"))
@@ -467,6 +487,7 @@ def stream_events(spark, sf_dir) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "asof_fact": asof_fact,
     "asof_fact_join": asof_fact_join,
+    "asof_fact_skewed": asof_fact_skewed,
     "asof_no_backdate": asof_no_backdate,
     "merge_timelines": merged_timeline,
     "replay_snapshots": replayed_snapshots,

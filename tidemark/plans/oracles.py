@@ -38,6 +38,21 @@ LEFT JOIN dated v
  AND (v.valid_to IS NULL OR f.l_shipdate < v.valid_to)
 """
 
+ASOF_FACT_SKEWED = f"""
+WITH {_ORDER_VERSIONS},
+facts AS (
+  SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey, l.l_shipdate,
+         CASE WHEN l.l_linenumber <= 2 THEN CAST(7 AS BIGINT) ELSE o.o_custkey END AS o_custkey
+  FROM lineitem l LEFT JOIN orders o ON l.l_orderkey = o.o_orderkey)
+SELECT f.l_orderkey, f.l_linenumber, f.l_partkey, f.l_suppkey, f.l_shipdate, f.o_custkey,
+       v.customer_sk, v.priority AS cust_priority
+FROM facts f
+LEFT JOIN dated v
+  ON f.o_custkey = v.o_custkey AND f.l_shipdate IS NOT NULL
+ AND (v.lower_bound IS NULL OR f.l_shipdate >= v.lower_bound)
+ AND (v.valid_to IS NULL OR f.l_shipdate < v.valid_to)
+"""
+
 ASOF_NO_BACKDATE = """
 WITH s AS (
   SELECT user_id, ts, max(event_id) AS signup_id FROM events
@@ -461,6 +476,7 @@ SELECT o_custkey, o_orderkey, valid_from, valid_to FROM w WHERE prev_end > valid
 ORACLES: dict[str, str] = {
     "asof_fact": ASOF_FACT,
     "asof_fact_join": ASOF_FACT,
+    "asof_fact_skewed": ASOF_FACT_SKEWED,
     "asof_no_backdate": ASOF_NO_BACKDATE,
     "merge_timelines": MERGE_TIMELINES,
     "replay_snapshots": REPLAY_SNAPSHOTS,

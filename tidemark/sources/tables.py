@@ -31,20 +31,38 @@ def table_path(root: str, layer: str, name: str) -> str:
     return os.path.join(root, layer, name)
 
 
-def _local(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
+def _session() -> SparkSession:
+    spark = SparkSession.getActiveSession()
+    if spark is None:
+        raise RuntimeError("no active Spark session")
+    return spark
 
 
-def versions(root: str, layer: str, name: str) -> list[str]:
-    """Complete versions of a table, oldest first."""
-    base = _local(table_path(root, layer, name))
-    if not os.path.isdir(base):
+def _fs(path: str):
+    """Hadoop FileSystem and Path for ``path`` (local, HDFS or object store alike)."""
+    spark = _session()
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(spark._jsc.hadoopConfiguration()), jpath
+
+
+def _exists(path: str) -> bool:
+    fs, p = _fs(path)
+    return bool(fs.exists(p))
+
+
+def _children(path: str) -> list[str]:
+    """Names of the entries directly under ``path`` ([] when it does not exist)."""
+    fs, p = _fs(path)
+    if not fs.exists(p):
         return []
-    out = []
-    for d in sorted(os.listdir(base)):
-        if _VERSION.match(d) and os.path.exists(os.path.join(base, d, "_SUCCESS")):
-            out.append(os.path.join(table_path(root, layer, name), d))
-    return out
+    return sorted(st.getPath().getName() for st in fs.listStatus(p))
+
+
+def versions(root: str, layer: str, name: str) -> list[str]:
+    """Complete versions of a table (those with a ``_SUCCESS`` marker), oldest first."""
+    base = table_path(root, layer, name)
+    return [os.path.join(base, d) for d in _children(base)
+            if _VERSION.match(d) and _exists(os.path.join(base, d, "_SUCCESS"))]
 
 
 def log_path(root: str, layer: str, name: str) -> str:
@@ -52,8 +70,7 @@ def log_path(root: str, layer: str, name: str) -> str:
 
 
 def _has_log(root: str, layer: str, name: str) -> bool:
-    base = _local(log_path(root, layer, name))
-    return os.path.isdir(base) and any(not d.startswith(("_", ".")) for d in os.listdir(base))
+    return any(not d.startswith(("_", ".")) for d in _children(log_path(root, layer, name)))
 
 
 def read_table(spark: SparkSession, root: str, layer: str, name: str,

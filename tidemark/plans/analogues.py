@@ -3,8 +3,8 @@
 The bank entities do not exist in the driver's data, so each operator runs on
 an analogue built from the given tables (customer/orders/lineitem/events/...)
 over the whole tables.  Every query has an equivalent plain SQL text
-(``ORACLES``) used as an independent check; the SQL spells the reference's own
-formulation (joins with range conditions, LAG/LEAD, ROW_NUMBER) while the Spark
+(``tidemark.plans.oracles``) used as an independent check: the SQL takes
+another route (interval joins with range conditions, LAG/LEAD) while the Spark
 side goes through the library's operators.
 
 Stand-in inputs (e.g. a birth date derived from a customer key) only give rows

@@ -1,7 +1,8 @@
 """Plain SQL (DuckDB dialect) for every query in :mod:`tidemark.plans.analogues`.
 
-Written the way the reference formulates each step (range joins, LAG/LEAD,
-ROW_NUMBER, NOT IN), so they check the Spark operators independently.
+Each text computes the same result by a different route than the Spark code:
+interval joins with range conditions, LAG/LEAD and window aggregates, NOT IN
+and NOT EXISTS, so the two check each other.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ versions AS (
   FROM marked WHERE rn = 1 OR priority IS DISTINCT FROM prev),
 dated AS (
   SELECT *, md5(CAST(o_custkey AS VARCHAR) || CAST(valid_from AS VARCHAR)) AS customer_sk,
-         CASE WHEN row_number() OVER (PARTITION BY o_custkey ORDER BY valid_from) = 1
+         CASE WHEN valid_from = min(valid_from) OVER (PARTITION BY o_custkey)
               THEN NULL ELSE valid_from END AS lower_bound
   FROM versions)"""
 
@@ -89,22 +90,24 @@ def _history(name: str, event_type: str, value_sql: str, col: str) -> str:
 MERGE_TIMELINES = f"""
 WITH {_history('h1', 'signup', "CASE WHEN value < 25 THEN 'low' WHEN value < 100 THEN 'mid' ELSE 'high' END", 'status')},
 {_history('h2', 'click', 'props', 'address')},
-change_points AS (
-  SELECT user_id, valid_from AS change_at FROM h1
-  UNION
-  SELECT user_id, valid_from AS change_at FROM h2),
-combined AS (
-  SELECT cp.user_id, cp.change_at AS valid_from,
-         lead(cp.change_at) OVER (PARTITION BY cp.user_id ORDER BY cp.change_at) AS valid_to,
-         c.status, a.address
-  FROM change_points cp
-  LEFT JOIN h1 c ON cp.user_id = c.user_id AND cp.change_at >= c.valid_from
-                AND (c.valid_to IS NULL OR cp.change_at < c.valid_to)
-  LEFT JOIN h2 a ON cp.user_id = a.user_id AND cp.change_at >= a.valid_from
-                AND (a.valid_to IS NULL OR cp.change_at < a.valid_to))
-SELECT md5(CAST(user_id AS VARCHAR) || CAST(valid_from AS VARCHAR)) AS customer_sk,
-       user_id, status, address, valid_from, valid_to, valid_to IS NULL AS is_current
-FROM combined
+starts AS (
+  SELECT DISTINCT user_id, t FROM (
+    SELECT user_id, valid_from AS t FROM h1 UNION ALL SELECT user_id, valid_from AS t FROM h2)),
+spans AS (
+  SELECT user_id, t AS span_start,
+         min(t) OVER (PARTITION BY user_id ORDER BY t ROWS BETWEEN 1 FOLLOWING AND 1 FOLLOWING) AS span_end
+  FROM starts),
+timeline AS (
+  SELECT sp.user_id, sp.span_start, sp.span_end, s1.status, s2.address
+  FROM spans sp
+  LEFT JOIN h1 s1 ON s1.user_id = sp.user_id AND s1.valid_from <= sp.span_start
+                 AND coalesce(sp.span_start < s1.valid_to, TRUE)
+  LEFT JOIN h2 s2 ON s2.user_id = sp.user_id AND s2.valid_from <= sp.span_start
+                 AND coalesce(sp.span_start < s2.valid_to, TRUE))
+SELECT md5(CAST(user_id AS VARCHAR) || CAST(span_start AS VARCHAR)) AS customer_sk,
+       user_id, status, address, span_start AS valid_from, span_end AS valid_to,
+       span_end IS NULL AS is_current
+FROM timeline
 """
 
 REPLAY_SNAPSHOTS = """
@@ -398,29 +401,30 @@ def _order_history(name: str, col: str, src: str) -> str:
 _GOLD_DIM = f"""
 {_order_history('h1', 'priority', 'o_orderpriority')},
 {_order_history('h2', 'order_status', 'o_orderstatus')},
-change_points AS (
-  SELECT customer_id, valid_from AS change_at FROM h1
-  UNION
-  SELECT customer_id, valid_from AS change_at FROM h2),
-combined AS (
-  SELECT cp.customer_id, cp.change_at AS valid_from,
-         lead(cp.change_at) OVER (PARTITION BY cp.customer_id ORDER BY cp.change_at) AS valid_to,
-         c.priority, a.order_status
-  FROM change_points cp
-  LEFT JOIN h1 c ON cp.customer_id = c.customer_id AND cp.change_at >= c.valid_from
-                AND (c.valid_to IS NULL OR cp.change_at < c.valid_to)
-  LEFT JOIN h2 a ON cp.customer_id = a.customer_id AND cp.change_at >= a.valid_from
-                AND (a.valid_to IS NULL OR cp.change_at < a.valid_to)),
-contacts AS (
+starts AS (
+  SELECT DISTINCT customer_id, t FROM (
+    SELECT customer_id, valid_from AS t FROM h1 UNION ALL SELECT customer_id, valid_from AS t FROM h2)),
+spans AS (
+  SELECT customer_id, t AS span_start,
+         min(t) OVER (PARTITION BY customer_id ORDER BY t ROWS BETWEEN 1 FOLLOWING AND 1 FOLLOWING) AS span_end
+  FROM starts),
+timeline AS (
+  SELECT sp.customer_id, sp.span_start, sp.span_end, s1.priority, s2.order_status
+  FROM spans sp
+  LEFT JOIN h1 s1 ON s1.customer_id = sp.customer_id AND s1.valid_from <= sp.span_start
+                 AND coalesce(sp.span_start < s1.valid_to, TRUE)
+  LEFT JOIN h2 s2 ON s2.customer_id = sp.customer_id AND s2.valid_from <= sp.span_start
+                 AND coalesce(sp.span_start < s2.valid_to, TRUE)),
+phonebook AS (
   SELECT c_custkey AS customer_id,
          REPEAT('*', GREATEST(LENGTH(CAST(c_custkey AS VARCHAR)) - 4, 0)) || RIGHT(CAST(c_custkey AS VARCHAR), 4) AS phone,
          LEFT(e, 1) || '***@' || SPLIT_PART(e, '@', 2) AS email
   FROM (SELECT *, lower(replace(c_name, '#', '.')) || '@mail.example' AS e FROM customer)),
 dim_customers AS (
-  SELECT md5(CAST(combined.customer_id AS VARCHAR) || CAST(combined.valid_from AS VARCHAR)) AS customer_sk,
-         combined.customer_id, combined.priority, combined.order_status, ct.phone, ct.email,
-         combined.valid_from, combined.valid_to, (combined.valid_to IS NULL) AS is_current
-  FROM combined LEFT JOIN contacts ct ON combined.customer_id = ct.customer_id)"""
+  SELECT md5(CAST(tl.customer_id AS VARCHAR) || CAST(tl.span_start AS VARCHAR)) AS customer_sk,
+         tl.customer_id, tl.priority, tl.order_status, pb.phone, pb.email,
+         tl.span_start AS valid_from, tl.span_end AS valid_to, (tl.span_end IS NULL) AS is_current
+  FROM timeline tl LEFT JOIN phonebook pb ON pb.customer_id = tl.customer_id)"""
 
 GOLD_DIM_CUSTOMERS = f"""
 WITH {_GOLD_DIM}
@@ -429,16 +433,15 @@ SELECT * FROM dim_customers
 
 GOLD_FACT_TRANSACTIONS = f"""
 WITH {_GOLD_DIM},
-customers AS (
-  SELECT customer_id, customer_sk,
-         CASE WHEN ROW_NUMBER() OVER (PARTITION BY customer_id ORDER BY valid_from) = 1
-              THEN NULL ELSE valid_from END AS valid_from,
-         valid_to
+windows AS (
+  SELECT customer_id, customer_sk, valid_to,
+         CASE WHEN valid_from = min(valid_from) OVER (PARTITION BY customer_id) THEN NULL
+              ELSE valid_from END AS lower_bound
   FROM dim_customers),
-accounts AS (SELECT CAST(o_orderkey AS VARCHAR) AS account_id, o_custkey AS customer_id FROM orders),
-types AS (SELECT DISTINCT l_returnflag AS transaction_type, 'flag ' || l_returnflag AS description FROM lineitem),
-currencies AS (SELECT DISTINCT l_linestatus AS currency_code, 'status ' || l_linestatus AS currency_name FROM lineitem),
-transactions AS (
+owners AS (SELECT CAST(o_orderkey AS VARCHAR) AS account_id, o_custkey AS owner FROM orders),
+flags AS (SELECT DISTINCT l_returnflag AS code, 'flag ' || l_returnflag AS label FROM lineitem),
+states AS (SELECT DISTINCT l_linestatus AS code, 'status ' || l_linestatus AS label FROM lineitem),
+tx AS (
   SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS transaction_id,
          l_shipdate AS transaction_timestamp, CAST(l_orderkey AS VARCHAR) AS account_id,
          CASE WHEN l_returnflag = 'R' THEN NULL ELSE CAST(l_partkey AS VARCHAR) END AS card_id,
@@ -446,19 +449,19 @@ transactions AS (
          l_linestatus AS currency_code, CAST(CAST(l_quantity AS VARCHAR) AS DECIMAL(12, 2)) AS amount,
          'approved' AS status, l_shipdate AS dwh_load_date
   FROM lineitem)
-SELECT t.transaction_id, t.transaction_timestamp, md5(t.account_id) AS account_sk,
-       CASE WHEN t.card_id IS NULL OR t.card_id = '' THEN NULL ELSE md5(t.card_id) END AS card_sk,
-       CASE WHEN t.merchant_id IS NULL OR t.merchant_id = '' THEN NULL ELSE md5(t.merchant_id) END AS merchant_sk,
-       c.customer_sk, t.transaction_type, ty.description AS transaction_type_description, t.currency_code,
-       cur.currency_name, t.amount, t.status, t.dwh_load_date
-FROM transactions t
-LEFT JOIN types ty ON t.transaction_type = ty.transaction_type
-LEFT JOIN currencies cur ON t.currency_code = cur.currency_code
-LEFT JOIN accounts a ON t.account_id = a.account_id
-LEFT JOIN customers c
-  ON a.customer_id = c.customer_id
- AND t.transaction_timestamp >= COALESCE(c.valid_from, TIMESTAMP '-infinity')
- AND (c.valid_to IS NULL OR t.transaction_timestamp < c.valid_to)
+SELECT tx.transaction_id, tx.transaction_timestamp, md5(tx.account_id) AS account_sk,
+       CASE WHEN coalesce(tx.card_id, '') = '' THEN NULL ELSE md5(tx.card_id) END AS card_sk,
+       CASE WHEN coalesce(tx.merchant_id, '') = '' THEN NULL ELSE md5(tx.merchant_id) END AS merchant_sk,
+       w.customer_sk, tx.transaction_type, f.label AS transaction_type_description, tx.currency_code,
+       st.label AS currency_name, tx.amount, tx.status, tx.dwh_load_date
+FROM tx
+LEFT JOIN flags f ON f.code = tx.transaction_type
+LEFT JOIN states st ON st.code = tx.currency_code
+LEFT JOIN owners ow ON ow.account_id = tx.account_id
+LEFT JOIN windows w
+  ON w.customer_id = ow.owner
+ AND coalesce(tx.transaction_timestamp >= w.lower_bound, tx.transaction_timestamp IS NOT NULL)
+ AND coalesce(tx.transaction_timestamp < w.valid_to, TRUE)
 """
 
 OVERLAPPING_VERSIONS = """

@@ -147,17 +147,16 @@ def number_within_key(df: DataFrame, key: Keys, order: Sequence[str], *, out: st
 def next_ids(df: DataFrame, start: Column | int, order: Sequence[str], *, out: str = "new_id") -> DataFrame:
     """Consecutive numbers ``start + 1, start + 2, ...`` in ``order`` over the whole DataFrame.
 
-    No single-partition window: rows are range-sorted, the sorted result is
-    checkpointed (so recomputation keeps its partitions), per-partition counts
-    give each partition's offset, and a row's number is offset + its position
-    inside the partition.
+    No single-partition window: rows are range-sorted, each row is tagged with
+    its sorted partition and position, and that result is written once to the
+    shared checkpoint folder (so recomputation cannot reshuffle it); the
+    per-partition counts give each partition's offset, and a row's number is
+    offset + its position inside the partition.
     """
-    spark = df.sparkSession
-    from tidemark.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(spark)
-    ranked = (df.orderBy(*[F.col(c).asc_nulls_first() for c in order])
-              .withColumn("_p", F.spark_partition_id())
-              .withColumn("_mid", F.monotonically_increasing_id())).checkpoint(eager=True)
+    from tidemark.sources.tables import materialize
+    ranked = materialize(df.orderBy(*[F.col(c).asc_nulls_first() for c in order])
+                         .withColumn("_p", F.spark_partition_id())
+                         .withColumn("_mid", F.monotonically_increasing_id()), "next-ids")
     parts = ranked.groupBy("_p").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_m0"))
     w = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
     # One row per partition: a bounded table (partition count), broadcast back.

@@ -1,9 +1,11 @@
 """Broadcast only behind a checked size bound.
 
-``fits(df, max_rows)`` runs a bounded job (it stops counting after
-``max_rows + 1`` rows).  A side that passes is broadcast; one that does not is
-joined by a shuffle, which AQE may still turn into a broadcast at run time if
-its measured size allows.
+``fits(df, max_rows)`` takes at most ``max_rows + 1`` one-byte rows through
+Spark's incremental ``take`` (one partition first, then more only while rows
+are missing), so a large table is rejected after reading a few partitions and
+a small one is confirmed exactly.  A side that passes is broadcast; one that
+does not is joined by a shuffle, which AQE may still turn into a broadcast at
+run time if its measured size allows.
 """
 
 from __future__ import annotations
@@ -12,12 +14,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Default bound for broadcasting a lookup side, in rows.
-BROADCAST_MAX_ROWS = 200_000
+BROADCAST_MAX_ROWS = 100_000
 
 
 def fits(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (bounded check)."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """True when ``df`` has at most ``max_rows`` rows (bounded, incremental check)."""
+    return len(df.select(F.lit(True).alias("x")).take(max_rows + 1)) <= max_rows
 
 
 def lookup_join(left: DataFrame, right: DataFrame, on, how: str = "left",

@@ -25,7 +25,7 @@ from tidemark.plans.checks import GOLD_CHECKS, SILVER_CHECKS
 from tidemark.schemas import DAILY_FILES, ENTITIES, INSERT_ABSENT, MAX_TEXT_LENGTH
 from tidemark.schemas import entity as _entity
 from tidemark.sources.landing import read_landing
-from tidemark.sources.tables import append_log, log_path, publish, read_table
+from tidemark.sources.tables import append_log, log_path, materialize, publish, read_table
 
 BRONZE, SILVER, GOLD = "bronze", "silver", "gold"
 
@@ -118,7 +118,7 @@ def take_snapshots(spark: SparkSession, root: str, run_ts: _dt.datetime) -> None
     for name, current, check in SNAPSHOTS:
         opened = _table(spark, root, SILVER, f"{name}_open")
         touched = snapshot_step(opened, _table(spark, root, SILVER, current), "customer_id", check, run)
-        touched = touched.checkpoint(eager=True)          # written twice below: compute once
+        touched = materialize(touched, f"{name}-run")      # written twice below: compute once
         append_log(touched.filter(F.col("valid_to").isNotNull()), root, SILVER, f"{name}_closed", load_id(run_ts))
         publish(touched.filter(F.col("valid_to").isNull()), root, SILVER, f"{name}_open")
 
@@ -159,13 +159,13 @@ def build_gold(spark: SparkSession, root: str, *, max_broadcast_rows: int = BROA
 def _write_fact(spark, root, target, delta, max_broadcast_rows) -> None:
     """delete+insert by transaction_id without rewriting the history in the common case.
 
-    The delta is checkpointed (its keys are probed and then written).  When no
-    delta key is in the fact yet, the delta is appended.  Otherwise the kept
-    rows are checkpointed to the shared checkpoint folder and the fact is
+    The delta is written once to the shared checkpoint folder (its keys are
+    probed and then written).  When no delta key is in the fact yet, the delta
+    is appended.  Otherwise the kept rows are written there too and the fact is
     rewritten from them plus the delta (a correction run).
     """
     stamp = _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%dT%H%M%S%f")
-    delta = delta.checkpoint(eager=True)
+    delta = materialize(delta, "fact-delta")
     if target is None:
         append_log(delta, root, GOLD, "fact_transactions", stamp)
         return
@@ -175,7 +175,7 @@ def _write_fact(spark, root, target, delta, max_broadcast_rows) -> None:
     if not overlap:
         append_log(delta, root, GOLD, "fact_transactions", stamp)
         return
-    kept = target.join(keys, "transaction_id", "left_anti").checkpoint(eager=True)
+    kept = materialize(target.join(keys, "transaction_id", "left_anti"), "fact-kept")
     rewritten = kept.unionByName(delta.select(*kept.columns))
     rewritten.withColumn("load_id", F.lit(stamp)).write.mode("overwrite").partitionBy("load_id") \
         .parquet(log_path(root, GOLD, "fact_transactions"))

@@ -4,9 +4,10 @@
 Streaming file source with the entity's all-string schema and the landing CSV
 options, runs with ``Trigger.AvailableNow`` (every file present is processed,
 then the query stops), and folds each micro-batch into the bronze table with
-the entity's load rule (upsert or insert-if-absent) through ``foreachBatch``.
-Each micro-batch publishes a new table version, so a failed batch is retried
-from the stream checkpoint without a half-written table.
+the entity's load rule through ``foreachBatch``: an event log gets only the
+keys it does not hold yet (appended), an upserted entity gets a new table
+version.  A failed batch is retried from the stream checkpoint; the append is
+keyed (insert-if-absent), so a retried batch adds nothing twice.
 
 The file source remembers processed paths: a file re-landed at the same path
 is not read again from the same checkpoint, so corrections go through the
@@ -21,12 +22,12 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.load import insert_absent, stamp_load, upsert_latest
+from tidemark.operators.load import new_rows, stamp_load, upsert_latest
 from tidemark.schemas import INSERT_ABSENT
 from tidemark.schemas import entity as _entity
 from tidemark.session import scratch_path
 from tidemark.sources.landing import CSV_OPTIONS
-from tidemark.sources.tables import publish, read_table
+from tidemark.sources.tables import append_log, publish, read_table
 
 
 def landing_stream(spark: SparkSession, entity, pattern: str, *, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -61,11 +62,14 @@ def stream_landing(spark: SparkSession, entity, pattern: str, root: str, *,
                 .select(*[F.col(f"_r.{c}").alias(c) for c in cols]))
         rows = stamp_load(rows, stamp).withColumn("dwh_load_date", F.col("dwh_load_date").cast("timestamp"))
         target = read_table(spark, root, layer, ent.name)
+        if target is not None and "load_id" in target.columns:
+            target = target.drop("load_id")
         if ent.mode == INSERT_ABSENT:
-            new = insert_absent(target, rows, ent.key, check_unique=False)
+            # Event logs only receive the keys they do not hold yet.
+            append_log(new_rows(target, rows, ent.key, check_unique=False), root, layer, ent.name,
+                       f"stream-{batch_id:09d}-{stamp:%Y%m%dT%H%M%S}")
         else:
-            new = upsert_latest(target, rows, ent.key, check_unique=False)
-        publish(new, root, layer, ent.name)
+            publish(upsert_latest(target, rows, ent.key, check_unique=False), root, layer, ent.name)
 
     query = (stream.writeStream.foreachBatch(fold)
              .option("checkpointLocation", checkpoint)

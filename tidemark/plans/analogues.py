@@ -263,6 +263,50 @@ def overlapping_order_versions(spark, sf_dir) -> DataFrame:
     return overlapping_versions(versions, "o_custkey")
 
 
+def _bronze_customers(spark, sf_dir) -> DataFrame:
+    """customer as bronze customer text rows."""
+    c = load(spark, sf_dir, "customer")
+    dob = F.date_add(F.lit(DOB_ORIGIN).cast("date"), ((F.col("c_custkey") * 17) % DOB_SPAN_DAYS).cast("int"))
+    return c.select(F.col("c_custkey").cast("string").alias("customer_id"),
+                    F.split_part("c_name", F.lit("#"), F.lit(1)).alias("first_name"),
+                    F.split_part("c_name", F.lit("#"), F.lit(2)).alias("last_name"),
+                    dob.cast("string").alias("dob"), F.lit("active").alias("status"),
+                    F.lit("2024-01-01 00:00:00").alias("created_at"))
+
+
+def _bronze_changes(spark, sf_dir) -> DataFrame:
+    """events as bronze customer_changes text rows: errors block, clicks move the address."""
+    e = load(spark, sf_dir, "events").filter(F.col("event_type").isin("error", "click"))
+    is_status = F.col("event_type") == "error"
+    return e.select(F.col("event_id").cast("string").alias("change_id"),
+                    F.col("user_id").cast("string").alias("customer_id"),
+                    F.when(is_status, "status").otherwise("address").alias("change_type"),
+                    F.when(is_status, "blocked").alias("status"),
+                    F.when(~is_status, F.col("props")).alias("address_line"),
+                    F.when(~is_status, F.col("user_id").cast("string")).alias("city"),
+                    F.when(~is_status, F.lit("KZ")).alias("country"),
+                    to_text("ts").alias("change_timestamp"))
+
+
+def silver_customers_current(spark, sf_dir) -> DataFrame:
+    """M6 (silver model): masked names, age bracket, status from the newest status change."""
+    from tidemark.plans import silver
+    out = silver.customers_current(_bronze_customers(spark, sf_dir), _bronze_changes(spark, sf_dir), AS_OF_DATE)
+    return out.withColumn("created_at", F.col("created_at").cast("timestamp_ntz"))
+
+
+def silver_addresses_current(spark, sf_dir) -> DataFrame:
+    """M7 (silver model): base address overlaid by the newest address change, digits redacted."""
+    from tidemark.plans import silver
+    c = load(spark, sf_dir, "customer")
+    addresses = c.select(F.concat(F.lit("A"), F.col("c_custkey").cast("string")).alias("address_id"),
+                         F.col("c_custkey").cast("string").alias("customer_id"),
+                         F.col("c_name").alias("address_line"), F.col("c_nationkey").cast("string").alias("city"),
+                         F.lit("KZ").alias("country"), F.lit("2024-01-01").alias("valid_from"),
+                         F.lit(None).cast("string").alias("valid_to"))
+    return silver.addresses_current(addresses, _bronze_changes(spark, sf_dir))
+
+
 # --------------------------------------------------------------------------- loads
 def _order_rollup(lineitem: DataFrame) -> DataFrame:
     return lineitem.groupBy("l_orderkey").agg(
@@ -516,6 +560,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "next_ids": new_customer_ids,
     "stream_landing": stream_events,
     "overlapping_versions": overlapping_order_versions,
+    "silver_customers_current": silver_customers_current,
+    "silver_addresses_current": silver_addresses_current,
     "gold_dim_customers": gold_dim_customers,
     "gold_fact_transactions": gold_fact_transactions,
 }

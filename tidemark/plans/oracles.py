@@ -476,6 +476,60 @@ w AS (
 SELECT o_custkey, o_orderkey, valid_from, valid_to FROM w WHERE prev_end > valid_from
 """
 
+_BRONZE_CHANGES = """
+chg AS (
+  SELECT CAST(event_id AS VARCHAR) AS change_id, CAST(user_id AS VARCHAR) AS customer_id,
+         CASE WHEN event_type = 'error' THEN 'status' ELSE 'address' END AS change_type,
+         CASE WHEN event_type = 'error' THEN 'blocked' END AS status,
+         CASE WHEN event_type = 'click' THEN props END AS address_line,
+         CASE WHEN event_type = 'click' THEN CAST(user_id AS VARCHAR) END AS city,
+         CASE WHEN event_type = 'click' THEN 'KZ' END AS country,
+         CAST(ts AS VARCHAR) AS change_timestamp
+  FROM events WHERE event_type IN ('error', 'click'))"""
+
+SILVER_CUSTOMERS_CURRENT = f"""
+WITH {_BRONZE_CHANGES},
+cust AS (
+  SELECT CAST(c_custkey AS VARCHAR) AS customer_id, split_part(c_name, '#', 1) AS fn,
+         split_part(c_name, '#', 2) AS ln,
+         DATE '1940-01-01' + CAST((c_custkey * 17) % 25000 AS INTEGER) AS born
+  FROM customer),
+newest AS (
+  SELECT customer_id, status FROM (
+    SELECT *, row_number() OVER (PARTITION BY customer_id
+                                 ORDER BY change_timestamp DESC NULLS FIRST, change_id DESC) AS r
+    FROM chg WHERE change_type = 'status') WHERE r = 1),
+aged AS (
+  SELECT *, year(DATE '2026-07-13') - year(born)
+            - CASE WHEN month(DATE '2026-07-13') < month(born)
+                     OR (month(DATE '2026-07-13') = month(born) AND day(DATE '2026-07-13') < day(born))
+                   THEN 1 ELSE 0 END AS years
+  FROM cust)
+SELECT a.customer_id,
+       LEFT(fn, 1) || REPEAT('*', GREATEST(LENGTH(fn) - 1, 0)) AS first_name,
+       LEFT(ln, 1) || REPEAT('*', GREATEST(LENGTH(ln) - 1, 0)) AS last_name,
+       CASE WHEN years < 25 THEN '18-24' WHEN years < 35 THEN '25-34' WHEN years < 45 THEN '35-44'
+            WHEN years < 55 THEN '45-54' WHEN years < 65 THEN '55-64' ELSE '65+' END AS age_bracket,
+       coalesce(n.status, 'active') AS status,
+       TIMESTAMP '2024-01-01 00:00:00' AS created_at
+FROM aged a LEFT JOIN newest n ON n.customer_id = a.customer_id
+"""
+
+SILVER_ADDRESSES_CURRENT = rf"""
+WITH {_BRONZE_CHANGES},
+newest AS (
+  SELECT customer_id, address_line, city, country FROM (
+    SELECT *, row_number() OVER (PARTITION BY customer_id
+                                 ORDER BY change_timestamp DESC NULLS FIRST, change_id DESC) AS r
+    FROM chg WHERE change_type = 'address') WHERE r = 1)
+SELECT CAST(c.c_custkey AS VARCHAR) AS customer_id,
+       regexp_replace(coalesce(n.address_line, c.c_name), '\d+', '###', 'g') AS address_line,
+       coalesce(n.city, CAST(c.c_nationkey AS VARCHAR)) AS city,
+       coalesce(n.country, 'KZ') AS country,
+       DATE '2024-01-01' AS created_at
+FROM customer c LEFT JOIN newest n ON n.customer_id = CAST(c.c_custkey AS VARCHAR)
+"""
+
 ORACLES: dict[str, str] = {
     "asof_fact": ASOF_FACT,
     "asof_fact_join": ASOF_FACT,
@@ -508,6 +562,8 @@ ORACLES: dict[str, str] = {
     "next_ids": NEXT_IDS,
     "stream_landing": STREAM_LANDING,
     "overlapping_versions": OVERLAPPING_VERSIONS,
+    "silver_customers_current": SILVER_CUSTOMERS_CURRENT,
+    "silver_addresses_current": SILVER_ADDRESSES_CURRENT,
     "gold_dim_customers": GOLD_DIM_CUSTOMERS,
     "gold_fact_transactions": GOLD_FACT_TRANSACTIONS,
 }

@@ -100,15 +100,16 @@ class Segments:
             return df.withColumn(SEG, F.lit(0))
         pos = order_position(df, self.order_col)
         joined = df.withColumn(POS, pos).join(F.broadcast(self.splits), self.keys, "left")
-        # band = number of inner quantiles <= position; then an even cut inside the band.
-        band = F.expr(f"size(filter(_q, x -> x <= {POS}))")
-        lo = F.expr(f"element_at(_b, size(filter(_q, x -> x <= {POS})) + 1)")
-        hi = F.expr(f"element_at(_b, size(filter(_q, x -> x <= {POS})) + 2)")
+        # band = number of inner quantiles <= position (one array pass per row,
+        # hot keys only), then an even cut inside the band.
+        joined = joined.withColumn("_band", F.expr(f"size(filter(_q, x -> x <= {POS}))"))
+        lo = F.element_at(F.col("_b"), F.col("_band") + 1)
+        hi = F.element_at(F.col("_b"), F.col("_band") + 2)
         width = F.greatest(hi - lo + 1, F.lit(1))
         sub = F.least(F.floor((F.greatest(F.col(POS) - lo, F.lit(0))) * F.col("_m") / width), F.col("_m") - 1)
         seg = F.when(F.col("_m").isNull() | F.col(POS).isNull(), F.lit(0)).otherwise(
-            (band * F.col("_m") + sub).cast("int"))
-        return joined.withColumn(SEG, seg).drop(POS, "_q", "_b", "_m", "_nseg")
+            (F.col("_band") * F.col("_m") + sub).cast("int"))
+        return joined.withColumn(SEG, seg).drop(POS, "_band", "_q", "_b", "_m", "_nseg")
 
 
 def plan_segments(df: DataFrame, keys: list[str], order_col: str, *,
@@ -245,7 +246,13 @@ def _carry_table(df: DataFrame, segments: Segments, order_cols: list[str], rever
     ordering = F.struct(*[F.col(c) for c in order_cols])
     last_pick = F.min_by if reverse else F.max_by
     first_pick = F.max_by if reverse else F.min_by
-    hot_rows = df.join(F.broadcast(segments.splits.select(*keys)), keys, "left_semi")
+    # Only rows that carry a value matter.  Where an input branch holds a
+    # literal NULL value (facts in a lookup, change points in a merge) the
+    # optimizer drops that whole branch from this pass.
+    carries = F.lit(False)
+    for value, _ in [*carried, *firsts]:
+        carries = carries | F.col(value).isNotNull()
+    hot_rows = df.filter(carries).join(F.broadcast(segments.splits.select(*keys)), keys, "left_semi")
     aggs = []
     for value, out in carried:
         aggs.append(last_pick(F.col(value), F.when(F.col(value).isNotNull(), ordering)).alias(f"_l_{out}"))

@@ -33,3 +33,51 @@ def test_bootstrap_and_three_days(spark, tmpdir_path):
     assert s["customers_snapshot"].filter(F.col("status") == "blocked").count() >= 1
     masked = s["customer_contacts"].select("phone", "email").first()
     assert masked["phone"].startswith("*******") and "***@" in masked["email"]
+
+
+def test_failing_silver_check_stops_before_gold(spark, tmpdir_path):
+    import csv
+    import os
+
+    import pytest
+
+    from tidemark.operators.quality import QualityError
+    seed_dir, incoming = bank_fixture.build(tmpdir_path, DAYS[:1], n_customers=6)
+    root = tmpdir_path + "/warehouse"
+    jobs.bootstrap(spark, seed_dir, root, dt.datetime(2026, 7, 12, 23, 0))
+    # an orphan transaction: its account does not exist
+    path = os.path.join(incoming, DAYS[0], f"transactions_{DAYS[0]}.csv")
+    with open(path, "a", newline="", encoding="utf-8") as f:
+        csv.writer(f).writerow(["TXORPHAN", "2026-07-13 10:00:00", "AC9999999", "", "", "deposit", "USD", "10.00",
+                                "approved"])
+    with pytest.raises(QualityError):
+        jobs.run_day(spark, DAYS[0], incoming, root, dt.datetime(2026, 7, 14, 0, 30), as_of=dt.date(2026, 7, 13))
+    assert jobs.gold_tables(spark, root)["fact_transactions"] is None          # gold never ran
+    # with the gate in warn mode the run completes and reports the failure
+    root2 = tmpdir_path + "/warehouse2"
+    jobs.bootstrap(spark, seed_dir, root2, dt.datetime(2026, 7, 12, 23, 0))
+    failed = jobs.run_day(spark, DAYS[0], incoming, root2, dt.datetime(2026, 7, 14, 0, 30),
+                          as_of=dt.date(2026, 7, 13), on_fail="warn")
+    assert any(f["check"] == "relationships" and f["table"] == "transactions" for f in failed["silver"])
+
+
+def test_split_snapshot_storage_equals_snapshot_check(spark, tmpdir_path):
+    from tidemark.operators.history import snapshot_check
+    root = tmpdir_path + "/wh"
+    states = [
+        [("C1", "active"), ("C2", "active")],
+        [("C1", "blocked"), ("C2", "active"), ("C3", "active")],
+        [("C1", "blocked"), ("C3", "closed")],
+        [("C1", "active"), ("C2", "blocked"), ("C3", "closed")],
+    ]
+    plain = None
+    for i, st in enumerate(states):
+        run = dt.datetime(2026, 7, 14 + i)
+        cur = spark.createDataFrame(st, "customer_id string, status string")
+        jobs.publish(cur, root, jobs.SILVER, "customers_current")
+        jobs.take_snapshots_for(spark, root, run, [("customers_snapshot", "customers_current", ["status"])])
+        plain = snapshot_check(plain, cur, "customer_id", ["status"], F.lit(run).cast("timestamp"))
+    stored = jobs.snapshot_table(spark, root, "customers_snapshot")
+    cols = ["customer_id", "status", "scd_id", "valid_from", "valid_to"]
+    assert sorted(map(tuple, stored.select(*cols).collect()), key=str) == \
+        sorted(map(tuple, plain.select(*cols).collect()), key=str)

@@ -67,3 +67,13 @@ def test_merge_and_replace(spark):
     assert rows(merge_by_key(target, source, "k", "t")) == [("a", "1", t0), ("b", "2", t1), ("c", "3", t1)]
     batch = spark.createDataFrame([("b", "x", t1), ("b", "y", t1)], s)     # duplicates are kept
     assert rows(replace_by_key(target, batch, "k")) == [("a", "1", t0), ("b", "x", t1), ("b", "y", t1)]
+
+
+def test_fits_is_a_bounded_check(spark):
+    from tidemark.operators.sizing import fits, lookup_join
+    big = spark.range(0, 100_000, numPartitions=50)
+    assert not fits(big, 1000)
+    assert fits(big, 100_000)
+    small = spark.createDataFrame([(1, "x")], "id long, name string")
+    joined = lookup_join(spark.range(5), small, "id", "left", max_rows=10)
+    assert "BroadcastHashJoin" in joined._jdf.queryExecution().executedPlan().toString()

@@ -51,3 +51,16 @@ def test_dedupe_events_memory_sink(spark, tmpdir_path):
         .option("checkpointLocation", os.path.join(tmpdir_path, "ck")).trigger(availableNow=True).start()
     q.awaitTermination()
     assert spark.sql("SELECT count(*) AS n FROM dedup_test").first()["n"] == 2
+
+
+def test_dedupe_within_watermark(spark, tmpdir_path):
+    import datetime as dt
+    src = os.path.join(tmpdir_path, "evw")
+    t = dt.datetime(2026, 7, 13, 10, 0)
+    spark.createDataFrame([(1, t, "a"), (1, t + dt.timedelta(seconds=5), "dup"), (2, t, "c")],
+                          "id long, ts timestamp, v string").write.parquet(src)
+    stream = spark.readStream.schema("id long, ts timestamp, v string").parquet(src)
+    q = dedupe_events(stream, "id", "ts", "1 hour").writeStream.format("memory").queryName("dedup_wm") \
+        .option("checkpointLocation", os.path.join(tmpdir_path, "ckw")).trigger(availableNow=True).start()
+    q.awaitTermination()
+    assert spark.sql("SELECT count(*) AS n FROM dedup_wm").first()["n"] == 2

@@ -108,14 +108,20 @@ SNAPSHOTS = [("customers_snapshot", "customers_current", ["status"]),
 
 
 def take_snapshots(spark: SparkSession, root: str, run_ts: _dt.datetime) -> None:
-    """Both check snapshots with one shared clock.
+    """Both check snapshots with one shared clock."""
+    take_snapshots_for(spark, root, run_ts, SNAPSHOTS)
+
+
+def take_snapshots_for(spark: SparkSession, root: str, run_ts: _dt.datetime,
+                       snapshots: list[tuple[str, str, list[str]]]) -> None:
+    """Check snapshots ``(name, current-state table, check columns)`` with one clock.
 
     A snapshot is stored in two parts: ``<name>_open`` (versioned, the open
     versions, rewritten each run) and ``<name>_closed`` (a log, closed
     versions only appended).  A run reads and rewrites the open set only.
     """
     run = F.lit(run_ts).cast("timestamp")
-    for name, current, check in SNAPSHOTS:
+    for name, current, check in snapshots:
         opened = _table(spark, root, SILVER, f"{name}_open")
         touched = snapshot_step(opened, _table(spark, root, SILVER, current), "customer_id", check, run)
         touched = materialize(touched, f"{name}-run")      # written twice below: compute once

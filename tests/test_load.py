@@ -1,8 +1,6 @@
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
-
 from tidemark.operators.incremental import after_high_water, append_new, merge_by_key, replace_by_key
 from tidemark.operators.load import (DuplicateKeyError, insert_absent, require_unique, stamp_load,
                                      upsert_latest)

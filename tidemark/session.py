@@ -52,11 +52,6 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     return configure(spark)
 
 
-def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder named by the cluster (``spark.checkpoint.dir``)."""
-    return ensure_checkpoint_dir(spark)
-
-
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Use the session's checkpoint folder; create a local one only when unset.
 

@@ -17,7 +17,6 @@ batch loader (``tidemark.plans.jobs.load_entity``).
 from __future__ import annotations
 
 import datetime as _dt
-import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -91,7 +90,3 @@ def dedupe_events(stream: DataFrame, key: str, event_time: str | None = None,
     if event_time and watermark:
         return stream.withWatermark(event_time, watermark).dropDuplicatesWithinWatermark([key])
     return stream.dropDuplicates([key])
-
-
-def landing_folder(incoming: str, day: str) -> str:
-    return os.path.join(incoming, day)

@@ -36,12 +36,10 @@ def main() -> None:
         largest = groups.agg(F.max("count")).first()[0]
         n_groups = groups.filter(F.col("o_custkey") == A.HOT_CUSTOMER).count()
         t0 = time.perf_counter()
-        A.QUERIES["asof_fact_skewed"] if False else None
-        spark_opts = opts
         out = A.lookup_version(
             facts.drop("o_orderkey"),
             A.order_priority_versions(spark, sf_dir).withColumn("customer_sk", A.versioned_key("o_custkey", "valid_from")),
-            "o_custkey", "l_shipdate", columns=["customer_sk", "priority"], **spark_opts)
+            "o_custkey", "l_shipdate", columns=["customer_sk", "priority"], **opts)
         out.write.format("noop").mode("overwrite").save()
         dt = time.perf_counter() - t0
         print(f"{label:15s} rows={total} largest_group={largest} ({largest / total:.1%}) "

@@ -23,6 +23,7 @@ HEADLINE = [
     "asof_fact",            # as-of lookup, scan form
     "asof_fact_join",       # as-of lookup, join form
     "merge_timelines",
+    "merge_timelines_join",     # literal form, for comparison
     "replay_snapshots",
     "snapshot_two_runs",
     "latest_overlay",
@@ -30,6 +31,7 @@ HEADLINE = [
     "insert_absent",
     "merge_by_key",
     "quality_checks",
+    "quality_checks_one_by_one",  # one job per check, for comparison
     "lines_per_order",
     "redact_digits",
     "gold_fact_transactions",   # dimensions + fact end to end

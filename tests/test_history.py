@@ -155,6 +155,7 @@ def test_merge_timelines_properties(spark):
         return spark.createDataFrame(out, HIST).withColumnRenamed("a", col)
     h1, h2 = history("a"), history("b")
     plain = merge_timelines([(h1, ["a"]), (h2, ["b"])], "k")
+    assert rows(plain) == rows(merge_timelines([(h1, ["a"]), (h2, ["b"])], "k", method="join"))
     split = merge_timelines([(h1, ["a"]), (h2, ["b"])], "k", rows_per_segment=2, bands=2)
     assert rows(plain) == rows(split)
     per_key = {}

@@ -196,7 +196,7 @@ def replay_snapshots(observations: DataFrame, key: Keys, run_col: str, check_col
 # --------------------------------------------------------------------------- H2
 def merge_timelines(histories: Sequence[tuple[DataFrame, Sequence[str]]], key: Keys, *,
                     valid_from: str = "valid_from", valid_to: str = "valid_to", check_overlap: bool = False,
-                    **seg_opts) -> DataFrame:
+                    method: str = "scan", **seg_opts) -> DataFrame:
     """Merge independently timed histories of one key into a single timeline.
 
     Change points are the distinct ``valid_from`` values of all histories; at
@@ -205,6 +205,11 @@ def merge_timelines(histories: Sequence[tuple[DataFrame, Sequence[str]]], key: K
     is.  A point's ``valid_to`` is the next change point of the key (NULL for
     the last).  Output: key, valid_from, valid_to, then each history's columns
     in the given order.  Keys must be non-NULL.
+
+    ``method="scan"`` sorts change points and versions together once per
+    (key, segment); ``method="join"`` is the literal form (change points joined
+    to every history with a range condition, then LEAD), one join per history
+    and a per-key window, for small inputs and as a cross-check.
     """
     keys = _keys(key)
     if check_overlap:
@@ -214,7 +219,12 @@ def merge_timelines(histories: Sequence[tuple[DataFrame, Sequence[str]]], key: K
     for df, _ in histories:
         p = df.select(*keys, F.col(valid_from).alias("_t"))
         points = p if points is None else points.unionByName(p)
-    points = (points.filter(~_any_null(keys) & F.col("_t").isNotNull()).distinct()
+    points = points.filter(~_any_null(keys) & F.col("_t").isNotNull()).distinct()
+    if method == "join":
+        return _merge_join(points, histories, keys, valid_from, valid_to)
+    if method != "scan":
+        raise ValueError(f"unknown method {method!r}")
+    points = (points
               .select(*keys, "_t", F.lit(1).alias("_kind"), F.lit(0).cast("long").alias("_tb"),
                       F.col("_t").alias("_pt")))
     union = points
@@ -238,6 +248,23 @@ def merge_timelines(histories: Sequence[tuple[DataFrame, Sequence[str]]], key: K
     return rows.select(*out)
 
 
+def _merge_join(points, histories, keys, valid_from, valid_to):
+    out = points
+    for i, (df, cols) in enumerate(histories):
+        h = df.select(*[F.col(k).alias(f"_hk{j}") for j, k in enumerate(keys)],
+                      F.col(valid_from).alias(f"_vf{i}"), F.col(valid_to).alias(f"_vt{i}"),
+                      *[F.col(c).alias(f"_c{i}_{c}") for c in cols])
+        cond = (F.col(f"_vf{i}") <= F.col("_t")) & (F.col(f"_vt{i}").isNull() | (F.col("_t") < F.col(f"_vt{i}")))
+        for j, k in enumerate(keys):
+            cond = (out[k] == F.col(f"_hk{j}")) & cond
+        out = out.join(h, cond, "left").drop(*[f"_hk{j}" for j in range(len(keys))], f"_vf{i}", f"_vt{i}")
+    w = Window.partitionBy(*keys).orderBy("_t")
+    cols = [*keys, F.col("_t").alias("valid_from"), F.lead("_t").over(w).alias("valid_to")]
+    for i, (_, hc) in enumerate(histories):
+        cols += [F.col(f"_c{i}_{c}").alias(c) for c in hc]
+    return out.select(*cols)
+
+
 # --------------------------------------------------------------------------- H3
 def lookup_version(facts: DataFrame, versions: DataFrame, key: Keys, ts: str, *,
                    version_key: Keys | None = None, valid_from: str = "valid_from",

@@ -150,6 +150,14 @@ def merged_timeline(spark, sf_dir) -> DataFrame:
                          "address", "valid_from", "valid_to", F.col("valid_to").isNull().alias("is_current"))
 
 
+def merged_timeline_join(spark, sf_dir) -> DataFrame:
+    """H2 in the literal join form (range joins + LEAD); same result as ``merge_timelines``."""
+    status, address = user_histories(load(spark, sf_dir, "events"))
+    merged = merge_timelines([(status, ["status"]), (address, ["address"])], "user_id", method="join")
+    return merged.select(versioned_key("user_id", "valid_from").alias("customer_sk"), "user_id", "status",
+                         "address", "valid_from", "valid_to", F.col("valid_to").isNull().alias("is_current"))
+
+
 def replayed_snapshots(spark, sf_dir) -> DataFrame:
     """H6: last event type per user and day; a version opens whenever it changes."""
     events = load(spark, sf_dir, "events").withColumn("day", F.to_date("ts"))
@@ -480,6 +488,11 @@ def quality_report(spark, sf_dir) -> DataFrame:
     return Q.run_checks(quality_tables(spark, sf_dir), QUALITY_CHECKS)
 
 
+def quality_report_one_by_one(spark, sf_dir) -> DataFrame:
+    """D1-D8 with one job per check (the alternative the single pass is measured against)."""
+    return Q.run_checks_one_by_one(quality_tables(spark, sf_dir), QUALITY_CHECKS)
+
+
 # --------------------------------------------------------------------------- generator re-aims
 def eligible_lines(spark, sf_dir) -> DataFrame:
     """Open lines of open orders whose customer has a positive balance (two semi joins)."""
@@ -534,6 +547,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "asof_fact_skewed": asof_fact_skewed,
     "asof_no_backdate": asof_no_backdate,
     "merge_timelines": merged_timeline,
+    "merge_timelines_join": merged_timeline_join,
     "replay_snapshots": replayed_snapshots,
     "snapshot_two_runs": snapshot_two_runs,
     "latest_overlay": latest_overlay,
@@ -555,6 +569,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "age_bracket": age_brackets,
     "typed_casts": typed_casts,
     "quality_checks": quality_report,
+    "quality_checks_one_by_one": quality_report_one_by_one,
     "eligible": eligible_lines,
     "lines_per_order": lines_per_order,
     "next_ids": new_customer_ids,

@@ -536,6 +536,7 @@ ORACLES: dict[str, str] = {
     "asof_fact_skewed": ASOF_FACT_SKEWED,
     "asof_no_backdate": ASOF_NO_BACKDATE,
     "merge_timelines": MERGE_TIMELINES,
+    "merge_timelines_join": MERGE_TIMELINES,
     "replay_snapshots": REPLAY_SNAPSHOTS,
     "snapshot_two_runs": SNAPSHOT_TWO_RUNS,
     "latest_overlay": LATEST_OVERLAY,
@@ -557,6 +558,7 @@ ORACLES: dict[str, str] = {
     "age_bracket": AGE_BRACKET,
     "typed_casts": TYPED_CASTS,
     "quality_checks": QUALITY_CHECKS,
+    "quality_checks_one_by_one": QUALITY_CHECKS,
     "eligible": ELIGIBLE,
     "lines_per_order": LINES_PER_ORDER,
     "next_ids": NEXT_IDS,

@@ -188,7 +188,7 @@ def replay_snapshots(observations: DataFrame, key: Keys, run_col: str, check_col
     rows = fill_last(rows, segs, "_st", "_prev", [run_col], inclusive=False)
     same = _null_safe_equal([F.col(f"_st.{c}") for c in check_cols], [F.col(f"_prev.{c}") for c in check_cols])
     kept = rows.filter(F.col("_prev").isNull() | ~same).withColumn("_run", F.col(run_col))
-    kept = fill_last(kept, segs, "_run", "_next", [run_col], inclusive=False, reverse=True)
+    kept = scan(kept, segs, [run_col], next_after=[("_run", "_next")])
     return kept.select(*keys, *[F.col(f"_st.{c}").alias(c) for c in check_cols],
                        F.col(run_col).alias("valid_from"), F.col("_next").alias("valid_to"))
 
@@ -237,8 +237,8 @@ def merge_timelines(histories: Sequence[tuple[DataFrame, Sequence[str]]], key: K
     order = ["_t", "_kind", "_tb"]
     segs = plan_segments(union, keys, "_t", **seg_opts)
     rows = segs.assign(union)
-    rows = scan(rows, segs, order, last=[(f"_h{i}", f"_s{i}") for i in range(len(histories))])
-    rows = fill_last(rows, segs, "_pt", "_next", order, inclusive=False, reverse=True)
+    rows = scan(rows, segs, order, last=[(f"_h{i}", f"_s{i}") for i in range(len(histories))],
+                next_after=[("_pt", "_next")])
     rows = rows.filter(F.col("_kind") == 1)
     out = [*keys, F.col("_t").alias("valid_from"), F.col("_next").alias("valid_to")]
     for i, (_, cols) in enumerate(histories):

@@ -7,15 +7,16 @@ contiguous segments of its order column:
 
 1. exact per-key counts (one column-pruned aggregation, partial map-side);
    the hottest ``max_hot_keys`` keys above the threshold are kept;
-2. for those keys only, ``percentile_approx`` gives ``bands`` quantiles of the
-   order position; each band is subdivided evenly when a key needs more
-   segments than bands.  Segment ids are monotone in the order position, so
-   equal positions always share a segment;
+2. for those keys only, ``percentile_approx`` gives quantile bands of the
+   order position (64 to 1,024 bands, more when the hottest key is larger);
+   each band is subdivided evenly when a key needs more segments than bands.
+   Segment ids are monotone in the order position, so equal positions always
+   share a segment (rows with one identical position cannot be split);
 3. the window runs per ``(key, segment)``;
 4. each segment's last non-NULL value (a partial aggregation) is carried into
    later segments through a table with one row per hot segment, which is
    broadcast.  Its size is bounded by construction:
-   ``max_hot_keys * bands + max_segments`` rows.
+   ``max_hot_keys * max_bands + max_segments`` rows.
 
 Cold keys keep segment 0 and need no carry.  The hot-key and split tables are
 bounded (at most ``max_hot_keys`` rows) and are materialized once as a local
@@ -44,6 +45,7 @@ POS = "_pos"
 ROWS_PER_SEGMENT = 4_000_000
 MAX_HOT_KEYS = 1_000
 BANDS = 64
+MAX_BANDS = 1_024
 MAX_SEGMENTS = 100_000
 
 
@@ -114,7 +116,7 @@ class Segments:
 
 def plan_segments(df: DataFrame, keys: list[str], order_col: str, *,
                   rows_per_segment: int = ROWS_PER_SEGMENT, max_hot_keys: int = MAX_HOT_KEYS,
-                  bands: int = BANDS, max_segments: int = MAX_SEGMENTS,
+                  bands: int = BANDS, max_bands: int = MAX_BANDS, max_segments: int = MAX_SEGMENTS,
                   accuracy: int = 10_000, hot_keys: bool | DataFrame = True) -> Segments:
     """Find hot keys of ``df`` and cut each into segments of its ``order_col``.
 
@@ -145,9 +147,12 @@ def plan_segments(df: DataFrame, keys: list[str], order_col: str, *,
     hot = _fixed(spark, counted.orderBy(F.col("_n").desc(), *keys).limit(max_hot_keys))
     if hot is None:
         return Segments(keys, order_col, None)
-    total = sum(r["_n"] for r in hot.select("_n").collect())
+    counts = [r["_n"] for r in hot.select("_n").collect()]
     # Segment budget: never more than max_segments in total, never fewer rows than requested.
-    per_segment = max(rows_per_segment, math.ceil(total / max_segments))
+    per_segment = max(rows_per_segment, math.ceil(sum(counts) / max_segments))
+    # Quantile bands: enough that the hottest key needs about 16 even cuts per band
+    # (a burst inside one band stays bounded by the band), within [bands, max_bands].
+    bands = max(bands, min(max_bands, math.ceil(max(counts) / per_segment / 16)))
     fractions = [i / bands for i in range(1, bands)]
     quant = (df.select(*keys, pos.alias(POS))
              .join(F.broadcast(hot.select(*keys)), keys, "left_semi")
@@ -182,12 +187,15 @@ def _orders(order_cols: list[str], reverse: bool) -> list[Column]:
 
 def scan(df: DataFrame, segments: Segments, order_cols: list[str], *,
          last: Sequence[tuple[str, str]] = (), last_before: Sequence[tuple[str, str]] = (),
-         first_of_key: Sequence[tuple[str, str]] = (), reverse: bool = False) -> DataFrame:
+         first_of_key: Sequence[tuple[str, str]] = (), next_after: Sequence[tuple[str, str]] = (),
+         reverse: bool = False) -> DataFrame:
     """Per-key scan outputs computed by one window operator (one sort) per call.
 
     * ``last``: ``(value, out)`` -> last non-NULL ``value`` up to and including the row;
     * ``last_before``: the same, excluding the row itself;
-    * ``first_of_key``: the first non-NULL ``value`` of the whole key.
+    * ``first_of_key``: the first non-NULL ``value`` of the whole key;
+    * ``next_after``: the first non-NULL ``value`` strictly after the row (a
+      look-ahead frame of the same ordering, so it needs no second sort).
 
     "Last"/"first" follow ``order_cols`` (or its reverse).  ``df`` must carry
     ``_seg`` (:meth:`Segments.assign`); ``order_cols`` must order the rows of a
@@ -198,6 +206,7 @@ def scan(df: DataFrame, segments: Segments, order_cols: list[str], *,
     upto = spec.rowsBetween(Window.unboundedPreceding, 0)
     before = spec.rowsBetween(Window.unboundedPreceding, -1)
     whole = spec.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    ahead = spec.rowsBetween(1, Window.unboundedFollowing)
     local = {}
     for value, out in last:
         local[out] = F.last(F.col(value), ignorenulls=True).over(upto)
@@ -205,18 +214,22 @@ def scan(df: DataFrame, segments: Segments, order_cols: list[str], *,
         local[out] = F.last(F.col(value), ignorenulls=True).over(before)
     for value, out in first_of_key:
         local[out] = F.first(F.col(value), ignorenulls=True).over(whole)
+    for value, out in next_after:
+        local[out] = F.first(F.col(value), ignorenulls=True).over(ahead)
     if segments.splits is None:
         return df.withColumns(local)
     tmp = {out: f"_local_{out}" for out in local}
     rows = df.withColumns({tmp[o]: e for o, e in local.items()})
     carry = _carry_table(df, segments, order_cols, reverse,
-                         [*last, *last_before], list(first_of_key))
+                         [*last, *last_before], list(first_of_key), list(next_after))
     rows = rows.join(F.broadcast(carry), [*keys, SEG], "left")
     outs = {}
     for _, out in [*last, *last_before]:
         outs[out] = F.coalesce(F.col(tmp[out]), F.col(f"_carry_{out}"))
     for _, out in first_of_key:
         outs[out] = F.coalesce(F.col(f"_carry_{out}"), F.col(tmp[out]))
+    for _, out in next_after:
+        outs[out] = F.coalesce(F.col(tmp[out]), F.col(f"_carry_{out}"))
     drop = list(tmp.values()) + [f"_carry_{o}" for o in local]
     return rows.withColumns(outs).drop(*drop)
 
@@ -234,11 +247,13 @@ def fill_last(df: DataFrame, segments: Segments, value: str, out: str, order_col
 
 
 def _carry_table(df: DataFrame, segments: Segments, order_cols: list[str], reverse: bool,
-                 carried: list[tuple[str, str]], firsts: list[tuple[str, str]]) -> DataFrame:
+                 carried: list[tuple[str, str]], firsts: list[tuple[str, str]],
+                 nexts: Sequence[tuple[str, str]] = ()) -> DataFrame:
     """(hot key, segment) -> values carried in from other segments of the key.
 
     ``_carry_<out>`` of a ``carried`` output is the last non-NULL value of all
-    earlier segments; of a ``firsts`` output, the key's first non-NULL value.
+    earlier segments; of a ``firsts`` output, the key's first non-NULL value;
+    of a ``nexts`` output, the first non-NULL value of all later segments.
     One row per hot segment (a bounded table); built from one partial
     aggregation over the hot keys' rows.
     """
@@ -250,13 +265,13 @@ def _carry_table(df: DataFrame, segments: Segments, order_cols: list[str], rever
     # literal NULL value (facts in a lookup, change points in a merge) the
     # optimizer drops that whole branch from this pass.
     carries = F.lit(False)
-    for value, _ in [*carried, *firsts]:
+    for value, _ in [*carried, *firsts, *nexts]:
         carries = carries | F.col(value).isNotNull()
     hot_rows = df.filter(carries).join(F.broadcast(segments.splits.select(*keys)), keys, "left_semi")
     aggs = []
     for value, out in carried:
         aggs.append(last_pick(F.col(value), F.when(F.col(value).isNotNull(), ordering)).alias(f"_l_{out}"))
-    for value, out in firsts:
+    for value, out in [*firsts, *nexts]:
         aggs.append(first_pick(F.col(value), F.when(F.col(value).isNotNull(), ordering)).alias(f"_f_{out}"))
     per_seg = hot_rows.groupBy(*keys, SEG).agg(*aggs)
     all_segs = segments.splits.select(*keys, F.explode(F.sequence(F.lit(0), F.col("_nseg") - 1)).alias(SEG))
@@ -265,5 +280,7 @@ def _carry_table(df: DataFrame, segments: Segments, order_cols: list[str], rever
     w_whole = Window.partitionBy(*keys).orderBy(seg_order).rowsBetween(Window.unboundedPreceding,
                                                                         Window.unboundedFollowing)
     cols = [F.last(f"_l_{out}", ignorenulls=True).over(w_before).alias(f"_carry_{out}") for _, out in carried]
+    w_after = Window.partitionBy(*keys).orderBy(seg_order).rowsBetween(1, Window.unboundedFollowing)
     cols += [F.first(f"_f_{out}", ignorenulls=True).over(w_whole).alias(f"_carry_{out}") for _, out in firsts]
+    cols += [F.first(f"_f_{out}", ignorenulls=True).over(w_after).alias(f"_carry_{out}") for _, out in nexts]
     return all_segs.join(per_seg, [*keys, SEG], "left").select(*keys, SEG, *cols)

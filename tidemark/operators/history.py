@@ -6,8 +6,8 @@ where ``valid_to`` NULL means open and versions of one key do not overlap.
 The per-key work (previous version, next change point, version in force) runs as
 one sort per ``(key, segment)`` through :mod:`tidemark.operators.scan`, so it
 is linear after the sort and a hot key is split over many tasks.  The literal
-join form of the as-of lookup is kept (``method="join"``) for small version
-tables and as a cross-check.
+join forms of the as-of lookup and of the timeline merge are kept
+(``method="join"``) for small inputs and as cross-checks.
 """
 
 from __future__ import annotations

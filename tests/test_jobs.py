@@ -81,3 +81,17 @@ def test_split_snapshot_storage_equals_snapshot_check(spark, tmpdir_path):
     cols = ["customer_id", "status", "scd_id", "valid_from", "valid_to"]
     assert sorted(map(tuple, stored.select(*cols).collect()), key=str) == \
         sorted(map(tuple, plain.select(*cols).collect()), key=str)
+
+
+def test_fact_correction_rewrites_only_touched_loads(spark, tmpdir_path):
+    root = tmpdir_path + "/wh"
+    s = "transaction_id string, amount long, dwh_load_date timestamp"
+    day1 = spark.createDataFrame([("T1", 1, dt.datetime(2026, 7, 1)), ("T2", 2, dt.datetime(2026, 7, 1))], s)
+    day2 = spark.createDataFrame([("T3", 3, dt.datetime(2026, 7, 2))], s)
+    jobs._write_fact(spark, root, None, day1, 1000)
+    jobs._write_fact(spark, root, jobs._table(spark, root, jobs.GOLD, "fact_transactions"), day2, 1000)
+    # a correction replaces T1 (day-1 load) and T3 (day-2 load, which then has no row left)
+    fix = spark.createDataFrame([("T1", 10, dt.datetime(2026, 7, 3)), ("T3", 30, dt.datetime(2026, 7, 3))], s)
+    jobs._write_fact(spark, root, jobs._table(spark, root, jobs.GOLD, "fact_transactions"), fix, 1000)
+    got = sorted((r["transaction_id"], r["amount"]) for r in jobs._table(spark, root, jobs.GOLD, "fact_transactions").collect())
+    assert got == [("T1", 10), ("T2", 2), ("T3", 30)]

@@ -25,7 +25,7 @@ from tidemark.plans.checks import GOLD_CHECKS, SILVER_CHECKS
 from tidemark.schemas import DAILY_FILES, ENTITIES, INSERT_ABSENT, MAX_TEXT_LENGTH
 from tidemark.schemas import entity as _entity
 from tidemark.sources.landing import read_landing
-from tidemark.sources.tables import append_log, log_path, materialize, publish, read_table
+from tidemark.sources.tables import append_log, delete_path, log_path, materialize, publish, read_table
 
 BRONZE, SILVER, GOLD = "bronze", "silver", "gold"
 
@@ -167,24 +167,29 @@ def _write_fact(spark, root, target, delta, max_broadcast_rows) -> None:
 
     The delta is written once to the shared checkpoint folder (its keys are
     probed and then written).  When no delta key is in the fact yet, the delta
-    is appended.  Otherwise the kept rows are written there too and the fact is
-    rewritten from them plus the delta (a correction run).
+    is appended.  Otherwise (a correction run) only the load partitions that
+    hold a replaced key are rewritten: their kept rows are written to the
+    checkpoint folder first, then overwrite those partitions; a partition with
+    no kept row is deleted.  The delta is then appended.
     """
     stamp = _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%dT%H%M%S%f")
     delta = materialize(delta, "fact-delta")
-    if target is None:
-        append_log(delta, root, GOLD, "fact_transactions", stamp)
-        return
-    keys = delta.select("transaction_id")
-    keys = F.broadcast(keys) if fits(keys, max_broadcast_rows) else keys
-    overlap = target.select("transaction_id").join(keys, "transaction_id", "left_semi").take(1)
-    if not overlap:
-        append_log(delta, root, GOLD, "fact_transactions", stamp)
-        return
-    kept = materialize(target.join(keys, "transaction_id", "left_anti"), "fact-kept")
-    rewritten = kept.unionByName(delta.select(*kept.columns))
-    rewritten.withColumn("load_id", F.lit(stamp)).write.mode("overwrite").partitionBy("load_id") \
-        .parquet(log_path(root, GOLD, "fact_transactions"))
+    if target is not None:
+        keys = delta.select("transaction_id")
+        keys = F.broadcast(keys) if fits(keys, max_broadcast_rows) else keys
+        logged = read_table(spark, root, GOLD, "fact_transactions")      # with its load_id partitions
+        # One row per load partition touched: bounded by the number of loads.
+        hit = [r["load_id"] for r in logged.select("transaction_id", "load_id")
+               .join(keys, "transaction_id", "left_semi").select("load_id").distinct().collect()]
+        if hit:
+            kept = materialize(logged.filter(F.col("load_id").isin(hit)).join(keys, "transaction_id", "left_anti"),
+                               "fact-kept")
+            surviving = {r["load_id"] for r in kept.select("load_id").distinct().collect()}
+            (kept.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("load_id").parquet(log_path(root, GOLD, "fact_transactions")))
+            for load in set(hit) - surviving:
+                delete_path(os.path.join(log_path(root, GOLD, "fact_transactions"), f"load_id={load}"))
+    append_log(delta, root, GOLD, "fact_transactions", stamp)
 
 
 def gold_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:

@@ -58,6 +58,13 @@ def _children(path: str) -> list[str]:
     return sorted(st.getPath().getName() for st in fs.listStatus(p))
 
 
+def delete_path(path: str) -> None:
+    """Remove a folder (e.g. an emptied log partition) through the Hadoop FileSystem."""
+    fs, p = _fs(path)
+    if fs.exists(p):
+        fs.delete(p, True)
+
+
 def versions(root: str, layer: str, name: str) -> list[str]:
     """Complete versions of a table (those with a ``_SUCCESS`` marker), oldest first."""
     base = table_path(root, layer, name)

@@ -193,3 +193,27 @@ def test_hot_key_is_split_into_bounded_segments(spark):
     assert len(hot) >= 8                                  # the hot key (4,000 rows) is spread out
     assert max(hot) <= 2 * 500                            # no segment far above the target
     assert all(seg == 0 for (k, seg) in sizes if k != "hot")   # cold keys stay whole
+
+
+def test_lookup_salts_facts_that_share_one_instant(spark):
+    # one hot key: 3,000 facts at a single instant (date-grained), versions around it
+    from tidemark.operators import scan as S
+    facts = spark.createDataFrame([(i, "hot", D[5]) for i in range(3000)] + [(9000 + i, "k", D[i % 20]) for i in range(40)],
+                                  FACT)
+    versions = spark.createDataFrame([("hot", D[1], D[5], "h1"), ("hot", D[5], D[9], "h2"), ("hot", D[9], None, "h3"),
+                                      ("k", D[3], None, "k1")], HIST)
+    ref = rows(lookup_version(facts, versions, "k", "ts", columns=["a"], method="join"))
+    calls = []
+    orig = S.salt_readers
+    def spy(*a, **k):
+        out = orig(*a, **k)
+        calls.append(out.select("_salt").distinct().count())
+        return out
+    import tidemark.operators.history as H
+    H.salt_readers = spy
+    try:
+        got = rows(lookup_version(facts, versions, "k", "ts", columns=["a"], rows_per_segment=500, bands=4))
+    finally:
+        H.salt_readers = orig
+    assert got == ref
+    assert calls and calls[0] >= 6          # 3,000 tied facts spread over >= 6 salts of <= 500

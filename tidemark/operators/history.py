@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.keys import scd_id as _scd_id
 from tidemark.operators.load import require_unique
-from tidemark.operators.scan import SEG, fill_last, plan_segments, scan
+from tidemark.operators.scan import SEG, fill_last, plan_segments, salt_readers, scan
 
 Keys = str | Sequence[str]
 
@@ -344,11 +344,15 @@ def _lookup_scan(facts, vers, fk, vk, ts, valid_from, valid_to, columns, backdat
     union = f_rows.unionByName(v_rows, allowMissingColumns=True)
     segs = plan_segments(union, key_names, "_t", **seg_opts)
     rows = segs.assign(union, null_key_spread=NULL_KEY_SPREAD)
+    # Facts only read versions: where one hot segment still holds too many
+    # facts (e.g. many facts at one instant), they are salted and the
+    # segment's versions are copied into each salt.
+    rows = salt_readers(rows, segs, F.col("_kind") == 1, F.xxhash64("_fact"))
     order = ["_t", "_kind", "_tb"]
     if backdate_first:
-        rows = scan(rows, segs, order, last=[("_ver", "_prev")], first_of_key=[("_ver", "_first")])
+        rows = scan(rows, segs, order, last=[("_ver", "_prev")], first_of_key=[("_ver", "_first")], salt="_salt")
     else:
-        rows = scan(rows, segs, order, last=[("_ver", "_prev")])
+        rows = scan(rows, segs, order, last=[("_ver", "_prev")], salt="_salt")
     prev, t = F.col("_prev"), F.col("_t")
     in_force = prev.isNotNull() & (prev["_vt"].isNull() | (t < prev["_vt"]))
     version = F.when(t.isNotNull() & in_force, prev)

@@ -80,6 +80,7 @@ class Segments:
     keys: list[str]
     order_col: str
     splits: DataFrame | None
+    per_segment: int = ROWS_PER_SEGMENT
 
     def assign(self, df: DataFrame, null_key_spread: int = 0) -> DataFrame:
         """Add ``_seg`` (0 for cold keys) to ``df``; ``df`` must carry the keys and order column.
@@ -164,7 +165,7 @@ def plan_segments(df: DataFrame, keys: list[str], order_col: str, *,
                       F.concat(F.array(F.col("_lo")), F.array_sort(F.col("_q")), F.array(F.col("_hi"))).alias("_b"),
                       F.ceil(F.col("_n") / F.lit(per_segment * bands)).cast("int").alias("_m")))
     splits = splits.withColumn("_nseg", (F.lit(bands) * F.col("_m")).cast("int"))
-    return Segments(keys, order_col, _fixed(spark, splits))
+    return Segments(keys, order_col, _fixed(spark, splits), per_segment)
 
 
 def _fixed(spark, small: DataFrame) -> DataFrame | None:
@@ -188,7 +189,7 @@ def _orders(order_cols: list[str], reverse: bool) -> list[Column]:
 def scan(df: DataFrame, segments: Segments, order_cols: list[str], *,
          last: Sequence[tuple[str, str]] = (), last_before: Sequence[tuple[str, str]] = (),
          first_of_key: Sequence[tuple[str, str]] = (), next_after: Sequence[tuple[str, str]] = (),
-         reverse: bool = False) -> DataFrame:
+         reverse: bool = False, salt: str | None = None) -> DataFrame:
     """Per-key scan outputs computed by one window operator (one sort) per call.
 
     * ``last``: ``(value, out)`` -> last non-NULL ``value`` up to and including the row;
@@ -200,9 +201,12 @@ def scan(df: DataFrame, segments: Segments, order_cols: list[str], *,
     "Last"/"first" follow ``order_cols`` (or its reverse).  ``df`` must carry
     ``_seg`` (:meth:`Segments.assign`); ``order_cols`` must order the rows of a
     key totally (add a unique tie-break) so every task picks the same row.
+    ``salt`` names a column that further splits a segment's window (see
+    :func:`salt_readers`); rows that carry values must then be present in
+    every salt of their segment.
     """
     keys = segments.keys
-    spec = Window.partitionBy(*keys, SEG).orderBy(*_orders(order_cols, reverse))
+    spec = Window.partitionBy(*keys, SEG, *([salt] if salt else [])).orderBy(*_orders(order_cols, reverse))
     upto = spec.rowsBetween(Window.unboundedPreceding, 0)
     before = spec.rowsBetween(Window.unboundedPreceding, -1)
     whole = spec.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -234,6 +238,34 @@ def scan(df: DataFrame, segments: Segments, order_cols: list[str], *,
     return rows.withColumns(outs).drop(*drop)
 
 
+def salt_readers(df: DataFrame, segments: Segments, is_reader: Column, row_hash: Column) -> DataFrame:
+    """Split oversized hot segments whose rows share positions (ties cannot be cut).
+
+    Rows for which ``is_reader`` holds only read carried values (facts in a
+    lookup); they are counted per hot (key, segment) in one aggregation over
+    the hot keys (a bounded table), and a segment with more than
+    ``per_segment`` readers gets ``R = ceil(readers / per_segment)`` salts:
+    each reader goes to salt ``pmod(row_hash, R)``, every other row of that
+    segment is copied into all ``R`` salts.  Adds column ``_salt``.
+    """
+    keys = segments.keys
+    if segments.splits is None:
+        return df.withColumn("_salt", F.lit(0))
+    readers = (df.filter(is_reader).join(F.broadcast(segments.splits.select(*keys)), keys, "left_semi")
+               .groupBy(*keys, SEG).agg(F.count(F.lit(1)).alias("_readers")))
+    salts = (readers.select(*keys, SEG, F.ceil(F.col("_readers") / F.lit(segments.per_segment))
+                            .cast("int").alias("_nsalt"))
+             .filter(F.col("_nsalt") > 1))
+    salts = _fixed(df.sparkSession, salts)
+    if salts is None:
+        return df.withColumn("_salt", F.lit(0))
+    joined = df.join(F.broadcast(salts), [*keys, SEG], "left")
+    n = F.coalesce(F.col("_nsalt"), F.lit(1))
+    # One pass: a reader gets one salt, any other row one copy per salt.
+    choices = F.when(is_reader, F.array(F.pmod(row_hash, n).cast("int"))).otherwise(F.sequence(F.lit(0), n - 1))
+    return joined.withColumn("_salt", F.explode(choices)).drop("_nsalt")
+
+
 def fill_last(df: DataFrame, segments: Segments, value: str, out: str, order_cols: list[str], *,
               inclusive: bool = True, reverse: bool = False) -> DataFrame:
     """For each row, the last non-NULL ``value`` among rows of its key before it in order.

@@ -217,3 +217,15 @@ def test_lookup_salts_facts_that_share_one_instant(spark):
         H.salt_readers = orig
     assert got == ref
     assert calls and calls[0] >= 6          # 3,000 tied facts spread over >= 6 salts of <= 500
+
+
+def test_sampled_detection_finds_the_hot_key(spark):
+    from tidemark.operators.scan import SEG, plan_segments
+    rnd = random.Random(5)
+    data = [("hot" if i % 3 else f"k{i % 50}", D[0] + dt.timedelta(minutes=rnd.randrange(40000))) for i in range(6000)]
+    df = spark.createDataFrame(data, "k string, t timestamp")
+    segs = plan_segments(df, ["k"], "t", rows_per_segment=500, sample_rows=100)    # samples 20% of rows
+    hot = [r["k"] for r in segs.splits.select("k").collect()]
+    assert hot == ["hot"]
+    sizes = [r["count"] for r in segs.assign(df).filter("k = 'hot'").groupBy(SEG).count().collect()]
+    assert len(sizes) >= 8 and max(sizes) <= 2 * 500

@@ -5,8 +5,9 @@ third of all rows would be one task holding a third of the data.  Here a key
 whose row count exceeds ``rows_per_segment`` is *hot* and is cut into
 contiguous segments of its order column:
 
-1. exact per-key counts (one column-pruned aggregation, partial map-side);
-   the hottest ``max_hot_keys`` keys above the threshold are kept;
+1. per-key counts on a Bernoulli sample (one column-pruned aggregation whose
+   shuffle shrinks with the sampling fraction) name at most ``max_hot_keys``
+   candidates; exact counts, bounds and quantiles follow for those only;
 2. for those keys only, ``percentile_approx`` gives quantile bands of the
    order position (64 to 1,024 bands, more when the hottest key is larger);
    each band is subdivided evenly when a key needs more segments than bands.
@@ -47,6 +48,7 @@ MAX_HOT_KEYS = 1_000
 BANDS = 64
 MAX_BANDS = 1_024
 MAX_SEGMENTS = 100_000
+SAMPLE_ROWS = 10_000
 
 
 def order_position(df: DataFrame, col: str) -> Column:
@@ -118,12 +120,17 @@ class Segments:
 def plan_segments(df: DataFrame, keys: list[str], order_col: str, *,
                   rows_per_segment: int = ROWS_PER_SEGMENT, max_hot_keys: int = MAX_HOT_KEYS,
                   bands: int = BANDS, max_bands: int = MAX_BANDS, max_segments: int = MAX_SEGMENTS,
-                  accuracy: int = 10_000, hot_keys: bool | DataFrame = True) -> Segments:
+                  accuracy: int = 10_000, sample_rows: int = SAMPLE_ROWS,
+                  hot_keys: bool | DataFrame = True) -> Segments:
     """Find hot keys of ``df`` and cut each into segments of its ``order_col``.
 
-    ``hot_keys=True`` detects them (one extra, column-pruned pass over ``df``);
-    ``False`` disables splitting (every key in one task); a DataFrame of key
-    values (at most ``max_hot_keys`` rows) names them and skips detection.
+    ``hot_keys=True`` detects them in two column-pruned passes: per-key counts
+    on a Bernoulli sample (fraction ``sample_rows / rows_per_segment``, so a
+    key at the threshold still shows about ``sample_rows`` rows, while the
+    shuffle of per-key counts shrinks by the same fraction) pick candidates;
+    then exact counts, bounds and quantiles are computed for the candidates
+    only.  ``False`` disables splitting (every key in one task); a DataFrame
+    of key values (at most ``max_hot_keys`` rows) names the candidates.
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
@@ -135,17 +142,30 @@ def plan_segments(df: DataFrame, keys: list[str], order_col: str, *,
         has_key = has_key & F.col(k).isNotNull()
     base = df.filter(has_key).select(*keys, pos.alias(POS))
     if isinstance(hot_keys, DataFrame):
-        named = hot_keys.select(*keys).distinct().limit(max_hot_keys)
-        base = base.join(F.broadcast(named), keys, "left_semi")
+        candidates = _fixed(spark, hot_keys.select(*keys).distinct().limit(max_hot_keys))
         threshold = -1
     else:
         threshold = rows_per_segment
-    counted = (base.groupBy(*keys)
-               .agg(F.count(F.lit(1)).alias("_n"), F.min(POS).alias("_lo"), F.max(POS).alias("_hi"))
-               .filter(F.col("_n") > threshold))
-    # Top-k heavy hitters: a bounded list (at most max_hot_keys rows), fixed
-    # once computed so every later stage and any recomputation sees the same keys.
-    hot = _fixed(spark, counted.orderBy(F.col("_n").desc(), *keys).limit(max_hot_keys))
+        fraction = min(1.0, sample_rows / rows_per_segment)
+        seen = base.sample(False, fraction, seed=17) if fraction < 1.0 else base
+        # Half the expected sampled count as the bar: keys near the threshold
+        # are checked exactly below rather than missed.
+        bar = threshold * fraction * (0.5 if fraction < 1.0 else 1.0)
+        estimated = (seen.groupBy(*keys).agg(F.count(F.lit(1)).alias("_est"))
+                     .filter(F.col("_est") > bar))
+        # Top-k heavy hitters: a bounded list (at most max_hot_keys rows).
+        candidates = _fixed(spark, estimated.orderBy(F.col("_est").desc(), *keys)
+                            .limit(max_hot_keys).select(*keys))
+    if candidates is None:
+        return Segments(keys, order_col, None)
+    # Exact statistics for the candidates only: count, bounds, fine quantiles.
+    fine = [i / max_bands for i in range(1, max_bands)]
+    stats = (base.join(F.broadcast(candidates), keys, "left_semi")
+             .groupBy(*keys)
+             .agg(F.count(F.lit(1)).alias("_n"), F.min(POS).alias("_lo"), F.max(POS).alias("_hi"),
+                  F.percentile_approx(POS, fine, accuracy).alias("_fq"))
+             .filter(F.col("_n") > threshold))
+    hot = _fixed(spark, stats)
     if hot is None:
         return Segments(keys, order_col, None)
     counts = [r["_n"] for r in hot.select("_n").collect()]
@@ -153,17 +173,15 @@ def plan_segments(df: DataFrame, keys: list[str], order_col: str, *,
     per_segment = max(rows_per_segment, math.ceil(sum(counts) / max_segments))
     # Quantile bands: enough that the hottest key needs about 16 even cuts per band
     # (a burst inside one band stays bounded by the band), within [bands, max_bands].
-    bands = max(bands, min(max_bands, math.ceil(max(counts) / per_segment / 16)))
-    fractions = [i / bands for i in range(1, bands)]
-    quant = (df.select(*keys, pos.alias(POS))
-             .join(F.broadcast(hot.select(*keys)), keys, "left_semi")
-             .groupBy(*keys)
-             .agg(F.percentile_approx(POS, fractions, accuracy).alias("_q")))
-    splits = (hot.join(quant, keys, "inner")
-              .select(*keys,
-                      F.array_sort(F.col("_q")).alias("_q"),
-                      F.concat(F.array(F.col("_lo")), F.array_sort(F.col("_q")), F.array(F.col("_hi"))).alias("_b"),
-                      F.ceil(F.col("_n") / F.lit(per_segment * bands)).cast("int").alias("_m")))
+    # A power of two, so the bands are every step-th of the max_bands fine quantiles.
+    wanted = max(bands, min(max_bands, math.ceil(max(counts) / per_segment / 16)))
+    bands = min(max_bands, 1 << max(0, math.ceil(math.log2(wanted))))
+    step = max(1, max_bands // bands)
+    inner = F.expr(f"filter(_fq, (x, i) -> (i + 1) % {step} = 0)")
+    splits = hot.select(*keys,
+                        F.array_sort(inner).alias("_q"),
+                        F.concat(F.array(F.col("_lo")), F.array_sort(inner), F.array(F.col("_hi"))).alias("_b"),
+                        F.ceil(F.col("_n") / F.lit(per_segment * bands)).cast("int").alias("_m"))
     splits = splits.withColumn("_nseg", (F.lit(bands) * F.col("_m")).cast("int"))
     return Segments(keys, order_col, _fixed(spark, splits), per_segment)
 

@@ -52,3 +52,13 @@ def test_load_rejects_overlong_text(spark, tmpdir_path):
     p = write(tmpdir_path, "currencies.csv", "currency_code,currency_name,symbol\nUSD," + "x" * 256 + ",$\n")
     with pytest.raises(QualityError):
         load_entity(spark, "currencies", p, tmpdir_path + "/wh", dt.datetime(2026, 7, 13))
+
+
+def test_read_landing_batches_tags_the_folder_date(spark, tmpdir_path):
+    import datetime as dt
+    from tidemark.sources.landing import read_landing_batches
+    for day in ["2026-07-13", "2026-07-14"]:
+        os.makedirs(os.path.join(tmpdir_path, day))
+        write(os.path.join(tmpdir_path, day), f"currencies_{day}.csv", f"currency_code,currency_name,symbol\nUSD,{day},$\n")
+    got = sorted((r["currency_name"], r["batch_date"]) for r in read_landing_batches(spark, "currencies", tmpdir_path, "currencies").collect())
+    assert got == [("2026-07-13", dt.date(2026, 7, 13)), ("2026-07-14", dt.date(2026, 7, 14))]

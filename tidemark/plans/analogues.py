@@ -30,7 +30,7 @@ from tidemark.operators.latest import (eligible, latest_by_key, next_ids, number
                                        overlay_latest, state_as_of)
 from tidemark.operators.load import insert_absent, upsert_latest
 from tidemark.operators.sizing import lookup_join
-from tidemark.schemas import INSERT_ABSENT, Entity
+from tidemark.schemas import INSERT_ABSENT, UPSERT, Entity
 from tidemark.session import scratch_path
 from tidemark.sources.tables import materialize
 
@@ -541,6 +541,27 @@ def stream_events(spark, sf_dir) -> DataFrame:
     return read_table(spark, root, "bronze", "events").select("event_id", "ts", "user_id", "event_type", "props")
 
 
+# A customer-like entity landed daily: one row per user and day (the day's last event).
+USERS_LANDING = Entity("users", "user_id", ("user_id", "status", "last_event"), UPSERT)
+
+
+def stream_users(spark, sf_dir) -> DataFrame:
+    """T1 with upserts: each day's user states landed as a daily folder and streamed
+    into a current-state table where the latest day wins; returns that table."""
+    from tidemark.sources.tables import read_table
+    from tidemark.streaming.landing import stream_landing
+    events = load(spark, sf_dir, "events").withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
+    daily = latest_by_key(events, ["user_id", "day"], "ts", tiebreak=["event_id"])
+    text = daily.select(F.col("user_id").cast("string").alias("user_id"), F.col("event_type").alias("status"),
+                        F.col("event_id").cast("string").alias("last_event"), "day")
+    landing = scratch_path(spark, "landing-users")
+    root = scratch_path(spark, "bronze-users")
+    text.write.partitionBy("day").option("header", "true").option("escape", '"').csv(os.path.join(landing, "incoming"))
+    stream_landing(spark, USERS_LANDING, os.path.join(landing, "incoming", "day=*", "*.csv"), root,
+                   run_ts=_dt.datetime(2024, 2, 1))
+    return read_table(spark, root, "bronze", "users").select("user_id", "status", "last_event")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "asof_fact": asof_fact,
     "asof_fact_join": asof_fact_join,
@@ -574,6 +595,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "lines_per_order": lines_per_order,
     "next_ids": new_customer_ids,
     "stream_landing": stream_events,
+    "stream_upsert": stream_users,
     "overlapping_versions": overlapping_order_versions,
     "silver_customers_current": silver_customers_current,
     "silver_addresses_current": silver_addresses_current,

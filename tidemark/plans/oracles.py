@@ -530,6 +530,18 @@ SELECT CAST(c.c_custkey AS VARCHAR) AS customer_id,
 FROM customer c LEFT JOIN newest n ON n.customer_id = CAST(c.c_custkey AS VARCHAR)
 """
 
+STREAM_UPSERT = """
+WITH daily AS (
+  SELECT user_id, CAST(ts AS DATE) AS day, event_type, event_id,
+         row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY ts DESC, event_id DESC) AS r
+  FROM events),
+latest_day AS (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY day DESC) AS d
+  FROM daily WHERE r = 1)
+SELECT CAST(user_id AS VARCHAR) AS user_id, event_type AS status, CAST(event_id AS VARCHAR) AS last_event
+FROM latest_day WHERE d = 1
+"""
+
 ORACLES: dict[str, str] = {
     "asof_fact": ASOF_FACT,
     "asof_fact_join": ASOF_FACT,
@@ -563,6 +575,7 @@ ORACLES: dict[str, str] = {
     "lines_per_order": LINES_PER_ORDER,
     "next_ids": NEXT_IDS,
     "stream_landing": STREAM_LANDING,
+    "stream_upsert": STREAM_UPSERT,
     "overlapping_versions": OVERLAPPING_VERSIONS,
     "silver_customers_current": SILVER_CUSTOMERS_CURRENT,
     "silver_addresses_current": SILVER_ADDRESSES_CURRENT,

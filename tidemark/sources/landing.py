@@ -44,3 +44,14 @@ def read_landing(spark: SparkSession, entity: str, path: str | list[str], *, str
     if with_file:
         df = df.withColumn("source_file", F.input_file_name())
     return df
+
+
+def read_landing_batches(spark: SparkSession, entity, incoming_dir: str, prefix: str, *,
+                         strict_header: bool = False) -> DataFrame:
+    """All daily files ``<incoming_dir>/<date>/<prefix>_<date>.csv`` of an entity, with a
+    ``batch_date`` column taken from the folder name (for state replay by batch)."""
+    import os
+    df = read_landing(spark, entity, os.path.join(incoming_dir, "*", f"{prefix}_*.csv"),
+                      strict_header=strict_header, with_file=True)
+    day = F.regexp_extract(F.col("source_file"), r"/(\d{4}-\d{2}-\d{2})/[^/]*$", 1)
+    return df.withColumn("batch_date", F.to_date(day)).drop("source_file")

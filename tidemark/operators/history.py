@@ -169,7 +169,8 @@ def replay_snapshots(observations: DataFrame, key: Keys, run_col: str, check_col
     """Backfill a check snapshot over many runs at once.
 
     ``observations`` holds states seen at runs (``run_col``); when a key has
-    several rows in one run the greatest by ``order`` wins.  A run opens a
+    several rows in one run the greatest by ``order`` wins (without ``order``,
+    the greatest state, so the pick never depends on row order).  A run opens a
     version when it is the key's first run or its ``check_cols`` differ
     (NULL-safe) from the previous run's; its ``valid_to`` is the next opening
     run.  Equal to running :func:`snapshot_check` run by run.
@@ -177,11 +178,9 @@ def replay_snapshots(observations: DataFrame, key: Keys, run_col: str, check_col
     """
     keys = _keys(key)
     state = F.struct(*[F.col(c) for c in check_cols])
-    if order:
-        per_run = (observations.groupBy(*keys, run_col)
-                   .agg(F.max_by(state, F.struct(*[F.col(c) for c in order])).alias("_st")))
-    else:
-        per_run = observations.select(*keys, run_col, state.alias("_st"))
+    ranking = F.struct(*[F.col(c) for c in (order or check_cols)])
+    per_run = (observations.groupBy(*keys, run_col)
+               .agg(F.max_by(state, ranking).alias("_st")))
     per_run = per_run.filter(~_any_null(keys) & F.col(run_col).isNotNull())
     segs = plan_segments(per_run, keys, run_col, **seg_opts)
     rows = segs.assign(per_run)

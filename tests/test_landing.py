@@ -62,3 +62,9 @@ def test_read_landing_batches_tags_the_folder_date(spark, tmpdir_path):
         write(os.path.join(tmpdir_path, day), f"currencies_{day}.csv", f"currency_code,currency_name,symbol\nUSD,{day},$\n")
     got = sorted((r["currency_name"], r["batch_date"]) for r in read_landing_batches(spark, "currencies", tmpdir_path, "currencies").collect())
     assert got == [("2026-07-13", dt.date(2026, 7, 13)), ("2026-07-14", dt.date(2026, 7, 14))]
+
+
+def test_layer_routing():
+    from tidemark.sources.tables import layer_name, table_path
+    assert layer_name(None) == "main" and layer_name(" silver ") == "silver"
+    assert table_path("/wh", "gold", "dim") == "/wh/gold/dim" and table_path("/wh", None, "t") == "/wh/main/t"

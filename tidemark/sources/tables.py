@@ -26,9 +26,17 @@ _VERSION = re.compile(r"^v=(\d{8}T\d{6}\d{6}(?:-\d+)?)$")
 _counter = [0]
 
 
-def table_path(root: str, layer: str, name: str) -> str:
-    """Folder of a table: a layer name given by the caller is used verbatim."""
-    return os.path.join(root, layer, name)
+DEFAULT_LAYER = "main"
+
+
+def layer_name(custom: str | None, default: str = DEFAULT_LAYER) -> str:
+    """The layer a table goes to: a custom layer name verbatim (trimmed), else the default."""
+    return default if custom is None else custom.strip()
+
+
+def table_path(root: str, layer: str | None, name: str) -> str:
+    """Folder of a table under its layer (:func:`layer_name` routing)."""
+    return os.path.join(root, layer_name(layer), name)
 
 
 def _session() -> SparkSession:

@@ -54,26 +54,34 @@ def require_unique(df: DataFrame, key: Keys, what: str = "batch") -> DataFrame:
     return df
 
 
-def inspect_batch(batch: DataFrame, key: Keys) -> tuple[int, dict | None]:
-    """One aggregation job over the batch keys: (number of keys, first duplicate or NULL key)."""
+def inspect_batch(batch: DataFrame, key: Keys, length_cols: Sequence[str] = ()) -> tuple[int, dict | None, dict]:
+    """One aggregation job over the batch: number of keys, first duplicate or NULL
+    key (or None), and the longest text of each of ``length_cols``."""
     keys = _keys(key)
     null_key = F.lit(False)
     for k in keys:
         null_key = null_key | F.col(k).isNull()
-    per_key = batch.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    per_key = batch.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"),
+                                       *[F.max(F.char_length(c)).alias(f"_len{i}") for i, c in enumerate(length_cols)])
     bad = F.when((F.col("n") > 1) | null_key, F.struct(*[F.col(k) for k in keys], F.col("n")))
-    row = per_key.agg(F.count(F.lit(1)).alias("keys"), F.first(bad, ignorenulls=True).alias("bad")).first()
-    return row["keys"], (row["bad"].asDict() if row["bad"] is not None else None)
+    row = per_key.agg(F.count(F.lit(1)).alias("keys"), F.first(bad, ignorenulls=True).alias("bad"),
+                      *[F.max(f"_len{i}").alias(f"_len{i}") for i in range(len(length_cols))]).first()
+    lengths = {c: row[f"_len{i}"] for i, c in enumerate(length_cols)}
+    return row["keys"], (row["bad"].asDict() if row["bad"] is not None else None), lengths
 
 
-def _checked_keys(batch: DataFrame, keys: list[str], check_unique: bool, max_rows: int) -> DataFrame:
+def _checked_keys(batch: DataFrame, keys: list[str], check_unique: bool, max_rows: int,
+                  small: bool | None = None) -> DataFrame:
     """The batch keys, broadcast when their count is proven small; raises on a bad key.
 
-    Uniqueness and size come from one aggregation job when both are needed.
+    Uniqueness and size come from one aggregation job when both are needed;
+    ``small`` passes a size already established by the caller.
     """
     k = batch.select(*keys)
+    if small is not None and not check_unique:
+        return F.broadcast(k) if small else k
     if check_unique:
-        n_keys, bad = inspect_batch(batch, keys)
+        n_keys, bad, _ = inspect_batch(batch, keys)
         if bad is not None:
             raise DuplicateKeyError(f"batch: key {keys} not unique or NULL, e.g. {bad}")
         small = n_keys <= max_rows
@@ -83,14 +91,15 @@ def _checked_keys(batch: DataFrame, keys: list[str], check_unique: bool, max_row
 
 
 def upsert_latest(target: DataFrame | None, batch: DataFrame, key: Keys, *,
-                  check_unique: bool = True, max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+                  check_unique: bool = True, max_broadcast_rows: int = BROADCAST_MAX_ROWS,
+                  small_batch: bool | None = None) -> DataFrame:
     """INSERT ... ON CONFLICT (key) DO UPDATE: batch rows replace stored rows with the same key."""
     keys = _keys(key)
     if target is None:
         if check_unique:
             require_unique(batch, keys)
         return batch
-    kept = target.join(_checked_keys(batch, keys, check_unique, max_broadcast_rows), keys, "left_anti")
+    kept = target.join(_checked_keys(batch, keys, check_unique, max_broadcast_rows, small_batch), keys, "left_anti")
     return kept.unionByName(batch.select(*target.columns))
 
 
@@ -102,7 +111,7 @@ def insert_absent(target: DataFrame | None, batch: DataFrame, key: Keys, *,
 
 
 def new_rows(target: DataFrame | None, batch: DataFrame, key: Keys, *, check_unique: bool = True,
-             max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+             max_broadcast_rows: int = BROADCAST_MAX_ROWS, small_batch: bool | None = None) -> DataFrame:
     """Batch rows whose key the target does not hold yet (the part an append writes).
 
     The target is only probed for keys: it is semi-joined with the (broadcast)
@@ -113,7 +122,7 @@ def new_rows(target: DataFrame | None, batch: DataFrame, key: Keys, *, check_uni
         if check_unique:
             require_unique(batch, keys)
         return batch
-    probe = _checked_keys(batch, keys, check_unique, max_broadcast_rows)
+    probe = _checked_keys(batch, keys, check_unique, max_broadcast_rows, small_batch)
     present = target.select(*keys).join(probe, keys, "left_semi")
     return batch.join(present, keys, "left_anti")
 

@@ -16,8 +16,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.load import new_rows, require_unique, stamp_load, upsert_latest
-from tidemark.operators.quality import Check, enforce, max_length, run_checks
+from tidemark.operators.load import DuplicateKeyError, inspect_batch, new_rows, stamp_load, upsert_latest
+from tidemark.operators.quality import Check, QualityError, enforce, run_checks
 from tidemark.operators.history import snapshot_step
 from tidemark.operators.sizing import BROADCAST_MAX_ROWS, fits
 from tidemark.plans import gold, silver
@@ -48,23 +48,33 @@ def _table(spark: SparkSession, root: str, layer: str, name: str) -> DataFrame |
 
 
 def load_entity(spark: SparkSession, entity: str, path: str, root: str, run_ts: _dt.datetime, *,
-                strict_header: bool = False, check_lengths: bool = True) -> None:
+                strict_header: bool = False, check_lengths: bool = True,
+                max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> None:
     """One landing file into bronze: read, enforce the key (and text width), stamp,
-    upsert or insert-if-absent."""
+    upsert or insert-if-absent.
+
+    One aggregation job over the file gives the key count (broadcast decision),
+    the first duplicate or NULL key, and the longest value of every column.
+    """
     ent = _entity(entity)
     batch = read_landing(spark, ent, path, strict_header=strict_header)
-    require_unique(batch, ent.key, what=f"{ent.name} landing file {path}")
-    if check_lengths:
-        checks = [max_length(ent.name, c, MAX_TEXT_LENGTH) for c in ent.columns]
-        enforce(run_checks({ent.name: batch}, checks), checks)
+    n_keys, bad, lengths = inspect_batch(batch, ent.key, ent.columns if check_lengths else ())
+    if bad is not None:
+        raise DuplicateKeyError(f"{ent.name} landing file {path}: key {ent.key!r} not unique or NULL, e.g. {bad}")
+    too_long = {c: n for c, n in lengths.items() if n is not None and n > MAX_TEXT_LENGTH}
+    if too_long:
+        raise QualityError(f"{ent.name} landing file {path}: text longer than {MAX_TEXT_LENGTH}: {too_long}")
     batch = stamp_load(batch, F.lit(run_ts).cast("timestamp"))
     target = read_table(spark, root, BRONZE, ent.name)
     if target is not None and "load_id" in target.columns:
         target = target.drop("load_id")
+    small = n_keys <= max_broadcast_rows
     if ent.mode == INSERT_ABSENT:
-        append_log(new_rows(target, batch, ent.key, check_unique=False), root, BRONZE, ent.name, load_id(run_ts))
+        append_log(new_rows(target, batch, ent.key, check_unique=False, small_batch=small),
+                   root, BRONZE, ent.name, load_id(run_ts))
     else:
-        publish(upsert_latest(target, batch, ent.key, check_unique=False), root, BRONZE, ent.name)
+        publish(upsert_latest(target, batch, ent.key, check_unique=False, small_batch=small),
+                root, BRONZE, ent.name)
 
 
 def bootstrap(spark: SparkSession, seed_dir: str, root: str, run_ts: _dt.datetime) -> list[str]:

@@ -493,6 +493,20 @@ def quality_report_one_by_one(spark, sf_dir) -> DataFrame:
     return Q.run_checks_one_by_one(quality_tables(spark, sf_dir), QUALITY_CHECKS)
 
 
+def duplicate_line_keys(spark, sf_dir) -> DataFrame:
+    """The (order, line number) keys a landing load would reject, with their counts."""
+    from tidemark.operators.load import duplicate_keys
+    li = load(spark, sf_dir, "lineitem")
+    return duplicate_keys(li, ["l_orderkey", "l_linenumber"])
+
+
+def failing_ship_rows(spark, sf_dir) -> DataFrame:
+    """D5-D7 style singular test: the rows it reports (lines shipped before their order date)."""
+    check = next(c for c in QUALITY_CHECKS if c.label == "ship_before_order")
+    rows = Q.failing_rows(quality_tables(spark, sf_dir), check)
+    return rows.select("l_orderkey", "l_linenumber", "l_partkey", "l_shipdate", "o_orderdate")
+
+
 # --------------------------------------------------------------------------- generator re-aims
 def eligible_lines(spark, sf_dir) -> DataFrame:
     """Open lines of open orders whose customer has a positive balance (two semi joins)."""
@@ -590,6 +604,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "age_bracket": age_brackets,
     "typed_casts": typed_casts,
     "quality_checks": quality_report,
+    "duplicate_keys": duplicate_line_keys,
+    "failing_rows": failing_ship_rows,
     "quality_checks_one_by_one": quality_report_one_by_one,
     "eligible": eligible_lines,
     "lines_per_order": lines_per_order,

@@ -542,6 +542,18 @@ SELECT CAST(user_id AS VARCHAR) AS user_id, event_type AS status, CAST(event_id
 FROM latest_day WHERE d = 1
 """
 
+DUPLICATE_KEYS = """
+SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem
+GROUP BY l_orderkey, l_linenumber
+HAVING count(*) > 1 OR l_orderkey IS NULL OR l_linenumber IS NULL
+"""
+
+FAILING_ROWS = """
+SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_shipdate, o.o_orderdate
+FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+WHERE l.l_shipdate < o.o_orderdate
+"""
+
 ORACLES: dict[str, str] = {
     "asof_fact": ASOF_FACT,
     "asof_fact_join": ASOF_FACT,
@@ -570,6 +582,8 @@ ORACLES: dict[str, str] = {
     "age_bracket": AGE_BRACKET,
     "typed_casts": TYPED_CASTS,
     "quality_checks": QUALITY_CHECKS,
+    "duplicate_keys": DUPLICATE_KEYS,
+    "failing_rows": FAILING_ROWS,
     "quality_checks_one_by_one": QUALITY_CHECKS,
     "eligible": ELIGIBLE,
     "lines_per_order": LINES_PER_ORDER,

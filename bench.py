@@ -1,7 +1,7 @@
 """Bench: headline queries on the driver tables; prints one JSON line.
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-BENCH_RUNS (timed runs per query, default 3; the best is reported).
+BENCH_RUNS (timed runs per query, default 5; the best is reported).
 Each query runs to completion into Spark's ``noop`` sink (the whole plan
 executes; nothing is collected).  One warm-up run precedes the timings.
 """
@@ -47,7 +47,7 @@ def run(spark, name, sf_dir):
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "5"))
     spark = build_session(f"local[{cpus}]", max(cpus, 8), app_name="tidemark-bench")
     run(spark, "asof_fact", sf_dir)                      # warm-up (JVM, code generation)
     timings = {}

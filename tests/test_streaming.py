@@ -64,3 +64,17 @@ def test_dedupe_within_watermark(spark, tmpdir_path):
         .option("checkpointLocation", os.path.join(tmpdir_path, "ckw")).trigger(availableNow=True).start()
     q.awaitTermination()
     assert spark.sql("SELECT count(*) AS n FROM dedup_wm").first()["n"] == 2
+
+
+def test_stream_one_file_per_micro_batch(spark, tmpdir_path):
+    inc, root = os.path.join(tmpdir_path, "incoming"), os.path.join(tmpdir_path, "wh")
+    _csv(os.path.join(inc, "2026-07-13", "customer_changes_2026-07-13.csv"), CH,
+         ["CH1,C1,status,blocked,,,,2026-07-13 10:00:00"])
+    _csv(os.path.join(inc, "2026-07-14", "customer_changes_2026-07-14.csv"), CH,
+         ["CH1,C1,status,closed,,,,2026-07-14 10:00:00", "CH2,C2,status,blocked,,,,2026-07-14 10:00:00"])
+    _csv(os.path.join(inc, "2026-07-15", "customer_changes_2026-07-15.csv"), CH,
+         ["CH2,C2,status,closed,,,,2026-07-15 10:00:00", "CH3,C3,status,closed,,,,2026-07-15 10:00:00"])
+    stream_landing(spark, "customer_changes", os.path.join(inc, "*", "customer_changes_*.csv"), root,
+                   max_files_per_trigger=1)
+    got = {r["change_id"]: r["status"] for r in bronze_table(spark, root, "customer_changes").collect()}
+    assert got == {"CH1": "blocked", "CH2": "blocked", "CH3": "closed"}     # first wins across batches

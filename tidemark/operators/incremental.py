@@ -20,7 +20,7 @@ def high_water(target: DataFrame, column: str = "dwh_load_date") -> DataFrame:
 
 
 def after_high_water(source: DataFrame, target: DataFrame | None, column: str = "dwh_load_date", *,
-                     eager: bool = True) -> DataFrame:
+                     eager: bool = True, mark=None) -> DataFrame:
     """Source rows strictly above the target's high-water mark.
 
     ``eager=True`` reads the mark first (one aggregation job returning one
@@ -28,8 +28,11 @@ def after_high_water(source: DataFrame, target: DataFrame | None, column: str =
     scan's row-group statistics and partition pruning, and every retry uses
     the same mark.  ``eager=False`` keeps it an uncorrelated scalar subquery
     inside the plan (also pushed to the scan).  An empty (or missing) target
-    loads everything.
+    loads everything.  A ``mark`` already known to the caller (e.g. read from
+    the newest partition of a log table) is used as is.
     """
+    if mark is not None:
+        return source.filter(F.col(column) > _literal(mark, source.schema[column].dataType))
     if target is None:
         return source
     if eager:

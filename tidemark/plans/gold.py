@@ -53,14 +53,15 @@ def dim_customers(customers_snapshot: DataFrame, addresses_snapshot: DataFrame,
 
 
 def fact_rows(transactions: DataFrame, types: DataFrame, currencies: DataFrame, accounts_dim: DataFrame,
-              customers_dim: DataFrame, target: DataFrame | None = None, *, method: str = "scan") -> DataFrame:
+              customers_dim: DataFrame, target: DataFrame | None = None, *, method: str = "scan",
+              mark=None) -> DataFrame:
     """G5 delta: transactions above the fact's high-water mark resolved to surrogate keys.
 
     Card and merchant keys are computed (md5, NULL for a missing id), not looked
     up; the customer key is the customer version in force at the transaction
     (first version back-dated), through the account's owner.
     """
-    t = after_high_water(transactions, target)
+    t = after_high_water(transactions, target, mark=mark)
     ty = types.select("transaction_type", F.col("description").alias("transaction_type_description"))
     cur = currencies.select("currency_code", "currency_name")
     acc = accounts_dim.select("account_id", "customer_id")

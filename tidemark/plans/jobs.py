@@ -25,15 +25,23 @@ from tidemark.plans.checks import GOLD_CHECKS, SILVER_CHECKS
 from tidemark.schemas import DAILY_FILES, ENTITIES, INSERT_ABSENT, MAX_TEXT_LENGTH
 from tidemark.schemas import entity as _entity
 from tidemark.sources.landing import read_landing
-from tidemark.sources.tables import append_log, delete_path, log_path, materialize, publish, read_table
+from tidemark.sources.tables import (append_log, delete_path, log_partitions, log_path, materialize, publish,
+                                    read_table)
 
 BRONZE, SILVER, GOLD = "bronze", "silver", "gold"
 
 
 def load_id(run_ts: _dt.datetime) -> str:
+    """Partition name of a load: the run clock as sortable text (one clock for every log)."""
     return run_ts.strftime("%Y%m%dT%H%M%S")
 
 
+def _stamp(run_ts: _dt.datetime | None) -> str:
+    """Partition stamp of a layer build: the run clock when given (so it is never
+    earlier than the load stamps of the rows it appends), else the local clock."""
+    return load_id(run_ts if run_ts is not None else _dt.datetime.now())
+
+
 def bronze_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     """Current bronze table of an entity (empty when never loaded)."""
     df = read_table(spark, root, BRONZE, name, schema=_entity(name).bronze_schema)
@@ -95,18 +103,49 @@ def load_day(spark: SparkSession, day: str, incoming_dir: str, root: str, run_ts
         load_entity(spark, name, os.path.join(folder, f"{prefix}_{day}.csv"), root, run_ts)
 
 
-def build_silver(spark: SparkSession, root: str, as_of: _dt.date) -> None:
+def log_mark(spark: SparkSession, root: str, layer: str, name: str, column: str = "dwh_load_date"):
+    """High-water mark of a log table from its newest load partition only.
+
+    Loads append in time order, so the newest partition holds the greatest
+    stamp; reading one partition replaces a scan of the whole history.
+    """
+    parts = log_partitions(root, layer, name)
+    if not parts:
+        return None
+    newest = read_table(spark, root, layer, name).filter(F.col("load_id") == parts[-1])
+    return newest.agg(F.max(column).alias("m")).first()["m"]
+
+
+def log_since(spark: SparkSession, root: str, layer: str, name: str, mark) -> DataFrame | None:
+    """A log table restricted to load partitions that can hold rows stamped after ``mark``.
+
+    Every load partition is named by a stamp no earlier than the load stamps of
+    its rows, so ``load_id >= stamp(mark)`` prunes whole partitions; the exact
+    ``> mark`` filter is applied by the incremental model.
+    """
+    df = read_table(spark, root, layer, name)
+    if df is None:
+        return None
+    if mark is not None and "load_id" in df.columns:
+        df = df.filter(F.col("load_id") >= F.lit(load_id(mark)))
+    return df.drop("load_id") if "load_id" in df.columns else df
+
+
+def build_silver(spark: SparkSession, root: str, as_of: _dt.date, run_ts: _dt.datetime | None = None) -> None:
     """All silver models from the current bronze tables."""
     b = {name: bronze_table(spark, root, name) for name in ENTITIES}
     for name in silver.PASSTHROUGH:
         publish(silver.passthrough(name, b[name]), root, SILVER, name)
     publish(silver.accounts(b["accounts"], _table(spark, root, SILVER, "accounts")), root, SILVER, "accounts")
     publish(silver.cards(b["cards"], _table(spark, root, SILVER, "cards")), root, SILVER, "cards")
-    tx_target = _table(spark, root, SILVER, "transactions")
-    append_log(silver.new_transactions(b["transactions"], tx_target), root, SILVER, "transactions",
-               _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%dT%H%M%S%f"))
-    append_log(silver.new_customer_changes(b["customer_changes"], _table(spark, root, SILVER, "customer_changes")),
-               root, SILVER, "customer_changes", _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%dT%H%M%S%f"))
+    for name, model in [("transactions", silver.new_transactions),
+                        ("customer_changes", silver.new_customer_changes)]:
+        mark = log_mark(spark, root, SILVER, name)
+        source = log_since(spark, root, BRONZE, name, mark)
+        if source is None:
+            source = b[name]
+        append_log(model(source, mark=mark) if mark is not None else model(source), root, SILVER, name,
+                   _stamp(run_ts))
     publish(silver.customer_contacts(b["customer_contacts"]), root, SILVER, "customer_contacts")
     publish(silver.customers_current(b["customers"], b["customer_changes"], as_of), root, SILVER, "customers_current")
     publish(silver.addresses_current(b["customer_addresses"], b["customer_changes"]), root, SILVER,
@@ -157,7 +196,8 @@ def silver_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     return tables
 
 
-def build_gold(spark: SparkSession, root: str, *, max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> None:
+def build_gold(spark: SparkSession, root: str, run_ts: _dt.datetime | None = None, *,
+               max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> None:
     """Dimensions (rebuilt) and the fact (delta appended; replaced keys rewritten)."""
     s = silver_tables(spark, root)
     publish(gold.dim_accounts(s["accounts"], s["account_products"]), root, GOLD, "dim_accounts")
@@ -166,13 +206,15 @@ def build_gold(spark: SparkSession, root: str, *, max_broadcast_rows: int = BROA
     publish(gold.dim_customers(s["customers_snapshot"], s["addresses_snapshot"], s["customer_contacts"]),
             root, GOLD, "dim_customers")
     target = _table(spark, root, GOLD, "fact_transactions")
-    delta = gold.fact_rows(s["transactions"], s["transaction_types"], s["currencies"],
+    mark = log_mark(spark, root, GOLD, "fact_transactions")
+    source = log_since(spark, root, SILVER, "transactions", mark)
+    delta = gold.fact_rows(source, s["transaction_types"], s["currencies"],
                            _table(spark, root, GOLD, "dim_accounts"), _table(spark, root, GOLD, "dim_customers"),
-                           target)
-    _write_fact(spark, root, target, delta, max_broadcast_rows)
+                           None if mark is not None else target, mark=mark)
+    _write_fact(spark, root, target, delta, max_broadcast_rows, _stamp(run_ts))
 
 
-def _write_fact(spark, root, target, delta, max_broadcast_rows) -> None:
+def _write_fact(spark, root, target, delta, max_broadcast_rows, stamp: str | None = None) -> None:
     """delete+insert by transaction_id without rewriting the history in the common case.
 
     The delta is written once to the shared checkpoint folder (its keys are
@@ -182,7 +224,7 @@ def _write_fact(spark, root, target, delta, max_broadcast_rows) -> None:
     checkpoint folder first, then overwrite those partitions; a partition with
     no kept row is deleted.  The delta is then appended.
     """
-    stamp = _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%dT%H%M%S%f")
+    stamp = stamp or _stamp(None)
     delta = materialize(delta, "fact-delta")
     if target is not None:
         keys = delta.select("transaction_id")
@@ -221,9 +263,9 @@ def run_day(spark: SparkSession, day: str, incoming_dir: str, root: str, run_ts:
     Returns the failing checks per layer.
     """
     load_day(spark, day, incoming_dir, root, run_ts)
-    build_silver(spark, root, as_of or run_ts.date())
+    build_silver(spark, root, as_of or run_ts.date(), run_ts)
     take_snapshots(spark, root, run_ts)
     silver_failed = check_layer(silver_tables(spark, root), SILVER_CHECKS, on_fail)
-    build_gold(spark, root)
+    build_gold(spark, root, run_ts)
     gold_failed = check_layer(gold_tables(spark, root), GOLD_CHECKS, on_fail)
     return {"silver": silver_failed, "gold": gold_failed}

@@ -59,9 +59,9 @@ def typed_transactions(bronze: DataFrame) -> DataFrame:
                          to_amount("amount").alias("amount"), "status", "dwh_load_date")
 
 
-def new_transactions(bronze: DataFrame, target: DataFrame | None = None) -> DataFrame:
+def new_transactions(bronze: DataFrame, target: DataFrame | None = None, *, mark=None) -> DataFrame:
     """M3: transactions loaded after the last run (appended; keys are not re-checked)."""
-    return typed_transactions(after_high_water(bronze, target))
+    return typed_transactions(after_high_water(bronze, target, mark=mark))
 
 
 def customer_changes(bronze: DataFrame) -> DataFrame:
@@ -70,9 +70,9 @@ def customer_changes(bronze: DataFrame) -> DataFrame:
                          to_timestamp("change_timestamp").alias("change_timestamp"), "dwh_load_date")
 
 
-def new_customer_changes(bronze: DataFrame, target: DataFrame | None = None) -> DataFrame:
+def new_customer_changes(bronze: DataFrame, target: DataFrame | None = None, *, mark=None) -> DataFrame:
     """M4, stored as a log: the change events loaded after the last run, typed."""
-    return customer_changes(after_high_water(bronze, target))
+    return customer_changes(after_high_water(bronze, target, mark=mark))
 
 
 def customer_contacts(bronze: DataFrame) -> DataFrame:

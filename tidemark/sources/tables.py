@@ -123,6 +123,12 @@ def publish(df: DataFrame, root: str, layer: str, name: str, *, partition_by: li
     return path
 
 
+def log_partitions(root: str, layer: str, name: str) -> list[str]:
+    """``load_id`` values of a log table, oldest first (names sort by time)."""
+    prefix = "load_id="
+    return sorted(d[len(prefix):] for d in _children(log_path(root, layer, name)) if d.startswith(prefix))
+
+
 def append_log(df: DataFrame, root: str, layer: str, name: str, load_id: str) -> str:
     """Append new rows to a log table under partition ``load_id=<load_id>``.
 

@@ -130,10 +130,10 @@ def main() -> None:
     t["bootstrap"] = time.perf_counter() - t0
     run_ts = dt.datetime(2026, 7, 14, 0, 30)
     steps = [("load_day", lambda: jobs.load_day(spark, DAY, incoming, root, run_ts)),
-             ("build_silver", lambda: jobs.build_silver(spark, root, dt.date(2026, 7, 13))),
+             ("build_silver", lambda: jobs.build_silver(spark, root, dt.date(2026, 7, 13), run_ts)),
              ("take_snapshots", lambda: jobs.take_snapshots(spark, root, run_ts)),
              ("silver_checks", lambda: jobs.check_layer(jobs.silver_tables(spark, root), jobs.SILVER_CHECKS)),
-             ("build_gold", lambda: jobs.build_gold(spark, root)),
+             ("build_gold", lambda: jobs.build_gold(spark, root, run_ts)),
              ("gold_checks", lambda: jobs.check_layer(jobs.gold_tables(spark, root), jobs.GOLD_CHECKS))]
     for name, step in steps:
         t0 = time.perf_counter()

@@ -95,3 +95,19 @@ def test_fact_correction_rewrites_only_touched_loads(spark, tmpdir_path):
     jobs._write_fact(spark, root, jobs._table(spark, root, jobs.GOLD, "fact_transactions"), fix, 1000)
     got = sorted((r["transaction_id"], r["amount"]) for r in jobs._table(spark, root, jobs.GOLD, "fact_transactions").collect())
     assert got == [("T1", 10), ("T2", 2), ("T3", 30)]
+
+
+def test_log_mark_and_partition_pruning(spark, tmpdir_path):
+    from tidemark.sources.tables import append_log
+    root = tmpdir_path + "/wh"
+    s = "k string, dwh_load_date timestamp"
+    for day in (1, 2, 3):
+        stamp = dt.datetime(2026, 7, day, 1, 0)
+        append_log(spark.createDataFrame([(f"k{day}a", stamp), (f"k{day}b", stamp)], s), root, jobs.BRONZE, "ev",
+                   jobs.load_id(stamp))
+    mark = jobs.log_mark(spark, root, jobs.BRONZE, "ev")
+    assert mark == dt.datetime(2026, 7, 3, 1, 0)
+    since = jobs.log_since(spark, root, jobs.BRONZE, "ev", dt.datetime(2026, 7, 2, 1, 0))
+    text = since._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(load_id" in text and "load_id#" in text
+    assert sorted(r["k"] for r in since.collect()) == ["k2a", "k2b", "k3a", "k3b"]   # day 1 pruned

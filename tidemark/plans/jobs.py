@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from tidemark.operators.load import DuplicateKeyError, inspect_batch, new_rows, stamp_load, upsert_latest
 from tidemark.operators.quality import Check, QualityError, enforce, run_checks
 from tidemark.operators.history import snapshot_step
+from tidemark.operators.incremental import after_high_water
 from tidemark.operators.sizing import BROADCAST_MAX_ROWS, fits
 from tidemark.plans import gold, silver
 from tidemark.plans.checks import GOLD_CHECKS, SILVER_CHECKS
@@ -147,11 +148,33 @@ def build_silver(spark: SparkSession, root: str, as_of: _dt.date, run_ts: _dt.da
         append_log(model(source, mark=mark) if mark is not None else model(source), root, SILVER, name,
                    _stamp(run_ts))
     publish(silver.customer_contacts(b["customer_contacts"]), root, SILVER, "customer_contacts")
-    publish(silver.customers_current(b["customers"], b["customer_changes"], as_of), root, SILVER, "customers_current")
-    publish(silver.addresses_current(b["customer_addresses"], b["customer_changes"]), root, SILVER,
+    latest = {kind: maintain_latest_changes(spark, root, kind) for kind in ("status", "address")}
+    publish(silver.customers_current(b["customers"], None, as_of, latest=latest["status"]), root, SILVER,
+            "customers_current")
+    publish(silver.addresses_current(b["customer_addresses"], None, latest=latest["address"]), root, SILVER,
             "addresses_current")
 
 
+def maintain_latest_changes(spark: SparkSession, root: str, change_type: str) -> DataFrame:
+    """The newest change per customer of one type, maintained from new log partitions only.
+
+    The previous state (one row per customer) is merged with the changes loaded
+    after its greatest load stamp; a maximum over a total order, so the result
+    equals the newest change over the whole history.  Published as
+    ``latest_<type>_changes`` and returned (read back from its new version).
+    """
+    name = f"latest_{change_type}_changes"
+    prev = _table(spark, root, SILVER, name)
+    mark = None if prev is None else prev.agg(F.max("dwh_load_date").alias("m")).first()["m"]
+    source = log_since(spark, root, BRONZE, "customer_changes", mark)
+    if source is None:
+        source = bronze_table(spark, root, "customer_changes")
+    new = after_high_water(source, None, mark=mark) if mark is not None else source
+    merged = new if prev is None else prev.unionByName(new.select(*prev.columns))
+    publish(silver.latest_change(merged, change_type), root, SILVER, name)
+    return _table(spark, root, SILVER, name)
+
+
 SNAPSHOTS = [("customers_snapshot", "customers_current", ["status"]),
              ("addresses_snapshot", "addresses_current", ["address_line", "city", "country"])]
 

@@ -82,23 +82,34 @@ def customer_contacts(bronze: DataFrame) -> DataFrame:
                          to_date("valid_to").alias("valid_to"), "dwh_load_date")
 
 
-def _latest_change(changes: DataFrame, change_type: str) -> DataFrame:
-    """Newest change of a type per customer (ORDER BY change_timestamp DESC: NULL first; ties -> change_id)."""
+def latest_change(changes: DataFrame, change_type: str) -> DataFrame:
+    """Newest change of a type per customer (ORDER BY change_timestamp DESC: NULL first; ties -> change_id).
+
+    A maximum over a total order, so it can be maintained incrementally:
+    ``latest_change(previous_latest.unionByName(new_changes), type)``.
+    """
     chosen = changes.filter(F.col("change_type") == change_type)
     return latest_by_key(chosen, "customer_id", "change_timestamp", tiebreak=["change_id"])
 
 
-def customers_current(customers: DataFrame, changes: DataFrame, as_of: _dt.date | Column) -> DataFrame:
-    """M6: masked names, age bracket as of ``as_of``, status overlaid by the newest status change."""
+_latest_change = latest_change
+
+
+def customers_current(customers: DataFrame, changes: DataFrame | None, as_of: _dt.date | Column, *,
+                      latest: DataFrame | None = None) -> DataFrame:
+    """M6: masked names, age bracket as of ``as_of``, status overlaid by the newest status change
+    (``latest``: the newest status change per customer, if already maintained)."""
     base = customers.select("customer_id", mask_name("first_name").alias("first_name"),
                             mask_name("last_name").alias("last_name"),
                             age_bracket(to_date("dob"), as_of).alias("age_bracket"), "status",
                             to_timestamp("created_at").alias("created_at"))
-    latest = _latest_change(changes, "status").select("customer_id", F.col("status").alias("latest_status"))
+    latest = latest if latest is not None else _latest_change(changes, "status")
+    latest = latest.select("customer_id", F.col("status").alias("latest_status"))
     return overlay_latest(base, latest, "customer_id", {"status": "latest_status"})
 
 
-def addresses_current(addresses: DataFrame, changes: DataFrame) -> DataFrame:
+def addresses_current(addresses: DataFrame, changes: DataFrame | None, *,
+                      latest: DataFrame | None = None) -> DataFrame:
     """M7: base address overlaid by the newest address change, digits redacted.
 
     Grain is one row per *address* (a customer with two addresses gets two rows,
@@ -106,7 +117,8 @@ def addresses_current(addresses: DataFrame, changes: DataFrame) -> DataFrame:
     """
     base = addresses.select("address_id", "customer_id", "address_line", "city", "country",
                             to_date("valid_from").alias("created_at"))
-    latest = _latest_change(changes, "address").select(
+    latest = latest if latest is not None else _latest_change(changes, "address")
+    latest = latest.select(
         "customer_id", F.col("address_line").alias("new_line"), F.col("city").alias("new_city"),
         F.col("country").alias("new_country"))
     merged = overlay_latest(base, latest, "customer_id",

@@ -15,6 +15,14 @@ def test_bootstrap_and_three_days(spark, tmpdir_path):
     assert len(loaded) == 11
     for i, day in enumerate(DAYS):
         run_ts = dt.datetime(2026, 7, 14 + i, 0, 30)
+        if i == 2:
+            # a contact changes between runs: its customer's dimension rows must follow
+            import os
+            path = os.path.join(tmpdir_path, "contacts_fix.csv")
+            with open(path, "w", encoding="utf-8") as f:
+                f.write("contact_id,customer_id,phone,email,valid_from,valid_to\n"
+                        "CT0000001,C000001,77019998877,new@mail.kz,2024-01-31,\n")
+            jobs.load_entity(spark, "customer_contacts", path, root, run_ts - dt.timedelta(minutes=10))
         failed = jobs.run_day(spark, day, incoming, root, run_ts, as_of=dt.date(2026, 7, 13))
         assert failed == {"silver": [], "gold": []}
     g = jobs.gold_tables(spark, root)
@@ -22,6 +30,11 @@ def test_bootstrap_and_three_days(spark, tmpdir_path):
     assert fact.count() == 90                                     # 3 days x 30, each once
     assert fact.filter(F.col("customer_sk").isNull()).count() == 0
     dim = g["dim_customers"]
+    from tidemark.plans import gold as G
+    s0 = jobs.silver_tables(spark, root)
+    full = G.dim_customers(s0["customers_snapshot"], s0["addresses_snapshot"], s0["customer_contacts"])
+    assert dim.exceptAll(full).count() == 0 and full.exceptAll(dim).count() == 0   # incremental == full
+    assert dim.filter("customer_id = 'C000001'").select("email").distinct().first()["email"] == "n***@mail.kz"
     assert dim.groupBy("customer_id").agg(F.sum(F.col("is_current").cast("int")).alias("n")) \
               .filter("n != 1").count() == 0                        # one current row per customer
     # an idempotent re-run of the last day (same files, later clock) adds no facts

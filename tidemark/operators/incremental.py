@@ -72,4 +72,4 @@ def replace_by_key(target: DataFrame | None, batch: DataFrame, key: Keys, *,
         return batch
     bk = batch.select(*keys).distinct()
     bk = F.broadcast(bk) if fits(bk, max_broadcast_rows) else bk
-    return target.join(bk, keys, "left_anti").unionByName(batch.select(*target.columns))
+    return target.join(bk, keys, "left_anti").select(*target.columns).unionByName(batch.select(*target.columns))

@@ -100,7 +100,7 @@ def upsert_latest(target: DataFrame | None, batch: DataFrame, key: Keys, *,
             require_unique(batch, keys)
         return batch
     kept = target.join(_checked_keys(batch, keys, check_unique, max_broadcast_rows, small_batch), keys, "left_anti")
-    return kept.unionByName(batch.select(*target.columns))
+    return kept.select(*target.columns).unionByName(batch.select(*target.columns))
 
 
 def insert_absent(target: DataFrame | None, batch: DataFrame, key: Keys, *,
@@ -124,7 +124,7 @@ def new_rows(target: DataFrame | None, batch: DataFrame, key: Keys, *, check_uni
         return batch
     probe = _checked_keys(batch, keys, check_unique, max_broadcast_rows, small_batch)
     present = target.select(*keys).join(probe, keys, "left_semi")
-    return batch.join(present, keys, "left_anti")
+    return batch.join(present, keys, "left_anti").select(*batch.columns)
 
 
 def append_rows(target: DataFrame | None, rows: DataFrame) -> DataFrame:

@@ -226,8 +226,13 @@ def build_gold(spark: SparkSession, root: str, run_ts: _dt.datetime | None = Non
     publish(gold.dim_accounts(s["accounts"], s["account_products"]), root, GOLD, "dim_accounts")
     publish(gold.dim_cards(s["cards"], s["card_bin_ranges"]), root, GOLD, "dim_cards")
     publish(gold.dim_merchants(s["merchants"], s["merchant_categories"]), root, GOLD, "dim_merchants")
-    publish(gold.dim_customers(s["customers_snapshot"], s["addresses_snapshot"], s["customer_contacts"]),
-            root, GOLD, "dim_customers")
+    previous = _table(spark, root, GOLD, "dim_customers")
+    if previous is None or run_ts is None:
+        dim = gold.dim_customers(s["customers_snapshot"], s["addresses_snapshot"], s["customer_contacts"])
+    else:
+        dim = gold.dim_customers_incremental(previous, s["customers_snapshot"], s["addresses_snapshot"],
+                                             s["customer_contacts"], F.lit(run_ts).cast("timestamp"))
+    publish(dim, root, GOLD, "dim_customers")
     target = _table(spark, root, GOLD, "fact_transactions")
     mark = log_mark(spark, root, GOLD, "fact_transactions")
     source = log_since(spark, root, SILVER, "transactions", mark)

@@ -9,15 +9,17 @@ contiguous segments of its order column:
    shuffle shrinks with the sampling fraction) name at most ``max_hot_keys``
    candidates; exact counts, bounds and quantiles follow for those only;
 2. for those keys only, ``percentile_approx`` gives quantile bands of the
-   order position (64 to 1,024 bands, more when the hottest key is larger);
-   each band is subdivided evenly when a key needs more segments than bands.
+   order position: about one band per segment a key needs (a power of two,
+   at most 1,024); beyond that each band is subdivided evenly.
    Segment ids are monotone in the order position, so equal positions always
    share a segment (rows with one identical position cannot be split);
 3. the window runs per ``(key, segment)``;
 4. each segment's last non-NULL value (a partial aggregation) is carried into
    later segments through a table with one row per hot segment, which is
-   broadcast.  Its size is bounded by construction:
-   ``max_hot_keys * max_bands + max_segments`` rows.
+   broadcast.  Its size is bounded by construction: at most
+   ``3 * (max_segments + max_hot_keys)`` rows (power-of-two rounding of the
+   band count at most doubles a key's segments; even cuts add less than one
+   band's worth).
 
 Cold keys keep segment 0 and need no carry.  The hot-key and split tables are
 bounded (at most ``max_hot_keys`` rows) and are materialized once as a local
@@ -45,7 +47,7 @@ POS = "_pos"
 # split, quantile bands per hot key and the total segment budget.
 ROWS_PER_SEGMENT = 4_000_000
 MAX_HOT_KEYS = 1_000
-BANDS = 64
+BANDS = 1
 MAX_BANDS = 1_024
 MAX_SEGMENTS = 100_000
 SAMPLE_ROWS = 10_000
@@ -120,7 +122,7 @@ class Segments:
 def plan_segments(df: DataFrame, keys: list[str], order_col: str, *,
                   rows_per_segment: int = ROWS_PER_SEGMENT, max_hot_keys: int = MAX_HOT_KEYS,
                   bands: int = BANDS, max_bands: int = MAX_BANDS, max_segments: int = MAX_SEGMENTS,
-                  accuracy: int = 10_000, sample_rows: int = SAMPLE_ROWS,
+                  accuracy: int = 4_000, sample_rows: int = SAMPLE_ROWS,
                   hot_keys: bool | DataFrame = True) -> Segments:
     """Find hot keys of ``df`` and cut each into segments of its ``order_col``.
 
@@ -171,18 +173,20 @@ def plan_segments(df: DataFrame, keys: list[str], order_col: str, *,
     counts = [r["_n"] for r in hot.select("_n").collect()]
     # Segment budget: never more than max_segments in total, never fewer rows than requested.
     per_segment = max(rows_per_segment, math.ceil(sum(counts) / max_segments))
-    # Quantile bands: enough that the hottest key needs about 16 even cuts per band
-    # (a burst inside one band stays bounded by the band), within [bands, max_bands].
-    # A power of two, so the bands are every step-th of the max_bands fine quantiles.
-    wanted = max(bands, min(max_bands, math.ceil(max(counts) / per_segment / 16)))
-    bands = min(max_bands, 1 << max(0, math.ceil(math.log2(wanted))))
-    step = max(1, max_bands // bands)
-    inner = F.expr(f"filter(_fq, (x, i) -> (i + 1) % {step} = 0)")
-    splits = hot.select(*keys,
-                        F.array_sort(inner).alias("_q"),
-                        F.concat(F.array(F.col("_lo")), F.array_sort(inner), F.array(F.col("_hi"))).alias("_b"),
-                        F.ceil(F.col("_n") / F.lit(per_segment * bands)).cast("int").alias("_m"))
-    splits = splits.withColumn("_nseg", (F.lit(bands) * F.col("_m")).cast("int"))
+    # Per key: one quantile band per needed segment (a power of two between
+    # ``bands`` and ``max_bands``, so bands are every step-th fine quantile);
+    # only beyond max_bands is each band cut evenly into ``_m`` parts.
+    wanted = F.greatest(F.ceil(F.col("_n") / F.lit(per_segment)), F.lit(1))
+    k_bands = F.least(F.lit(max_bands), F.greatest(F.lit(bands), F.pow(F.lit(2), F.ceil(F.log2(wanted))))).cast("int")
+    splits = (hot.withColumn("_k", k_bands)
+              .withColumn("_step", (F.lit(max_bands) / F.col("_k")).cast("int"))
+              .withColumn("_inner", F.expr("filter(_fq, (x, i) -> (i + 1) % _step = 0)"))
+              .select(*keys,
+                      F.array_sort("_inner").alias("_q"),
+                      F.concat(F.array(F.col("_lo")), F.array_sort("_inner"), F.array(F.col("_hi"))).alias("_b"),
+                      F.ceil(F.col("_n") / (F.lit(per_segment) * F.col("_k"))).cast("int").alias("_m"),
+                      F.col("_k")))
+    splits = splits.withColumn("_nseg", (F.col("_k") * F.col("_m")).cast("int")).drop("_k")
     return Segments(keys, order_col, _fixed(spark, splits), per_segment)
 
 

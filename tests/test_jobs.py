@@ -132,3 +132,15 @@ def test_log_mark_and_partition_pruning(spark, tmpdir_path):
     text = since._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(load_id" in text and "load_id#" in text
     assert sorted(r["k"] for r in since.collect()) == ["k2a", "k2b", "k3a", "k3b"]   # day 1 pruned
+
+
+def test_command_line(spark, tmpdir_path, capsys):
+    from tidemark.__main__ import main
+    seed_dir, incoming = bank_fixture.build(tmpdir_path, DAYS[:1], n_customers=5)
+    root = tmpdir_path + "/wh"
+    assert main(["bootstrap", "--seed-dir", seed_dir, "--root", root, "--run-ts", "2026-07-12T23:00:00"]) == 0
+    assert main(["run-day", "--day", DAYS[0], "--incoming", incoming, "--root", root,
+                 "--run-ts", "2026-07-14T00:30:00", "--as-of", "2026-07-13"]) == 0
+    out = capsys.readouterr().out.strip().splitlines()
+    assert out[-1] == '{"silver": [], "gold": []}'
+    assert jobs.gold_tables(spark, root)["fact_transactions"].count() == 30

@@ -68,12 +68,14 @@ def order_position(df: DataFrame, col: str) -> Column:
     if isinstance(dtype, (T.FloatType, T.DoubleType, T.DecimalType)):
         return F.floor(c).cast("long")
     if isinstance(dtype, (T.StringType, T.BinaryType)):
-        # Leading 7 bytes as a big-endian number: never decreases in Spark's
-        # (byte-wise) string order.  It only routes rows to segments; values
-        # sharing those bytes stay in one segment and are compared whole.
+        # Leading 63 bits (7 bytes and the top 7 bits of the 8th) as a
+        # big-endian number: never decreases in Spark's (byte-wise) string
+        # order.  It only routes rows to segments; values sharing those bits
+        # stay in one segment and are compared whole.
         raw = c.cast("binary")
-        hexed = F.rpad(F.hex(F.substring(raw, 1, 7)), 14, "0")
-        return F.conv(hexed, 16, 10).cast("long")
+        head = F.conv(F.rpad(F.hex(F.substring(raw, 1, 7)), 14, "0"), 16, 10).cast("long")
+        eighth = F.coalesce(F.conv(F.hex(F.substring(raw, 8, 1)), 16, 10).cast("long"), F.lit(0))
+        return head * F.lit(128) + F.floor(eighth / 2).cast("long")
     raise TypeError(f"cannot segment on {col} of type {dtype.simpleString()}")
 
 

@@ -46,6 +46,12 @@ def main() -> None:
         flags = [f for f in ["BroadcastNestedLoopJoin", "CartesianProduct", "BatchEvalPython", "ArrowEvalPython",
                              "FlatMapGroupsInPandas"] if f in text]
         print(f"| {name} | {shuffles} | {bcast} | {windows} | {aggs} | {', '.join(cols)} | {', '.join(flags) or '-'} |")
+    for name in ("asof_fact", "high_water"):
+        print(f"\n## `{name}`: physical plan (`explain(\"formatted\")`, initial AQE plan)\n")
+        print("```")
+        print(QUERIES[name](spark, sf_dir)._jdf.queryExecution().explainString(
+            spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")).strip())
+        print("```")
     spark.stop()
 
 

@@ -54,8 +54,18 @@ def test_eligible_two_levels(spark):
 
 def test_number_within_key_and_next_ids(spark):
     df = spark.createDataFrame([("A", "c3"), ("A", "c1"), ("A", "c2"), ("B", "c9")], "acc string, card string")
-    for opts in ({}, {"rows_per_segment": 1, "bands": 2}):
+    for opts in ({}, {"rows_per_segment": 1, "bands": 2}, {"method": "sort"}):
         got = rows(number_within_key(df, "acc", ["card"], **opts), "acc", "card", "ordinal", "group_size")
         assert got == [("A", "c1", 1, 3), ("A", "c2", 2, 3), ("A", "c3", 3, 3), ("B", "c9", 1, 1)]
     ids = spark.createDataFrame([(k,) for k in [5, 3, 9, 1]], "k long").repartition(3)
     assert rows(next_ids(ids, 100, ["k"])) == [(1, 101), (3, 102), (5, 103), (9, 104)]
+
+
+def test_number_within_key_sort_splits_ties(spark):
+    # one hot key whose rows all share the first order value
+    data = [("hot", 1, i) for i in range(500)] + [("cold", 2, i) for i in range(3)]
+    df = spark.createDataFrame(data, "k string, a int, b int").repartition(4)
+    got = rows(number_within_key(df, "k", ["a", "b"], method="sort"), "k", "b", "ordinal", "group_size")
+    want = sorted([("hot", i, i + 1, 500) for i in range(500)] + [("cold", i, i + 1, 3) for i in range(3)],
+                  key=lambda t: tuple((x is None, str(x)) for x in t))
+    assert got == want

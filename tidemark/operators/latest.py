@@ -109,7 +109,7 @@ def eligible(child: DataFrame, parent: DataFrame, child_key: str, parent_key: st
 
 
 def number_within_key(df: DataFrame, key: Keys, order: Sequence[str], *, out: str = "ordinal",
-                      count_out: str | None = "group_size", **seg_opts) -> DataFrame:
+                      count_out: str | None = "group_size", method: str = "scan", **seg_opts) -> DataFrame:
     """Ordinal (1..n) of each row within its key in ``order``, and the key's row count.
 
     The per-key listing the reference builds in memory ("cards of an account")
@@ -118,8 +118,19 @@ def number_within_key(df: DataFrame, key: Keys, order: Sequence[str], *, out: st
     its number inside the segment plus the row count of earlier segments, and
     the key's count is the sum over its segments (a bounded table).  Cold keys
     get both from the one window over the key, without any join.
+
+    ``method="sort"`` handles keys whose rows share the first order value (the
+    scan cannot cut those): a global range sort over key and all order
+    columns (the range partitioner splits a hot key wherever its order
+    values differ), global row indexes from per-partition counts, and each
+    key's first index from a partial aggregation joined back.  One more
+    shuffle and a write than the scan.
     """
     keys = _keys(key)
+    if method == "sort":
+        return _number_by_sort(df, keys, order, out, count_out)
+    if method != "scan":
+        raise ValueError(f"unknown method {method!r}")
     segs = plan_segments(df, keys, order[0], **seg_opts)
     rows = segs.assign(df)
     w = Window.partitionBy(*keys, SEG).orderBy(*[F.col(c).asc_nulls_first() for c in order])
@@ -144,6 +155,20 @@ def number_within_key(df: DataFrame, key: Keys, order: Sequence[str], *, out: st
     return rows.drop("_local", "_segn", "_off", "_keyn", "_total", SEG)
 
 
+def _number_by_sort(df: DataFrame, keys: list[str], order: Sequence[str], out: str,
+                    count_out: str | None) -> DataFrame:
+    cols = list(df.columns)
+    indexed = next_ids(df, -1, [*keys, *order], out="_g")            # global index 0, 1, 2, ...
+    bounds = indexed.groupBy(*keys).agg(F.min("_g").alias("_start"), F.count(F.lit(1)).alias("_size"))
+    from tidemark.operators.sizing import fits
+    bounds = F.broadcast(bounds) if fits(bounds) else bounds
+    joined = indexed.join(bounds, keys, "left")
+    extra = [(F.col("_g") - F.col("_start") + 1).alias(out)]
+    if count_out:
+        extra.append(F.col("_size").alias(count_out))
+    return joined.select(*cols, *extra)
+
+
 def next_ids(df: DataFrame, start: Column | int, order: Sequence[str], *, out: str = "new_id") -> DataFrame:
     """Consecutive numbers ``start + 1, start + 2, ...`` in ``order`` over the whole DataFrame.
 

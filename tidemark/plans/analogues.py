@@ -525,6 +525,12 @@ def lines_per_order(spark, sf_dir) -> DataFrame:
     return number_within_key(li, "l_orderkey", ["l_linenumber", "l_partkey", "l_suppkey"])
 
 
+def lines_per_order_sorted(spark, sf_dir) -> DataFrame:
+    """A5 by the global-sort form (splits keys tied on the first order column); same result."""
+    li = load(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    return number_within_key(li, "l_orderkey", ["l_linenumber", "l_partkey", "l_suppkey"], method="sort")
+
+
 def new_customer_ids(spark, sf_dir) -> DataFrame:
     """Customers with a negative balance get new ids after the current greatest key."""
     customer = load(spark, sf_dir, "customer")
@@ -609,6 +615,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "quality_checks_one_by_one": quality_report_one_by_one,
     "eligible": eligible_lines,
     "lines_per_order": lines_per_order,
+    "lines_per_order_sort": lines_per_order_sorted,
     "next_ids": new_customer_ids,
     "stream_landing": stream_events,
     "stream_upsert": stream_users,

@@ -587,6 +587,7 @@ ORACLES: dict[str, str] = {
     "quality_checks_one_by_one": QUALITY_CHECKS,
     "eligible": ELIGIBLE,
     "lines_per_order": LINES_PER_ORDER,
+    "lines_per_order_sort": LINES_PER_ORDER,
     "next_ids": NEXT_IDS,
     "stream_landing": STREAM_LANDING,
     "stream_upsert": STREAM_UPSERT,

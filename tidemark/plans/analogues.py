@@ -95,8 +95,9 @@ HOT_ROWS_PER_SEGMENT = 2000    # rows per task for hot keys in the skewed varian
 
 
 def asof_fact_skewed(spark, sf_dir) -> DataFrame:
-    """H3 under skew: line items 1 and 2 of every order (about a third of all rows)
-    belong to one customer, whose rows the lookup cuts into time segments."""
+    """H3 under skew: line items 1 and 2 of every order (over a quarter of all rows)
+    belong to one customer; once its rows exceed the per-task target the lookup
+    cuts them into time segments."""
     versions = order_priority_versions(spark, sf_dir).withColumn(
         "customer_sk", versioned_key("o_custkey", "valid_from"))
     orders = load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")

@@ -90,9 +90,14 @@ def failing_condition(check: Check) -> Column:
     raise ValueError(f"{check.kind} is not a row-level check")
 
 
-def failing_rows(tables: Mapping[str, DataFrame], check: Check) -> DataFrame:
-    """The rows (or keys) a check reports."""
+def failing_rows(tables: Mapping[str, DataFrame], check: Check,
+                 unique_scope: Mapping[str, DataFrame] | None = None) -> DataFrame:
+    """The rows (or keys) a check reports.  ``unique_scope`` may name, per table,
+    the rows a uniqueness check must cover (e.g. new rows plus older rows with
+    the same keys) instead of the table."""
     df = tables[check.table]
+    if check.kind == "unique" and unique_scope and check.table in unique_scope:
+        df = unique_scope[check.table]
     if check.kind in ROW_LEVEL:
         return df.filter(failing_condition(check))
     if check.kind == "unique":
@@ -113,7 +118,8 @@ def _result(check: Check, failures: Column) -> list[Column]:
             F.lit(check.label).alias("check"), failures.cast("long").alias("failures")]
 
 
-def run_checks(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
+def run_checks(tables: Mapping[str, DataFrame], checks: Sequence[Check],
+               unique_scope: Mapping[str, DataFrame] | None = None) -> DataFrame:
     """All checks -> DataFrame(table, column, check, failures), one row per check."""
     parts: list[DataFrame] = []
     by_table: dict[str, list[Check]] = {}
@@ -127,7 +133,7 @@ def run_checks(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> Data
         parts.append(counts.select(F.explode(rows).alias("r")).select("r.*"))
     for ch in checks:
         if ch.kind == "unique":
-            bad = failing_rows(tables, ch)
+            bad = failing_rows(tables, ch, unique_scope)
             parts.append(bad.agg(*_result(ch, F.count(F.lit(1)))))
         elif ch.kind == "relationships":
             c = ch.columns[0]

@@ -22,7 +22,8 @@ def _ts(text: str) -> dt.datetime:
 
 def main(argv: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(prog="tidemark", description=__doc__)
-    parser.add_argument("--master", default=None, help="Spark master (default: the cluster's or local[*])")
+    parser.add_argument("--master", default=None,
+                        help="Spark master (default: the one spark-submit or the cluster configuration gives)")
     sub = parser.add_subparsers(dest="command", required=True)
     b = sub.add_parser("bootstrap", help="load every seed file into bronze")
     b.add_argument("--seed-dir", required=True)
@@ -42,7 +43,7 @@ def main(argv: list[str] | None = None) -> int:
     r.add_argument("--as-of", type=dt.date.fromisoformat, default=None)
     args = parser.parse_args(argv)
 
-    spark = build_session(args.master or "local[*]")
+    spark = build_session(args.master, shuffle_partitions=None)
     if args.command == "bootstrap":
         print(json.dumps({"loaded": jobs.bootstrap(spark, args.seed_dir, args.root, args.run_ts)}))
     elif args.command == "run-day":

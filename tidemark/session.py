@@ -37,14 +37,16 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
+def build_session(master: str | None = "local[*]", shuffle_partitions: int | None = 8,
                   app_name: str = "tidemark") -> SparkSession:
-    """A local session for tests and the bench; clusters bring their own."""
-    builder = (
-        SparkSession.builder.master(master).appName(app_name)
-        .config("spark.ui.enabled", "false")
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    )
+    """A session with the settings above.  ``master=None`` keeps the master chosen by
+    ``spark-submit`` or the cluster's defaults; ``shuffle_partitions=None`` keeps the
+    configured shuffle width (AQE coalesces it)."""
+    builder = SparkSession.builder.appName(app_name).config("spark.ui.enabled", "false")
+    if master is not None:
+        builder = builder.master(master)
+    if shuffle_partitions is not None:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for key, value in {**RESULT_CONF, **SCALE_CONF}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()

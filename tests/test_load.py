@@ -75,3 +75,16 @@ def test_fits_is_a_bounded_check(spark):
     small = spark.createDataFrame([(1, "x")], "id long, name string")
     joined = lookup_join(spark.range(5), small, "id", "left", max_rows=10)
     assert "BroadcastHashJoin" in joined._jdf.queryExecution().executedPlan().toString()
+
+
+def test_high_water_on_wall_clock_time_ignores_the_session_zone(spark):
+    s = "k string, t timestamp_ntz"
+    t0, t1 = dt.datetime(2026, 1, 1, 23, 30), dt.datetime(2026, 1, 2, 0, 30)
+    target = spark.createDataFrame([("a", t0)], s)
+    source = spark.createDataFrame([("a", t0), ("b", t1)], s)
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Almaty")
+        assert rows(after_high_water(source, target, "t")) == [("b", t1)]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)

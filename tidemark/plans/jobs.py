@@ -4,7 +4,10 @@ Storage layout under ``root``: ``bronze/``, ``silver/``, ``gold/`` with one
 folder per table (:mod:`tidemark.sources.tables`).  Event logs (bronze
 transactions and customer changes, their silver models, the gold fact) and the
 closed part of each snapshot only receive new rows; current-state tables and
-the open part of each snapshot are published as new versions.  Clocks are arguments: ``run_ts`` stamps loads and opens snapshot
+the open part of each snapshot are published as new versions.  The newest
+change per customer and the customer dimension are maintained from what a run
+changed, and the daily checks of event logs cover the rows a run appended.
+Clocks are arguments: ``run_ts`` stamps loads, log partitions and snapshot
 versions (one value shared by both snapshots), ``as_of`` dates the age bracket.
 """
 
@@ -221,7 +224,9 @@ def silver_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
 
 def build_gold(spark: SparkSession, root: str, run_ts: _dt.datetime | None = None, *,
                max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> None:
-    """Dimensions (rebuilt) and the fact (delta appended; replaced keys rewritten)."""
+    """Account, card and merchant dimensions (rebuilt), the customer dimension
+    (maintained incrementally when a previous version and ``run_ts`` exist) and
+    the fact (delta appended; replaced keys rewritten)."""
     s = silver_tables(spark, root)
     publish(gold.dim_accounts(s["accounts"], s["account_products"]), root, GOLD, "dim_accounts")
     publish(gold.dim_cards(s["cards"], s["card_bin_ranges"]), root, GOLD, "dim_cards")

@@ -17,9 +17,24 @@ from pyspark.sql import functions as F
 BROADCAST_MAX_ROWS = 100_000
 
 
+# Partitions the incremental take starts with: small lookups are confirmed in one
+# job; a large table is rejected after at most this many tasks of max_rows + 1 rows.
+FIRST_TAKE_PARTITIONS = 64
+
+
 def fits(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
     """True when ``df`` has at most ``max_rows`` rows (bounded, incremental check)."""
-    return len(df.select(F.lit(True).alias("x")).take(max_rows + 1)) <= max_rows
+    conf = df.sparkSession.conf
+    key = "spark.sql.limit.initialNumPartitions"
+    before = conf.get(key, None)
+    conf.set(key, str(FIRST_TAKE_PARTITIONS))
+    try:
+        return len(df.select(F.lit(True).alias("x")).take(max_rows + 1)) <= max_rows
+    finally:
+        if before is None:
+            conf.unset(key)
+        else:
+            conf.set(key, before)
 
 
 def lookup_join(left: DataFrame, right: DataFrame, on, how: str = "left",

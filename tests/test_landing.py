@@ -68,3 +68,17 @@ def test_layer_routing():
     from tidemark.sources.tables import layer_name, table_path
     assert layer_name(None) == "main" and layer_name(" silver ") == "silver"
     assert table_path("/wh", "gold", "dim") == "/wh/gold/dim" and table_path("/wh", None, "t") == "/wh/main/t"
+
+
+def test_readers_ignore_an_incomplete_version(spark, tmpdir_path):
+    from tidemark.sources.tables import publish, read_table, table_path
+    root = tmpdir_path + "/wh"
+    schema = "k string"
+    assert read_table(spark, root, "silver", "t") is None
+    assert read_table(spark, root, "silver", "t", schema=spark.createDataFrame([], schema).schema).count() == 0
+    publish(spark.createDataFrame([("a",)], schema), root, "silver", "t")
+    # an interrupted write: a newer version folder without the _SUCCESS marker
+    broken = os.path.join(table_path(root, "silver", "t"), "v=29991231T000000000000-999999")
+    spark.createDataFrame([("b",)], schema).write.parquet(broken)
+    os.remove(os.path.join(broken, "_SUCCESS"))
+    assert [r["k"] for r in read_table(spark, root, "silver", "t").collect()] == ["a"]

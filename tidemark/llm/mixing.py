@@ -147,7 +147,7 @@ def plan_mix(docs: DataFrame, *, weights: tuple[int, ...] = (3, 1, 2), share: fl
         return rows.assign(_target=target, _seats=seats, _n_shards=np.clip(wanted, 1, MAX_SHARDS))
 
     totals = sized.groupBy("_null", "_name").agg(F.sum("_size").alias("_source_size"), F.count("*").alias("_rows"))
-    sources = stage(totals.groupBy(F.lit(0)).applyInPandas(
+    sources = stage(totals.groupBy(F.lit("all")).applyInPandas(
         shares, "_null boolean, _name string, _source_size long, _rows long, _target double, _seats long,"
                 " _n_shards long").drop("_rows"), "mix-sources")
 

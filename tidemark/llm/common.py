@@ -60,13 +60,3 @@ def packed(df: DataFrame) -> Column:
 def word_count(text: Column) -> Column:
     """Words of a text (null: 0), as long."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
-
-
-def words(text: Column) -> Column:
-    """The words of a text in order (null: none)."""
-    return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(WORD), F.lit(0))
-
-
-def lower_ascii(text: Column) -> Column:
-    """Lower-case A-Z only."""
-    return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

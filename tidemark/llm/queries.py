@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, langid, licenses, mixing, quality, warc
+from tidemark.llm import ann, bpe, html, langid, licenses, mixing, neardup, pii, quality, warc
 from tidemark.llm.common import scratch, stage
 
 
@@ -34,6 +34,11 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.apply_rules(measured, rules)
 
 
+def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose 5-word shingles agree to 85 % or more."""
+    return neardup.near_duplicates(_table(spark, sf_dir, "documents"), percent=85)
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded and decoded again; digests of both."""
     path = public_tokenizers.path("word_bpe_49k.json")
@@ -44,6 +49,29 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document: counts and digest of the base spans, and all spans."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.find_spans(docs, pii.train(docs)).drop("text")
+    base = F.filter("spans", lambda s: s["base"])
+    listed = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(
+        ":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+    count = lambda kind: F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select("doc_id", *[count(k) for k in pii.BASE_KINDS], F.sha2(listed(base), 256).alias("base_sha256"),
+                        listed(F.col("spans")).alias("spans"))
+
+
+def op7_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html.main_text(pages).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+def op8_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors found for every vector whose id is divisible by 20."""
+    return ann.nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
+
+
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages written as WARC files and read back through verified record boundaries."""
     path = scratch(spark, "warc")
@@ -68,5 +96,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("lang_ambiguous").alias("ambiguous"))
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_license_scan, op3_quality_rules, op5_bpe, op9_warc, op10_language)}
+QUERIES = {f.__name__: f for f in (
+    op1_mix_sources, op2_license_scan, op3_quality_rules, op4_near_duplicates, op5_bpe, op6_pii, op7_main_text, op8_nearest,
+    op9_warc, op10_language)}
 ORACLES: dict[str, str] = {}

@@ -112,7 +112,7 @@ def _random_case(spark, seed, n_keys=6, n_facts=400):
 def test_lookup_scan_equals_join_with_hot_keys(spark, seed):
     versions, facts = _random_case(spark, seed)
     ref = rows(lookup_version(facts, versions, "k", "ts", columns=["a"], method="join"))
-    for opts in ({}, {"rows_per_segment": 10, "bands": 4, "max_hot_keys": 3},
+    for opts in ({}, {"rows_per_segment": 10, "bands": 4},
                  {"rows_per_segment": 60, "sample_rows": 20}):          # sampled detection
         for back in (True, False):
             got = rows(lookup_version(facts, versions, "k", "ts", columns=["a"], backdate_first=back, **opts))

@@ -92,25 +92,31 @@ class WordTrie:
 
     def encode(self) -> Iterator[tuple[str, tuple[int, ...]]]:
         """Depth first over the trie; empties it."""
-        # A state is (last token, state before it); a path holds the states of all its prefixes,
-        # and the first place from which on it may begin a token: it only moves on as the path grows.
-        begins = self.begins
-        stack: list[tuple[dict, str, list, int]] = [(self.root, "", [None], 0)]
+        # A state is (last token, state before it).  Going down one branch after another, the
+        # states of the current path's prefixes are in one list.  ``low`` is the first place from
+        # which on a path may begin a token: it only moves on as the path grows.
+        begins, vocab, apart, stay, end = self.begins, self.vocab, self.apart, self.stay_apart, self.end
+        states: list = [None] * 16
+        stack: list[tuple[dict, str, int]] = [(self.root, "", 0)]
         while stack:
-            node, prefix, states, low = stack.pop()
+            node, path, low = stack.pop()
+            n = len(path)
+            if n:
+                while path[low:] not in begins:
+                    low += 1
+                if n >= len(states):
+                    states += [None] * n
+                states[n] = self._last(path, n, states, low, vocab, apart, stay)
             for ch, child in node.items():
-                if ch == "":
-                    yield prefix, self._ids(self._last(prefix + self.end, len(prefix), states, low))
+                if ch:
+                    stack.append((child, path + ch, low))
                 else:
-                    path, at = prefix + ch, low
-                    while path[at:] not in begins:
-                        at += 1
-                    stack.append((child, path, [*states, self._last(path, len(path), states, at)], at))
+                    yield path, self._ids(self._last(path + end, n, states, low, vocab, apart, stay))
         self.root = {}
 
-    def _last(self, path: str, n: int, states: list, low: int):
+    @staticmethod
+    def _last(path: str, n: int, states: list, low: int, vocab: dict, apart: dict, stay) -> tuple | None:
         """The state of ``path`` (``n`` symbols) from those of its proper prefixes."""
-        vocab, apart = self.vocab, self.apart
         for start in range(low, n):
             token = vocab.get(path[start:])
             if token is None:
@@ -120,7 +126,7 @@ class WordTrie:
             before = states[start]
             if before is not None:
                 known = apart.get((before[0], token))
-                if known or known is None and self.stay_apart(before[0], token):
+                if known or known is None and stay(before[0], token):
                     return (token, before)
         return None
 
@@ -146,20 +152,23 @@ class Encoder:
         # Python also counts these four separators as white space, the library does not.
         self.separators = regex.compile("[\x1c-\x1f]")
         self.space = regex.compile(r"\p{White_Space}+")
-        self.bytes = byte_alphabet()
+        self.bytes = {b: c for b, c in enumerate(byte_alphabet()) if chr(b) != c}
         self.chunks: dict[str, tuple[int, ...]] = {}        # white-space-free runs of a text: their ids
         self.older: dict[str, tuple[int, ...]] = {}
         self.words: dict[str, tuple[int, ...]] = {}
 
     def _split(self, chunk: str) -> list[str | int]:
         """A run's words in the byte alphabet, and special ids."""
+        if chunk.isascii() and "<|" not in chunk:       # plain: bytes are their own characters
+            lower = chunk.lower()
+            return [lower] if lower.isalpha() else self.pieces.findall(lower)
         out: list[str | int] = []
         for part in self.split_special.split(chunk) if self.split_special else [chunk]:
             if part in self.special:
                 out.append(self.special[part])
             elif part:
                 plain = unicodedata.normalize("NFC", part).replace("Σ", "σ").lower()    # each character by itself
-                out += ["".join(map(self.bytes.__getitem__, w.encode())) for w in self.pieces.findall(plain)]
+                out += [w.encode().decode("latin-1").translate(self.bytes) for w in self.pieces.findall(plain)]
         return out
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:

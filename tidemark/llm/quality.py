@@ -26,9 +26,9 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import SPACE, WORD, stage, words
+from tidemark.llm.common import SPACE, WORD, stage
 
-SYMBOLS = "#*$%&|<>"
+SYMBOLS = "[#*$%&|<>]"
 BINS = 32
 MAX_RULES = 8
 MAX_CONDITIONS = 3
@@ -36,47 +36,52 @@ MIN_PRECISION = 0.9       # of a rule, on the prune fold, for it to be used
 MIN_COVERED = 10          # bad rows of the grow fold that a rule must cover
 
 
-def n_repeat_words(w: Column) -> Column:
-    """Words lying in a 3-word window that occurs twice or more (all its occurrences count)."""
-    window = lambda i: F.concat_ws(" ", w[i], w[i + 1], w[i + 2])  # noqa: E731  words hold no space
-    starts = F.sequence(F.lit(0), F.size(w) - 3)
-    hashes = F.transform(starts, lambda i: F.xxhash64(w[i], w[i + 1], w[i + 2]))
-    # Equal windows stand side by side once sorted; their places, in order, tell the words covered.
-    ranked = F.array_sort(F.transform(starts, lambda i: F.struct(F.xxhash64(w[i], w[i + 1], w[i + 2]).alias("h"),
-                                                                window(i).alias("t"), i.alias("i"))))
-    same = lambda a, b: a.isNotNull() & b.isNotNull() & (a["h"] == b["h"]) & (a["t"] == b["t"])
-    before = lambda s: F.zip_with(s, F.concat(F.array(F.lit(None).cast(_RANKED)), s), lambda a, b: F.struct(
-        a.alias("a"), F.coalesce(same(a, b), F.lit(False)).alias("eq")))
-    after = lambda s: F.zip_with(s, F.slice(s, 2, F.size(s)), lambda a, b: F.coalesce(same(a, b), F.lit(False)))
-    hit = F.filter(F.zip_with(before(ranked), after(ranked),
-                              lambda x, y: F.when(x["a"].isNotNull() & (x["eq"] | y), x["a"]["i"])),
-                   lambda i: i.isNotNull())
-    at = F.array_sort(hit)
-    covered = F.aggregate(F.zip_with(at, F.slice(at, 2, F.greatest(F.size(at), F.lit(1))),
-                                     lambda a, b: F.when(a.isNotNull(), F.least(F.lit(3), F.coalesce(b - a, F.lit(3))))
-                                     .otherwise(F.lit(0))), F.lit(0), lambda s, x: s + x)
-    # Most texts repeat no window: their hashes are all distinct.
-    return (F.when(F.size(w) < 4, F.lit(0)).when(F.size(F.array_distinct(hashes)) == F.size(w) - 2, F.lit(0))
-            .otherwise(covered).cast("long"))
-
-
-_RANKED = "struct<h:bigint,t:string,i:int>"
-
-
 def text_statistics(docs: DataFrame, *, text: str = "text") -> DataFrame:
     """Add n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words and base_failed to ``docs``."""
-    t = F.coalesce(docs[f"`{text}`"], F.lit(""))
+    t = F.coalesce(F.col("_text"), F.lit(""))
+    # Words one space apart (no word holds one); a single space stays as it is.
+    plain = F.trim(F.regexp_replace(t, r"[\x20\x09-\x0D]{2,}|[\x09-\x0D]", " "))
     lines = F.filter(F.split(t, "\n"), lambda x: x.rlike(WORD))
-    measured = docs.select("*", words(t).alias("_words"), t.alias("_text"), lines.alias("_lines"))
-    out = measured.withColumns({
-        "n_words": F.size("_words").cast("long"),
-        "word_chars": F.length(F.regexp_replace("_text", SPACE + "+", "")).cast("long"),
-        "n_symbols": (F.length("_text") - F.length(F.translate("_text", SYMBOLS, ""))).cast("long"),
-        "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
-        "n_repeat_words": n_repeat_words(F.col("_words"))}).drop("_words", "_text", "_lines")
+    windows = F.regexp_extract_all("_plain", F.lit("(?=([^ ]+ [^ ]+ [^ ]+))[^ ]+"), F.lit(1))
+    n_words = F.when(F.size("_windows") > 0, F.size("_windows") + 2).when(F.col("_plain") == "", 0).otherwise(
+        F.size(F.split("_plain", " ")))
+    # Each step is a column of its own, as it is used more than once.
+    steps = [
+        {"_text": docs[f"`{text}`"]},
+        {"_plain": plain, "_lines": lines},
+        {"_windows": windows},
+        # Equal windows side by side, with their places; few texts repeat any.
+        {"n_words": n_words.cast("long"),
+         "_sorted": F.when(F.size(F.array_distinct("_windows")) < F.size("_windows"), F.sort_array(
+             F.transform("_windows", lambda x, i: F.struct(x.alias("t"), i.alias("i")))))},
+        {"_hits": F.sort_array(F.array_distinct(_twins("_sorted")))},
+        {"word_chars": F.when(F.col("n_words") > 0, F.length("_plain") - F.col("n_words") + 1).otherwise(0).cast("long"),
+         "n_symbols": F.regexp_count(t, F.lit(SYMBOLS)).cast("long"),
+         "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
+         "n_repeat_words": F.coalesce(_covered("_hits"), F.lit(0)).cast("long")},
+    ]
+    out = docs
+    for columns in steps:
+        out = out.withColumns(columns)
+    out = out.drop("_text", "_plain", "_lines", "_windows", "_sorted", "_hits")
+    out = out.select(*docs.columns, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
     return out.withColumn("base_failed", (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
 
 
+def _twins(ranked: str) -> Column:
+    """Places of windows that equal their neighbour once sorted (null: none are sorted)."""
+    at = lambda k: F.element_at(ranked, k)
+    second = F.filter(F.sequence(F.lit(2), F.size(ranked)), lambda k: at(k)["t"] == at(k - 1)["t"])
+    return F.when(F.col(ranked).isNotNull(), F.flatten(F.transform(second, lambda k: F.array(at(k)["i"], at(k - 1)["i"]))))
+
+
+def _covered(hits: str) -> Column:
+    """Words that windows at these places (in order) cover: each up to the next one, three at most."""
+    steps = F.zip_with(hits, F.slice(hits, 2, F.greatest(F.size(hits), F.lit(1))), lambda a, b: F.least(
+        F.lit(3), F.coalesce(b - a, F.lit(3))))
+    return F.aggregate(steps, F.lit(0), lambda total, n: total + n)
+
+
 def _ratio(name: str) -> Column:
     return F.col(name) / F.greatest(F.col("n_words"), F.lit(1)).cast("double")
 

@@ -198,9 +198,9 @@ def _assemble(parsed: DataFrame, placed: DataFrame, facts: list[str], body: Colu
     parts = (broken.alias("r").join(placed.select("file", "begin", "block", "seq").alias("s"),
                                     (F.col("r.file") == F.col("s.file")) & (F.col("s.begin") >= F.col("r.begin"))
                                     & (F.col("s.begin") <= F.col("r.stop")))
-             .select("r.*", F.col("s.begin").alias("at"), F.col("s.block").alias("block"), F.col("s.seq").alias("seq"))
-             .join(data, key))
-    glued = (parts.groupBy("file", "offset", *facts)
+             .select("r.*", F.col("s.begin").alias("at"), F.col("s.block").alias("block"), F.col("s.seq").alias("seq")))
+    parts = stage(parts, "warc-parts")          # its size is known then, and is small unless magic bytes are common
+    glued = (parts.join(data, key).groupBy("file", "offset", *facts)
              .agg(F.array_sort(F.collect_list(F.struct("at", "data"))).alias("parts"))
              .withColumn("data", F.unhex(F.array_join(F.transform("parts", lambda p: F.hex(p["data"])),
                                                       CUT.encode().hex().upper())))
@@ -210,7 +210,7 @@ def _assemble(parsed: DataFrame, placed: DataFrame, facts: list[str], body: Colu
     out = ["file", "offset", "type", "id", "uri", F.col("refers").alias("refers_to"), "digest_header",
            *["payload"] * payloads, "payload_bytes", "payload_digest"]
     empty = lambda c: F.nullif(F.col(c), F.lit("")).alias(c)
-    both = one.select(*out).unionByName(glued.select(*out))
+    both = one.select(*out) if parts.isEmpty() else one.select(*out).unionByName(glued.select(*out))
     return both.withColumns({"id": empty("id"), "refers_to": empty("refers_to")})
 
 

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.keys import scd_id as _scd_id
 from tidemark.operators.load import require_unique
 from tidemark.operators.scan import SEG, fill_last, plan_segments, salt_readers, scan
+from tidemark.sources.tables import materialize
 
 Keys = str | Sequence[str]
 
@@ -141,13 +142,13 @@ def overlapping_versions(versions: DataFrame, key: Keys, *, valid_from: str = "v
          .rowsBetween(Window.unboundedPreceding, -1))
     rows = rows.withColumn("_prev_end", F.max("_end").over(w))
     if segs.splits is not None:
-        hot = rows.join(F.broadcast(segs.splits.select(*keys)), keys, "left_semi")
+        hot = rows.join(segs.splits.select(*keys), keys, "left_semi")
         per_seg = hot.groupBy(*keys, SEG).agg(F.max("_end").alias("_m"))
         all_segs = segs.splits.select(*keys, F.explode(F.sequence(F.lit(0), F.col("_nseg") - 1)).alias(SEG))
         before = Window.partitionBy(*keys).orderBy(SEG).rowsBetween(Window.unboundedPreceding, -1)
-        carry = all_segs.join(per_seg, [*keys, SEG], "left").select(
-            *keys, SEG, F.max("_m").over(before).alias("_carry_end"))
-        rows = (rows.join(F.broadcast(carry), [*keys, SEG], "left")
+        carry = materialize(all_segs.join(per_seg, [*keys, SEG], "left").select(
+            *keys, SEG, F.max("_m").over(before).alias("_carry_end")), "carry")
+        rows = (rows.join(carry, [*keys, SEG], "left")
                 .withColumn("_prev_end", F.greatest("_prev_end", "_carry_end")))
     prev = F.col("_prev_end")
     overlaps = prev.isNotNull() & (prev["open"] | (prev["end"] > F.col(valid_from)))
@@ -341,7 +342,9 @@ def _lookup_scan(facts, vers, fk, vk, ts, valid_from, valid_to, columns, backdat
                          F.col(valid_from).alias("_t"), F.lit(0).alias("_kind"),
                          F.xxhash64(payload).alias("_tb"), payload.alias("_ver"))
     union = f_rows.unionByName(v_rows, allowMissingColumns=True)
-    segs = plan_segments(union, key_names, "_t", **seg_opts)
+    # Keys are hot by their facts (a version costs no more than a fact): looking for
+    # them there spares building the versions a first time for the sample.
+    segs = plan_segments(union, key_names, "_t", **{"detect_on": f_rows, **seg_opts})
     rows = segs.assign(union, null_key_spread=NULL_KEY_SPREAD)
     # Facts only read versions: where one hot segment still holds too many
     # facts (e.g. many facts at one instant), they are salted and the

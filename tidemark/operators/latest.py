@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.scan import SEG, plan_segments
+from tidemark.sources.tables import materialize
 
 Keys = str | Sequence[str]
 
@@ -140,14 +141,14 @@ def number_within_key(df: DataFrame, key: Keys, order: Sequence[str], *, out: st
     if segs.splits is None:
         rows = rows.withColumn(out, F.col("_local")).withColumn("_total", F.col("_segn"))
     else:
-        hot = rows.join(F.broadcast(segs.splits.select(*keys)), keys, "left_semi")
+        hot = rows.join(segs.splits.select(*keys), keys, "left_semi")
         seg_sizes = hot.groupBy(*keys, SEG).agg(F.count(F.lit(1)).alias("_sz"))
         before = Window.partitionBy(*keys).orderBy(SEG).rowsBetween(Window.unboundedPreceding, -1)
         every = Window.partitionBy(*keys)
-        # One row per hot segment: bounded by the segment budget, so it is broadcast.
-        offsets = seg_sizes.select(*keys, SEG, F.coalesce(F.sum("_sz").over(before), F.lit(0)).alias("_off"),
-                                   F.sum("_sz").over(every).alias("_keyn"))
-        rows = (rows.join(F.broadcast(offsets), [*keys, SEG], "left")
+        # One row per hot segment, stored so that its size decides the join.
+        offsets = materialize(seg_sizes.select(*keys, SEG, F.coalesce(F.sum("_sz").over(before), F.lit(0)).alias("_off"),
+                                   F.sum("_sz").over(every).alias("_keyn")), "segment-offsets")
+        rows = (rows.join(offsets, [*keys, SEG], "left")
                 .withColumn(out, F.col("_local") + F.coalesce(F.col("_off"), F.lit(0)))
                 .withColumn("_total", F.coalesce(F.col("_keyn"), F.col("_segn"))))
     if count_out:
@@ -178,7 +179,6 @@ def next_ids(df: DataFrame, start: Column | int, order: Sequence[str], *, out: s
     per-partition counts give each partition's offset, and a row's number is
     offset + its position inside the partition.
     """
-    from tidemark.sources.tables import materialize
     ranked = materialize(df.orderBy(*[F.col(c).asc_nulls_first() for c in order])
                          .withColumn("_p", F.spark_partition_id())
                          .withColumn("_mid", F.monotonically_increasing_id()), "next-ids")

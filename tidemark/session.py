@@ -55,10 +55,11 @@ def build_session(master: str | None = "local[*]", shuffle_partitions: int | Non
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the session's checkpoint folder; create a local one only when unset.
+    """Use the session's checkpoint folder; create a local one only for a local master.
 
     On a cluster ``spark.checkpoint.dir`` names shared storage and is used as
-    is.  Only a session without it (a local test) gets a fresh temp folder.
+    is; without it this raises, as executors could not read each other's files.
+    Only a local session (a test) gets a fresh temp folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -66,17 +67,26 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="tidemark-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
 
+def _scratch_root(spark: SparkSession) -> str:
+    return os.path.join(ensure_checkpoint_dir(spark), "tidemark", spark.sparkContext.applicationId)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint folder for intermediate tables."""
-    base = ensure_checkpoint_dir(spark)
-    if base.startswith("file:"):
-        base = base[len("file:"):]
-    return os.path.join(base, "tidemark", f"{name}-{os.getpid()}-{next(_SEQ)}")
+    return os.path.join(_scratch_root(spark), f"{name}-{next(_SEQ)}")
+
+
+def clean_scratch(spark: SparkSession) -> None:
+    """Delete this application's intermediate tables (call it once nothing reads them any more)."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def _counter():

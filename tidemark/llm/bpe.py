@@ -47,6 +47,8 @@ class WordTrie:
     def __init__(self, model: dict):
         self.vocab: dict[str, int] = model["vocab"]
         self.end: str = model.get("end_of_word_suffix") or ""
+        if missing := [c for c in byte_alphabet() if c not in self.vocab]:
+            raise ValueError(f"the vocabulary has no token for {len(missing)} of the 256 bytes")
         self.begins = {t[:n] for t in self.vocab for n in range(1, len(t) + 1)}     # of any token
         self.rank: dict[tuple[int, int], int] = {}
         self.parts: dict[int, tuple[int, int, int]] = {}      # token: its merge's rank, left, right
@@ -159,7 +161,7 @@ class Encoder:
 
     def _split(self, chunk: str) -> list[str | int]:
         """A run's words in the byte alphabet, and special ids."""
-        if chunk.isascii() and "<|" not in chunk:       # plain: bytes are their own characters
+        if chunk.isascii() and chunk.isprintable() and "<|" not in chunk:     # plain: bytes are their own characters
             lower = chunk.lower()
             return [lower] if lower.isalpha() else self.pieces.findall(lower)
         out: list[str | int] = []

@@ -16,8 +16,9 @@ is spread; only line hashes are sorted, and texts stay where they were read.
 
 Defined cases: a null or empty html gives ""; a null url belongs to a host of
 its own; a page alone in its host has nothing to be compared with; of equal
-neighbours the one before is taken; repeated rows are pages of their own; an
-empty table gives an empty table; extra columns pass through.
+neighbours the one before is taken; repeated rows are pages of their own; a page
+whose every line the other shares is a copy, which tells nothing, and stays
+whole; an empty table gives an empty table; extra columns pass through.
 """
 
 from __future__ import annotations
@@ -203,7 +204,8 @@ def deletions(lines: DataFrame) -> DataFrame:
                 near = [x for x in (r["before"], r["after"]) if x and x["host"] == r["host"]]
                 if near:
                     best = max(near, key=lambda x: agree(x["path"], r["path"]))      # the first of equals
-                    if at := shared_lines(r["lines"], best["lines"]):
+                    at = shared_lines(r["lines"], best["lines"])
+                    if 0 < len(at) < len(r["lines"]):
                         uid.append(r["uid"])
                         gone.append(at)
             yield pa.RecordBatch.from_pydict({"uid": pa.array(uid, pa.int64()), "gone": pa.array(gone, pa.list_(pa.int32()))})

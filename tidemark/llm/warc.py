@@ -53,20 +53,30 @@ def write_warc(pages: DataFrame, path: str, *, min_dedup_bytes: int = 0) -> None
     """Write ``pages`` (page_id, url, html) as uncompressed WARC files under ``path``."""
     rows = pages.select(F.col("page_id").cast("string").alias("id"), F.col("page_id").alias("key"),
                         _clean(F.col("url")).alias("url"), F.coalesce("html", F.lit("")).alias("html"))
-    rows = rows.withColumns({"bytes": F.octet_length("html"), "digest": sha1_base32(F.col("html").cast("binary")),
-                             # Rows repeated to the last column differ in their place alone.
-                             "place": F.monotonically_increasing_id()})
-    small = stage(rows.select("key", "place", "digest", "bytes"), "warc-digests")
+    rows = rows.withColumns({"bytes": F.octet_length("html"), "digest": sha1_base32(F.col("html").cast("binary"))})
+    # What a row is follows from its values alone, so that computing the rows again changes nothing.
+    own = ["key", "id", "url", "digest", "bytes"]
+    small = stage(rows.groupBy(*own).agg(F.count("*").alias("n")), "warc-digests")
     # Grouping by digest and length: one row per payload that occurs twice or more.
     shared = (small.where(F.col("bytes") >= min_dedup_bytes).groupBy("digest", "bytes")
-              .agg(F.count("*").alias("n"), F.max(F.struct(F.col("key"), -F.col("place"))).alias("first"))
-              .where("n > 1").select("digest", "bytes", F.col("first.key").alias("first_key"),
-                                     (-F.col("first.col2")).alias("first_place")))
-    marked = small.join(shared, ["digest", "bytes"]).where(~F.col("place").eqNullSafe(F.col("first_place")))
-    # Only revisits are joined back: by row place, which no key skews.
-    revisits = stage(marked.select("place", F.lit(True).alias("revisit"), "first_key"), "warc-revisits")
-    joined = rows.join(revisits, "place", "left")
-    revisit = F.coalesce("revisit", F.lit(False))
+              .agg(F.sum("n").alias("all"), F.max(F.struct("key", "url")).alias("first"))
+              .where("all > 1").select("digest", "bytes", F.col("first.key").alias("first_key"),
+                                       F.col("first.url").alias("first_url")))
+    first = F.col("key").eqNullSafe(F.col("first_key")) & (F.col("url") == F.col("first_url"))
+    marked = stage(small.join(shared, ["digest", "bytes"]).select(*own, "n", "first_key", first.alias("first"))
+                   .where("not first or n > 1"), "warc-marks")
+    # Joined by the whole small row: no id or payload alone gathers rows in one task.
+    marks = marked.select(*[F.col(c).alias(f"_{c}") for c in own], "first", "first_key")
+    joined = rows.join(marks, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in own], "left").drop(*[f"_{c}" for c in own])
+    twins = marked.where("first")
+    if not twins.isEmpty():         # rows repeated to the last value: one is the response
+        one = joined.where("first").groupBy(*own).agg(F.first("html").alias("html"))
+        more = twins.select(*own, "first_key", F.explode(F.sequence(F.lit(2), F.col("n").cast("int"))).alias("_k"))
+        joined = (joined.where("first is null or not first")
+                  .unionByName(one.withColumns({"first": F.lit(None).cast("boolean"), "first_key": F.lit(None).cast(
+                      rows.schema["key"].dataType)}))
+                  .unionByName(more.drop("_k").withColumns({"html": F.lit(""), "first": F.lit(False)})))
+    revisit = F.col("first").isNotNull()
     line = lambda name, value: F.concat(F.lit(f"{name}: "), value, F.lit("\r\n"))
     urn = lambda c: F.concat(F.lit("<urn:page:"), F.coalesce(c, F.lit("")), F.lit(">"))
     block = F.when(revisit, F.lit(HTTP_HEAD)).otherwise(F.concat(F.lit(HTTP_HEAD), F.col("html")))

@@ -93,6 +93,8 @@ class Model:
         mean = lambda rows: share[rows].mean(0) if rows.any() else np.full(DIMS, 1 / DIMS)
         # Each language counts the same on its side, however many documents it has.
         self.weights = np.array([np.log(mean(bit > 0)) - np.log(mean(bit < 0)) for bit in self.code.T]).reshape(-1, DIMS)
+        if langs:
+            self.weights[:, counts.sum(0) == 0] = 0         # n-grams that no language has tell nothing
         # A bit's weight: how clearly the languages' own counts fall on their sides of it.
         margins = (share @ self.weights.T) * self.code if langs else np.ones((0, 1))
         clear = np.clip(margins.min(0), 0, None) if langs else np.ones(1)

@@ -8,8 +8,8 @@ A token t ends a prefix if t is a suffix of it and the merges would leave t and
 the last token before it apart.
 
 Reads tokenizer files of the ``tokenizers`` library with a BPE model, byte-level
-alphabet and an end-of-word suffix.  Documents are worked on in slices of a few
-megabytes; a worker's word cache is bounded (two times ``CACHE_WORDS``): a word
+alphabet and an end-of-word suffix.  Documents are worked on in slices of about a
+megabyte; a worker's word cache is bounded (two times ``CACHE_WORDS``): a word
 that falls out is encoded again.
 
 Defined cases: null and empty texts encode to no ids and decode to ""; special
@@ -30,8 +30,10 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-CACHE_WORDS = 250_000
-SLICE_BYTES = 4 << 20
+from tidemark.llm.common import small_batches
+
+CACHE_WORDS = 60_000
+SLICE_BYTES = 1 << 20
 
 
 def byte_alphabet() -> list[str]:
@@ -201,7 +203,7 @@ class Encoder:
 
 
 def _slices(column: pa.Array) -> Iterator[tuple[int, int]]:
-    """Ranges of rows holding a few megabytes of text each."""
+    """Ranges of rows holding about a megabyte of text each."""
     lengths = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
     group = np.cumsum(lengths) // SLICE_BYTES
     cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(lengths)]
@@ -245,7 +247,7 @@ def encode_bpe(df: DataFrame, tokenizer: str, *, text: str = "text", ids: str =
             for a, b in _slices(column):
                 flat, ends = encoder.encode(column.slice(a, b - a).to_pylist())
                 yield _with(batch.slice(a, b - a), ids, pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)))
-    return df.mapInArrow(work, _schema(df, ids, T.ArrayType(T.IntegerType())))
+    return small_batches(df).mapInArrow(work, _schema(df, ids, T.ArrayType(T.IntegerType())))
 
 
 def decode_bpe(df: DataFrame, tokenizer: str, *, ids: str = "ids", text: str = "decoded") -> DataFrame:
@@ -270,4 +272,4 @@ def decode_bpe(df: DataFrame, tokenizer: str, *, ids: str = "ids", text: str = "
                 joined = pc.binary_join(lists, " ") if not lists.flatten().null_count else pa.array(
                     [" ".join(t for t in tokens if t is not None) for tokens in lists.to_pylist()], pa.string())
                 yield _with(part, text, joined)
-    return df.mapInArrow(work, _schema(df, text, T.StringType()))
+    return small_batches(df).mapInArrow(work, _schema(df, text, T.StringType()))

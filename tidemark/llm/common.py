@@ -60,3 +60,11 @@ def packed(df: DataFrame) -> Column:
 def word_count(text: Column) -> Column:
     """Words of a text (null: 0), as long."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
+
+
+def small_batches(df: DataFrame, rows: int = 1000) -> DataFrame:
+    """``df``, in a session whose Arrow batches hold at most ``rows`` rows: a Python worker then holds few texts at a time."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(df.sparkSession.conf.get(name)) <= rows:
+        df.sparkSession.conf.set(name, str(rows))
+    return df

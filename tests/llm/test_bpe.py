@@ -33,6 +33,8 @@ def test_equals_the_library(spark, library):
     docs = spark.createDataFrame(rows, "doc_id int, text string, decoded string")
     back = bpe.decode_bpe(bpe.encode_bpe(docs, PATH), PATH).collect()
     assert len(back) == len(rows)
+    one = {r["doc_id"]: (r["ids"], r["decoded"]) for r in bpe.round_trip_bpe(docs, PATH).collect()}
+    assert one == {r["doc_id"]: (r["ids"], r["decoded"]) for r in back}
     for r in back:
         want = library.encode(r["text"] or "", add_special_tokens=False).ids
         assert r["ids"] == want, repr(r["text"])

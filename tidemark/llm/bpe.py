@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 
 from tidemark.llm.common import small_batches
 
-CACHE_WORDS = 60_000
+CACHE_WORDS = 120_000
 SLICE_BYTES = 1 << 20
 
 
@@ -250,26 +250,53 @@ def encode_bpe(df: DataFrame, tokenizer: str, *, text: str = "text", ids: str =
     return small_batches(df).mapInArrow(work, _schema(df, ids, T.ArrayType(T.IntegerType())))
 
 
+def _strings(spec: dict) -> list[str | None]:
+    """Each id's string, by id."""
+    names = dict((i, t) for t, i in spec["model"]["vocab"].items()) | {t["id"]: t["content"] for t in spec["added_tokens"]}
+    return [names.get(i) for i in range(max(names) + 1)]
+
+
+def _decoded(column: pa.Array, strings: pa.Array) -> pa.Array:
+    """The texts that a column of id lists stands for."""
+    flat, ends = column.flatten(), np.r_[0, np.cumsum(pc.fill_null(pc.list_value_length(column), 0))]
+    known = pc.and_(pc.greater_equal(flat, 0), pc.less(flat, len(strings)))
+    lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), strings.take(pc.if_else(known, flat, None)))
+    return pc.binary_join(lists, " ") if not lists.flatten().null_count else pa.array(
+        [" ".join(t for t in tokens if t is not None) for tokens in lists.to_pylist()], pa.string())
+
+
 def decode_bpe(df: DataFrame, tokenizer: str, *, ids: str = "ids", text: str = "decoded") -> DataFrame:
     """Add (or replace) the column ``text``: the decoded ids, special tokens kept.
 
     The tokenizer file names no decoder, so tokens' strings are joined by a space.
     Null ids decode to ""; ids outside the vocabulary are left out.
     """
-    spec = read_spec(tokenizer)
-    names = dict((i, t) for t, i in spec["model"]["vocab"].items()) | {t["id"]: t["content"] for t in spec["added_tokens"]}
-    table = df.sparkSession.sparkContext.broadcast([names.get(i) for i in range(max(names) + 1)])
+    table = df.sparkSession.sparkContext.broadcast(_strings(read_spec(tokenizer)))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         strings = pa.array(table.value, pa.string())
         for batch in batches:
             for a in range(0, batch.num_rows, 512):
                 part = batch.slice(a, 512)
-                column = part.column(part.schema.get_field_index(ids))
-                flat, ends = column.flatten(), np.r_[0, np.cumsum(pc.fill_null(pc.list_value_length(column), 0))]
-                known = pc.and_(pc.greater_equal(flat, 0), pc.less(flat, len(strings)))
-                lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), strings.take(pc.if_else(known, flat, None)))
-                joined = pc.binary_join(lists, " ") if not lists.flatten().null_count else pa.array(
-                    [" ".join(t for t in tokens if t is not None) for tokens in lists.to_pylist()], pa.string())
-                yield _with(part, text, joined)
+                yield _with(part, text, _decoded(part.column(part.schema.get_field_index(ids)), strings))
     return small_batches(df).mapInArrow(work, _schema(df, text, T.StringType()))
+
+
+def round_trip_bpe(df: DataFrame, tokenizer: str, *, text: str = "text", ids: str = "ids",
+                   decoded: str = "decoded") -> DataFrame:
+    """``encode_bpe`` and ``decode_bpe`` in one pass (one Python worker a task), with ``ids`` and ``decoded`` in place of ``text``."""
+    spec = df.sparkSession.sparkContext.broadcast(read_spec(tokenizer))     # bounded by the file
+    kept = [c for c in df.columns if c not in (text, ids, decoded)]
+    schema = T.StructType([*(df.schema[c] for c in kept), T.StructField(ids, T.ArrayType(T.IntegerType())),
+                           T.StructField(decoded, T.StringType())])
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder, strings = _encoder(tokenizer, spec.value), pa.array(_strings(spec.value), pa.string())
+        for batch in batches:
+            column = batch.column(batch.schema.get_field_index(text))
+            for a, b in _slices(column):
+                flat, ends = encoder.encode(column.slice(a, b - a).to_pylist())
+                coded, part = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)), batch.slice(a, b - a)
+                yield pa.RecordBatch.from_arrays([*(part.column(part.schema.get_field_index(c)) for c in kept),
+                                                  coded, _decoded(coded, strings)], names=[*kept, ids, decoded])
+    return small_batches(df).mapInArrow(work, schema)

@@ -42,8 +42,7 @@ def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded and decoded again; digests of both."""
     path = public_tokenizers.path("word_bpe_49k.json")
-    coded = bpe.encode_bpe(_table(spark, sf_dir, "documents").select("doc_id", "text"), path).drop("text")
-    back = bpe.decode_bpe(coded, path)
+    back = bpe.round_trip_bpe(_table(spark, sf_dir, "documents").select("doc_id", "text"), path)
     return back.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
                        F.sha2("decoded", 256).alias("decoded_sha256"))

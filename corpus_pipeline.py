@@ -40,9 +40,8 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, and the text they decode to."""
-    coded = bpe.encode_bpe(docs.select("doc_id", "source", "lang", "text"), TOKENIZER, ids="ids")
-    return bpe.decode_bpe(coded.drop("text"), TOKENIZER, ids="ids", text="decoded").withColumn(
-        "n_tokens", F.size("ids").cast("long"))
+    coded = bpe.round_trip_bpe(docs.select("doc_id", "source", "lang", "text"), TOKENIZER)
+    return coded.withColumn("n_tokens", F.size("ids").cast("long"))
 
 
 STAGES = [("language", language), ("near_duplicates", near_duplicates), ("personal_data", personal_data),

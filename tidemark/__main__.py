@@ -12,6 +12,7 @@ import datetime as dt
 import json
 import sys
 
+from tidemark.operators.load import utc
 from tidemark.plans import jobs
 from tidemark.session import build_session
 
@@ -51,11 +52,11 @@ def main(argv: list[str] | None = None) -> int:
                               on_fail=args.on_fail)
         print(json.dumps(failed, default=str))
     elif args.layer == "silver":
-        jobs.build_silver(spark, args.root, args.as_of or args.run_ts.date(), args.run_ts)
+        jobs.build_silver(spark, args.root, args.as_of or utc(args.run_ts).date(), args.run_ts)
     elif args.layer == "snapshots":
         jobs.take_snapshots(spark, args.root, args.run_ts)
     else:
-        jobs.build_gold(spark, args.root, args.run_ts)
+        jobs.build_gold(spark, args.root, args.run_ts, full=True)
     return 0
 
 

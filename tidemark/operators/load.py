@@ -12,6 +12,7 @@ key.  Keys are unique on both sides, so no key can be skewed.
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -20,6 +21,7 @@ from pyspark.sql import functions as F
 from tidemark.operators.sizing import BROADCAST_MAX_ROWS, fits
 
 Keys = str | Sequence[str]
+_EPOCH = _dt.datetime(1970, 1, 1, tzinfo=_dt.timezone.utc)
 
 
 class DuplicateKeyError(ValueError):
@@ -30,10 +32,25 @@ def _keys(k: Keys) -> list[str]:
     return [k] if isinstance(k, str) else list(k)
 
 
+def utc(run_ts: _dt.datetime) -> _dt.datetime:
+    """The run clock as an aware UTC instant; a naive clock is read as UTC, whatever the machine's zone."""
+    return run_ts.replace(tzinfo=_dt.timezone.utc) if run_ts.tzinfo is None else run_ts.astimezone(_dt.timezone.utc)
+
+
+def clock(run_ts: _dt.datetime) -> Column:
+    """The run clock as a timestamp literal that no time zone moves."""
+    micros = (utc(run_ts) - _EPOCH) // _dt.timedelta(microseconds=1)
+    return F.timestamp_micros(F.lit(micros).cast("long"))
+
+
+def from_micros(micros: int | None) -> _dt.datetime | None:
+    """The aware UTC instant of ``unix_micros`` (None stays None)."""
+    return None if micros is None else _EPOCH + _dt.timedelta(microseconds=micros)
+
+
 def stamp_load(df: DataFrame, run_ts, column: str = "dwh_load_date") -> DataFrame:
-    """Add the load stamp: one value for the whole load."""
-    value = run_ts if isinstance(run_ts, Column) else F.lit(run_ts)
-    return df.withColumn(column, value)
+    """Add the load stamp: one value for the whole load (a clock or a column)."""
+    return df.withColumn(column, run_ts if isinstance(run_ts, Column) else clock(run_ts))
 
 
 def duplicate_keys(df: DataFrame, key: Keys) -> DataFrame:

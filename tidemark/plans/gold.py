@@ -53,18 +53,19 @@ def dim_customers(customers_snapshot: DataFrame, addresses_snapshot: DataFrame,
 
 
 def changed_customers(previous: DataFrame, customers_snapshot: DataFrame, addresses_snapshot: DataFrame,
-                      contacts: DataFrame, run_ts) -> DataFrame:
-    """Customers whose dimension rows can differ from ``previous`` after a snapshot run.
+                      contacts: DataFrame, merged_at) -> DataFrame:
+    """Customers whose dimension rows can differ from ``previous``, merged at the snapshot clock ``merged_at``.
 
-    Those with a snapshot version opened or closed at ``run_ts``, and those
+    Those with a snapshot version opened or closed at that clock (a run may have
+    been repeated under it) or later, and those
     whose contacts changed: per (customer, phone, email) the current rows of
     ``previous`` are counted against the contact rows (one current row per
     contact; a customer without contacts counts as one NULL contact).
     """
-    run = run_ts if isinstance(run_ts, F.Column) else F.lit(run_ts)
+    mark = merged_at if isinstance(merged_at, F.Column) else F.lit(merged_at)
     touched = None
     for snap in (customers_snapshot, addresses_snapshot):
-        k = snap.filter((F.col("valid_from") == run) | (F.col("valid_to") == run)).select("customer_id")
+        k = snap.filter((F.col("valid_from") >= mark) | (F.col("valid_to") >= mark)).select("customer_id")
         touched = k if touched is None else touched.unionByName(k)
     current = previous.filter(F.col("is_current")).select("customer_id", "phone", "email")
     seen = current.groupBy("customer_id", "phone", "email").agg(F.count(F.lit(1)).alias("_seen"))
@@ -81,7 +82,7 @@ def changed_customers(previous: DataFrame, customers_snapshot: DataFrame, addres
 
 
 def dim_customers_incremental(previous: DataFrame | None, customers_snapshot: DataFrame,
-                              addresses_snapshot: DataFrame, contacts: DataFrame, run_ts, *,
+                              addresses_snapshot: DataFrame, contacts: DataFrame, merged_at, *,
                               customer_attrs: list[str] = CUSTOMER_ATTRS,
                               address_attrs: list[str] = ADDRESS_ATTRS) -> DataFrame:
     """G4 maintained across runs: rows of unchanged customers are kept as they are, the
@@ -91,7 +92,7 @@ def dim_customers_incremental(previous: DataFrame | None, customers_snapshot: Da
     if previous is None:
         return dim_customers(customers_snapshot, addresses_snapshot, contacts,
                              customer_attrs=customer_attrs, address_attrs=address_attrs)
-    changed = changed_customers(previous, customers_snapshot, addresses_snapshot, contacts, run_ts)
+    changed = changed_customers(previous, customers_snapshot, addresses_snapshot, contacts, merged_at)
     redo = dim_customers(customers_snapshot.join(changed, "customer_id", "left_semi"),
                          addresses_snapshot.join(changed, "customer_id", "left_semi"),
                          contacts.join(changed, "customer_id", "left_semi"),

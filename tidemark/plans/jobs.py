@@ -5,21 +5,24 @@ folder per table (:mod:`tidemark.sources.tables`).  Event logs (bronze
 transactions and customer changes, their silver models, the gold fact) and the
 closed part of each snapshot only receive new rows; current-state tables and
 the open part of each snapshot are published as new versions.  The newest
-change per customer and the customer dimension are maintained from what a run
-changed, and the daily checks of event logs cover the rows a run appended.
+change per customer and the customer dimension are maintained from what changed
+since they were last written, and the daily checks cover whole tables.
 Clocks are arguments: ``run_ts`` stamps loads, log partitions and snapshot
 versions (one value shared by both snapshots), ``as_of`` dates the age bracket.
+A clock without a zone is UTC, whatever the machine's zone.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
 import os
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.load import DuplicateKeyError, inspect_batch, new_rows, stamp_load, upsert_latest
+from tidemark.operators.load import (DuplicateKeyError, clock, from_micros, inspect_batch, new_rows, stamp_load,
+                                     upsert_latest, utc)
 from tidemark.operators.quality import Check, QualityError, enforce, run_checks
 from tidemark.operators.history import snapshot_step
 from tidemark.operators.incremental import after_high_water
@@ -29,21 +32,21 @@ from tidemark.plans.checks import GOLD_CHECKS, SILVER_CHECKS
 from tidemark.schemas import DAILY_FILES, ENTITIES, INSERT_ABSENT, MAX_TEXT_LENGTH
 from tidemark.schemas import entity as _entity
 from tidemark.sources.landing import read_landing
-from tidemark.sources.tables import (append_log, delete_path, log_partitions, log_path, materialize, publish,
-                                    read_table)
+from tidemark.sources.tables import (append_log, delete_path, log_partitions, log_path, materialize, path_exists,
+                                    publish, read_table, replace_log)
 
 BRONZE, SILVER, GOLD = "bronze", "silver", "gold"
 
 
 def load_id(run_ts: _dt.datetime) -> str:
-    """Partition name of a load: the run clock as sortable text (one clock for every log)."""
-    return run_ts.strftime("%Y%m%dT%H%M%S")
+    """Partition name of a load: the run clock in UTC as sortable text (one clock for every log)."""
+    return utc(run_ts).strftime("%Y%m%dT%H%M%S")
 
 
 def _stamp(run_ts: _dt.datetime | None) -> str:
     """Partition stamp of a layer build: the run clock when given (so it is never
-    earlier than the load stamps of the rows it appends), else the local clock."""
-    return load_id(run_ts if run_ts is not None else _dt.datetime.now())
+    earlier than the load stamps of the rows it appends), else the clock now."""
+    return load_id(run_ts if run_ts is not None else _dt.datetime.now(_dt.timezone.utc))
 
 
 def bronze_table(spark: SparkSession, root: str, name: str) -> DataFrame:
@@ -76,7 +79,7 @@ def load_entity(spark: SparkSession, entity: str, path: str, root: str, run_ts:
     too_long = {c: n for c, n in lengths.items() if n is not None and n > MAX_TEXT_LENGTH}
     if too_long:
         raise QualityError(f"{ent.name} landing file {path}: text longer than {MAX_TEXT_LENGTH}: {too_long}")
-    batch = stamp_load(batch, F.lit(run_ts).cast("timestamp"))
+    batch = stamp_load(batch, run_ts)
     target = read_table(spark, root, BRONZE, ent.name)
     if target is not None and "load_id" in target.columns:
         target = target.drop("load_id")
@@ -89,15 +92,24 @@ def load_entity(spark: SparkSession, entity: str, path: str, root: str, run_ts:
                 root, BRONZE, ent.name)
 
 
-def bootstrap(spark: SparkSession, seed_dir: str, root: str, run_ts: _dt.datetime) -> list[str]:
-    """Load every seed file present (``<seed_dir>/<entity>.csv``) into bronze."""
-    loaded = []
-    for name in ENTITIES:
-        path = os.path.join(seed_dir, f"{name}.csv")
-        if os.path.exists(path):
-            load_entity(spark, name, path, root, run_ts)
-            loaded.append(name)
-    return loaded
+# The current-state entities have a seed file; event logs begin with the first day.
+SEED_ENTITIES = tuple(name for name, e in ENTITIES.items() if e.mode != INSERT_ABSENT)
+
+
+def bootstrap(spark: SparkSession, seed_dir: str, root: str, run_ts: _dt.datetime,
+              entities: Sequence[str] = SEED_ENTITIES) -> list[str]:
+    """Load the seed file of every entity named (``<seed_dir>/<entity>.csv``) into bronze.
+
+    Files are looked up through the Hadoop FileSystem (any store Spark reads);
+    a missing one raises before anything is loaded.
+    """
+    paths = {name: os.path.join(seed_dir, f"{name}.csv") for name in entities}
+    missing = [p for p in paths.values() if not path_exists(p)]
+    if missing:
+        raise FileNotFoundError(f"seed files not found: {missing}")
+    for name, path in paths.items():
+        load_entity(spark, name, path, root, run_ts)
+    return list(paths)
 
 
 def load_day(spark: SparkSession, day: str, incoming_dir: str, root: str, run_ts: _dt.datetime) -> None:
@@ -116,8 +128,12 @@ def log_mark(spark: SparkSession, root: str, layer: str, name: str, column: str
     parts = log_partitions(root, layer, name)
     if not parts:
         return None
-    newest = read_table(spark, root, layer, name).filter(F.col("load_id") == parts[-1])
-    return newest.agg(F.max(column).alias("m")).first()["m"]
+    return _max_instant(read_table(spark, root, layer, name).filter(F.col("load_id") == parts[-1]), column)
+
+
+def _max_instant(df: DataFrame, column: str = "dwh_load_date") -> _dt.datetime | None:
+    """The greatest timestamp of a column as an aware UTC instant (read as a number: no zone moves it)."""
+    return from_micros(df.agg(F.max(F.unix_micros(F.col(column))).alias("m")).first()["m"])
 
 
 def log_since(spark: SparkSession, root: str, layer: str, name: str, mark) -> DataFrame | None:
@@ -168,7 +184,7 @@ def maintain_latest_changes(spark: SparkSession, root: str, change_type: str) ->
     """
     name = f"latest_{change_type}_changes"
     prev = _table(spark, root, SILVER, name)
-    mark = None if prev is None else prev.agg(F.max("dwh_load_date").alias("m")).first()["m"]
+    mark = None if prev is None else _max_instant(prev)
     source = log_since(spark, root, BRONZE, "customer_changes", mark)
     if source is None:
         source = bronze_table(spark, root, "customer_changes")
@@ -193,14 +209,27 @@ def take_snapshots_for(spark: SparkSession, root: str, run_ts: _dt.datetime,
 
     A snapshot is stored in two parts: ``<name>_open`` (versioned, the open
     versions, rewritten each run) and ``<name>_closed`` (a log, closed
-    versions only appended).  A run reads and rewrites the open set only.
+    versions, one partition per run).  A run reads and rewrites the open set only.
+
+    The open set is published last and decides.  A version still open in it was
+    not closed by any finished run, so a retry under the same clock drops such
+    rows from its own closed partition (an attempt that broke off wrote them)
+    and writes the partition anew.
     """
-    run = F.lit(run_ts).cast("timestamp")
+    run, part = clock(run_ts), load_id(run_ts)
     for name, current, check in snapshots:
         opened = _table(spark, root, SILVER, f"{name}_open")
         touched = snapshot_step(opened, _table(spark, root, SILVER, current), "customer_id", check, run)
         touched = materialize(touched, f"{name}-run")      # written twice below: compute once
-        append_log(touched.filter(F.col("valid_to").isNotNull()), root, SILVER, f"{name}_closed", load_id(run_ts))
+        closed = touched.filter(F.col("valid_to").isNotNull())
+        if part in log_partitions(root, SILVER, f"{name}_closed"):
+            earlier = read_table(spark, root, SILVER, f"{name}_closed").filter(F.col("load_id") == part)
+            if opened is None:
+                earlier = earlier.limit(0)
+            else:
+                earlier = earlier.join(opened.select("scd_id"), "scd_id", "left_anti")
+            closed = materialize(closed.unionByName(earlier.select(*closed.columns)), f"{name}-closed")
+        replace_log(closed, root, SILVER, f"{name}_closed", part)
         publish(touched.filter(F.col("valid_to").isNull()), root, SILVER, f"{name}_open")
 
 
@@ -223,27 +252,38 @@ def silver_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
 
 
 def build_gold(spark: SparkSession, root: str, run_ts: _dt.datetime | None = None, *,
-               max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> None:
+               full: bool = False, max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> None:
     """Account, card and merchant dimensions (rebuilt), the customer dimension
-    (maintained incrementally when a previous version and ``run_ts`` exist) and
-    the fact (delta appended; replaced keys rewritten)."""
+    (maintained from the snapshot clock it was last merged at) and the fact
+    (delta appended; replaced keys rewritten).  ``full=True`` builds the customer
+    dimension and the fact again from all of silver.
+
+    The clock of the last merge (``dim_customers_mark``) is published after the
+    dimension: a run that breaks off in between merges the same customers again.
+    """
     s = silver_tables(spark, root)
     publish(gold.dim_accounts(s["accounts"], s["account_products"]), root, GOLD, "dim_accounts")
     publish(gold.dim_cards(s["cards"], s["card_bin_ranges"]), root, GOLD, "dim_cards")
     publish(gold.dim_merchants(s["merchants"], s["merchant_categories"]), root, GOLD, "dim_merchants")
     previous = _table(spark, root, GOLD, "dim_customers")
-    if previous is None or run_ts is None:
-        dim = gold.dim_customers(s["customers_snapshot"], s["addresses_snapshot"], s["customer_contacts"])
+    merged_at = _table(spark, root, GOLD, "dim_customers_mark")
+    merged_at = None if merged_at is None else _max_instant(merged_at, "merged_at")
+    histories = s["customers_snapshot"], s["addresses_snapshot"]
+    reached = max(filter(None, (_max_instant(h.select(F.greatest("valid_from", "valid_to").alias("t")), "t")
+                                for h in histories)), default=None)
+    if full or previous is None or merged_at is None:
+        dim = gold.dim_customers(*histories, s["customer_contacts"])
     else:
-        dim = gold.dim_customers_incremental(previous, s["customers_snapshot"], s["addresses_snapshot"],
-                                             s["customer_contacts"], F.lit(run_ts).cast("timestamp"))
+        dim = gold.dim_customers_incremental(previous, *histories, s["customer_contacts"], clock(merged_at))
     publish(dim, root, GOLD, "dim_customers")
+    if reached is not None:
+        publish(spark.range(1).select(clock(reached).alias("merged_at")), root, GOLD, "dim_customers_mark")
     target = _table(spark, root, GOLD, "fact_transactions")
-    mark = log_mark(spark, root, GOLD, "fact_transactions")
+    mark = None if full else log_mark(spark, root, GOLD, "fact_transactions")
     source = log_since(spark, root, SILVER, "transactions", mark)
     delta = gold.fact_rows(source, s["transaction_types"], s["currencies"],
                            _table(spark, root, GOLD, "dim_accounts"), _table(spark, root, GOLD, "dim_customers"),
-                           None if mark is not None else target, mark=mark)
+                           None if full or mark is not None else target, mark=mark)
     _write_fact(spark, root, target, delta, max_broadcast_rows, _stamp(run_ts))
 
 
@@ -294,22 +334,24 @@ def check_layer(tables: dict[str, DataFrame], checks: list[Check], on_fail: str
 
 
 def scope_to_run(spark: SparkSession, root: str, layer: str, tables: dict[str, DataFrame], checks: list[Check],
-                 run_ts: _dt.datetime) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
-    """Restrict log-table checks to the rows this run appended.
-
-    Earlier rows were checked when they were appended and never change, so the
-    row-level and relationship checks need the new partition only, and a
-    uniqueness check needs the new rows plus the older rows that share their
-    keys (a semi join on the key column, the new keys broadcast when small).
+                 passed: str | None) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
+    """Restrict log-table checks to the loads after ``passed``, the last load that passed them.
+
+    Rows of a load that passed never change, so the row-level and relationship
+    checks need the later partitions only, and a uniqueness check needs the new
+    rows plus the older rows that share their keys (a semi join on the key
+    column, the new keys broadcast when small).  Loads that failed stay in the
+    scope of every later run until they pass; ``None`` restricts nothing.
     """
-    stamp = _stamp(run_ts)
     scoped, unique_scope = dict(tables), {}
+    if passed is None:
+        return scoped, unique_scope
     for name in LOG_TABLES.get(layer, []):
         full = read_table(spark, root, layer, name)
         if full is None or "load_id" not in full.columns:
             continue
-        new = full.filter(F.col("load_id") == stamp).drop("load_id")
-        older = full.filter(F.col("load_id") != stamp).drop("load_id")
+        new = full.filter(F.col("load_id") > passed).drop("load_id")
+        older = full.filter(F.col("load_id") <= passed).drop("load_id")
         scoped[name] = new
         for ch in checks:
             if ch.table == name and ch.kind == "unique":
@@ -321,16 +363,16 @@ def scope_to_run(spark: SparkSession, root: str, layer: str, tables: dict[str, D
 
 
 def run_day(spark: SparkSession, day: str, incoming_dir: str, root: str, run_ts: _dt.datetime, *,
-            as_of: _dt.date | None = None, on_fail: str = "error", full_checks: bool = False) -> dict[str, list[dict]]:
+            as_of: _dt.date | None = None, on_fail: str = "error", full_checks: bool = True) -> dict[str, list[dict]]:
     """The daily run: bronze loads -> silver -> snapshots -> silver checks -> gold -> gold checks.
 
-    With ``on_fail='error'`` a failing silver check stops the run before gold.
-    Checks on event-log tables cover the rows this run appended
-    (:func:`scope_to_run`); ``full_checks=True`` checks whole tables.
-    Returns the failing checks per layer.
+    With ``on_fail='error'`` a failing silver check stops the run before gold,
+    and every later run until the rows it objects to are mended.  Checks cover
+    whole tables; ``full_checks=False`` checks event logs from the last load that
+    passed on (:func:`scope_to_run`).  Returns the failing checks per layer.
     """
     load_day(spark, day, incoming_dir, root, run_ts)
-    build_silver(spark, root, as_of or run_ts.date(), run_ts)
+    build_silver(spark, root, as_of or utc(run_ts).date(), run_ts)
     take_snapshots(spark, root, run_ts)
     failed = {}
     for layer, tables_of, checks, build in [
@@ -338,9 +380,19 @@ def run_day(spark: SparkSession, day: str, incoming_dir: str, root: str, run_ts:
             (GOLD, gold_tables, GOLD_CHECKS, lambda: build_gold(spark, root, run_ts))]:
         if build is not None:
             build()
-        tables = tables_of(spark, root)
-        scope = {} if full_checks else None
+        tables, scope = tables_of(spark, root), {}
         if not full_checks:
-            tables, scope = scope_to_run(spark, root, layer, tables, checks, run_ts)
+            tables, scope = scope_to_run(spark, root, layer, tables, checks, last_passed(spark, root, layer))
         failed[layer] = check_layer(tables, checks, on_fail, scope)
+        if not failed[layer]:
+            publish(spark.range(1).select(F.lit(_stamp(run_ts)).alias("passed")), root, layer, PASSED)
     return failed
+
+
+PASSED = "checks_passed"
+
+
+def last_passed(spark: SparkSession, root: str, layer: str) -> str | None:
+    """The newest load whose checks of a layer all passed (None: none yet)."""
+    table = _table(spark, root, layer, PASSED)
+    return None if table is None else table.first()["passed"]

@@ -53,7 +53,8 @@ def _fs(path: str):
     return jpath.getFileSystem(spark._jsc.hadoopConfiguration()), jpath
 
 
-def _exists(path: str) -> bool:
+def path_exists(path: str) -> bool:
+    """Whether a file or folder is there, through the Hadoop FileSystem."""
     fs, p = _fs(path)
     return bool(fs.exists(p))
 
@@ -77,7 +78,7 @@ def versions(root: str, layer: str, name: str) -> list[str]:
     """Complete versions of a table (those with a ``_SUCCESS`` marker), oldest first."""
     base = table_path(root, layer, name)
     return [os.path.join(base, d) for d in _children(base)
-            if _VERSION.match(d) and _exists(os.path.join(base, d, "_SUCCESS"))]
+            if _VERSION.match(d) and path_exists(os.path.join(base, d, "_SUCCESS"))]
 
 
 def log_path(root: str, layer: str, name: str) -> str:
@@ -142,6 +143,17 @@ def append_log(df: DataFrame, root: str, layer: str, name: str, load_id: str) ->
     return path
 
 
+def replace_log(df: DataFrame, root: str, layer: str, name: str, load_id: str) -> str:
+    """Write ``df`` as the whole content of partition ``load_id=<load_id>`` of a log table.
+
+    A load run again replaces what an earlier attempt wrote.  ``df`` must not read
+    that partition (materialize it first).
+    """
+    path = os.path.join(log_path(root, layer, name), f"load_id={load_id}")
+    df.write.mode("overwrite").parquet(path)
+    return path
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as Parquet under the shared checkpoint folder and read it back.
 

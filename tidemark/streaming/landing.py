@@ -21,7 +21,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.load import new_rows, stamp_load, upsert_latest
+from tidemark.operators.load import new_rows, stamp_load, upsert_latest, utc
 from tidemark.schemas import INSERT_ABSENT
 from tidemark.schemas import entity as _entity
 from tidemark.session import scratch_path
@@ -51,7 +51,7 @@ def stream_landing(spark: SparkSession, entity, pattern: str, root: str, *,
               .withColumn("_file", F.input_file_name()))
 
     def fold(batch: DataFrame, batch_id: int) -> None:
-        stamp = run_ts if run_ts is not None else _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+        stamp = utc(run_ts if run_ts is not None else _dt.datetime.now(_dt.timezone.utc))
         # A micro-batch may span several files (days): the earliest file wins
         # for event logs (first wins), the latest for upserted entities.
         pick = F.min_by if ent.mode == INSERT_ABSENT else F.max_by
@@ -59,7 +59,7 @@ def stream_landing(spark: SparkSession, entity, pattern: str, root: str, *,
         rows = (batch.groupBy(ent.key)
                 .agg(pick(F.struct(*cols), F.col("_file")).alias("_r"))
                 .select(*[F.col(f"_r.{c}").alias(c) for c in cols]))
-        rows = stamp_load(rows, stamp).withColumn("dwh_load_date", F.col("dwh_load_date").cast("timestamp"))
+        rows = stamp_load(rows, stamp)
         target = read_table(spark, root, layer, ent.name)
         if target is not None and "load_id" in target.columns:
             target = target.drop("load_id")

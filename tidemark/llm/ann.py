@@ -86,38 +86,42 @@ class Partitioner:
         if parts < 2:
             return
         self.scale = 1 / np.sqrt((sample ** 2).sum(1).mean())
-        score = sample @ sample.T
-        np.fill_diagonal(score, -np.inf)
-        near = np.argpartition(-score, NEIGHBOURS, 1)[:, :NEIGHBOURS]
-        graph = np.zeros_like(score, np.float32)
-        np.put_along_axis(graph, near, 1, 1)
-        label = self._bisect(np.maximum(graph, graph.T), parts)
+        near = np.empty((len(sample), NEIGHBOURS), int)
+        for a in range(0, len(sample), 256):        # a block of rows at a time: the driver holds no square matrix
+            score = sample[a:a + 256] @ sample.T
+            score[np.arange(len(score)), np.arange(a, a + len(score))] = -np.inf
+            near[a:a + 256] = np.argpartition(-score, NEIGHBOURS, 1)[:, :NEIGHBOURS]
+        pairs = np.column_stack([np.repeat(np.arange(len(sample)), NEIGHBOURS), near.ravel()])
+        label = self._bisect(np.unique(np.vstack([pairs, pairs[:, ::-1]]), axis=0), len(sample), parts)
         self._learn(sample * self.scale, label, parts)
         self._calibrate(sample, near, parts)
 
     @staticmethod
-    def _bisect(graph: np.ndarray, parts: int) -> np.ndarray:
-        label, rng = np.zeros(len(graph), int), np.random.default_rng(0)
-        work = [(np.arange(len(graph)), 0, parts)]
+    def _bisect(edges: np.ndarray, size: int, parts: int) -> np.ndarray:
+        """The part of each vertex of a graph given as its edges, each in both directions."""
+        label, rng = np.zeros(size, int), np.random.default_rng(0)
+        work = [(np.arange(size), edges, 0, parts)]
         while work:
-            rows, first, n = work.pop()
+            rows, edges, first, n = work.pop()      # edges hold places in rows
             if n == 1:
                 label[rows] = first
                 continue
-            sub = graph[np.ix_(rows, rows)]
-            root = np.sqrt(sub.sum(1) + 1e-3)
-            norm = sub / root[:, None] / root[None]
+            i, j = edges[:, 0], edges[:, 1]
+            into = lambda x: np.bincount(i, x[j], len(rows))  # noqa: B023, E731  the neighbours' sum
+            degree = into(np.ones(len(rows)))
+            root = np.sqrt(degree + 1e-3)
             top = root / np.linalg.norm(root)
             x = rng.standard_normal(len(rows))
             for _ in range(60):             # the second direction of the lazy walk
                 x = x - top * (top @ x)
-                x = norm @ x + x
+                x = into(x / root) / root + x
                 x /= np.linalg.norm(x)
             order, cut = np.argsort(x, kind="stable"), len(rows) * (n // 2) // n
             low = np.zeros(len(rows), bool)
             low[order[:cut]] = True
             for _ in range(4):              # swap the vertices that gain most by changing sides, in equal numbers
-                gain = np.where(low, sub @ ~low - sub @ low, sub @ low - sub @ ~low)
+                pull = 2 * into(low.astype(float)) - degree     # neighbours on the low side less those on the other
+                gain = np.where(low, -pull, pull)
                 a, b = np.flatnonzero(low), np.flatnonzero(~low)
                 a, b = a[np.argsort(-gain[a])], b[np.argsort(-gain[b])]
                 m = min(len(a), len(b))
@@ -125,7 +129,9 @@ class Partitioner:
                 if not len(swaps):
                     break
                 low[a[swaps]], low[b[swaps]] = False, True
-            work += [(rows[low], first, n // 2), (rows[~low], first + n // 2, n - n // 2)]
+            for side, at, m in ((low, first, n // 2), (~low, first + n // 2, n - n // 2)):
+                place = np.cumsum(side) - 1
+                work.append((rows[side], place[edges[side[i] & side[j]]], at, m))
         return label
 
     def _learn(self, x: np.ndarray, label: np.ndarray, parts: int) -> None:

@@ -33,8 +33,7 @@ from tidemark.llm.common import stage
 
 SAMPLE = 4096
 NEIGHBOURS = 10
-PART_ROWS = 1024          # distinct vectors a part is meant to hold, until SAMPLE // LEAST_PART parts
-LEAST_PART = 64
+PART_SAMPLE = 64          # sample vectors a part holds
 RECALL = 0.98
 CHUNK = 4096
 
@@ -179,14 +178,17 @@ def _matrix(column) -> np.ndarray:
     return np.frombuffer(b"".join(values), np.float64).reshape(len(values), -1)
 
 
-def fit(vectors: DataFrame, distinct: int, sample: int = SAMPLE) -> tuple[Partitioner, int]:
-    """A partitioner from ``sample`` of the staged distinct vectors, and the length in bytes of its vectors."""
+def fit(vectors: DataFrame, sample: int = SAMPLE) -> tuple[Partitioner, int]:
+    """A partitioner from ``sample`` of the staged distinct vectors, and the length in bytes of its vectors.
+
+    The number of parts follows from the sample alone, so that the parts a query
+    goes to do not become more as the table grows.
+    """
     rows = [r["vec"] for r in vectors.select("vec").orderBy(F.xxhash64("vec"), "vec").limit(sample).collect()]
     lengths = pd.Series([len(r) for r in rows], dtype=int)
     size = int(lengths.mode().iloc[0]) if len(rows) else 0
     x = _matrix([r for r in rows if len(r) == size]) if rows else np.zeros((0, 1))
-    wanted = min(distinct // PART_ROWS, len(x) // LEAST_PART)
-    return Partitioner(x, max(1, wanted)), size
+    return Partitioner(x, max(1, len(x) // PART_SAMPLE)), size
 
 
 def nearest(vectors: DataFrame, is_query: Column, k: int, *, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
@@ -194,7 +196,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int, *, key: str = "vec_id"
     spark = vectors.sparkSession
     rows = vectors.select(F.col(key).cast("long").alias("id"), F.col(vector).alias("v"), is_query.alias("q"))
     every = stage(_distinct(rows.select("id", "v"), k + 1), "ann-vectors")
-    model, size = fit(every, every.count())
+    model, size = fit(every)
     every = every.where(F.length("vec") == size)
     sent = spark.sparkContext.broadcast(model)          # dimensions x parts numbers
 

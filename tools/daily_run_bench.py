@@ -56,7 +56,7 @@ def write_day(spark, sf_dir: str, incoming: str, day: str, tag: str) -> None:
         F.concat(F.lit("AC"), s("l_orderkey")).alias("account_id"),
         F.when(purchase, F.concat(F.lit("CD"), s("l_orderkey"))).alias("card_id"),
         F.when(purchase, F.concat(F.lit("M"), s("l_suppkey"))).alias("merchant_id"),
-        tx_type.alias("transaction_type"), F.lit("USD").alias("currency_code"),
+        tx_type.alias("transaction_type"), F.lit("GBP").alias("currency_code"),
         F.regexp_replace(F.format_number("l_extendedprice", 2), ",", "").alias("amount"),
         F.lit("approved").alias("status"))
     write_csv(tx, day_dir, f"transactions_{day}")
@@ -66,9 +66,9 @@ def write_day(spark, sf_dir: str, incoming: str, day: str, tag: str) -> None:
                         F.concat(F.lit("C"), F.lpad(s("user_id"), 7, "0")).alias("customer_id"),
                         F.when(status_change, "status").otherwise("address").alias("change_type"),
                         F.when(status_change, "blocked").alias("status"),
-                        F.when(~status_change, F.concat(s("user_id"), F.lit(f" Tole bi st {tag}"))).alias("address_line"),
-                        F.when(~status_change, F.lit("Astana")).alias("city"),
-                        F.when(~status_change, F.lit("Kazakhstan")).alias("country"),
+                        F.when(~status_change, F.concat(s("user_id"), F.lit(f" New Street {tag}"))).alias("address_line"),
+                        F.when(~status_change, F.lit("York")).alias("city"),
+                        F.when(~status_change, F.lit("England")).alias("country"),
                         F.concat(F.lit(day + " "), F.date_format("ts", "HH:mm:ss")).alias("change_timestamp")),
               day_dir, f"customer_changes_{day}")
     for prefix, cols in [("new_customers", "customer_id string, first_name string, last_name string, dob string, "
@@ -89,38 +89,38 @@ def build_landing(spark, sf_dir: str, root: str) -> tuple[str, str]:
                           F.split_part("c_name", F.lit("#"), F.lit(2)).alias("last_name"),
                           F.date_add(F.lit("1950-01-01").cast("date"), (F.col("c_custkey") % 18000).cast("int"))
                           .cast("string").alias("dob"),
-                          F.lit("active").alias("status"), F.lit("2024-01-31 00:00:00").alias("created_at")),
+                          F.lit("active").alias("status"), F.lit("2025-05-01 00:00:00").alias("created_at")),
               seed, "customers")
     write_csv(cust.select(F.concat(F.lit("A"), s("c_custkey")).alias("address_id"), cid.alias("customer_id"),
-                          F.concat(s("c_nationkey"), F.lit(" Abay ave")).alias("address_line"),
-                          F.concat(F.lit("city"), s("c_nationkey")).alias("city"), F.lit("Kazakhstan").alias("country"),
-                          F.lit("2024-01-31").alias("valid_from"), F.lit(None).cast("string").alias("valid_to")),
+                          F.concat(s("c_nationkey"), F.lit(" Mill Lane")).alias("address_line"),
+                          F.concat(F.lit("city"), s("c_nationkey")).alias("city"), F.lit("England").alias("country"),
+                          F.lit("2025-05-01").alias("valid_from"), F.lit(None).cast("string").alias("valid_to")),
               seed, "customer_addresses")
     write_csv(cust.select(F.concat(F.lit("CT"), s("c_custkey")).alias("contact_id"), cid.alias("customer_id"),
-                          F.concat(F.lit("7701"), F.lpad(s("c_custkey"), 7, "0")).alias("phone"),
-                          F.concat(F.lower(F.regexp_replace("c_name", "#", ".")), F.lit("@mail.kz")).alias("email"),
-                          F.lit("2024-01-31").alias("valid_from"), F.lit(None).cast("string").alias("valid_to")),
+                          F.concat(F.lit("4411"), F.lpad(s("c_custkey"), 7, "0")).alias("phone"),
+                          F.concat(F.lower(F.regexp_replace("c_name", "#", ".")), F.lit("@post.example")).alias("email"),
+                          F.lit("2025-05-01").alias("valid_from"), F.lit(None).cast("string").alias("valid_to")),
               seed, "customer_contacts")
     acc = F.concat(F.lit("AC"), s("o_orderkey"))
     write_csv(orders.select(acc.alias("account_id"), F.concat(F.lit("C"), F.lpad(s("o_custkey"), 7, "0")).alias("customer_id"),
-                            F.lit("CHK").alias("product_id"), F.lit("USD").alias("currency_code"),
+                            F.lit("everyday").alias("product_id"), F.lit("GBP").alias("currency_code"),
                             F.to_date("o_orderdate").cast("string").alias("opened_date"), F.lit("active").alias("status")),
               seed, "accounts")
     write_csv(orders.select(F.concat(F.lit("CD"), s("o_orderkey")).alias("card_id"), acc.alias("account_id"),
-                            F.lit("421234").alias("bin"), F.to_date("o_orderdate").cast("string").alias("issued_date"),
+                            F.lit("990011").alias("bin"), F.to_date("o_orderdate").cast("string").alias("issued_date"),
                             F.lit("active").alias("status")), seed, "cards")
     write_csv(supp.select(F.concat(F.lit("M"), s("s_suppkey")).alias("merchant_id"), F.col("s_name").alias("name"),
-                          F.concat(F.lit("MC"), s("s_nationkey")).alias("category_id"), F.lit("Almaty").alias("city")),
+                          F.concat(F.lit("MC"), s("s_nationkey")).alias("category_id"), F.lit("Leeds").alias("city")),
               seed, "merchants")
     mk = lambda rows, schema: spark.createDataFrame(rows, schema)
-    write_csv(mk([("USD", "US Dollar", "$")], "currency_code string, currency_name string, symbol string"), seed, "currencies")
+    write_csv(mk([("GBP", "Pound", "£")], "currency_code string, currency_name string, symbol string"), seed, "currencies")
     write_csv(mk([(f"MC{i}", f"Category {i}") for i in range(25)], "category_id string, category_name string"),
               seed, "merchant_categories")
     write_csv(mk([(t, t.replace("_", " ")) for t in TYPES], "transaction_type string, description string"),
               seed, "transaction_types")
-    write_csv(mk([("CHK", "Current account", "USD")], "product_id string, product_name string, default_currency string"),
+    write_csv(mk([("everyday", "Everyday", "GBP")], "product_id string, product_name string, default_currency string"),
               seed, "account_products")
-    write_csv(mk([("421234", "Visa Classic", "VISA")], "bin string, product_name string, network string"),
+    write_csv(mk([("990011", "Blue card", "ORCA")], "bin string, product_name string, network string"),
               seed, "card_bin_ranges")
     write_day(spark, sf_dir, incoming, DAY, "A")
     write_day(spark, sf_dir, incoming, DAY2, "B")

@@ -48,5 +48,21 @@ def test_found_where_they_stand(spark):
     assert (at[1]["first_word"], at[1]["end_word"]) == (2, 9)
 
 
+def test_copies_close_together():
+    scanner = licenses.Scanner(licenses.TEMPLATES, licenses.MIN_COVERAGE, licenses.MAX_STRETCH)
+    got = scanner.scan("see the docs. Released under the MIT License. Released under the MIT License. the end")
+    assert got == [("MIT-notice", 1.0, 3, 8)]
+    prose = "the terms of the software and the notice to any person without the following copyright or use in this list "
+    for name in ("MIT", "BSD"):
+        text, n = licenses.TEMPLATES[name], len(licenses.license_words(licenses.TEMPLATES[name]))
+        for between in ("", prose):
+            got = [h for h in scanner.scan(prose + text + " " + between + text + " " + prose) if h[0] == name]
+            assert [h[1] for h in got] == [1.0] and got[0][3] - got[0][2] <= n + 4, (name, got)
+    words = licenses.license_words(licenses.TEMPLATES["MIT"])
+    cut = " ".join(words[:20] + words[30:])
+    got = scanner.scan(f"{prose}{cut} the {cut} the {cut} {prose}")
+    assert [h[0] for h in got] == ["MIT"] and got[0][1] >= (len(words) - 10) / len(words)
+
+
 def test_empty_table(spark):
     assert licenses.scan_licenses(spark.createDataFrame([], "doc_id long, text string")).count() == 0

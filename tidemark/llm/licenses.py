@@ -4,7 +4,9 @@ Words that occur once in the text and once in the template are anchors; the
 longest increasing subsequence of their places keeps those in order, and the
 gaps between kept anchors are aligned in the same way, where further words have
 become unique.  A template is found if the words so aligned, in the densest
-stretch of the text, cover at least ``min_coverage`` of it.
+stretch of the text, cover at least ``min_coverage`` of it.  Where copies stand
+so close together that words are not unique, the tightest stretch with the
+longest chain of words is searched instead.
 
 Only words of the templates matter to the alignment, so a text is first reduced
 to the places of such words; a template is tried only if enough of its words
@@ -21,6 +23,7 @@ from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -101,6 +104,32 @@ def patience_align(a: list[str], b: list[str]) -> list[tuple[int, int]]:
     return sorted(out)
 
 
+def tight_stretch(group: list[tuple[int, str]], template: list[str], width: int, price: int) -> tuple[int, int, int]:
+    """Most words aligned in a stretch of at most ``width`` words, and the stretch, where words are too repeated for anchors.
+
+    Piles as in ``longest_increasing``, one per place of the template, keep the chain that is best by
+    price * words + first place: a word less is worth ``price`` words of width, so that a chain does not
+    reach back from one copy of the template into another.
+    """
+    where: dict[str, list[int]] = {}
+    for j, w in enumerate(template, 1):
+        where.setdefault(w, []).append(j)
+    at = {w: np.array(js) for w, js in where.items()}
+    top = np.full(len(template) + 1, -1, np.int64)          # (price * words + first) << 32 | first, running maximum
+    best = (0, 0, 0)
+    for i, w in group:
+        js = at[w]
+        value = np.maximum(top[js - 1], (i << 32) | i) + (price << 32)
+        first = value & 0xFFFFFFFF
+        n = ((value >> 32) - first) // price
+        n[i - first >= width] = 0
+        k = int((n * (1 << 32) + first).argmax())
+        best = max(best, (int(n[k]), int(first[k]), i + 1), key=lambda x: (x[0], x[1] - x[2]))
+        top[js] = np.maximum(top[js], value)
+        np.maximum.accumulate(top, out=top)
+    return best
+
+
 class Scanner:
     """Templates, prepared."""
 
@@ -132,14 +161,19 @@ class Scanner:
         return found
 
     def _groups(self, places, own, n) -> Iterator[list[tuple[int, str]]]:
-        """Stretches of the text dense enough in the template's words to hold it, each with its surroundings."""
+        """Stretches of the text that hold enough of the template's words, each with its surroundings."""
         mine = [(i, w) for i, w in places if w in own]
         width, need, low, last = int(self.max_stretch * n), self.min_coverage * n, 0, -1
-        start = None
-        for high in range(len(mine)):
-            while mine[high][0] - mine[low][0] >= width:
+        start, held, overlap = None, Counter(), 0           # overlap: words held, each as often as the template has it
+        for high, (i, w) in enumerate(mine):
+            held[w] += 1
+            overlap += held[w] <= own[w]
+            while i - mine[low][0] >= width:
+                out = mine[low][1]
+                overlap -= held[out] <= own[out]
+                held[out] -= 1
                 low += 1
-            if high - low + 1 >= need:
+            if overlap >= need:
                 if start is None or low > last:
                     if start is not None:
                         yield mine[start:last + 1]
@@ -158,6 +192,13 @@ class Scanner:
                 low += 1
             if high - low + 1 > best[0]:
                 best = (high - low + 1, at[low], x + 1)
+        held = Counter(w for _, w in group)
+        bound = sum(min(n, held[w]) for w, n in Counter(template).items())
+        width = int(self.max_stretch * len(template))
+        for price in (width, width // 4, 8, 2):
+            if best[0] >= bound:
+                break
+            best = max(best, tight_stretch(group, template, width, max(2, price)), key=lambda x: (x[0], x[1] - x[2]))
         return best
 
 

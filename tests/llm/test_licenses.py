@@ -64,5 +64,28 @@ def test_copies_close_together():
     assert [h[0] for h in got] == ["MIT"] and got[0][1] >= (len(words) - 10) / len(words)
 
 
+def test_real_notices_and_whole_licenses(spark):
+    gpl3 = ("This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public "
+            "License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any "
+            "later version.")
+    other = lambda kind, version: gpl3.replace("GNU General", f"GNU {kind} General").replace("version 3", f"version {version}")
+    want = {gpl3: {"GPL-3.0"}, gpl3.replace("version 3", "version 2"): {"GPL-2.0"}, other("Lesser", "2.1"): {"LGPL-2.1"},
+            other("Lesser", "3").replace("program", "library"): {"LGPL-3.0"}, other("Affero", "3"): {"AGPL-3.0"},
+            "Licensed under CC BY 4.0.": {"CC-BY-4.0"}, "Licensed under CC BY-NC 4.0.": {"CC-BY-NC-4.0"},
+            "Licensed under CC BY-SA 4.0.": {"CC-BY-SA-4.0"}, "Released under the BSD License.": set(),
+            "This work is licensed under a Creative Commons Attribution-ShareAlike 3.0 Unported License.": set(),
+            "This work is licensed under the GNU General Public License, version 2.": {"GPL-2.0"},
+            "This work is licensed under the GNU Lesser General Public License, version 3.": {"LGPL-3.0"},
+            "# SPDX-License-Identifier: LGPL-2.1-or-later": {"LGPL-2.1"},
+            licenses.TEMPLATES["BSD"] + " " + dict(licenses.VARIANTS)["BSD-3-Clause"]: {"BSD", "BSD-3-Clause"},
+            gpl3 + " and more " * 60 + other("Lesser", "3"): {"GPL-3.0", "LGPL-3.0"}}
+    want |= {f"Some words before. {text} And some after the license.": {name} for name, text in licenses.bodies()}
+    assert {"GPL-2.0", "MPL-2.0", "CC0-1.0", "Unlicense", "Apache-2.0"} <= {n for n, _ in licenses.bodies()}
+    rows = list(enumerate(want))
+    got = licenses.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    for i, text in rows:
+        assert {r["license"] for r in got if r["doc_id"] == i} - {"all-rights-reserved"} == want[text], text[:200]
+
+
 def test_empty_table(spark):
     assert licenses.scan_licenses(spark.createDataFrame([], "doc_id long, text string")).count() == 0

@@ -38,6 +38,23 @@ def test_equal_marked_articles_both_stay(spark):
     assert got == {1: "The same story.", 2: "The same story."}
 
 
+def test_marked_pages_are_told_by_their_neighbours(spark):
+    page = lambda i: (f"<div>Top line</div><p>lead {i}</p><article><p>{'story ' * 9}{i}</p><p>Same line</p></article>"
+                      "<div>Bottom line</div>")
+    rows = [(i, f"http://h.org/a/{i:03d}", page(i), "r") for i in range(50)] + [(90, "http://alone.org/", page(90), "r")]
+    got = text_of(spark, rows)
+    for i in range(50):
+        assert got[i] == f"lead {i}\n{'story ' * 9}{i}\nSame line", i
+    assert got[90] == f"{'story ' * 9}90\nSame line"
+
+
+def test_copies_are_passed_over_to_a_page_that_differs(spark):
+    page = lambda t: f"<div>Top line</div><p>own {t}</p><div>Bottom line</div>"
+    rows = [(i, f"http://h.org/b/{i:04d}", page("copy"), "r") for i in range(500)] + [(900, "http://h.org/c", page("last"), "r")]
+    got = text_of(spark, rows)
+    assert {got[i] for i in range(500)} == {"own copy"} and got[900] == "own last"
+
+
 def test_shared_lines_are_a_longest_common_subsequence():
     r = random.Random(1)
     import numpy as np

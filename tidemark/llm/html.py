@@ -2,37 +2,42 @@
 
 A page's markup is cut into blocks (lines of text).  Blocks inside menus,
 headers, footers, sidebars, notices, adverts, forms and reader comments, told by
-element, role, class or id, are left out.  Where the page marks its article
-(``article``, ``main``), what is left inside it is the main text.
+element, role, class or id, are left out.
 
-Where it does not, boilerplate without telling markup has to be found: pages of
-a host are put in order of their URL paths, each is paired with the neighbour
-that shares the longer beginning of its path, their lines are aligned by longest
-common subsequence, and shared lines are deleted.  Lines of a marked article are
-never deleted, as two pages may rightly carry the same article.
+Boilerplate without telling markup is found by differencing: pages of a host are
+put in order of their URL paths, each is paired with the neighbour that shares
+the longer beginning of its path, their lines are aligned by longest common
+subsequence, and shared lines are deleted.  Neighbours of equal lines tell
+nothing and are passed over to the nearest page whose lines differ.  Lines of a
+marked article (``article``, ``main``) are never deleted, as two pages may rightly
+carry the same article; where no page tells, only the marked article is kept.
 
 Pages are ordered by one range-partitioned sort over (host, path), so a hot host
 is spread; only line hashes are sorted, and texts stay where they were read.
+Tasks go over the sorted files in order; of each file, the first and last two
+pages that differ are collected, which gives its edge pages their neighbours.
 
 Defined cases: a null or empty html gives ""; a null url belongs to a host of
 its own; a page alone in its host has nothing to be compared with; of equal
 neighbours the one before is taken; repeated rows are pages of their own; a page
-whose every line the other shares is a copy, which tells nothing, and stays
-whole; an empty table gives an empty table; extra columns pass through.
+that shares no line or every line with its neighbour is told nothing by it, and
+stays as it is if the neighbour on the other side tells nothing either; an empty table gives an empty table; extra columns pass through.
 """
 
 from __future__ import annotations
 
+import itertools
 import re
 from bisect import bisect_left
 from collections.abc import Iterator
 from html import unescape
+from typing import NamedTuple
 from urllib.parse import urlsplit
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -153,42 +158,108 @@ def _place(url: str | None) -> tuple[str, str]:
     return parts.netloc.lower(), parts.path + ("?" + parts.query if parts.query else "")
 
 
+def _marked(got: list[tuple[str, bool]]) -> bool:
+    """Whether the page marks its article."""
+    return any(m for _, m in got)
+
+
 def _lines(pages: DataFrame) -> DataFrame:
-    """Of each page (uid, url, html): uid, host, path, marked, lines (hashes)."""
+    """Of each page (uid, url, html): uid, host, path, lines (hashes), loose (places of lines that no mark guards)."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             got = [blocks(h.as_py()) for h in batch.column(2)]
             place = [_place(u.as_py()) for u in batch.column(1)]
+            loose = [[i for i, (_, m) in enumerate(g) if not (m and guard)] for g, guard in zip(got, map(_marked, got))]
             yield pa.RecordBatch.from_arrays([
                 batch.column(0), pa.array([p[0] for p in place], pa.string()), pa.array([p[1] for p in place], pa.string()),
-                pa.array([any(m for _, m in g) for g in got], pa.bool_()),
-                pa.array([[xxhash.xxh64_intdigest(t.encode()) - (1 << 63) for t, _ in g] for g in got], pa.list_(pa.int64()))],
-                names=["uid", "host", "path", "marked", "lines"])
-    return pages.mapInArrow(work, "uid long, host string, path string, marked boolean, lines array<long>")
+                pa.array([[xxhash.xxh64_intdigest(t.encode()) - (1 << 63) for t, _ in g] for g in got], pa.list_(pa.int64())),
+                pa.array(loose, pa.list_(pa.int32()))], names=["uid", "host", "path", "lines", "loose"])
+    return pages.mapInArrow(work, "uid long, host string, path string, lines array<long>, loose array<int>")
 
 
-def _paired(lines: DataFrame, block: int = 64) -> DataFrame:
-    """Each page without a marked article, with the lines of the page of the nearest URL in its host."""
-    n = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    laid = stage(lines.repartitionByRange(n, "host", "path", "uid").sortWithinPartitions("host", "path", "uid")
-                 .withColumns({"part": F.spark_partition_id(), "idx": F.monotonically_increasing_id()}), "page-order")
-    # Places in the whole order: each partition's first place plus the place within it.
-    counts = laid.groupBy("part").agg(F.count("*").alias("rows"), F.min("idx").alias("least"))
-    first = counts.select("part", "least", F.coalesce(F.sum("rows").over(
-        Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("base"))
-    placed = laid.join(F.broadcast(first), "part").withColumn("pos", F.col("base") + F.col("idx") - F.col("least"))
-    home = F.floor(F.col("pos") / block)
-    # A page at the edge of its block is shown to the next block as well.
-    shown = placed.withColumn("home", home).withColumn("block", F.explode(F.array_distinct(F.array(
-        home, F.floor((F.col("pos") + 1) / block), F.floor((F.col("pos") - 1) / block)))))
-    order = Window.partitionBy("block").orderBy("pos")
-    side = lambda f: f(F.struct("host", "path", "lines"), 1).over(order)
-    near = shown.withColumns({"before": side(F.lag), "after": side(F.lead)}).where("home = block and not marked")
-    return near.select("uid", "host", "path", "lines", "before", "after")
+class _Page(NamedTuple):
+    host: str
+    path: str
+    lines: bytes
+
+    def like(self, other: _Page | None) -> bool:
+        return other is not None and self.host == other.host and self.lines == other.lines
+
+
+class _Run:
+    """Pages in a row of one host and equal lines: the first, the last, and (uid, path) of those with loose lines."""
+
+    def __init__(self, page: _Page, loose: list[int]):
+        self.first, self.last, self.loose, self.rows = page, page, loose, []
+
+
+def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, Iterator[_Run]]]:
+    """Stretches of rows (idx, uid, host, path, lines, loose) without a gap in idx: the first idx, and their runs."""
+    def rows():
+        for batch in batches:
+            lines, loose = batch.column(4), batch.column(5)
+            for i, (idx, uid, host, path) in enumerate(zip(*(batch.column(k).to_pylist() for k in range(4)))):
+                yield idx, uid, _Page(host, path, lines[i].values.to_numpy().tobytes()), loose[i]
+    source = rows()
+    ahead = next(source, None)
+
+    def runs():
+        nonlocal ahead
+        run = None
+        while ahead is not None:
+            idx, uid, page, loose = ahead
+            if run is None or not page.like(run.first):
+                if run is not None:
+                    yield run
+                run = _Run(page, loose.as_py())
+            run.last = page
+            if run.loose:
+                run.rows.append((uid, page.path))
+            ahead = next(source, None)
+            if ahead is not None and ahead[0] != idx + 1:
+                break
+        if run is not None:
+            yield run
+    while ahead is not None:
+        yield ahead[0], runs()
+
+
+def _edges(laid: DataFrame) -> dict[int, tuple[_Page | None, _Page | None]]:
+    """Of each segment, by its first idx: the last page before it that differs from its first run, and the first
+    page after it that differs from its last run."""
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for start, runs in _segments(batches):
+            ends: list[tuple] = []             # the first two runs' first pages, the last two runs' last pages
+            tail: list[_Run] = []
+            for run in runs:
+                if len(ends) < 2:
+                    ends.append((start, "head", *run.first))
+                run.rows.clear()
+                tail = [*tail[-1:], run]
+            ends += [(start, "tail", *run.last) for run in tail]
+            yield pa.RecordBatch.from_pydict(dict(zip(("start", "side", "host", "path", "lines"), map(list, zip(*ends)))))
+    found: dict[int, dict[str, list[_Page]]] = {}
+    # Four pages of each file's segments at most reach the driver.
+    for r in laid.mapInArrow(work, "start long, side string, host string, path string, lines binary").collect():
+        found.setdefault(r["start"], {"head": [], "tail": []})[r["side"]].append(
+            _Page(r["host"], r["path"], bytes(r["lines"])))
+    order = sorted(found)
+
+    def differing(page: _Page, pages: Iterator[_Page]) -> _Page | None:
+        return next((x for x in pages if not x.like(page)), None)
+    before = lambda k: (x for s in reversed(order[:k]) for x in reversed(found[s]["tail"]))
+    after = lambda k: (x for s in order[k + 1:] for x in found[s]["head"])
+    return {s: (differing(found[s]["head"][0], before(k)), differing(found[s]["tail"][-1], after(k)))
+            for k, s in enumerate(order)}
 
 
 def deletions(lines: DataFrame) -> DataFrame:
-    """(uid, gone): the places of lines that a page without a marked article shares with its nearest page."""
+    """(uid, gone): the places of loose lines that a page shares with its nearest page, where that tells something."""
+    n = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    laid = stage(lines.repartitionByRange(n, "host", "path", "uid").sortWithinPartitions("host", "path", "uid")
+                 .select(F.monotonically_increasing_id().alias("idx"), "uid", "host", "path", "lines", "loose"), "page-order")
+    edges = lines.sparkSession.sparkContext.broadcast(_edges(laid))
+
     def agree(a: str, b: str) -> int:
         n = 0
         for x, y in zip(a, b):
@@ -197,19 +268,29 @@ def deletions(lines: DataFrame) -> DataFrame:
             n += 1
         return n
 
+    def decided(run: _Run, before: _Page | None, after: _Page | None) -> Iterator[tuple[int, list[int]]]:
+        near = [x for x in (before, after) if x is not None and x.host == run.first.host] if run.rows else []
+        own, loose, told = np.frombuffer(run.first.lines, np.int64), set(run.loose), []
+        for other in near:
+            at = shared_lines(own, np.frombuffer(other.lines, np.int64))
+            if 0 < len(at) < len(own):
+                told.append((other.path, [i for i in at if i in loose]))
+        for uid, path in run.rows if told else ():
+            yield uid, max(told, key=lambda x: agree(x[0], path))[1]        # the first of equals
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            uid, gone = [], []
-            for r in batch.to_pylist():
-                near = [x for x in (r["before"], r["after"]) if x and x["host"] == r["host"]]
-                if near:
-                    best = max(near, key=lambda x: agree(x["path"], r["path"]))      # the first of equals
-                    at = shared_lines(r["lines"], best["lines"])
-                    if 0 < len(at) < len(r["lines"]):
-                        uid.append(r["uid"])
-                        gone.append(at)
-            yield pa.RecordBatch.from_pydict({"uid": pa.array(uid, pa.int64()), "gone": pa.array(gone, pa.list_(pa.int32()))})
-    return _paired(lines).mapInArrow(work, "uid long, gone array<int>")
+        for start, runs in _segments(batches):
+            before, after = edges.value[start]
+            held = None
+            for run in itertools.chain(runs, (None,)):
+                if held is not None:
+                    got = list(decided(held, before, run.first if run else after))
+                    before = held.last
+                    if got:
+                        yield pa.RecordBatch.from_pydict({"uid": pa.array([u for u, _ in got], pa.int64()),
+                                                          "gone": pa.array([g for _, g in got], pa.list_(pa.int32()))})
+                held = run
+    return laid.mapInArrow(work, "uid long, gone array<int>")
 
 
 def _join_lines(pages: DataFrame, names: list[str], schema: T.StructType) -> DataFrame:
@@ -218,9 +299,10 @@ def _join_lines(pages: DataFrame, names: list[str], schema: T.StructType) -> Dat
             out = []
             for h, gone in zip(batch.column(batch.schema.get_field_index("_html")),
                                batch.column(batch.schema.get_field_index("_gone"))):
-                got, drop = blocks(h.as_py()), set(gone.as_py() or ())
-                marked = any(m for _, m in got)
-                out.append("\n".join(t for i, (t, m) in enumerate(got) if (m if marked else i not in drop)))
+                got, drop = blocks(h.as_py()), gone.as_py()
+                # Without a page to tell, the mark decides alone, or all stays.
+                alone = drop is None and _marked(got)
+                out.append("\n".join(t for i, (t, m) in enumerate(got) if (m if alone else i not in (drop or ()))))
             yield pa.RecordBatch.from_arrays([*(batch.column(batch.schema.get_field_index(c)) for c in names),
                                               pa.array(out, pa.string())], names=[*names, "_main"])
     return pages.mapInArrow(work, schema)

@@ -55,6 +55,30 @@ def test_copies_are_passed_over_to_a_page_that_differs(spark):
     assert {got[i] for i in range(500)} == {"own copy"} and got[900] == "own last"
 
 
+def test_zones_do_not_swallow_the_page():
+    body = "<p>" + "The story goes on. " * 10 + "</p>"
+    story = ("The story goes on. " * 10).strip()
+    text = lambda page: [t for t, _ in html.blocks(page)]
+    article = f"<article><h2 class='section-header'>Head</h2>{body}</article>"
+    for open_, close in (("<div class='layout has-sidebar'>", "</div>"), ("<div id='page' class='no-comments'>", "</div>"),
+                         ("<div class='with-header'>", "</div>"), ("<form id=aspnetForm>", "</form>"),
+                         ("<div class='page-widget'>", "</div>")):
+        page = f"<body>{open_}<nav><li>Home</nav>{article}<div class='sidebar'><p>side</div><div class=ad-slot>Buy</div>{close}</body>"
+        assert text(page) == ["Head", story], open_
+        assert text(f"<body>{open_}<div class='menu'>Home</div><h1>Head</h1>{body}{close}</body>") == ["Head", story], open_
+    assert text("<p class='ad'>Buy<p>text</p><p>text</p>") == ["text", "text"]
+    assert text(f"{body}<ul><li class=promo>Buy<li>one<li>two</ul><div><p class=ad>Buy</div>end") == [story, "one", "two", "end"]
+    # Reader comments and cards stay zones, however long; a zone inside an article is one too.
+    assert text(f"<article>{body}</article><div id=comments>{body * 20}</div>") == [story]
+    assert text(f"{body}<div class=related><article>card</article></div>") == [story]
+
+
+def test_cards_are_not_the_article(spark):
+    page = f"<p>{'body text ' * 30}</p><article>related one</article><article>related two</article>"
+    got = text_of(spark, [(1, "http://h.org/a", page, "r")])
+    assert got[1].startswith("body text")
+
+
 def test_shared_lines_are_a_longest_common_subsequence():
     r = random.Random(1)
     import numpy as np

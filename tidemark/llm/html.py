@@ -2,14 +2,14 @@
 
 A page's markup is cut into blocks (lines of text).  Blocks inside menus,
 headers, footers, sidebars, notices, adverts, forms and reader comments, told by
-element, role, class or id, are left out.
+element, role, class or id, are left out, unless they hold the page's article.
 
 Boilerplate without telling markup is found by differencing: pages of a host are
 put in order of their URL paths, each is paired with the neighbour that shares
 the longer beginning of its path, their lines are aligned by longest common
 subsequence, and shared lines are deleted.  Neighbours of equal lines tell
 nothing and are passed over to the nearest page whose lines differ.  Lines of a
-marked article (``article``, ``main``) are never deleted, as two pages may rightly
+marked article (``article``, ``main``, if it holds the bulk of the text) are never deleted, as two pages may rightly
 carry the same article; where no page tells, only the marked article is kept.
 
 Pages are ordered by one range-partitioned sort over (host, path), so a hot host
@@ -29,6 +29,7 @@ from __future__ import annotations
 import itertools
 import re
 from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
 from html import unescape
 from typing import NamedTuple
@@ -64,41 +65,97 @@ _NAMES = frozenset("nav navbar navigation menu header masthead footer sidebar as
                    "pagination comment comments respond reply replies disqus widget".split())
 
 
+#: Last words of a class or id whose first word tells the zone (``ad-slot``), and first words that tell a variant of the
+#: page, not a zone (``has-sidebar``).
+_HOLDERS = frozenset("area bar block box buttons container content form holder icons inner item items left links list menu "
+                     "panel right section slot top unit widget widgets wrap wrapper".split())
+_VARIANTS = frozenset("has have no with without not is hide show".split())
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Zones that never hold the article.
+_HARD = frozenset("head template select button svg object canvas audio video datalist".split())
+#: Elements with optional end tags: what opening ends them, and the element around them, whose end is theirs.
+_P_ENDS = _BLOCK - frozenset("br button option caption head html body legend li dd dt tbody td tfoot th thead tr".split())
+_IMPLIED = {"p": (_P_ENDS, frozenset()), "li": (frozenset(["li"]), frozenset(["ul", "ol", "menu"])),
+            **dict.fromkeys(("dt", "dd"), (frozenset(["dt", "dd"]), frozenset(["dl"]))),
+            **dict.fromkeys(("td", "th"), (frozenset(["td", "th", "tr", "tbody", "tfoot"]), frozenset(["table"]))),
+            "tr": (frozenset(["tr", "tbody", "tfoot"]), frozenset(["table"]))}
+
+
+def _tells_zone(token: str) -> bool:
+    """Whether a class or id is a zone's name, ends in one, or begins with one and ends in a word for a holder."""
+    parts = [w.lower() for w in _WORD.findall(token)]
+    if not parts or token.lower() in _NAMES:
+        return bool(parts)
+    return parts[0] not in _VARIANTS and (parts[-1] in _NAMES or parts[0] in _NAMES and parts[-1] in _HOLDERS)
+
+
 def _is_zone(name: str, attrs: str) -> bool:
     if name in _ZONES:
         return True
-    if not attrs or "=" not in attrs or name in ("html", "body"):
+    if not attrs or name in ("html", "body"):
         return False
-    for key, a, b, c in _ATTR.findall(attrs):
+    for key, a, b, c in _ATTR.findall(attrs) if "=" in attrs else ():
         key, value = key.lower(), a or b or c
         if key == "role" and value.lower() in _ROLES:
             return True
-        if key in ("class", "id") and any(w.lower() in _NAMES for w in _WORD.findall(value)):
+        if key in ("class", "id") and name not in _HEADINGS and any(map(_tells_zone, value.split())):
             return True
-    return bool(re.search(r"\bhidden\b(?!\s*=)", attrs)) or "display:none" in attrs.replace(" ", "").lower()
+    bare = re.sub(r"\"[^\"]*\"|'[^']*'", "", attrs)
+    return bool(re.search(r"(?<![\w-])hidden\b(?!\s*=|-)", bare)) or "display:none" in attrs.replace(" ", "").lower()
+
+
+class _Zone:
+    """An open zone: its name, depth of equal names, depth of lists or tables inside, and its number."""
+
+    def __init__(self, name: str, number: int, article: tuple[int, int]):
+        self.name, self.number, self.depth, self.inner, self.article = name, number, 1, 0, article
+
+    def ended_by(self, name: str, closing: bool) -> bool:
+        """Whether a tag ends the zone's element; called for every tag while the zone is open."""
+        if self.name in _IMPLIED:
+            opens, around = _IMPLIED[self.name]
+            if name in around:
+                self.inner += -1 if closing else 1
+                if self.inner < 0:
+                    return True
+            if self.inner == 0 and (name in opens and not closing
+                                    or self.name == "p" and closing and name in _BLOCK and name not in ("p", "br")):
+                return True
+        if name == self.name and (self.inner == 0 or self.name not in _IMPLIED):
+            self.depth += -1 if closing else 1
+        return self.depth == 0
 
 
 def blocks(page: str | None) -> list[tuple[str, bool]]:
-    """Text blocks outside zones, in page order, and whether each lies in a marked article."""
-    out: list[tuple[str, bool]] = []
+    """Text blocks outside zones, in page order, and whether each lies in a marked article.
+
+    An element that would be a zone is none if it holds the page's article, told by a marked one with more text
+    than stands outside zones, or by more than three quarters of the text (around or beside a marked article with
+    text of its own, such a part is a zone all the same: long reader comments).
+    """
     if not page:
-        return out
+        return []
+    lines: list[tuple[str, int, tuple[int, ...]]] = []      # text, number of the article around it, zones around it
     text: list[str] = []
-    zone, zone_depth, article = "", 0, 0          # the outermost open zone, its depth of equal names
+    open_: list[_Zone] = []
+    zones: tuple[int, ...] = ()
+    inside: list[bool] = []                                 # of each zone: it lies in an article
+    article, articles = (0, 0), 0                           # depth and number of the outermost article, articles so far
 
     def flush() -> None:
         if text:
             if line := " ".join(unescape("".join(text)).split()):
-                out.append((line, article > 0))
+                lines.append((line, article[1] if article[0] else 0, zones))
             text.clear()
     at, n = 0, len(page)
+    hard, hard_depth = "", 0                                # what never holds the article is skipped at once
     while at < n:
         m = _TAG.search(page, at)
         if m is None:
-            if not zone:
+            if not hard:
                 text.append(page[at:])
             break
-        if not zone and m.start() > at:
+        if not hard and m.start() > at:
             text.append(page[at:m.start()])
         at = m.end()
         if m.group(2) is None:
@@ -109,21 +166,53 @@ def blocks(page: str | None) -> list[tuple[str, bool]]:
             stop = page.find(">", end.start()) if end else -1
             at = stop + 1 if stop >= 0 else n
             continue
-        if zone:
-            if name == zone and not attrs.rstrip().endswith("/"):
-                zone_depth += -1 if closing else 1
-                if zone_depth == 0:
-                    zone = ""
+        single = name in _VOID or attrs.rstrip().endswith("/")
+        if hard:
+            if name == hard and not single:
+                hard_depth += -1 if closing else 1
+                if hard_depth == 0:
+                    hard = ""
             continue
         if name in _BLOCK:
             flush()
+        if open_ and not (single and name not in _BLOCK):
+            for k, zone in enumerate(open_):
+                if zone.ended_by(name, closing):
+                    flush()
+                    article = zone.article
+                    del open_[k:]
+                    zones = tuple(z.number for z in open_)
+                    break
         if name in _ARTICLE:
-            article = max(0, article + (-1 if closing else 1))
-        elif not closing and name not in _VOID and not attrs.rstrip().endswith("/") and _is_zone(name, attrs):
+            if closing:
+                article = (max(0, article[0] - 1), article[1])
+            else:
+                articles += article[0] == 0
+                article = (article[0] + 1, article[1] if article[0] else articles)
+        elif not closing and not single and _is_zone(name, attrs):
             flush()
-            zone, zone_depth = name, 1
+            if name in _HARD:
+                hard, hard_depth = name, 1
+                continue
+            open_.append(_Zone(name, len(inside), article))
+            inside.append(article[0] > 0)
+            zones = tuple(z.number for z in open_)
     flush()
-    return out
+    sizes = [len(t) for t, _, _ in lines]
+    total, free = sum(sizes), sum(k for k, (_, _, z) in zip(sizes, lines) if not z)
+    free_marked = any(a and not z for _, a, z in lines)
+    held, story, parts = Counter(), Counter(), {}           # text of each zone and article, zones around each article
+    for k, (_, a, z) in zip(sizes, lines):
+        held.update(dict.fromkeys(z, k))
+        if a:
+            story[a] += k
+            parts[a] = parts[a] & set(z) if a in parts else set(z)
+    void = {z for z, k in held.items() if 4 * k > 3 * total and (inside[z] or not free_marked)}
+    if story:
+        main = max(story, key=lambda a: (story[a], -a))
+        if story[main] > free:
+            void |= {z for z in parts[main] if not inside[z]}
+    return [(t, a > 0) for t, a, z in lines if void.issuperset(z)]
 
 
 def shared_lines(a: np.ndarray, b: np.ndarray) -> list[int]:
@@ -159,8 +248,8 @@ def _place(url: str | None) -> tuple[str, str]:
 
 
 def _marked(got: list[tuple[str, bool]]) -> bool:
-    """Whether the page marks its article."""
-    return any(m for _, m in got)
+    """Whether the page marks its article: the mark holds the bulk of the text."""
+    return 2 * sum(len(t) for t, m in got if m) > sum(len(t) for t, _ in got)
 
 
 def _lines(pages: DataFrame) -> DataFrame:

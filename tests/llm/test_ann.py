@@ -52,6 +52,13 @@ def test_copies_ties_and_vectors_that_take_no_part(spark):
     assert [(v, s) for _, v, s in got[100]] == [(i, 0.0) for i in range(20)]
 
 
+def test_as_many_as_asked_where_parts_hold_fewer(spark):
+    r = np.random.default_rng(3)
+    x = 20 * r.normal(size=(8, 16))[np.arange(600) % 8] + r.normal(size=(600, 16))
+    got = search(spark, [(i, v.tolist(), "x") for i, v in enumerate(x)], k=300)
+    assert set(got) == set(range(0, 600, 20)) and {len(found) for found in got.values()} == {300}
+
+
 def test_fewer_candidates_than_asked(spark):
     got = search(spark, [(0, [1.0, 2.0], "x"), (7, [2.0, 1.0], "x"), (3, [-1.0, 0.0], "x")])
     assert got == {0: [(1, 7, 4.0), (2, 3, -1.0)]}

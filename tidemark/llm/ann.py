@@ -5,8 +5,9 @@ the graph of nearest neighbours is cut into balanced parts by recursive
 bisection: the graph's slowest-mixing direction splits each piece at its median.
 A softmax classifier learns the parts from the vectors.  It then gives every
 vector of the table its part, and routes each query to its most probable parts
-until they hold ``mass`` of the probability; ``mass`` is the least that finds
-``RECALL`` of the sample's own neighbours.  Candidates are scored exactly.
+until they hold ``mass`` of the probability and k + 1 candidates; ``mass`` is the
+least that finds ``RECALL`` of the sample's neighbours of vectors that neither the
+graph nor the classifier has seen.  Candidates are scored exactly.
 
 Equal vectors are one candidate that carries its k + 1 smallest ids, which is
 all that any query can return of them, and equal queries are searched once: a
@@ -91,9 +92,13 @@ class Partitioner:
             score[np.arange(len(score)), np.arange(a, a + len(score))] = -np.inf
             near[a:a + 256] = np.argpartition(-score, NEIGHBOURS, 1)[:, :NEIGHBOURS]
         pairs = np.column_stack([np.repeat(np.arange(len(sample)), NEIGHBOURS), near.ravel()])
-        label = self._bisect(np.unique(np.vstack([pairs, pairs[:, ::-1]]), axis=0), len(sample), parts)
-        self._learn(sample * self.scale, label, parts)
-        self._calibrate(sample, near, parts)
+        # Every fifth vector is held out of the graph and the classifier, and tells how well they do.
+        out = np.arange(len(sample)) % 5 == 4
+        place = np.cumsum(~out) - 1
+        pairs = place[pairs[~out[pairs].any(1)]]
+        label = self._bisect(np.unique(np.vstack([pairs, pairs[:, ::-1]]), axis=0), int((~out).sum()), parts)
+        self._learn(sample[~out] * self.scale, label, parts)
+        self._calibrate(sample, out, near[out], parts)
 
     @staticmethod
     def _bisect(edges: np.ndarray, size: int, parts: int) -> np.ndarray:
@@ -151,26 +156,28 @@ class Partitioner:
         z = np.exp(z - z.max(1, keepdims=True))
         return z / z.sum(1, keepdims=True)
 
-    def _calibrate(self, sample: np.ndarray, near: np.ndarray, parts: int) -> None:
+    def _calibrate(self, sample: np.ndarray, out: np.ndarray, near: np.ndarray, parts: int) -> None:
+        """Set the mass by the neighbours ``near`` (places in the sample) of the vectors held ``out``."""
         p = self.probabilities(sample)
+        part, p = p.argmax(1), p[out]
         order = np.argsort(-p, 1)
         place = np.empty_like(order)
         np.put_along_axis(place, order, np.arange(parts)[None], 1)
         before = np.cumsum(np.take_along_axis(p, order, 1), 1) - np.take_along_axis(p, order, 1)
         # Probability ahead of the part in which each neighbour lies: it is probed if that is below the mass.
-        part = p.argmax(1)[near]
-        ahead = np.take_along_axis(before, np.take_along_axis(place, part, 1), 1)
+        ahead = np.take_along_axis(before, np.take_along_axis(place, part[near], 1), 1)
         self.mass = float(np.quantile(ahead, RECALL)) + 1e-9
 
     def part(self, x: np.ndarray) -> np.ndarray:
         return self.probabilities(x).argmax(1)
 
-    def routes(self, x: np.ndarray) -> list[np.ndarray]:
-        """The parts each query goes to."""
+    def routes(self, x: np.ndarray, held: np.ndarray, least: int) -> list[np.ndarray]:
+        """The parts each query goes to: those of the mass, and further ones until ``least`` candidates are held."""
         p = self.probabilities(x)
         order = np.argsort(-p, 1, kind="stable")
         ahead = np.cumsum(np.take_along_axis(p, order, 1), 1) - np.take_along_axis(p, order, 1)
-        return [o[a < max(self.mass, 1e-9)] for o, a in zip(order, ahead)]
+        some = np.cumsum(held[order], 1) - held[order]          # candidates in the parts ahead
+        return [o[(a < max(self.mass, 1e-9)) | (n < least)] for o, a, n in zip(order, ahead, some)]
 
 
 def _matrix(column) -> np.ndarray:
@@ -207,10 +214,14 @@ def nearest(vectors: DataFrame, is_query: Column, k: int, *, key: str = "vec_id"
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(part.astype(np.int32))], names=["vec", "ids", "part"])
     index = stage(every.mapInArrow(place, "vec binary, ids array<long>, part int"), "ann-index")
 
+    held = np.zeros(len(model.bias), np.int64)          # candidates of each part
+    for r in index.groupBy("part").agg(F.sum(F.size("ids")).alias("n")).collect():      # a row a part
+        held[r["part"]] = r["n"]
+
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                to = sent.value.routes(_matrix(batch.column(0)))
+                to = sent.value.routes(_matrix(batch.column(0)), held, k + 1)
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([t.astype(np.int32) for t in to], pa.list_(pa.int32()))],
                                                  names=["vec", "qkey", "parts"])
     # Every query row, and the smallest query id of its vector, under which the vector is searched.

@@ -17,10 +17,9 @@ TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is told; those without a letter go (``und``), and those between two languages."""
+    """Documents whose language is told, be it narrowly; those without a letter go (``und``)."""
     found = langid.identify(docs, langid.train(docs.select("text", "lang")), prefix="_stage_")
-    return found.where((F.col("_stage_pred") != langid.UNDETERMINED) & ~F.col("_stage_ambiguous")).select(
-        *[F.col(f"`{c}`") for c in docs.columns])
+    return found.where(F.col("_stage_pred") != langid.UNDETERMINED).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -44,6 +44,18 @@ def test_stages_against_brute_force(spark):
     assert all(r["n_tokens"] == len(r["ids"]) for r in coded)
 
 
+def test_only_documents_without_letters_go_by_language(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    short = docs.where("text is not null").limit(4)
+    texts = ["A.\nAll rights reserved.", "De.", "日本語", "12 3 !?"]
+    short = spark.createDataFrame([tuple(texts[i] if f == "text" else -1 - i if f == "doc_id" else r[f] for f in docs.columns)
+                                   for i, r in enumerate(short.collect())], docs.schema)
+    every = docs.unionByName(short)
+    told = {r["doc_id"] for r in dict(corpus_pipeline.STAGES)["language"](spark, every, SF).select("doc_id").collect()}
+    assert told == {r["doc_id"] for r in every.where(F.col("text").rlike(r"\p{L}")).select("doc_id").collect()}
+    assert {-1, -2, -3} <= told and -4 not in told
+
+
 def test_stages_on_empty_and_odd_documents(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     empty = docs.where("false")

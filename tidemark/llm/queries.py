@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import ann, bpe, html, langid, licenses, mixing, neardup, pii, quality, warc
+from tidemark.llm import ann, bpe, collocations, html, langid, licenses, mixing, neardup, pii, quality, spelling, toxicity, warc
 from tidemark.llm.common import scratch, stage
 
 
@@ -95,7 +95,26 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("lang_ambiguous").alias("ambiguous"))
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents, their near words and the frequent forms they are variants of."""
+    return spelling.spelling_variants(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity of every document, learned from labelled documents that are not held out."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
+    model = toxicity.train(docs.where(~out), _table(spark, sf_dir, "labels").select("doc_id", "toxic"))
+    scored = toxicity.score_texts(docs, model, name="score")
+    return scored.select("doc_id", out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2,000 strongest phrases of two to four words in each language."""
+    return collocations.collocations(_table(spark, sf_dir, "documents").select("lang", "text"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_mix_sources, op2_license_scan, op3_quality_rules, op4_near_duplicates, op5_bpe, op6_pii, op7_main_text, op8_nearest,
-    op9_warc, op10_language)}
+    op9_warc, op10_language, op11_spelling, op12_toxicity, op13_collocations)}
 ORACLES: dict[str, str] = {}

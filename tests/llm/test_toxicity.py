@@ -53,7 +53,7 @@ def test_a_window_of_toxic_text_is_nearer_to_its_dictionary(spark):
 
 def test_defined_cases(spark):
     docs, labels = made(spark, 200)
-    odd = spark.createDataFrame([(1, None, "x"), (2, "", "x"), (3, "123 !?", "x"), (4, "vile " * 100_000, "x"), (4, "vile " * 100_000, "x"),
+    odd = spark.createDataFrame([(1, None, "x"), (2, "", "x"), (3, "123 !?", "x"), (4, "wretched " * 100_000, "x"), (4, "wretched " * 100_000, "x"),
                                  (5, "y" * 300_000, None)], "doc_id int, text string, toxic string")
     model = toxicity.train(docs.withColumn("label", F.lit("x")), labels)
     got = toxicity.score_texts(odd, model, name="toxic")

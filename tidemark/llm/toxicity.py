@@ -77,7 +77,7 @@ class Model:
 
     def __init__(self, toxic: bytes, ordinary: bytes, base: float):
         self.toxic, self.ordinary, self.base = toxic, ordinary, base
-        self.mean = self.scale = self.weights = None
+        self.mean = self.scale = self.low = self.high = self.weights = None
 
     def __getstate__(self):
         return {k: v for k, v in self.__dict__.items() if not k.startswith("_")}
@@ -108,6 +108,7 @@ class Model:
     def calibrate(self, features: np.ndarray, label: np.ndarray, weight: np.ndarray) -> None:
         """Fit the logistic model by Newton's method."""
         self.mean, self.scale = features.mean(0), features.std(0) + 1e-9
+        self.low, self.high = features.min(0), features.max(0)
         x = np.c_[(features - self.mean) / self.scale, np.ones(len(features))]
         w, ridge = np.zeros(x.shape[1]), 0.1 * np.eye(x.shape[1])
         weight = weight / weight.mean()
@@ -123,8 +124,10 @@ class Model:
         """The probability that each text is toxic."""
         if self.weights is None or not texts:
             return np.full(len(texts), self.base)
-        x = (np.array([self.features(t) for t in texts]) - self.mean) / self.scale
-        return 1 / (1 + np.exp(-np.clip(x @ self.weights[:-1] + self.weights[-1], -30, 30)))
+        # No farther out than the texts learned from: a very long text is judged like the longest of those.
+        x = (np.clip([self.features(t) for t in texts], self.low, self.high) - self.mean) / self.scale
+        # Summed row by row: a text's score does not depend on its neighbours.
+        return 1 / (1 + np.exp(-np.clip((x * self.weights[:-1]).sum(1) + self.weights[-1], -30, 30)))
 
 
 def _sample(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, dict[int, int]]:

@@ -80,3 +80,48 @@ def test_files_start_with_a_record(spark):
 def test_empty_table(spark):
     _, got = there_and_back(spark, [])
     assert got == []
+
+
+def test_records_that_share_an_id_keep_their_own_payloads(spark):
+    rows = [(5, "u", "AAAA", "x"), (5, "u", "BBBBBB", "x"), (3, "u", "AAAA", "x"), (2, "u", "BBBBBB", "x"), (1, "u", "AAAA", "x")]
+    _, got = there_and_back(spark, rows)
+    assert sorted((int(r["id"]), r["payload_bytes"], r["payload_digest"], r["type"], r["refers_to"]) for r in got) == sorted(
+        [(5, 4, digest("AAAA"), "response", None), (5, 6, digest("BBBBBB"), "response", None), (3, 4, digest("AAAA"), "revisit", "5"),
+         (2, 6, digest("BBBBBB"), "revisit", "5"), (1, 4, digest("AAAA"), "revisit", "5")])
+
+
+def record(version, n, body):
+    block = f"HTTP/1.1 200 OK\r\n\r\n{body}"
+    return (f"WARC/{version}\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:{n}>\r\nContent-Type: application/http; msgtype=response\r\n"
+            f"Content-Length: {len(block)}\r\n\r\n{block}\r\n\r\n").encode()
+
+
+def archive(name, data):
+    import os
+    import tempfile
+    folder = tempfile.mkdtemp(prefix="run-")
+    with open(os.path.join(folder, name), "wb") as f:
+        f.write(data)
+    return folder
+
+
+def test_both_versions_are_read(spark):
+    folder = archive("a.warc", b"".join(record("1.1" if n % 3 else "1.0", n, "x" * n) for n in range(200)))
+    got = {int(r["id"]): r["payload_bytes"] for r in warc.read_warc(spark, folder).collect()}
+    assert got == {n: n for n in range(200)}
+
+
+def test_compressed_and_broken_archives_raise(spark):
+    import gzip
+
+    import pytest
+    whole = b"".join(record("1.0", n, "x" * 20) for n in range(50))
+    with pytest.raises(ValueError, match="compressed"):
+        warc.read_warc(spark, archive("a.warc.gz", gzip.compress(whole)))
+    at = len(whole) // 2
+    for data in (whole[:-30], whole[:at] + b"noise" + whole[at:], b"noise" + whole):
+        folder = archive("a.warc", data)
+        with pytest.raises(warc.BrokenArchive):
+            warc.read_warc(spark, folder).collect()
+        assert warc.read_warc(spark, folder, broken="keep").count() < 50
+    assert warc.read_warc(spark, archive("a.warc", whole)).count() == 50

@@ -5,7 +5,7 @@ least ``min_dedup_bytes`` long) the one with the largest id is a ``response``,
 the others are ``revisit`` records that name it and carry no payload.
 
 Reading: files are cut at every place where a record could begin (the bytes
-``CR LF CR LF WARC/1.0 CR LF``, or the file's start), however Spark splits the
+``CR LF CR LF WARC/1.``, or the file's start), however Spark splits the
 file.  Each candidate names its successor's offset from its own Content-Length;
 pointer jumping from the file's start keeps the candidates that are reached, so
 the same bytes inside a payload begin no record, even where the payload holds a
@@ -29,8 +29,10 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import stage
 
 MAGIC = "WARC/1.0\r\n"
-CUT = "\r\n\r\n" + MAGIC
+VERSION = "WARC/1."      # of both versions read, 1.0 and 1.1
+CUT = "\r\n\r\n" + VERSION
 RECORDS_PER_FILE = 50_000
+SALTS = 8
 HTTP_HEAD = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 PROFILE = "http://netpreserve.org/warc/1.0/revisit/identical-payload-digest"
 _BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
@@ -115,6 +117,7 @@ def _parsed(segments: DataFrame) -> DataFrame:
     return p.withColumns({"length": length, "type": kind("WARC-Type"), "id": urn("WARC-Record-ID"),
                           "uri": field("WARC-Target-URI"), "refers": urn("WARC-Refers-To"),
                           "digest_header": field("WARC-Payload-Digest"),
+                          "opens": text.rlike(r"^WARC/1\.[01]\r\n"), "goes_on": text.rlike(r"^[01]\r\n"),
                           "http": F.coalesce(kind("Content-Type").startswith("application/http"), F.lit(False))})
 
 
@@ -161,20 +164,29 @@ def _reached(spots: DataFrame) -> DataFrame:
     return run.join(seen.withColumnRenamed("at", "run"), ["file", "run"], "left_semi").select("file", "offset", "succ")
 
 
-def read_warc(spark: SparkSession, path: str, *, payloads: bool = True) -> DataFrame:
-    """The records of all archives under ``path``.
+class BrokenArchive(ValueError):
+    """A file's records do not follow each other up to its end."""
+
+
+def read_warc(spark: SparkSession, path: str, *, payloads: bool = True, broken: str = "raise") -> DataFrame:
+    """The records of all archives (WARC 1.0 or 1.1, uncompressed) under ``path``.
 
     Columns: file, offset, type, id, uri, refers_to, digest_header, payload
     (binary; a revisit's own, so empty), payload_bytes, payload_digest.
     ``payloads=False`` leaves the payload column out, and so the second reading
     it takes; length and digest are still those of the payloads read.
     """
+    if broken not in ("raise", "keep"):
+        raise ValueError(f"broken must be 'raise' or 'keep', not {broken!r}")
+    packed = spark.read.format("binaryFile").load(path).select("path").where(F.col("path").rlike(r"(?i)\.(gz|zst|bz2)$")).take(1)
+    if packed:
+        raise ValueError(f"{packed[0]['path']} is compressed; unpack it first")
     parsed = _parsed(_segments(spark, path))
     cut, body = len(CUT), F.col("head_bytes") + 4
     payload = _payload(F.col("data"), body, F.col("length"), F.col("http"))
     alone = F.col("bytes") >= body + F.col("length")        # the segment holds the whole block
     facts = ["type", "id", "uri", "refers", "digest_header", "http", "length", "head_bytes"]
-    rows = stage(parsed.select("file", "block", "seq", "bytes", "size", *facts,
+    rows = stage(parsed.select("file", "block", "seq", "bytes", "size", "opens", "goes_on", *facts,
                                F.when(alone, F.octet_length(payload).cast("long")).alias("payload_bytes"),
                                F.when(alone, sha1_base32(payload)).alias("payload_digest")), "warc-segments")
     # Places in the file: sums within a split, then over the splits' totals.
@@ -183,19 +195,29 @@ def read_warc(spark: SparkSession, path: str, *, payloads: bool = True) -> DataF
     totals = (rows.groupBy("file", "block").agg(F.sum(F.col("bytes") + cut).alias("total")).withColumn(
         "base", F.coalesce(F.sum("total").over(Window.partitionBy("file").orderBy("block").rowsBetween(
             Window.unboundedPreceding, -1)), F.lit(0))).select("file", "block", "base"))
-    # A segment starts after the cut; its record starts with the magic bytes, the last of the cut.
+    # A segment starts after the cut; its record starts with the version, the last of the cut.
     begin = F.col("base") + F.coalesce("within", F.lit(0))
     placed = placed.join(totals, ["file", "block"]).withColumn("begin", begin)
-    offset = F.when(F.col("begin") == 0, F.lit(0)).otherwise(F.col("begin") - len(MAGIC))
+    offset = F.when(F.col("begin") == 0, F.lit(0)).otherwise(F.col("begin") - len(VERSION))
     end = F.col("begin") + body + F.col("length") + 4       # two line ends after the block
+    starts = F.when(F.col("begin") == 0, F.col("opens")).otherwise(F.col("goes_on"))
     placed = stage(placed.withColumns({
-        "offset": offset, "succ": F.when(F.col("length").isNotNull() & (end <= F.col("size")), end)}), "warc-places")
-    return _assemble(parsed, placed, facts, body, payloads)
+        "offset": offset, "succ": F.when(starts & F.col("length").isNotNull() & (end <= F.col("size")), end)}), "warc-places")
+    return _assemble(parsed, placed, facts, body, payloads, broken)
 
 
-def _assemble(parsed: DataFrame, placed: DataFrame, facts: list[str], body: Column, payloads: bool) -> DataFrame:
+def _assemble(parsed: DataFrame, placed: DataFrame, facts: list[str], body: Column, payloads: bool, broken_files: str) -> DataFrame:
     """Keep the verified chain's records; put payloads that were cut together again."""
     chain = _reached(placed.select("file", "offset", "succ"))
+    if broken_files == "raise":
+        # A place reached that is no record, or a record whose end is neither a candidate nor the file's end.
+        ends = placed.select("file", F.col("offset").alias("succ"), F.lit(True).alias("there"))
+        size = placed.groupBy("file").agg(F.max("size").alias("size"))
+        lost = (chain.join(ends, ["file", "succ"], "left").join(size, "file")
+                .where(F.col("succ").isNull() | (F.col("there").isNull() & (F.col("succ") != F.col("size"))))
+                .select("file", "offset").take(1))
+        if lost:
+            raise BrokenArchive(f"{lost[0]['file']}: no whole record follows at byte {lost[0]['offset']}")
     kept = placed.join(chain.where("succ is not null").select("file", "offset"), ["file", "offset"], "left_semi")
     whole = kept.where("payload_digest is not null")
     key = ["file", "block", "seq"]
@@ -225,11 +247,18 @@ def _assemble(parsed: DataFrame, placed: DataFrame, facts: list[str], body: Colu
 
 
 def resolve_revisits(records: DataFrame) -> DataFrame:
-    """Give each revisit the payload figures of the record it refers to (its payload is the same)."""
+    """Give each revisit the payload figures of the record it refers to: that of this id and of the digest it names
+    itself (several records may share an id)."""
+    said = F.regexp_replace(F.col("digest_header"), "(?i)^sha1:", "")
     figures = records.where("type != 'revisit'").select(
-        F.col("id").alias("refers_to"), F.col("payload_bytes").alias("_bytes"), F.col("payload_digest").alias("_digest"))
-    revisits = records.where("type = 'revisit'")
-    told = (revisits.join(figures.dropDuplicates(["refers_to"]), "refers_to", "left")
+        F.col("id").alias("refers_to"), F.col("payload_digest").alias("_said"), F.col("payload_bytes").alias("_bytes"),
+        F.col("payload_digest").alias("_digest")).dropDuplicates(["refers_to", "_said"])
+    revisits = records.where("type = 'revisit'").withColumn("_said", said)
+    # A payload that makes up much of the table is named by many revisits: each of them meets one of SALTS copies of its record.
+    figures = figures.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salt = F.pmod(F.xxhash64("file", "offset"), F.lit(SALTS)).cast("int")
+    told = (revisits.withColumn("_salt", salt).join(figures, ["refers_to", "_said", "_salt"], "left")
             .withColumns({"payload_bytes": F.coalesce("_bytes", "payload_bytes"),
-                          "payload_digest": F.coalesce("_digest", "payload_digest")}).drop("_bytes", "_digest"))
-    return records.where("type != 'revisit'").unionByName(told)
+                          "payload_digest": F.coalesce("_digest", "payload_digest")})
+            .drop("_bytes", "_digest", "_said", "_salt"))
+    return records.where("type != 'revisit'").unionByName(told.select(*records.columns))

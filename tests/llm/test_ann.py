@@ -63,3 +63,11 @@ def test_fewer_candidates_than_asked(spark):
     got = search(spark, [(0, [1.0, 2.0], "x"), (7, [2.0, 1.0], "x"), (3, [-1.0, 0.0], "x")])
     assert got == {0: [(1, 7, 4.0), (2, 3, -1.0)]}
     assert search(spark, [(0, [1.0], "x")]) == {} and search(spark, []) == {}
+
+
+def test_hundreds_of_tied_vectors_go_by_id(spark):
+    """Distinct vectors of one score: ties go to smaller ids, however many there are."""
+    rows = [(i, [1.0, float(i % 97), 0.0], "x") for i in range(1, 500)] + [(0, [1.0, 0.0, 0.0], "x")]
+    got = search(spark, rows)
+    assert [v for _, v, _ in got[0]] == list(range(1, 21))
+    assert {s for _, _, s in got[0]} == {1.0}

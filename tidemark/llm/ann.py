@@ -244,11 +244,14 @@ def nearest(vectors: DataFrame, is_query: Column, k: int, *, key: str = "vec_id"
         if len(cand) and len(query):
             x, y = _matrix(cand["vec"]), _matrix(query["vec"])
             ids = cand["ids"].to_list()
-            take = min(len(x), k + 9)
+            take, longest = min(len(x), k + 1), np.sqrt((x * x).sum(1).max())
             for a in range(0, len(y), 256):
                 rough = y[a:a + 256] @ x.T
-                best = np.argpartition(-rough, take - 1, 1)[:, :take]
-                for q, b in zip(range(a, len(y)), best):
+                last = np.partition(rough, len(x) - take, 1)[:, len(x) - take]
+                # Rough scores are off by rounding only; whatever may tie with the last one is ranked exactly.
+                margin = 1e-13 * x.shape[1] * longest * np.sqrt((y[a:a + 256] ** 2).sum(1))
+                for q, row, least in zip(range(a, len(y)), rough, last - margin):
+                    b = np.flatnonzero(row >= least)
                     exact = (x[b] * y[q]).sum(1)        # the measure itself, in one order for all
                     found = sorted((-s, i) for s, j in zip(exact.tolist(), b) for i in ids[j])[:k + 1]
                     out += [(query["qkey"].iat[q], int(i), -s) for s, i in found]

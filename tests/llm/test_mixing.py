@@ -108,3 +108,13 @@ def test_shards_of_a_large_source_keep_the_target(spark):
 def test_empty_table(spark):
     docs = spark.createDataFrame([], SCHEMA)
     assert mixing.mix_sizes(docs).count() == 0 and mixing.mix_documents(docs).count() == 0
+
+
+def test_many_tiny_sources_beside_a_large_one(spark):
+    rows = [(i, f"s{i:02d}", "a b c d e", "x", 1) for i in range(60)] + [(100 + i, "s99", "w " * 40, "x", 1) for i in range(60)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    got = mixing.mix_sizes(docs).groupBy("source").agg({"taken": "sum", "target": "max", "size": "sum"}).collect()
+    for r in got:
+        assert abs(r["sum(taken)"] - r["max(target)"]) <= max(1, 0.01 * r["max(target)"]), r
+    assert len(got) == 61 and all(r["sum(taken)"] > 0 for r in got)
+    assert mixing.mix_documents(docs).where("source = 's07'").count() >= 1

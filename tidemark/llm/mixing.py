@@ -7,7 +7,10 @@ quotients target / (2 k + 1), and each source's seats to its shards in the same
 way, which gives an integer quota per shard.  A shard with n blocks and quota q
 takes all blocks q // n times and a run of q % n blocks from a seeded start (it
 wraps around).  As documents lie in seeded order, the run is a random sample of
-them, and at most a few documents of a shard are cut.
+them, and at most a few documents of a shard are cut.  A block is at most
+``BLOCK_TOKENS`` words and at most a hundredth of the smallest target (one word at
+least), so that no source is too small for its seats: every source's take is within
+one block a shard of its target.
 
 Words, not texts, are shuffled for planning.  One task sees the totals of all
 sources (one row each) or of one source's shards (``MAX_SHARDS`` rows at most).
@@ -99,10 +102,10 @@ def _sized(docs: DataFrame, seed: int) -> list[Column]:
 
 
 class Mix:
-    """A plan: ``sources`` (target, seats, shards of each) and ``shards`` (quota of each)."""
+    """A plan: ``sources`` (target, block, seats, shards of each) and ``shards`` (quota of each)."""
 
-    def __init__(self, sources: DataFrame, shards: DataFrame, seed: int, block_tokens: int):
-        self.sources, self.shards, self.seed, self.block_tokens = sources, shards, seed, block_tokens
+    def __init__(self, sources: DataFrame, shards: DataFrame, seed: int):
+        self.sources, self.shards, self.seed = sources, shards, seed
 
     def lay(self, sized: DataFrame) -> DataFrame:
         """Place documents (with the columns of ``_sized``) and work out what is taken of each.
@@ -110,7 +113,7 @@ class Mix:
         Adds ``_source_size, _target, _copies`` (whole takings) and the word ranges
         [_a1, _b1), [_a2, _b2) of a further, partial taking.
         """
-        block = F.lit(self.block_tokens)
+        block = F.col("_block")
         placed = (sized.join(self.sources, ["_null", "_name"])
                   .withColumn("_shard", F.pmod("_place", "_n_shards"))
                   .join(self.shards, ["_null", "_name", "_shard"]))
@@ -128,12 +131,13 @@ class Mix:
 
 
 def plan_mix(docs: DataFrame, *, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5, max_copies: int = 2,
-             block_tokens: int = BLOCK_TOKENS, shard_tokens: int = SHARD_TOKENS, seed: int = SEED
+             block_tokens: int | None = None, shard_tokens: int = SHARD_TOKENS, seed: int = SEED
              ) -> tuple[Mix, DataFrame]:
     """Apportion the mix; returns it with the staged sizes (doc_id, source and working columns).
 
     Sources in code point order, null last, weigh ``weights`` in turn and share
     ``share`` of all words; a source's target stops at ``max_copies`` times its size.
+    ``block_tokens`` fixes the block (None: as the module says).
     """
     sized = stage(docs.select(docs["doc_id"], docs["source"], *_sized(docs, seed)), "mix-sizes")
 
@@ -142,32 +146,34 @@ def plan_mix(docs: DataFrame, *, weights: tuple[int, ...] = (3, 1, 2), share: fl
         size = rows["_source_size"].to_numpy()
         weight = np.resize(np.asarray(weights, float), len(rows))
         target = fill_targets(size, weight, share * size.sum(), max_copies * size.astype(float))
-        seats = sainte_lague(target, round(target.sum() / block_tokens), max_copies * -(-size // block_tokens))
+        some = target[target > 0]
+        block = block_tokens or int(np.clip(some.min() // 100 if len(some) else 1, 1, BLOCK_TOKENS))
+        seats = sainte_lague(target, round(target.sum() / block), max_copies * -(-size // block))
         wanted = np.maximum(-(-size // shard_tokens), -(-rows["_rows"].to_numpy() // SHARD_ROWS))
-        return rows.assign(_target=target, _seats=seats, _n_shards=np.clip(wanted, 1, MAX_SHARDS))
+        return rows.assign(_target=target, _block=block, _seats=seats, _n_shards=np.clip(wanted, 1, MAX_SHARDS))
 
     totals = sized.groupBy("_null", "_name").agg(F.sum("_size").alias("_source_size"), F.count("*").alias("_rows"))
     sources = stage(totals.groupBy(F.lit("all")).applyInPandas(
-        shares, "_null boolean, _name string, _source_size long, _rows long, _target double, _seats long,"
-                " _n_shards long").drop("_rows"), "mix-sources")
+        shares, "_null boolean, _name string, _source_size long, _rows long, _target double, _block long,"
+                " _seats long, _n_shards long").drop("_rows"), "mix-sources")
 
     def quotas(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("_shard", ignore_index=True)
-        blocks = -(-rows["_tokens"].to_numpy() // block_tokens)
+        blocks = -(-rows["_tokens"].to_numpy() // rows["_block"].to_numpy())
         quota = sainte_lague(rows["_tokens"].to_numpy(), int(rows["_seats"].iloc[0]), max_copies * blocks)
         some = np.maximum(blocks, 1)
         return rows.assign(_blocks=blocks, _quota=quota, _copies=quota // some, _rest=quota % some)
 
     tokens = (sized.join(sources, ["_null", "_name"])
-              .groupBy("_null", "_name", F.pmod("_place", "_n_shards").alias("_shard"), "_seats")
+              .groupBy("_null", "_name", F.pmod("_place", "_n_shards").alias("_shard"), "_seats", "_block")
               .agg(F.sum("_size").alias("_tokens")))
     shards = (tokens.groupBy("_null", "_name").applyInPandas(
-        quotas, "_null boolean, _name string, _shard long, _seats long, _tokens long, _blocks long, _quota long,"
+        quotas, "_null boolean, _name string, _shard long, _seats long, _block long, _tokens long, _blocks long, _quota long,"
                 " _copies long, _rest long")
         .select("_null", "_name", "_shard", "_blocks", "_quota", "_copies", "_rest",
                 F.pmod(F.xxhash64(F.lit(seed), "_null", "_name", "_shard"),
                        F.greatest("_blocks", F.lit(1))).alias("_first")))
-    return Mix(sources.drop("_seats"), stage(shards, "mix-quotas"), seed, block_tokens), sized
+    return Mix(sources.drop("_seats"), stage(shards, "mix-quotas"), seed), sized
 
 
 def mix_sizes(docs: DataFrame, **options) -> DataFrame:

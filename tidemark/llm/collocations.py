@@ -43,6 +43,7 @@ from tidemark.llm.common import drop, stage
 
 LONGEST = 4
 FILTER_BITS = 26
+SALTS = 64
 SLICE = 4 << 20
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -284,7 +285,10 @@ def collocations(docs: DataFrame, *, text: str = "text", lang: str = "lang", lea
     worst = (cuts.withColumn("score", score).groupBy("lang", "words", "a")
              .agg(F.min(F.struct("score", "k", "l", "r")).alias("cut")))
     scored = worst.select("lang", F.array_join("words", " ").alias("phrase"), "a", "cut.l", "cut.r", "cut.score")
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), F.asc("phrase"))
-    best = scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
+    # A language may hold most phrases: each of SALTS parts of it is cut to its first ``top`` before they meet.
+    order = lambda *by: Window.partitionBy(*by).orderBy(F.desc("score"), F.desc("a"), F.asc("phrase"))
+    some = scored.withColumn("part", F.pmod(F.xxhash64("phrase"), F.lit(SALTS)))
+    some = some.withColumn("rank", F.row_number().over(order("lang", "part"))).where(F.col("rank") <= top)
+    best = some.withColumn("rank", F.row_number().over(order("lang"))).where(F.col("rank") <= top)
     return best.join(totals, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r",
                                             F.col("total").alias("n"), F.col("score").cast("long").alias("score"))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import ann, bpe, collocations, html, langid, licenses, mixing, neardup, pii, quality, spelling, toxicity, warc
 from tidemark.llm.common import scratch, stage
+from tidemark.llm.oracles import ORACLES  # noqa: F401  registered with the queries
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -117,4 +118,3 @@ def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_mix_sources, op2_license_scan, op3_quality_rules, op4_near_duplicates, op5_bpe, op6_pii, op7_main_text, op8_nearest,
     op9_warc, op10_language, op11_spelling, op12_toxicity, op13_collocations)}
-ORACLES: dict[str, str] = {}

@@ -3,6 +3,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from tidemark.llm import neardup, setsketch
@@ -133,3 +134,35 @@ def test_component_labels(spark):
         parent[y] = x
     alone = {n for n, c in Counter(n for a, b in links if a != b for n in (a, b)).items() if c}
     assert got == {n: root(n) for n in alone}
+
+
+@pytest.mark.parametrize("percent", [80, 85])
+def test_pairs_just_at_the_threshold_are_linked(spark, percent):
+    """Pairs whose similarity is the threshold exactly, or just under: all of the first, none of the second."""
+    rows, want = [], {}
+    same, own = (80, 10) if percent == 80 else (170, 15)      # same / (same + 2 * own) = percent / 100
+    for i in range(150):
+        common = [f"c{i}x{k}" for k in range(same + 4)]
+        for j, extra in ((0, own), (1, own + i % 2)):
+            rows.append((2 * i + j, " ".join(common + [f"o{i}y{j}z{k}" for k in range(extra)])))
+        want[2 * i] = want[2 * i + 1] = 2 * i
+        if i % 2:
+            want[2 * i + 1] = 2 * i + 1
+    got = {r["doc_id"]: r["component_id"] for r in neardup.near_duplicates(
+        spark.createDataFrame(rows, "doc_id long, text string"), percent=percent).collect()}
+    assert got == want == {d: c for d, (_, c) in brute(rows, percent).items()}
+
+
+def test_bands_and_slack_follow_from_the_threshold():
+    assert neardup.band_width(85) == 8 and neardup.band_width(80) in (6, 7)
+    assert all(0.05 < neardup.slack(p) < 0.15 for p in (70, 80, 85, 95))
+
+
+def test_one_large_group_of_copies_keeps_its_least_document(spark):
+    text = " ".join(f"w{i}" for i in range(30))
+    rows = [(i, text, "x") for i in range(5, 405)] + [(5, text, "x"), (5, text + " ", "x"), (None, text, "x"), (1, None, "x"), (1, "", "x")]
+    rows += [(None, "other words than those above", "x"), (3, "more words of another kind here", "x")]
+    docs = spark.createDataFrame(rows, "doc_id int, text string, h string")
+    kept = neardup.keep_one(docs).collect()
+    assert sorted(((r["doc_id"], (r["text"] or "").strip()) for r in kept), key=str) == sorted(
+        [(5, text), (1, ""), (1, ""), (None, "other words than those above"), (3, "more words of another kind here")], key=str)

@@ -3,9 +3,10 @@
 1. Each text gets a key of its word sequence, the number of its distinct word
    shingles and a sketch; texts of one key are one class (exact copies).
 2. Classes that agree in all registers of a band share a bucket.
-3. Each bucket's hub (the member with most company over all bands) is compared
-   with its other members: likely pairs by the sketches' joint likelihood are
-   confirmed on full shingle sets, and linked classes joined to components.
+3. Each bucket's hub is the member with most company over all bands; a class is
+   compared with the ``HUBS`` most frequented of its buckets' hubs: likely pairs by
+   the sketches' joint likelihood are confirmed on full shingle sets, and linked
+   classes joined to components.
 4. Buckets that still hold several components are compared inside, only across
    components, block by block: again by likelihood, then on full sets.  A pair
    comes from the first band in which it agrees, so it is compared once.
@@ -13,9 +14,10 @@
 Copies never meet each other, and members of a group that its hub joins are not
 compared any more.  What grows faster than the input is step 4 in buckets of
 many texts that are alike but under the threshold; its pairs stay inside tasks
-until the likelihood is at least ``SLACK`` under the threshold.  With 32 bands
-of 8 of 256 registers a pair at similarity 0.85 shares no band in 4 of 100,000
-cases, and its estimate lies ``SLACK`` too low about as rarely.
+until the likelihood is at most the slack under the threshold.  Bands are as wide as
+lets a pair at the threshold share none in at most ``MISS`` of all cases (8 registers
+at 0.85, 3.8 in 100,000; 6 at 0.80, 3 in a million), and the slack is ``DEVIATIONS``
+standard deviations of the estimate (under 4 in a million).
 
 Defined cases: null texts and texts without words have 0 shingles and are linked
 with nothing; texts with fewer words than a shingle have their whole sequence
@@ -39,8 +41,9 @@ from tidemark.llm import setsketch as ss
 from tidemark.llm.common import drop, packed, stage
 from tidemark.llm.components import components
 
-BAND = 8
-SLACK = 0.08            # a pair is confirmed on full sets if its estimate is at most this under the threshold
+MISS = 5e-5             # chance that a pair at the threshold shares no band
+DEVIATIONS = 4.5        # of the estimate, by which it may lie under the threshold and still be confirmed on full sets
+HUBS = 2                # hubs a class is compared with
 BLOCK = 2048            # members of a bucket compared with each other in one place
 _SLICE = 1 << 20
 
@@ -63,39 +66,49 @@ def _key(words: np.ndarray) -> bytes:
 
 
 def sketches(docs: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Of each document: id, cls (key of its word sequence), n (shingles), registers (binary)."""
+    """Of each document: id, h (hash of its text), cls (key of its word sequence), n (shingles), registers (binary)."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, texts in _texts(batch.column(1)):
                 sets = [ss.shingle_hashes(w) for w in texts]
                 rows = ss.sketch(sets)
                 yield pa.RecordBatch.from_pydict({
-                    "id": batch.column(0).slice(a, len(texts)), "cls": pa.array(map(_key, texts), pa.binary()),
+                    "id": batch.column(0).slice(a, len(texts)), "h": batch.column(2).slice(a, len(texts)), "cls": pa.array(map(_key, texts), pa.binary()),
                     "n": pa.array([len(s) for s in sets], pa.int64()),
                     "registers": pa.array([r.tobytes() for r in rows], pa.binary())})
-    return docs.select(F.col(key).cast("long"), text).mapInArrow(work, "id long, cls binary, n long, registers binary")
+    return (docs.select(F.col(key).cast("long"), text, F.xxhash64(text).alias("h"))
+            .mapInArrow(work, "id long, h long, cls binary, n long, registers binary"))
 
 
 def _registers(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(-1, ss.M)
 
 
-def _bands(classes: DataFrame) -> DataFrame:
+def band_width(percent: int) -> int:
+    """Registers of a band: the most with which a pair at the threshold meets in all but MISS of cases."""
+    agree = 1 - 2 * float(ss._p(np.array([0.5 - 0.5 * percent / 100]))[0])      # a register's chance, for sets of one size
+    wide = [w for w in range(1, 17) if (1 - agree ** w) ** (ss.M // w) <= MISS]
+    return max(wide, default=1)
+
+
+def slack(percent: int) -> float:
+    """How far under the threshold an estimate may lie."""
+    return DEVIATIONS * float(np.sqrt(percent / 100 * (1 - percent / 100) / ss.M))
+
+
+def _bands(classes: DataFrame, width: int) -> DataFrame:
     """A row (bucket, cls, n) for each band of each class."""
-    own = F.transform(F.sequence(F.lit(0), F.lit(ss.M // BAND - 1)), lambda b: F.struct(
-        b.alias("band"), F.xxhash64(b, F.substring(F.col("registers"), b * (2 * BAND) + 1, F.lit(2 * BAND))).alias("hash")))
+    own = F.transform(F.sequence(F.lit(0), F.lit(ss.M // width - 1)), lambda b: F.struct(
+        b.alias("band"), F.xxhash64(b, F.substring(F.col("registers"), b * (2 * width) + 1, F.lit(2 * width))).alias("hash")))
     return classes.where("n > 0").select("cls", "n", F.explode(own).alias("x")).select(
         F.col("x.hash").alias("bucket"), F.col("x.band").alias("band"), "cls", "n")
 
 
-def _alike(threshold: float) -> float:
-    return threshold - SLACK
-
-
-def _likely(pairs: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
+def _likely(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) whose sketches make the threshold likely enough to be worth confirming."""
     side = lambda s: classes.select(F.col("cls").alias(s), F.col("n").alias(f"n_{s}"), F.col("registers").alias(f"r_{s}"))
     both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "n_a", "n_b", "r_a", "r_b")
+    least = percent / 100 - slack(percent)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -104,7 +117,7 @@ def _likely(pairs: DataFrame, classes: DataFrame, threshold: float) -> DataFrame
                 n = [part.column(k).to_numpy(zero_copy_only=False).astype(float) for k in (2, 3)]
                 j = ss.jaccard(_registers(part.column(4)), _registers(part.column(5)), *n)
                 yield pa.RecordBatch.from_arrays(part.columns[:2], names=["a", "b"]).filter(
-                    pa.array(j >= _alike(threshold)))
+                    pa.array(j >= least))
     return both.mapInArrow(work, "a binary, b binary")
 
 
@@ -137,7 +150,7 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
 def _across(cls: list[bytes], comp: np.ndarray, n: np.ndarray, k: np.ndarray, fresh: np.ndarray, band: int,
             percent: int) -> Iterator[tuple[bytes, bytes]]:
     """Likely pairs across components among a bucket's members; pairs without a ``fresh`` member are left to others."""
-    least = percent / 100 - SLACK
+    least, width = percent / 100 - slack(percent), band_width(percent)
     for i in range(len(cls) - 1):
         j = np.arange(i + 1, len(cls))
         j = j[(comp[j] != comp[i]) & (100 * np.minimum(n[j], n[i]) >= percent * np.maximum(n[j], n[i]))
@@ -150,7 +163,8 @@ def _across(cls: list[bytes], comp: np.ndarray, n: np.ndarray, k: np.ndarray, fr
             part, same = part[near], same[near]
             if not len(part):
                 continue
-            first = same.reshape(len(part), -1, BAND).all(2).argmax(1)
+            bands = same[:, :ss.M // width * width].reshape(len(part), -1, width).all(2)
+            first = bands.argmax(1)
             part = part[first == band]
             if len(part):
                 est = ss.jaccard(np.broadcast_to(k[i], (len(part), ss.M)), k[part],
@@ -213,31 +227,34 @@ def _leftover(rows: DataFrame, percent: int) -> DataFrame:
 
 
 def duplicate_components(docs: DataFrame, *, percent: int = 85, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Each document's id, cls, n, and its component's smallest document (comp_id, comp_cls).
+    """Each document's id, h (hash of its text), cls, n, and its component's smallest document (comp_id, comp_cls).
 
     Links are 100 * intersection >= ``percent`` * union of the shingle sets.
     """
-    spark, threshold = docs.sparkSession, percent / 100
+    spark = docs.sparkSession
     sketched = stage(sketches(docs, key=key, text=text), "sketches")
-    order = F.struct(F.col("id").isNull().alias("none"), "id")
+    order = F.struct(F.col("id").isNull().alias("none"), "id", "h")
     classes = stage(sketched.groupBy("cls").agg(F.first("n").alias("n"), F.first("registers").alias("registers"),
                                                 F.min(order).alias("least")), "classes")
-    bands = _bands(classes)
+    bands = _bands(classes, band_width(percent))
     counted = bands.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
     members = stage(bands.join(counted, "bucket"), "buckets")
-    # The text of each class that meets another: of one of its documents, whichever.
+    # The text of each class that meets another: that of its least document.  Texts move by document, and
+    # only a class's one text by class: a class of many copies is no hot key.
     meet = members.select("cls").distinct()
-    keyed = _with_class(docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text")))
-    texts = stage(keyed.join(classes.select("cls", F.col("least.id").alias("id2")), "cls")
-                  .where(F.col("id").eqNullSafe(F.col("id2"))).join(meet, "cls", "left_semi")
-                  .select("cls", "text").dropDuplicates(["cls"]), "class-texts")
+    least = classes.join(meet, "cls", "left_semi").select("cls", F.col("least.id").alias("id2"), F.col("least.h").alias("h"))
+    own_text = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"), F.xxhash64(text).alias("h"))
+    texts = stage(_representatives(own_text, least), "class-texts")
     company = members.groupBy("cls").agg(F.sum("size").alias("company"))
     hubs = (members.join(company, "cls").groupBy("bucket")
             .agg(F.max(F.struct("company", "cls", "n")).alias("hub")))
     near = lambda m, n: F.expr(f"100 * least({m}, {n}) >= {percent} * greatest({m}, {n})")
-    stars = (members.join(hubs, "bucket").where((F.col("cls") != F.col("hub.cls")) & near("n", "hub.n"))
-             .select(F.col("cls").alias("a"), F.col("hub.cls").alias("b")).distinct())
-    links = stage(_confirmed(_likely(stars, classes, threshold), texts, percent), "star-links")
+    met = (members.join(hubs, "bucket").where((F.col("cls") != F.col("hub.cls")) & near("n", "hub.n"))
+           .select(F.col("cls").alias("a"), F.struct("hub.company", F.col("hub.cls").alias("b")).alias("hub")))
+    # Of the hubs a class meets (one a band at most) those with most company: what they leave apart, step 4 compares.
+    stars = (met.groupBy("a").agg(F.slice(F.sort_array(F.collect_set("hub"), False), 1, HUBS).alias("hubs"))
+             .select("a", F.explode("hubs.b").alias("b")))
+    links = stage(_confirmed(_likely(stars, classes, percent), texts, percent), "star-links")
     label = components(links)
     own = members.join(label.withColumnRenamed("node", "cls"), "cls", "left").withColumn(
         "comp", F.coalesce("label", "cls")).drop("label")
@@ -253,8 +270,18 @@ def duplicate_components(docs: DataFrame, *, percent: int = 85, key: str = "doc_
                                               F.col("best.cls").alias("comp_cls")), "class-components")
     drop(spark, members, texts)
     alone = F.col("n") == 0
-    return sketched.select("id", "cls", "n").join(of, "cls").select(
-        "id", "cls", "n", F.when(alone, F.col("id")).otherwise(F.col("comp_id")).alias("comp_id"), "comp_cls")
+    return sketched.select("id", "h", "cls", "n").join(of, "cls").select(
+        "id", "h", "cls", "n", F.when(alone, F.col("id")).otherwise(F.col("comp_id")).alias("comp_id"), "comp_cls")
+
+
+def _representatives(docs: DataFrame, least: DataFrame) -> DataFrame:
+    """(cls, text) for each class of ``least`` (cls, id2, h), from ``docs`` (id, text, h): joined by id and text hash, so
+    that neither null ids nor copies gather; rows repeated under one id count once."""
+    none = lambda c: F.col(c).isNull()
+    wanted = least.select("cls", F.col("h").alias("h2"), F.coalesce("id2", F.lit(0)).alias("i2"), none("id2").alias("n2"))
+    rows = docs.select("text", "h", F.coalesce("id", F.lit(0)).alias("i"), none("id").alias("n")).dropDuplicates(["i", "n", "h"])
+    same = (F.col("i") == F.col("i2")) & (F.col("n") == F.col("n2")) & (F.col("h") == F.col("h2"))
+    return rows.join(wanted, same).select("cls", "text")
 
 
 def _with_class(rows: DataFrame) -> DataFrame:
@@ -278,12 +305,20 @@ def near_duplicates(docs: DataFrame, *, percent: int = 85) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, *, percent: int = 85) -> DataFrame:
-    """The rows of ``docs`` that stay when one document of each component does; texts without words all stay."""
+    """The rows of ``docs`` that stay when one document of each component does; texts without words all stay.
+
+    Who stays is worked out from ids and hashes; a document's row moves once, by its own id and text hash.
+    """
     found = duplicate_components(docs, percent=percent)
-    of = found.where("n > 0").select("cls", "comp_id", "comp_cls").distinct()
-    rows = _with_class(docs.select(packed(docs).alias("row"), F.col("text").alias("text"))).drop("text")
-    marked = rows.join(of, "cls", "left")
-    without = marked.where("comp_cls is null").select("row")
-    kept = (marked.where((F.col("cls") == F.col("comp_cls")) & F.col("row.doc_id").cast("long").eqNullSafe(F.col("comp_id")))
-            .withColumn("id", F.col("row.doc_id")).dropDuplicates(["id", "cls"]).select("row"))
-    return kept.unionByName(without).select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])
+    stay = (found.where("n = 0 or (cls = comp_cls and id <=> comp_id)")
+            .select(F.col("id").isNull().alias("_n"), F.coalesce("id", F.lit(0)).alias("_i"), "h", (F.col("n") == 0).alias("_all")))
+    # Copies under one id may differ in spacing only: of each class one text hash is left.
+    one = found.where("n > 0 and cls = comp_cls and id <=> comp_id").groupBy("cls").agg(F.min("h").alias("h")).select("h")
+    stay = stay.where("_all").unionByName(stay.where("not _all").join(one.withColumnRenamed("h", "h1"), F.col("h") == F.col("h1"),
+                                                                    "left_semi")).distinct()
+    given = F.col("_row.doc_id").cast("long")
+    rows = docs.select(packed(docs).alias("_row"), F.xxhash64("text").alias("h"))
+    rows = rows.withColumns({"_n": given.isNull(), "_i": F.coalesce(given, F.lit(0))})
+    kept = rows.join(stay, ["_n", "_i", "h"])
+    once = kept.where("not _all").dropDuplicates(["_n", "_i", "h"]).select("_row")
+    return once.unionByName(kept.where("_all").select("_row")).select(*[F.col(f"_row.`{c}`").alias(c) for c in docs.columns])

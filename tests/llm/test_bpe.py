@@ -58,3 +58,23 @@ def test_decoding_odd_ids(spark):
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id int, text string")
     assert bpe.decode_bpe(bpe.encode_bpe(docs, PATH), PATH).count() == 0
+
+
+def test_every_code_point(library):
+    """Each assigned or unassigned character, alone and between letters, splits as in the library."""
+    encoder = bpe.Encoder(bpe.read_spec(PATH))
+    points = [chr(c) for c in (*range(0x80, 0x3000), *range(0xA000, 0xB000), *range(0xF900, 0x11800), *range(0x16A00, 0x18D00),
+                               *range(0x1B000, 0x1B300), *range(0x1D000, 0x1F000)) if not 0xD800 <= c < 0xE000]
+    lines = ["".join(f" a{c}b1{c}" for c in points[i:i + 64]) for i in range(0, len(points), 64)]
+    flat, ends = encoder.encode(lines)
+    for line, a, b, want in zip(lines, ends, ends[1:], library.encode_batch(lines, add_special_tokens=False)):
+        if flat[a:b].tolist() != want.ids:
+            bad = [f"U+{ord(c):04X}" for c in line if encoder.encode([f"a{c}b1{c}"])[0].tolist()
+                   != library.encode(f"a{c}b1{c}", add_special_tokens=False).ids]
+            assert not bad, bad
+
+
+def test_another_normalizer_raises():
+    spec = bpe.read_spec(PATH)
+    with pytest.raises(ValueError, match="normalizer"):
+        bpe.Encoder(spec | {"normalizer": {"type": "NFD"}})

@@ -1,11 +1,13 @@
 """BPE encoding and decoding by a prefix-sharing trie of distinct words.
 
 The encoding of a word's prefix is fixed by its last token: it is the encoding
-of what stands before that token, then the token.  Distinct words of a batch
-are inserted into a trie; going depth first, each node gets its last token from
-its ancestors' states, so that a prefix shared by many words is encoded once.
-A token t ends a prefix if t is a suffix of it and the merges would leave t and
-the last token before it apart.
+of what stands before that token, then the token.  Distinct words of a batch form
+a trie, kept as the sorted list of words: that is its depth-first order, and what a
+word shares with the one before it is the path both come down.  Each node gets its
+last token from its ancestors' states, so that a prefix shared by many words is
+encoded once.  A token t ends a prefix if t is a suffix of it and the merges would
+leave t and the last token before it apart; the tokens that are suffixes of a path's
+prefixes come from an automaton over the vocabulary.
 
 Reads tokenizer files of the ``tokenizers`` library with a BPE model, byte-level
 alphabet and an end-of-word suffix.  Documents are worked on in slices of about a
@@ -19,10 +21,13 @@ and extra columns pass through; an empty table gives an empty table.
 
 from __future__ import annotations
 
+import functools
+import itertools
 import json
 import unicodedata
 from collections.abc import Iterator
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -32,8 +37,9 @@ from pyspark.sql import types as T
 
 from tidemark.llm.common import small_batches
 
-CACHE_WORDS = 120_000
+CACHE_WORDS = 200_000
 SLICE_BYTES = 1 << 20
+_END = "\0"             # stands for the end-of-word suffix; no character of the byte alphabet
 
 
 def byte_alphabet() -> list[str]:
@@ -51,7 +57,12 @@ class WordTrie:
         self.end: str = model.get("end_of_word_suffix") or ""
         if missing := [c for c in byte_alphabet() if c not in self.vocab]:
             raise ValueError(f"the vocabulary has no token for {len(missing)} of the 256 bytes")
-        self.begins = {t[:n] for t in self.vocab for n in range(1, len(t) + 1)}     # of any token
+        self.tokens = ahocorasick.Automaton()
+        for token, i in self.vocab.items():
+            # The end of a word is one symbol, with the character before it.
+            shape = token[:-len(self.end)] + _END if self.end and token.endswith(self.end) else token
+            self.tokens.add_word(shape, (i, len(shape)))
+        self.tokens.make_automaton()
         self.rank: dict[tuple[int, int], int] = {}
         self.parts: dict[int, tuple[int, int, int]] = {}      # token: its merge's rank, left, right
         for n, pair in enumerate(model["merges"]):
@@ -60,7 +71,7 @@ class WordTrie:
             self.rank[a, b] = n
             self.parts.setdefault(made, (n, a, b))
         self.apart: dict[tuple[int, int], bool] = {}
-        self.root: dict = {}
+        self.words: set[str] = set()
 
     def stay_apart(self, left: int, right: int) -> bool:
         """Whether the merges leave ``left`` and ``right`` as two tokens when one follows the other.
@@ -89,50 +100,37 @@ class WordTrie:
 
     def add(self, word: str) -> None:
         """Insert a word of the byte alphabet."""
-        node = self.root
-        for ch in word:
-            node = node.setdefault(ch, {})
-        node[""] = word
+        self.words.add(word)
 
     def encode(self) -> Iterator[tuple[str, tuple[int, ...]]]:
         """Depth first over the trie; empties it."""
-        # A state is (last token, state before it).  Going down one branch after another, the
-        # states of the current path's prefixes are in one list.  ``low`` is the first place from
-        # which on a path may begin a token: it only moves on as the path grows.
-        begins, vocab, apart, stay, end = self.begins, self.vocab, self.apart, self.stay_apart, self.end
-        states: list = [None] * 16
-        stack: list[tuple[dict, str, int]] = [(self.root, "", 0)]
-        while stack:
-            node, path, low = stack.pop()
-            n = len(path)
-            if n:
-                while path[low:] not in begins:
-                    low += 1
-                if n >= len(states):
-                    states += [None] * n
-                states[n] = self._last(path, n, states, low, vocab, apart, stay)
-            for ch, child in node.items():
-                if ch:
-                    stack.append((child, path + ch, low))
-                else:
-                    yield path, self._ids(self._last(path + end, n, states, low, vocab, apart, stay))
-        self.root = {}
-
-    @staticmethod
-    def _last(path: str, n: int, states: list, low: int, vocab: dict, apart: dict, stay) -> tuple | None:
-        """The state of ``path`` (``n`` symbols) from those of its proper prefixes."""
-        for start in range(low, n):
-            token = vocab.get(path[start:])
-            if token is None:
-                continue
-            if start == 0:
-                return (token, None)
-            before = states[start]
-            if before is not None:
-                known = apart.get((before[0], token))
-                if known or known is None and stay(before[0], token):
-                    return (token, before)
-        return None
+        # A state is (last token, state before it); ``states`` holds those of the current path's prefixes.
+        apart, stay, matches, end = self.apart, self.stay_apart, self.tokens.iter, _END if self.end else ""
+        states: list = [None]
+        before = ""
+        for word in sorted(self.words):
+            shared = 0
+            for x, y in zip(before, word):
+                if x != y:
+                    break
+                shared += 1
+            before = word
+            del states[shared + 1:]
+            states += [None] * (len(word) + len(end) - shared)
+            for last, (token, length) in matches(word + end):
+                n = last + 1
+                if n <= shared or states[n] is not None:
+                    continue
+                if n == length:
+                    states[n] = (token, None)
+                elif (state := states[n - length]) is not None:
+                    known = apart.get((state[0], token))
+                    if known or known is None and stay(state[0], token):
+                        states[n] = (token, state)
+            yield word, self._ids(states[len(word) + len(end)])
+            if end:
+                del states[len(word) + 1:]
+        self.words = set()
 
     @staticmethod
     def _ids(state) -> tuple[int, ...]:
@@ -143,10 +141,32 @@ class WordTrie:
         return tuple(reversed(ids))
 
 
+@functools.lru_cache(maxsize=1)
+def _newer() -> tuple[dict[int, str], dict[int, str]]:
+    """Characters newer than Python's Unicode tables, on which its modules and the library differ: their lower case, and
+    a stand-in of the class (letter, number or sign) that the library puts them in.  Both are asked of the library."""
+    import tokenizers
+    points = [c for c in range(0x110000) if unicodedata.category(chr(c)) == "Cn"]
+    text = "".join(map(chr, points))
+    lower = tokenizers.normalizers.Lowercase().normalize_str(text)
+    lower = {c: x for c, x in zip(points, lower) if ord(x) != c} if len(lower) == len(text) else {}
+    stand_ins = {}
+    for kind, stand_in in ((r"\p{L}", "b"), (r"\p{N}", "0")):
+        split = tokenizers.pre_tokenizers.Split(tokenizers.Regex(f"{kind}+"), "removed", invert=True)
+        theirs = set("".join(piece for piece, _ in split.pre_tokenize_str(text)))
+        ours = set(regex.findall(kind, text))
+        stand_ins |= dict.fromkeys(map(ord, theirs - ours), stand_in)
+        stand_ins |= {ord(c): "\u2603" for c in ours - theirs if ord(c) not in stand_ins}
+    return lower, stand_ins
+
+
 class Encoder:
     """Text to ids under one tokenizer description (the parsed JSON file)."""
 
     def __init__(self, spec: dict):
+        kinds = [n["type"] for n in (spec.get("normalizer") or {}).get("normalizers", [])]
+        if kinds != ["NFC", "Replace", "Lowercase"]:
+            raise ValueError(f"the normalizer must be NFC, white space to a space, lower case; it is {kinds}")
         self.trie = WordTrie(spec["model"])
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.split_special = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))
@@ -171,18 +191,20 @@ class Encoder:
             if part in self.special:
                 out.append(self.special[part])
             elif part:
-                plain = unicodedata.normalize("NFC", part).replace("Σ", "σ").lower()    # each character by itself
-                out += [w.encode().decode("latin-1").translate(self.bytes) for w in self.pieces.findall(plain)]
+                lower, stand_ins = _newer()
+                plain = unicodedata.normalize("NFC", part).replace("Σ", "σ").lower().translate(lower)   # each character by itself
+                shown = plain.translate(stand_ins)      # of the same length
+                out += [plain[m.start():m.end()].encode().decode("latin-1").translate(self.bytes)
+                        for m in self.pieces.finditer(shown)]
         return out
 
-    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts on end, and the offsets of each text's."""
+    def _learn(self, runs: list[str]) -> None:
+        """Encode the runs that are not known yet."""
         if len(self.chunks) > CACHE_WORDS:      # what was not met since the last time goes
             self.older, self.chunks, self.words = self.chunks, {}, {}
         if len(self.trie.apart) > 4 * CACHE_WORDS:
             self.trie.apart.clear()
-        runs = [[] if not t else self.space.split(t) if self.separators.search(t) else t.split() for t in texts]
-        unseen = {c for run in runs for c in run}.difference(self.chunks)
+        unseen = set(runs).difference(self.chunks)
         again = unseen.intersection(self.older)
         self.chunks.update((c, self.older[c]) for c in again)
         new = {c: self._split(c) for c in unseen - again}
@@ -194,12 +216,31 @@ class Encoder:
             for w in parts:
                 ids += self.words[w] if isinstance(w, str) else (w,)
             self.chunks[c] = tuple(ids)
-        flat, ends, known = [], [0], self.chunks
-        for run in runs:
-            for c in run:
-                flat += known[c]
-            ends.append(len(flat))
-        return np.array(flat, np.int32), np.array(ends, np.int32)
+
+    def encode(self, texts: pa.Array | list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts on end, and the offsets of each text's.
+
+        Each distinct run of a slice is looked up once; its ids are then laid out wherever it stands.
+        """
+        texts = pc.fill_null(pa.array(texts, pa.string()) if isinstance(texts, list) else texts.cast(pa.string()), "")
+        if pc.any(pc.match_substring_regex(texts, "[\x1c-\x1f]")).as_py():
+            runs = [self.space.split(t) if self.separators.search(t) else t.split() for t in texts.to_pylist()]
+            lists = pa.array([[c for c in run if c] for run in runs], pa.list_(pa.string()))
+        else:
+            lists = pc.utf8_split_whitespace(texts)
+        coded = lists.flatten().dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        self._learn(distinct)
+        ids = [self.chunks[c] if c else () for c in distinct]
+        size = np.fromiter(map(len, ids), np.int64, len(ids))
+        flat = np.fromiter(itertools.chain.from_iterable(ids), np.int32, int(size.sum()))
+        first = np.cumsum(size) - size
+        at = coded.indices.to_numpy().astype(np.int64)
+        here = size[at]
+        ends = np.cumsum(here)
+        place = np.repeat(first[at] - (ends - here), here) + np.arange(ends[-1] if len(ends) else 0)
+        words = np.r_[0, np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))]
+        return flat[place], np.r_[0, ends][words].astype(np.int32)
 
 
 def _slices(column: pa.Array) -> Iterator[tuple[int, int]]:
@@ -220,16 +261,6 @@ def _schema(df: DataFrame, name: str, kind: T.DataType) -> T.StructType:
     return T.StructType([*(f for f in df.schema.fields if f.name != name), T.StructField(name, kind)])
 
 
-_ENCODERS: dict[str, Encoder] = {}      # of this Python worker, by tokenizer: the word cache outlives a task
-
-
-def _encoder(path: str, spec: dict) -> Encoder:
-    if path not in _ENCODERS:
-        _ENCODERS.clear()
-        _ENCODERS[path] = Encoder(spec)
-    return _ENCODERS[path]
-
-
 def read_spec(path: str) -> dict:
     """The tokenizer description at ``path`` (a file of a few megabytes, sent along with the tasks)."""
     with open(path, encoding="utf-8") as f:
@@ -241,11 +272,11 @@ def encode_bpe(df: DataFrame, tokenizer: str, *, text: str = "text", ids: str =
     spec = df.sparkSession.sparkContext.broadcast(read_spec(tokenizer))     # bounded by the file
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(tokenizer, spec.value)
+        encoder = Encoder(spec.value)
         for batch in batches:
             column = batch.column(batch.schema.get_field_index(text))
             for a, b in _slices(column):
-                flat, ends = encoder.encode(column.slice(a, b - a).to_pylist())
+                flat, ends = encoder.encode(column.slice(a, b - a))
                 yield _with(batch.slice(a, b - a), ids, pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)))
     return small_batches(df).mapInArrow(work, _schema(df, ids, T.ArrayType(T.IntegerType())))
 
@@ -291,11 +322,11 @@ def round_trip_bpe(df: DataFrame, tokenizer: str, *, text: str = "text", ids: st
                            T.StructField(decoded, T.StringType())])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, strings = _encoder(tokenizer, spec.value), pa.array(_strings(spec.value), pa.string())
+        encoder, strings = Encoder(spec.value), pa.array(_strings(spec.value), pa.string())
         for batch in batches:
             column = batch.column(batch.schema.get_field_index(text))
             for a, b in _slices(column):
-                flat, ends = encoder.encode(column.slice(a, b - a).to_pylist())
+                flat, ends = encoder.encode(column.slice(a, b - a))
                 coded, part = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)), batch.slice(a, b - a)
                 yield pa.RecordBatch.from_arrays([*(part.column(part.schema.get_field_index(c)) for c in kept),
                                                   coded, _decoded(coded, strings)], names=[*kept, ids, decoded])

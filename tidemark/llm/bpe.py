@@ -12,7 +12,8 @@ prefixes come from an automaton over the vocabulary.
 Reads tokenizer files of the ``tokenizers`` library with a BPE model, byte-level
 alphabet and an end-of-word suffix.  Documents are worked on in slices of about a
 megabyte; a worker's word cache is bounded (two times ``CACHE_WORDS``): a word
-that falls out is encoded again.
+that falls out is encoded again.  Caches end with their task, and their memory goes
+back to the system.
 
 Defined cases: null and empty texts encode to no ids and decode to ""; special
 tokens' strings in a text become their ids, as in the library; repeated rows
@@ -35,9 +36,9 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from tidemark.llm.common import small_batches
+from tidemark.llm.common import release_memory, small_batches
 
-CACHE_WORDS = 200_000
+CACHE_WORDS = 100_000
 SLICE_BYTES = 1 << 20
 _END = "\0"             # stands for the end-of-word suffix; no character of the byte alphabet
 
@@ -202,7 +203,7 @@ class Encoder:
         """Encode the runs that are not known yet."""
         if len(self.chunks) > CACHE_WORDS:      # what was not met since the last time goes
             self.older, self.chunks, self.words = self.chunks, {}, {}
-        if len(self.trie.apart) > 4 * CACHE_WORDS:
+        if len(self.trie.apart) > CACHE_WORDS:
             self.trie.apart.clear()
         unseen = set(runs).difference(self.chunks)
         again = unseen.intersection(self.older)
@@ -278,6 +279,8 @@ def encode_bpe(df: DataFrame, tokenizer: str, *, text: str = "text", ids: str =
             for a, b in _slices(column):
                 flat, ends = encoder.encode(column.slice(a, b - a))
                 yield _with(batch.slice(a, b - a), ids, pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)))
+        del encoder
+        release_memory()
     return small_batches(df).mapInArrow(work, _schema(df, ids, T.ArrayType(T.IntegerType())))
 
 
@@ -330,4 +333,6 @@ def round_trip_bpe(df: DataFrame, tokenizer: str, *, text: str = "text", ids: st
                 coded, part = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)), batch.slice(a, b - a)
                 yield pa.RecordBatch.from_arrays([*(part.column(part.schema.get_field_index(c)) for c in kept),
                                                   coded, _decoded(coded, strings)], names=[*kept, ids, decoded])
+        del encoder, strings
+        release_memory()
     return small_batches(df).mapInArrow(work, schema)

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import itertools
 import tempfile
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -68,3 +71,13 @@ def small_batches(df: DataFrame, rows: int = 1000) -> DataFrame:
     if not 0 < int(df.sparkSession.conf.get(name)) <= rows:
         df.sparkSession.conf.set(name, str(rows))
     return df
+
+
+def release_memory() -> None:
+    """Give back what a task's large objects held: Python workers live on, and keep freed memory otherwise."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):       # not the GNU C library
+        pass

@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import setsketch as ss
-from tidemark.llm.common import drop, packed, stage
+from tidemark.llm.common import drop, packed, small_batches, stage
 from tidemark.llm.components import components
 
 MISS = 5e-5             # chance that a pair at the threshold shares no band
@@ -76,7 +76,7 @@ def sketches(docs: DataFrame, *, key: str = "doc_id", text: str = "text") -> Dat
                     "id": batch.column(0).slice(a, len(texts)), "h": batch.column(2).slice(a, len(texts)), "cls": pa.array(map(_key, texts), pa.binary()),
                     "n": pa.array([len(s) for s in sets], pa.int64()),
                     "registers": pa.array([r.tobytes() for r in rows], pa.binary())})
-    return (docs.select(F.col(key).cast("long"), text, F.xxhash64(text).alias("h"))
+    return (small_batches(docs).select(F.col(key).cast("long"), text, F.xxhash64(text).alias("h"))
             .mapInArrow(work, "id long, h long, cls binary, n long, registers binary"))
 
 

@@ -147,17 +147,20 @@ def _newer() -> tuple[dict[int, str], dict[int, str]]:
     """Characters newer than Python's Unicode tables, on which its modules and the library differ: their lower case, and
     a stand-in of the class (letter, number or sign) that the library puts them in.  Both are asked of the library."""
     import tokenizers
+    kinds = [(kind, stand_in, tokenizers.pre_tokenizers.Split(tokenizers.Regex(f"{kind}+"), "removed", invert=True))
+             for kind, stand_in in ((r"\p{L}", "b"), (r"\p{N}", "0"))]
+    small, lower, stand_ins = tokenizers.normalizers.Lowercase(), {}, {}
     points = [c for c in range(0x110000) if unicodedata.category(chr(c)) == "Cn"]
-    text = "".join(map(chr, points))
-    lower = tokenizers.normalizers.Lowercase().normalize_str(text)
-    lower = {c: x for c, x in zip(points, lower) if ord(x) != c} if len(lower) == len(text) else {}
-    stand_ins = {}
-    for kind, stand_in in ((r"\p{L}", "b"), (r"\p{N}", "0")):
-        split = tokenizers.pre_tokenizers.Split(tokenizers.Regex(f"{kind}+"), "removed", invert=True)
-        theirs = set("".join(piece for piece, _ in split.pre_tokenize_str(text)))
-        ours = set(regex.findall(kind, text))
-        stand_ins |= dict.fromkeys(map(ord, theirs - ours), stand_in)
-        stand_ins |= {ord(c): "\u2603" for c in ours - theirs if ord(c) not in stand_ins}
+    for i in range(0, len(points), 2048):       # the library keeps much about each character of a text
+        text = "".join(map(chr, points[i:i + 2048]))
+        lowered = small.normalize_str(text)
+        if len(lowered) == len(text):
+            lower |= {ord(c): x for c, x in zip(text, lowered) if x != c}
+        for kind, stand_in, split in kinds:
+            theirs = set("".join(piece for piece, _ in split.pre_tokenize_str(text)))
+            ours = set(regex.findall(kind, text))
+            stand_ins |= dict.fromkeys(map(ord, theirs - ours), stand_in)
+            stand_ins |= {ord(c): "\u2603" for c in ours - theirs if ord(c) not in stand_ins}
     return lower, stand_ins
 
 

@@ -70,3 +70,27 @@ def test_casts(spark):
         bad.select(to_date("d")).collect()
     t = spark.createDataFrame([(dt.datetime(2026, 7, 13, 10, 11, 12, 120000),)], "t timestamp")
     assert t.select(to_text("t")).first()[0] == "2026-07-13 10:11:12.12"
+
+
+def test_sql_functions_equal_their_column_forms(spark):
+    """On whole tables, with NULL, empty and short values."""
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    from tidemark import functions as C
+    from tidemark.functions.sql import FUNCTIONS, register
+    assert register(spark) == list(FUNCTIONS)
+    cust = spark.read.parquet("/root/testdata/sf0.001/customer.parquet").select(
+        F.col("c_name").alias("s"), F.date_add(F.lit(dt.date(1940, 2, 28)), (F.col("c_custkey") * 97 % 30000).cast("int")).alias("d"))
+    odd = spark.createDataFrame([(None, None), ("", dt.date(2004, 2, 29)), ("a", dt.date(2010, 7, 13)), ("no at", None), ("x@y@z", None),
+                                 ("1234", None), ("é9è88", dt.date(1961, 7, 14))], "s string, d date")
+    rows = cust.unionByName(odd)
+    as_of, run = dt.date(2026, 7, 13), F.timestamp_micros(F.lit(1_784_000_000_000_000))
+    pairs = {"mask_name(s)": C.mask_name("s"), "mask_phone(s)": C.mask_phone("s"), "mask_email(s)": C.mask_email("s"),
+             "redact_digits(s)": C.redact_digits("s"), "completed_years(d, DATE '2026-07-13')": C.completed_years("d", as_of),
+             "age_bracket(d, DATE '2026-07-13')": C.age_bracket("d", as_of), "surrogate_key(s)": C.surrogate_key("s"),
+             "nullable_key(s)": C.nullable_key("s"), "versioned_key(s, r)": C.versioned_key("s", "r"), "scd_id(s, r)": C.scd_id("s", "r")}
+    rows = rows.withColumn("r", run)
+    wrong = rows.select(*[F.sum((~F.expr(e).eqNullSafe(c)).cast("int")).alias(e) for e, c in pairs.items()]).first().asDict()
+    assert set(wrong.values()) == {0}, wrong

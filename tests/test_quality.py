@@ -25,3 +25,26 @@ def test_checks_semantics(spark):
     assert len(warned) == 6
     ok = [Q.not_null("parent", "id"), Q.unique("parent", "id")]
     assert Q.enforce(Q.run_checks(tables, ok), ok) == []
+
+
+def test_relationships_share_one_pass(spark):
+    """Several children, parents and key types: equal to a join of each check's own; every child is scanned once."""
+    parent = spark.createDataFrame([("a",), ("b",), ("b",), (None,)], "k string")
+    other = spark.createDataFrame([(1,), (2,)], "id long")
+    child = spark.createDataFrame([("a", "z", 1, 1.0), ("q", "b", 9, 3.0), ("q", None, None, None), (None, "q", 2, 2.0)],
+                                  "x string, y string, n int, f double")
+    grand = spark.createDataFrame([("z",), ("z",), ("a",)], "x string")
+    dec = spark.createDataFrame([(1.0,), (2.0,)], "f double")
+    tables = {"parent": parent, "other": other, "child": child, "grand": grand, "dec": dec}
+    checks = [Q.relationships("child", "x", "parent", "k"), Q.relationships("child", "y", "parent", "k"),
+              Q.relationships("child", "n", "other", "id"), Q.relationships("grand", "x", "parent", "k"),
+              Q.relationships("child", "f", "dec", "f")]
+    got = {(r["table"], r["column"]): r["failures"] for r in Q.run_checks(tables, checks).collect()}
+    assert got == {("child", "x"): 2, ("child", "y"): 2, ("child", "n"): 1, ("grand", "x"): 2, ("child", "f"): 1}
+    one = {(r["table"], r["column"]): r["failures"] for r in Q.run_checks_one_by_one(tables, checks).collect()}
+    assert one == got
+    orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+    customer = spark.read.parquet("/root/testdata/sf0.001/customer.parquet")
+    many = [Q.relationships("orders", "o_custkey", "customer", "c_custkey"), Q.relationships("orders", "o_orderkey", "customer", "c_custkey")]
+    text = Q.run_checks({"orders": orders, "customer": customer}, many)._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("Join LeftAnti") == 1 and text.count("Relation [") == 2

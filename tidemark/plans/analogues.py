@@ -583,6 +583,65 @@ def stream_users(spark, sf_dir) -> DataFrame:
     return read_table(spark, root, "bronze", "users").select("user_id", "status", "last_event")
 
 
+def stream_first_events(spark, sf_dir) -> DataFrame:
+    """T2 + T3: events arriving in four deliveries, each with rows of earlier ones; the log keeps the first of each."""
+    from tidemark.sources.tables import read_table
+    from tidemark.streaming.landing import stream_first
+    events = load(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
+    src, root = scratch_path(spark, "event-deliveries"), scratch_path(spark, "first-events")
+    deliveries = [F.col("event_id") % 3 == 0, F.col("event_id") % 3 <= 1, F.col("event_id") % 2 == 0, F.lit(True)]
+    for which in deliveries:        # a delivery is one micro-batch
+        events.where(which).coalesce(1).write.mode("append").parquet(src)
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", "1").parquet(src)
+    stream_first(stream, "event_id", "ts", root, "bronze", "events", os.path.join(root, "_checkpoint"))
+    return read_table(spark, root, "bronze", "events").select("event_id", "ts", "user_id", "event_type")
+
+
+def bucketed_upsert(spark, sf_dir) -> DataFrame:
+    """S4 + S8 (+S9): the rollups of ``upsert_latest`` kept in a bucketed table; the batch rewrites the buckets it touches."""
+    from tidemark.sources.tables import read_table, upsert_buckets
+    base, batch = _split(spark, sf_dir)
+    root = scratch_path(spark, "bucketed")
+    for rows in (base, batch):
+        upsert_buckets(_order_rollup(rows), root, "bronze", "rollups", "l_orderkey", buckets=16)
+    return read_table(spark, root, "bronze", "rollups")
+
+
+def indexed_insert(spark, sf_dir) -> DataFrame:
+    """S5 + J11: the rollups of ``insert_absent`` kept in a log with a key index, which names the loads to probe."""
+    from tidemark.operators.load import new_rows
+    from tidemark.operators.sizing import fits
+    from tidemark.sources.tables import append_log, loads_with_keys, read_loads, read_table
+    base, batch = (materialize(_order_rollup(rows), "rollups") for rows in _split(spark, sf_dir))
+    root = scratch_path(spark, "indexed")
+    where = ("bronze", "rollups")
+    for part in range(4):
+        append_log(base.where(F.pmod("l_orderkey", F.lit(4)) == part), root, *where, f"2026070{part + 1}T000000", key="l_orderkey")
+    small = fits(batch.select("l_orderkey"))
+    loads = loads_with_keys(spark, root, *where, batch, "l_orderkey", broadcast_keys=small)
+    fresh = new_rows(read_loads(spark, root, *where, loads), batch, "l_orderkey", check_unique=False, small_batch=small)
+    append_log(fresh, root, *where, "20260705T000000", key="l_orderkey")
+    return read_table(spark, root, *where).drop("load_id")
+
+
+def sql_functions(spark, sf_dir) -> DataFrame:
+    """K1-K5, H7-H9 as SQL functions over customers."""
+    from tidemark.functions.sql import register
+    register(spark)
+    c = load(spark, sf_dir, "customer")
+    dob = F.date_add(F.lit(DOB_ORIGIN).cast("date"), ((F.col("c_custkey") * 17) % DOB_SPAN_DAYS).cast("int"))
+    rows = c.select("c_custkey", "c_name", F.concat(F.lower(F.regexp_replace("c_name", "#", ".")), F.lit("@post.example")).alias("email"),
+                    F.when(F.col("c_mktsegment") == "MACHINERY", F.lit(None).cast("date")).otherwise(dob).alias("dob"),
+                    F.when(F.col("c_custkey") % 3 == 0, "").when(F.col("c_custkey") % 3 == 1, F.col("c_mktsegment")).alias("segment"))
+    return rows.sparkSession.sql(f"""
+        SELECT c_custkey, mask_name(c_name) AS masked_name, mask_phone(CAST(c_custkey AS STRING)) AS masked_phone,
+               mask_email(email) AS masked_email, redact_digits(c_name) AS redacted, completed_years(dob, DATE '{AS_OF_DATE}') AS age,
+               age_bracket(dob, DATE '{AS_OF_DATE}') AS age_bracket, surrogate_key(CAST(c_custkey AS STRING)) AS sk,
+               versioned_key(CAST(c_custkey AS STRING), TIMESTAMP '{RUN_1} 00:00:00') AS version_sk,
+               nullable_key(segment) AS segment_sk, scd_id(CAST(c_custkey AS STRING), TIMESTAMP '{RUN_2} 00:00:00') AS scd
+        FROM {{rows}}""", rows=rows)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "asof_fact": asof_fact,
     "asof_fact_join": asof_fact_join,
@@ -625,4 +684,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "silver_addresses_current": silver_addresses_current,
     "gold_dim_customers": gold_dim_customers,
     "gold_fact_transactions": gold_fact_transactions,
+    "stream_first": stream_first_events,
+    "bucketed_upsert": bucketed_upsert,
+    "indexed_insert": indexed_insert,
+    "sql_functions": sql_functions,
 }

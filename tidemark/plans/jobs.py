@@ -3,8 +3,12 @@
 Storage layout under ``root``: ``bronze/``, ``silver/``, ``gold/`` with one
 folder per table (:mod:`tidemark.sources.tables`).  Event logs (bronze
 transactions and customer changes, their silver models, the gold fact) and the
-closed part of each snapshot only receive new rows; current-state tables and
-the open part of each snapshot are published as new versions.  The newest
+closed part of each snapshot only receive new rows; bronze current-state tables and
+silver accounts and cards are bucketed by key, and a load rewrites the buckets it
+touches; other current-state tables and the open part of each snapshot are published
+as new versions.  Each load, the silver build, the snapshots and the gold build are one
+step each (:mod:`tidemark.sources.commits`): a run that breaks off inside one leaves
+nothing of it.  The newest
 change per customer and the customer dimension are maintained from what changed
 since they were last written, and the daily checks cover whole tables.
 Clocks are arguments: ``run_ts`` stamps loads, log partitions and snapshot
@@ -16,24 +20,26 @@ from __future__ import annotations
 
 import datetime as _dt
 import os
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.load import (DuplicateKeyError, clock, from_micros, inspect_batch, new_rows, stamp_load,
-                                     upsert_latest, utc)
+from tidemark.operators.load import DuplicateKeyError, clock, from_micros, inspect_batch, new_rows, stamp_load, utc
 from tidemark.operators.quality import Check, QualityError, enforce, run_checks
 from tidemark.operators.history import snapshot_step
 from tidemark.operators.incremental import after_high_water
 from tidemark.operators.sizing import BROADCAST_MAX_ROWS, fits
 from tidemark.plans import gold, silver
 from tidemark.plans.checks import GOLD_CHECKS, SILVER_CHECKS
+from tidemark.plans.parallel import concurrently
 from tidemark.schemas import DAILY_FILES, ENTITIES, INSERT_ABSENT, MAX_TEXT_LENGTH
 from tidemark.schemas import entity as _entity
 from tidemark.sources.landing import read_landing
-from tidemark.sources.tables import (append_log, delete_path, log_partitions, log_path, materialize, path_exists,
-                                    publish, read_table, replace_log)
+from tidemark.sources.commits import step
+from tidemark.sources.tables import (append_log, changed_buckets, loads_with_keys, log_partitions, materialize, path_exists,
+                                    publish, read_loads, read_table, replace_log, rewrite_loads, table_entry,
+                                    upsert_buckets)
 
 BRONZE, SILVER, GOLD = "bronze", "silver", "gold"
 
@@ -80,16 +86,21 @@ def load_entity(spark: SparkSession, entity: str, path: str, root: str, run_ts:
     if too_long:
         raise QualityError(f"{ent.name} landing file {path}: text longer than {MAX_TEXT_LENGTH}: {too_long}")
     batch = stamp_load(batch, run_ts)
-    target = read_table(spark, root, BRONZE, ent.name)
-    if target is not None and "load_id" in target.columns:
-        target = target.drop("load_id")
     small = n_keys <= max_broadcast_rows
-    if ent.mode == INSERT_ABSENT:
-        append_log(new_rows(target, batch, ent.key, check_unique=False, small_batch=small),
-                   root, BRONZE, ent.name, load_id(run_ts))
-    else:
-        publish(upsert_latest(target, batch, ent.key, check_unique=False, small_batch=small),
-                root, BRONZE, ent.name)
+    with step(root, f"load {ent.name} from {path}"):
+        if ent.mode == INSERT_ABSENT:
+            append_log(_unloaded(spark, root, BRONZE, ent.name, batch, ent.key, small), root, BRONZE, ent.name,
+                       load_id(run_ts), key=ent.key)
+        else:
+            upsert_buckets(batch, root, BRONZE, ent.name, ent.key, small_batch=small)
+
+
+def _unloaded(spark: SparkSession, root: str, layer: str, name: str, batch: DataFrame, key: str, small: bool) -> DataFrame:
+    """Batch rows whose key no load of the log holds; only loads whose index says they may are opened."""
+    loads = loads_with_keys(spark, root, layer, name, batch, key, broadcast_keys=small)
+    if not loads:
+        return batch
+    return new_rows(read_loads(spark, root, layer, name, loads), batch, key, check_unique=False, small_batch=small)
 
 
 # The current-state entities have a seed file; event logs begin with the first day.
@@ -107,16 +118,16 @@ def bootstrap(spark: SparkSession, seed_dir: str, root: str, run_ts: _dt.datetim
     missing = [p for p in paths.values() if not path_exists(p)]
     if missing:
         raise FileNotFoundError(f"seed files not found: {missing}")
-    for name, path in paths.items():
-        load_entity(spark, name, path, root, run_ts)
+    concurrently(spark, {name: lambda name=name, path=path: load_entity(spark, name, path, root, run_ts)
+                         for name, path in paths.items()})
     return list(paths)
 
 
 def load_day(spark: SparkSession, day: str, incoming_dir: str, root: str, run_ts: _dt.datetime) -> None:
-    """The day's five landing files, in dependency order (a missing file raises)."""
+    """The day's five landing files (a missing file raises); each is a step of its own, and none needs another."""
     folder = os.path.join(incoming_dir, day)
-    for prefix, name in DAILY_FILES.items():
-        load_entity(spark, name, os.path.join(folder, f"{prefix}_{day}.csv"), root, run_ts)
+    concurrently(spark, {name: lambda name=name, prefix=prefix: load_entity(
+        spark, name, os.path.join(folder, f"{prefix}_{day}.csv"), root, run_ts) for prefix, name in DAILY_FILES.items()})
 
 
 def log_mark(spark: SparkSession, root: str, layer: str, name: str, column: str = "dwh_load_date"):
@@ -152,26 +163,64 @@ def log_since(spark: SparkSession, root: str, layer: str, name: str, mark) -> Da
 
 
 def build_silver(spark: SparkSession, root: str, as_of: _dt.date, run_ts: _dt.datetime | None = None) -> None:
-    """All silver models from the current bronze tables."""
-    b = {name: bronze_table(spark, root, name) for name in ENTITIES}
-    for name in silver.PASSTHROUGH:
-        publish(silver.passthrough(name, b[name]), root, SILVER, name)
-    publish(silver.accounts(b["accounts"], _table(spark, root, SILVER, "accounts")), root, SILVER, "accounts")
-    publish(silver.cards(b["cards"], _table(spark, root, SILVER, "cards")), root, SILVER, "cards")
-    for name, model in [("transactions", silver.new_transactions),
-                        ("customer_changes", silver.new_customer_changes)]:
+    """All silver models from the current bronze tables, as one step."""
+    with step(root, "build silver"):
+        _build_silver(spark, root, as_of, run_ts)
+
+
+def merge_current(spark: SparkSession, root: str, name: str, typed: Callable[[DataFrame], DataFrame], key: str) -> list[int]:
+    """M1, M2: bronze rows loaded after the last run, typed and merged by key; returns the silver buckets written.
+
+    Of the bronze table only the buckets written since the last merge are read (the
+    silver table's entry names the folders it has seen), and of those the rows above
+    the high-water mark.
+    """
+    with step(root, f"merge {name}") as own:
+        bronze, mine = table_entry(root, BRONZE, name), table_entry(root, SILVER, name)
+        if bronze is None:
+            return upsert_buckets(typed(bronze_table(spark, root, name)), root, SILVER, name, key)
+        mark = None if mine is None else _max_instant(_table(spark, root, SILVER, name))
+        seen = {} if mine is None or mark is None else mine.get("seen", {})
+        new = changed_buckets(spark, root, BRONZE, name, seen)
+        touched = upsert_buckets(typed(after_high_water(new, None, mark=mark)), root, SILVER, name, key)
+        own.set(f"{SILVER}/{name}", {**table_entry(root, SILVER, name), "seen": bronze["buckets"]})
+        return touched
+
+
+# The silver models, in the order of the layer; none reads another one.
+SILVER_MODELS = (*silver.PASSTHROUGH, "accounts", "cards", "transactions", "customer_changes", "customer_contacts",
+                 "customers_current", "addresses_current")
+
+
+def _build_silver(spark: SparkSession, root: str, as_of: _dt.date, run_ts: _dt.datetime | None) -> None:
+    concurrently(spark, {name: lambda name=name: build_model(spark, root, name, as_of, run_ts) for name in SILVER_MODELS})
+
+
+def build_model(spark: SparkSession, root: str, name: str, as_of: _dt.date, run_ts: _dt.datetime | None = None) -> None:
+    """One silver model from the current bronze tables."""
+    if name in silver.PASSTHROUGH:
+        publish(silver.passthrough(name, bronze_table(spark, root, name)), root, SILVER, name)
+    elif name == "accounts":
+        merge_current(spark, root, name, silver.typed_accounts, "account_id")
+    elif name == "cards":
+        merge_current(spark, root, name, silver.typed_cards, "card_id")
+    elif name in ("transactions", "customer_changes"):
+        model = silver.new_transactions if name == "transactions" else silver.new_customer_changes
         mark = log_mark(spark, root, SILVER, name)
         source = log_since(spark, root, BRONZE, name, mark)
         if source is None:
-            source = b[name]
-        append_log(model(source, mark=mark) if mark is not None else model(source), root, SILVER, name,
-                   _stamp(run_ts))
-    publish(silver.customer_contacts(b["customer_contacts"]), root, SILVER, "customer_contacts")
-    latest = {kind: maintain_latest_changes(spark, root, kind) for kind in ("status", "address")}
-    publish(silver.customers_current(b["customers"], None, as_of, latest=latest["status"]), root, SILVER,
-            "customers_current")
-    publish(silver.addresses_current(b["customer_addresses"], None, latest=latest["address"]), root, SILVER,
-            "addresses_current")
+            source = bronze_table(spark, root, name)
+        append_log(model(source, mark=mark) if mark is not None else model(source), root, SILVER, name, _stamp(run_ts))
+    elif name == "customer_contacts":
+        publish(silver.customer_contacts(bronze_table(spark, root, name)), root, SILVER, name)
+    elif name == "customers_current":
+        latest = maintain_latest_changes(spark, root, "status")
+        publish(silver.customers_current(bronze_table(spark, root, "customers"), None, as_of, latest=latest), root, SILVER, name)
+    elif name == "addresses_current":
+        latest = maintain_latest_changes(spark, root, "address")
+        publish(silver.addresses_current(bronze_table(spark, root, "customer_addresses"), None, latest=latest), root, SILVER, name)
+    else:
+        raise KeyError(f"unknown silver model {name!r}; known: {SILVER_MODELS}")
 
 
 def maintain_latest_changes(spark: SparkSession, root: str, change_type: str) -> DataFrame:
@@ -211,12 +260,15 @@ def take_snapshots_for(spark: SparkSession, root: str, run_ts: _dt.datetime,
     versions, rewritten each run) and ``<name>_closed`` (a log, closed
     versions, one partition per run).  A run reads and rewrites the open set only.
 
-    The open set is published last and decides.  A version still open in it was
-    not closed by any finished run, so a retry under the same clock drops such
-    rows from its own closed partition (an attempt that broke off wrote them)
+    All of it is one step.  A version still open was not closed by any finished run, so
+    a run under the same clock once more drops such rows from its own closed partition
     and writes the partition anew.
     """
-    run, part = clock(run_ts), load_id(run_ts)
+    with step(root, f"snapshots of {load_id(run_ts)}"):
+        _take_snapshots(spark, root, clock(run_ts), load_id(run_ts), snapshots)
+
+
+def _take_snapshots(spark: SparkSession, root: str, run, part: str, snapshots: list[tuple[str, str, list[str]]]) -> None:
     for name, current, check in snapshots:
         opened = _table(spark, root, SILVER, f"{name}_open")
         touched = snapshot_step(opened, _table(spark, root, SILVER, current), "customer_id", check, run)
@@ -258,13 +310,38 @@ def build_gold(spark: SparkSession, root: str, run_ts: _dt.datetime | None = Non
     (delta appended; replaced keys rewritten).  ``full=True`` builds the customer
     dimension and the fact again from all of silver.
 
-    The clock of the last merge (``dim_customers_mark``) is published after the
-    dimension: a run that breaks off in between merges the same customers again.
+    All of it is one step: readers see the dimensions and the fact of one build.
     """
+    with step(root, "build gold"):
+        _build_gold(spark, root, run_ts, full, max_broadcast_rows)
+
+
+def _build_gold(spark: SparkSession, root: str, run_ts: _dt.datetime | None, full: bool, max_broadcast_rows: int) -> None:
     s = silver_tables(spark, root)
-    publish(gold.dim_accounts(s["accounts"], s["account_products"]), root, GOLD, "dim_accounts")
-    publish(gold.dim_cards(s["cards"], s["card_bin_ranges"]), root, GOLD, "dim_cards")
-    publish(gold.dim_merchants(s["merchants"], s["merchant_categories"]), root, GOLD, "dim_merchants")
+    concurrently(spark, {name: lambda name=name: build_dimension(spark, root, name) for name in DIMENSIONS}
+                 | {"dim_customers": lambda: _build_dim_customers(spark, root, s, full)})
+    target = _table(spark, root, GOLD, "fact_transactions")
+    mark = None if full else log_mark(spark, root, GOLD, "fact_transactions")
+    source = log_since(spark, root, SILVER, "transactions", mark)
+    delta = gold.fact_rows(source, s["transaction_types"], s["currencies"],
+                           _table(spark, root, GOLD, "dim_accounts"), _table(spark, root, GOLD, "dim_customers"),
+                           None if full or mark is not None else target, mark=mark)
+    _write_fact(spark, root, target, delta, max_broadcast_rows, _stamp(run_ts))
+
+
+# Dimensions rebuilt from two silver tables each.
+DIMENSIONS = {"dim_accounts": (gold.dim_accounts, "accounts", "account_products"),
+              "dim_cards": (gold.dim_cards, "cards", "card_bin_ranges"),
+              "dim_merchants": (gold.dim_merchants, "merchants", "merchant_categories")}
+
+
+def build_dimension(spark: SparkSession, root: str, name: str) -> None:
+    """One dimension rebuilt from silver."""
+    model, main, lookup = DIMENSIONS[name]
+    publish(model(_table(spark, root, SILVER, main), _table(spark, root, SILVER, lookup)), root, GOLD, name)
+
+
+def _build_dim_customers(spark: SparkSession, root: str, s: dict[str, DataFrame], full: bool) -> None:
     previous = _table(spark, root, GOLD, "dim_customers")
     merged_at = _table(spark, root, GOLD, "dim_customers_mark")
     merged_at = None if merged_at is None else _max_instant(merged_at, "merged_at")
@@ -278,43 +355,32 @@ def build_gold(spark: SparkSession, root: str, run_ts: _dt.datetime | None = Non
     publish(dim, root, GOLD, "dim_customers")
     if reached is not None:
         publish(spark.range(1).select(clock(reached).alias("merged_at")), root, GOLD, "dim_customers_mark")
-    target = _table(spark, root, GOLD, "fact_transactions")
-    mark = None if full else log_mark(spark, root, GOLD, "fact_transactions")
-    source = log_since(spark, root, SILVER, "transactions", mark)
-    delta = gold.fact_rows(source, s["transaction_types"], s["currencies"],
-                           _table(spark, root, GOLD, "dim_accounts"), _table(spark, root, GOLD, "dim_customers"),
-                           None if full or mark is not None else target, mark=mark)
-    _write_fact(spark, root, target, delta, max_broadcast_rows, _stamp(run_ts))
 
 
 def _write_fact(spark, root, target, delta, max_broadcast_rows, stamp: str | None = None) -> None:
     """delete+insert by transaction_id without rewriting the history in the common case.
 
-    The delta is written once to the shared checkpoint folder (its keys are
-    probed and then written).  When no delta key is in the fact yet, the delta
-    is appended.  Otherwise (a correction run) only the load partitions that
-    hold a replaced key are rewritten: their kept rows are written to the
-    checkpoint folder first, then overwrite those partitions; a partition with
-    no kept row is deleted.  The delta is then appended.
+    The delta is written once to the shared checkpoint folder (its keys are probed
+    and then written).  The key index names the loads that may hold one of its keys;
+    only those are opened, and of them only the ones that do are written anew (all in
+    one job; a load without a kept row goes).  The delta is then appended.  One step.
     """
     stamp = stamp or _stamp(None)
     delta = materialize(delta, "fact-delta")
-    if target is not None:
-        keys = delta.select("transaction_id")
-        keys = F.broadcast(keys) if fits(keys, max_broadcast_rows) else keys
-        logged = read_table(spark, root, GOLD, "fact_transactions")      # with its load_id partitions
-        # One row per load partition touched: bounded by the number of loads.
-        hit = [r["load_id"] for r in logged.select("transaction_id", "load_id")
-               .join(keys, "transaction_id", "left_semi").select("load_id").distinct().collect()]
-        if hit:
-            kept = materialize(logged.filter(F.col("load_id").isin(hit)).join(keys, "transaction_id", "left_anti"),
-                               "fact-kept")
-            surviving = {r["load_id"] for r in kept.select("load_id").distinct().collect()}
-            (kept.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy("load_id").parquet(log_path(root, GOLD, "fact_transactions")))
-            for load in set(hit) - surviving:
-                delete_path(os.path.join(log_path(root, GOLD, "fact_transactions"), f"load_id={load}"))
-    append_log(delta, root, GOLD, "fact_transactions", stamp)
+    with step(root, "write fact_transactions"):
+        if target is not None:
+            keys = delta.select("transaction_id")
+            small = fits(keys, max_broadcast_rows)
+            probe = F.broadcast(keys) if small else keys
+            logged = read_loads(spark, root, GOLD, "fact_transactions", loads_with_keys(
+                spark, root, GOLD, "fact_transactions", keys, "transaction_id", broadcast_keys=small))
+            # One row per load touched: bounded by the number of loads.
+            hit = [] if logged is None else [r["load_id"] for r in logged.select("transaction_id", "load_id").join(
+                probe, "transaction_id", "left_semi").select("load_id").distinct().collect()]
+            if hit:
+                kept = logged.filter(F.col("load_id").isin(hit)).join(probe, "transaction_id", "left_anti")
+                rewrite_loads(kept, root, GOLD, "fact_transactions", hit)
+        append_log(delta, root, GOLD, "fact_transactions", stamp, key="transaction_id")
 
 
 def gold_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
@@ -356,8 +422,11 @@ def scope_to_run(spark: SparkSession, root: str, layer: str, tables: dict[str, D
         for ch in checks:
             if ch.table == name and ch.kind == "unique":
                 keys = new.select(*ch.columns)
-                keys = F.broadcast(keys) if fits(keys) else keys
-                unique_scope[name] = new.unionByName(older.join(keys, list(ch.columns), "left_semi")
+                small = fits(keys)
+                if len(ch.columns) == 1:
+                    loads = loads_with_keys(spark, root, layer, name, keys, ch.columns[0], broadcast_keys=small)
+                    older = read_loads(spark, root, layer, name, [x for x in loads if x <= passed]).drop("load_id")
+                unique_scope[name] = new.unionByName(older.join(F.broadcast(keys) if small else keys, list(ch.columns), "left_semi")
                                                      .select(*new.columns))
     return scoped, unique_scope
 

@@ -554,6 +554,25 @@ FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
 WHERE l.l_shipdate < o.o_orderdate
 """
 
+STREAM_FIRST = "SELECT DISTINCT event_id, ts, user_id, event_type FROM events"
+
+SQL_FUNCTIONS = """
+WITH c AS (
+  SELECT c_custkey, c_name, CAST(c_custkey AS VARCHAR) AS k, lower(replace(c_name, '#', '.')) || '@post.example' AS email,
+         CASE WHEN c_mktsegment <> 'MACHINERY' THEN DATE '1940-01-01' + CAST((c_custkey * 17) % 25000 AS INTEGER) END AS born,
+         CASE c_custkey % 3 WHEN 1 THEN c_mktsegment END AS segment
+  FROM customer),
+aged AS (SELECT *, CAST(date_part('year', age(DATE '2026-07-13', born)) AS INTEGER) AS years FROM c)
+SELECT c_custkey, left(c_name, 1) || repeat('*', length(c_name) - 1) AS masked_name,
+       repeat('*', greatest(length(k) - 4, 0)) || right(k, 4) AS masked_phone,
+       left(email, 1) || '***@' || split_part(email, '@', 2) AS masked_email, regexp_replace(c_name, '[0-9]+', '###', 'g') AS redacted,
+       years AS age, CASE WHEN years < 25 THEN '18-24' WHEN years < 35 THEN '25-34' WHEN years < 45 THEN '35-44'
+         WHEN years < 55 THEN '45-54' WHEN years < 65 THEN '55-64' ELSE '65+' END AS age_bracket,
+       md5(k) AS sk, md5(k || '2024-01-15 00:00:00') AS version_sk, md5(segment) AS segment_sk,
+       md5(k || '|2024-01-30 00:00:00') AS scd
+FROM aged
+"""
+
 ORACLES: dict[str, str] = {
     "asof_fact": ASOF_FACT,
     "asof_fact_join": ASOF_FACT,
@@ -596,4 +615,8 @@ ORACLES: dict[str, str] = {
     "silver_addresses_current": SILVER_ADDRESSES_CURRENT,
     "gold_dim_customers": GOLD_DIM_CUSTOMERS,
     "gold_fact_transactions": GOLD_FACT_TRANSACTIONS,
+    "stream_first": STREAM_FIRST,
+    "bucketed_upsert": UPSERT_LATEST,
+    "indexed_insert": INSERT_ABSENT,
+    "sql_functions": SQL_FUNCTIONS,
 }

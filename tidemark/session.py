@@ -45,6 +45,7 @@ def build_session(master: str | None = "local[*]", shuffle_partitions: int | Non
     builder = SparkSession.builder.appName(app_name).config("spark.ui.enabled", "false")
     if master is not None:
         builder = builder.master(master)
+    builder = builder.config("spark.scheduler.mode", "FAIR")     # independent steps of a job run side by side
     if shuffle_partitions is not None:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for key, value in {**RESULT_CONF, **SCALE_CONF}.items():

@@ -13,8 +13,9 @@
 
 Copies never meet each other, and members of a group that its hub joins are not
 compared any more.  What grows faster than the input is step 4 in buckets of
-many texts that are alike but under the threshold; its pairs stay inside tasks
-until the likelihood is at most the slack under the threshold.  Bands are as wide as
+many texts that are alike but under the threshold; its pairs stay inside tasks:
+likely pairs travel as lists of partners, dealt into blocks of classes that share
+hubs, and a class's text moves once for each block, not for each pair.  Bands are as wide as
 lets a pair at the threshold share none in at most ``MISS`` of all cases (8 registers
 at 0.85, 3.8 in 100,000; 6 at 0.80, 3 in a million), and the slack is ``DEVIATIONS``
 standard deviations of the estimate (under 4 in a million).
@@ -45,6 +46,7 @@ MISS = 5e-5             # chance that a pair at the threshold shares no band
 DEVIATIONS = 4.5        # of the estimate, by which it may lie under the threshold and still be confirmed on full sets
 HUBS = 2                # hubs a class is compared with
 BLOCK = 2048            # members of a bucket compared with each other in one place
+SETS = 1 << 22          # shingles of the classes confirmed with each other in one place, on either side
 _SLICE = 1 << 20
 
 
@@ -105,54 +107,84 @@ def _bands(classes: DataFrame, width: int) -> DataFrame:
 
 
 def _likely(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) whose sketches make the threshold likely enough to be worth confirming."""
+    """Those of the pairs (a, b, place) whose sketches make the threshold likely enough to be worth confirming."""
     side = lambda s: classes.select(F.col("cls").alias(s), F.col("n").alias(f"n_{s}"), F.col("registers").alias(f"r_{s}"))
-    both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "n_a", "n_b", "r_a", "r_b")
+    both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "place", "n_a", "n_b", "r_a", "r_b")
     least = percent / 100 - slack(percent)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(0, batch.num_rows, 1024):
                 part = batch.slice(i, 1024)
-                n = [part.column(k).to_numpy(zero_copy_only=False).astype(float) for k in (2, 3)]
-                j = ss.jaccard(_registers(part.column(4)), _registers(part.column(5)), *n)
-                yield pa.RecordBatch.from_arrays(part.columns[:2], names=["a", "b"]).filter(
+                n = [part.column(k).to_numpy(zero_copy_only=False).astype(float) for k in (3, 4)]
+                j = ss.jaccard(_registers(part.column(5)), _registers(part.column(6)), *n)
+                yield pa.RecordBatch.from_arrays(part.columns[:3], names=["a", "b", "place"]).filter(
                     pa.array(j >= least))
-    return both.mapInArrow(work, "a binary, b binary")
+    return both.mapInArrow(work, "a binary, b binary, place long")
 
 
-def _confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """Pairs whose full shingle sets have 100 * intersection >= percent * union."""
-    side = lambda s: texts.select(F.col("cls").alias(s), F.col("text").alias(f"t_{s}"))
-    both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "t_a", "t_b")
+def _similar(own: np.ndarray, others: list[np.ndarray], percent: int) -> np.ndarray:
+    """Which of the sets have 100 * intersection >= percent * union with ``own`` (all sorted, without repeats or empty ones)."""
+    size = np.array([len(o) for o in others])
+    laid = np.concatenate(others)
+    hit = own[np.minimum(own.searchsorted(laid), len(own) - 1)] == laid
+    shared = np.add.reduceat(hit.astype(np.int64), np.cumsum(size) - size)
+    return 100 * shared >= percent * (len(own) + size - shared)
+
+
+def _confirmed(members: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """Pairs whose full shingle sets are similar, of members (lo, hi, cls, partners).
+
+    A place (lo, hi) holds a row for each class that it compares, with the classes to compare it with.
+    """
+    # A class meets a partner once in a place, so its partners there are at most the place's classes.
+    rows = members.groupBy("lo", "hi", "cls").agg(F.flatten(F.collect_list("partners")).alias("partners"))
+    laid = (rows.join(texts, "cls").select("lo", "hi", "cls", "partners", "text")
+            .repartition("lo", "hi").sortWithinPartitions("lo", "hi"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[bytes, np.ndarray] = {}
-        for batch in batches:
-            for i in range(0, batch.num_rows, 128):
-                part = batch.slice(i, 128)
-                if len(known) > 512:
-                    known.clear()
-                for k in (0, 1):
-                    at = {c: r for r, c in enumerate(part.column(k).to_pylist()) if c not in known}
-                    for c, t in zip(at, part.column(k + 2).take(pa.array(list(at.values()), pa.int64()))):
-                        one = pa.array([t.as_py()], pa.string())
-                        known[c] = next(ss.shingle_hashes(w[0]) for _, w in _texts(one))
-                keep = []
-                for a, b in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                    x, y = known[a], known[b]
-                    both_in = len(np.intersect1d(x, y, assume_unique=True))
-                    keep.append(100 * both_in >= percent * (len(x) + len(y) - both_in))
-                yield pa.RecordBatch.from_arrays(part.columns[:2], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
-    return both.mapInArrow(work, "a binary, b binary")
-
-
-def _across(cls: list[bytes], comp: np.ndarray, n: np.ndarray, k: np.ndarray, fresh: np.ndarray, band: int,
-            percent: int) -> Iterator[tuple[bytes, bytes]]:
-    """Likely pairs across components among a bucket's members; pairs without a ``fresh`` member are left to others."""
+        sets: dict[bytes, np.ndarray] = {}
+        wanted: dict[bytes, list[bytes]] = {}
+
+        def out() -> pa.RecordBatch:
+            a, b = [], []
+            for cls, partners in wanted.items():
+                at = 0
+                while at < len(partners):
+                    end, held = at, 0
+                    while end < len(partners) and (end == at or held < 1 << 20):
+                        held += len(sets[partners[end]])
+                        end += 1
+                    some = partners[at:end]
+                    found = [p for p, ok in zip(some, _similar(sets[cls], [sets[p] for p in some], percent)) if ok]
+                    a += [cls] * len(found)
+                    b += found
+                    at = end
+            sets.clear()
+            wanted.clear()
+            return pa.RecordBatch.from_pydict({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
+        now = None
+        for batch in batches:           # rows come sorted by place
+            for i in range(batch.num_rows):
+                place = (batch.column(0)[i].as_py(), batch.column(1)[i].as_py())
+                if place != now and sets:
+                    yield out()
+                now, cls = place, batch.column(2)[i].as_py()
+                sets[cls] = next(ss.shingle_hashes(w[0]) for _, w in _texts(batch.column(4).slice(i, 1)))
+                if partners := batch.column(3)[i].as_py():
+                    wanted[cls] = partners
+        if sets:
+            yield out()
+    return laid.mapInArrow(work, "a binary, b binary")
+
+
+def _across(comp: np.ndarray, n: np.ndarray, k: np.ndarray, fresh: np.ndarray, band: int,
+            percent: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Likely pairs across components among a bucket's members, as a member and its partners (by their places in the
+    arrays); pairs without a ``fresh`` member are left to others."""
     least, width = percent / 100 - slack(percent), band_width(percent)
-    for i in range(len(cls) - 1):
-        j = np.arange(i + 1, len(cls))
+    for i in range(len(comp) - 1):
+        j = np.arange(i + 1, len(comp))
         j = j[(comp[j] != comp[i]) & (100 * np.minimum(n[j], n[i]) >= percent * np.maximum(n[j], n[i]))
               & (fresh[j] | fresh[i])]
         for at in range(0, len(j), 4096):
@@ -169,19 +201,20 @@ def _across(cls: list[bytes], comp: np.ndarray, n: np.ndarray, k: np.ndarray, fr
             if len(part):
                 est = ss.jaccard(np.broadcast_to(k[i], (len(part), ss.M)), k[part],
                                  np.full(len(part), float(n[i])), n[part].astype(float))
-                for x in part[est >= least]:
-                    yield cls[i], cls[x]
+                if (est >= least).any():
+                    yield i, part[est >= least]
 
 
 def _leftover(rows: DataFrame, percent: int) -> DataFrame:
-    """Likely pairs (a, b) across components in buckets given as (bucket, band, size, cls, comp, n, registers)."""
+    """Members (lo, hi, cls, partners) of the likely pairs across components in buckets given as (bucket, band, size, cls,
+    comp, n, registers, place); a pair is in the place (lo, hi) of its classes' own places."""
     chunks = F.ceil(F.col("size") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("cls"), chunks.cast("long")).cast("int")
     placed = rows.withColumn("own", own).withColumn("x", F.explode(F.transform(
         F.sequence(F.lit(0), chunks - 1), lambda c: F.struct(F.least(c, F.col("own")).alias("lo"),
                                                              F.greatest(c, F.col("own")).alias("hi")))))
     laid = (placed.select("bucket", "band", F.col("x.lo").alias("lo"), F.col("x.hi").alias("hi"), "own", "cls", "comp",
-                          "n", "registers")
+                          "n", "registers", "place")
             .repartition("bucket", "lo", "hi").sortWithinPartitions("bucket", "lo", "hi"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -189,26 +222,38 @@ def _leftover(rows: DataFrame, percent: int) -> DataFrame:
             group = np.array([(b, x, y) for b, x, y in zip(*(t.column(c).to_pylist() for c in ("bucket", "lo", "hi")))])
             ends = np.r_[0, np.flatnonzero((group[1:] != group[:-1]).any(1)) + 1, len(group)]
             comp = np.unique(np.array(t.column("comp").to_pylist(), "S16"), return_inverse=True)[1]
-            n, own, cls = t.column("n").to_numpy(), t.column("own").to_numpy(), t.column("cls").to_pylist()
+            n, own = t.column("n").to_numpy(), t.column("own").to_numpy()
             k, band = _registers(t.column("registers")), t.column("band").to_numpy()
             for a, b in zip(ends, ends[1:]):
                 lo, hi = group[a, 1], group[a, 2]
                 # A pair of two chunks is compared where both are; one within a chunk in its own place.
                 side = own[a:b]
                 if lo == hi:
-                    yield from _across(cls[a:b], comp[a:b], n[a:b], k[a:b], np.ones(b - a, bool), band[a], percent)
+                    for i, j in _across(comp[a:b], n[a:b], k[a:b], np.ones(b - a, bool), band[a], percent):
+                        yield a + i, a + j
                 else:
-                    first = np.flatnonzero(side == lo)
-                    for i in first:
-                        j = np.flatnonzero(side == hi)
+                    j = np.flatnonzero(side == hi)
+                    for i in np.flatnonzero(side == lo):
                         at = np.r_[i, j] + a
                         fresh = np.r_[True, np.zeros(len(j), bool)]
-                        yield from _across([cls[x] for x in at], comp[at], n[at], k[at], fresh, band[a], percent)
-
-        def out(t: pa.Table) -> pa.RecordBatch:
-            found = list(pairs(t))
-            return pa.RecordBatch.from_pydict({"a": pa.array([p[0] for p in found], pa.binary()),
-                                               "b": pa.array([p[1] for p in found], pa.binary())})
+                        for _, found in _across(comp[at], n[at], k[at], fresh, band[a], percent):
+                            yield at[0], at[found]
+
+        def out(t: pa.Table) -> Iterator[pa.RecordBatch]:
+            cls, place = t.column("cls").to_pylist(), t.column("place").to_numpy()
+            found: dict[tuple[int, int, bytes], list[bytes]] = {}
+            for i, js in pairs(t):
+                for j in js.tolist():
+                    lo, hi = sorted((int(place[i]), int(place[j])))
+                    found.setdefault((lo, hi, cls[i]), []).append(cls[j])
+                    found.setdefault((lo, hi, cls[j]), [])
+            keys = list(found)
+            for at in range(0, len(keys), 1000):
+                some = keys[at:at + 1000]
+                yield pa.RecordBatch.from_pydict({
+                    "lo": pa.array([x[0] for x in some], pa.int64()), "hi": pa.array([x[1] for x in some], pa.int64()),
+                    "cls": pa.array([x[2] for x in some], pa.binary()),
+                    "partners": pa.array([found[x] for x in some], pa.list_(pa.binary()))})
         held: list[pa.RecordBatch] = []
         for batch in batches:           # rows come sorted: all but the last group of a batch are complete
             t = pa.Table.from_batches([*held, batch])
@@ -219,11 +264,11 @@ def _leftover(rows: DataFrame, percent: int) -> DataFrame:
                             pc.equal(t.column("hi"), last[2]))
             done = t.filter(pc.invert(open_))
             if done.num_rows:
-                yield out(done.combine_chunks())
+                yield from out(done.combine_chunks())
             held = t.filter(open_).to_batches()
         if held:
-            yield out(pa.Table.from_batches(held).combine_chunks())
-    return laid.mapInArrow(work, "a binary, b binary")
+            yield from out(pa.Table.from_batches(held).combine_chunks())
+    return laid.mapInArrow(work, "lo long, hi long, cls binary, partners array<binary>")
 
 
 def duplicate_components(docs: DataFrame, *, percent: int = 85, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -250,16 +295,31 @@ def duplicate_components(docs: DataFrame, *, percent: int = 85, key: str = "doc_
             .agg(F.max(F.struct("company", "cls", "n")).alias("hub")))
     near = lambda m, n: F.expr(f"100 * least({m}, {n}) >= {percent} * greatest({m}, {n})")
     met = (members.join(hubs, "bucket").where((F.col("cls") != F.col("hub.cls")) & near("n", "hub.n"))
-           .select(F.col("cls").alias("a"), F.struct("hub.company", F.col("hub.cls").alias("b")).alias("hub")))
+           .select(F.col("cls").alias("a"), F.struct("hub.company", F.col("hub.cls").alias("b"), "hub.n").alias("hub")))
     # Of the hubs a class meets (one a band at most) those with most company: what they leave apart, step 4 compares.
-    stars = (met.groupBy("a").agg(F.slice(F.sort_array(F.collect_set("hub"), False), 1, HUBS).alias("hubs"))
-             .select("a", F.explode("hubs.b").alias("b")))
-    links = stage(_confirmed(_likely(stars, classes, percent), texts, percent), "star-links")
+    stars = stage(met.groupBy("a").agg(F.slice(F.sort_array(F.collect_set("hub"), False), 1, HUBS).alias("hubs")), "hubs")
+    # A hub's members are dealt into places of bounded size; they are no more than its company, each of about its size.
+    parts = F.ceil(F.col("hub.company") * F.col("hub.n") / SETS)
+    likely = stage(_likely(stars.select("a", F.explode("hubs").alias("hub")).select(
+        "a", "hub.b", F.xxhash64("hub.b", F.pmod(F.xxhash64("a"), parts)).alias("place")), classes, percent), "likely")
+    none = F.array().cast("array<binary>")
+    place = [F.col("place").alias("lo"), F.col("place").alias("hi")]
+    starred = likely.select(*place, F.col("a").alias("cls"), F.array("b").alias("partners")).union(
+        likely.select(*place, F.col("b").alias("cls"), none.alias("partners")).distinct())
+    links = stage(_confirmed(starred, texts, percent), "star-links")
     label = components(links)
     own = members.join(label.withColumnRenamed("node", "cls"), "cls", "left").withColumn(
         "comp", F.coalesce("label", "cls")).drop("label")
     mixed = own.groupBy("bucket").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 != c1").select("bucket")
-    open_rows = own.join(mixed, "bucket", "left_semi").join(classes.select("cls", "registers"), "cls")
+    # Classes with one foremost hub stand together, in places of bounded size.
+    home = meet.join(stars.select(F.col("a").alias("cls"), F.col("hubs")[0]["b"].alias("hub")), "cls", "left").select(
+        "cls", F.coalesce("hub", "cls").alias("home"))
+    sizes = home.join(classes, "cls").groupBy("home").agg(
+        F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n") / SETS)).alias("parts")).where("parts > 1")     # few, by their size
+    placed = home.join(sizes, "home", "left").select(
+        "cls", F.xxhash64("home", F.pmod(F.xxhash64("cls"), F.coalesce("parts", F.lit(1)))).alias("place"))
+    open_rows = (own.join(mixed, "bucket", "left_semi").join(classes.select("cls", "registers"), "cls")
+                 .join(placed, "cls"))
     more = stage(_confirmed(_leftover(open_rows, percent), texts, percent), "further-links")
     if not more.isEmpty():
         label = components(links.union(more))

@@ -6,6 +6,7 @@ import ctypes
 import gc
 import itertools
 import tempfile
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -81,3 +82,13 @@ def release_memory() -> None:
         ctypes.CDLL(None).malloc_trim(0)
     except (AttributeError, OSError):       # not the GNU C library
         pass
+
+
+def released(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], *forget: Callable[[], None]):
+    """``work`` for ``mapInArrow``; at the end of its task caches are cleared by ``forget`` and memory given back."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from work(batches)
+        for clear in forget:
+            clear()
+        release_memory()
+    return run

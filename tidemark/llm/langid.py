@@ -30,6 +30,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.llm.common import released
+
 DIMS = 1 << 12
 UNDETERMINED = "und"
 AMBIGUOUS = 0.6         # share of the nearer of the two nearest codewords below which a text is flagged
@@ -81,7 +83,7 @@ def _count(labelled: DataFrame) -> DataFrame:
             at = np.flatnonzero(n)
             yield pa.RecordBatch.from_pydict({"lang": pa.array([lang] * len(at), pa.string()),
                                               "dim": pa.array(at.astype(np.int32)), "n": pa.array(n[at])})
-    return labelled.mapInArrow(work, "lang string, dim int, n long")
+    return labelled.mapInArrow(released(work), "lang string, dim int, n long")
 
 
 class Model:
@@ -151,4 +153,4 @@ def identify(df: DataFrame, model: Model, *, text: str = "text", prefix: str = "
                 own = [part.column(part.schema.get_field_index(c)) for c in kept]
                 yield pa.RecordBatch.from_arrays([*own, pa.array(lang, pa.string()), pa.array(score), pa.array(flag)],
                                                  names=[*kept, *names])
-    return df.mapInArrow(work, schema)
+    return df.mapInArrow(released(work), schema)

@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import setsketch as ss
-from tidemark.llm.common import drop, packed, small_batches, stage
+from tidemark.llm.common import drop, packed, released, small_batches, stage
 from tidemark.llm.components import components
 
 MISS = 5e-5             # chance that a pair at the threshold shares no band
@@ -79,7 +79,7 @@ def sketches(docs: DataFrame, *, key: str = "doc_id", text: str = "text") -> Dat
                     "n": pa.array([len(s) for s in sets], pa.int64()),
                     "registers": pa.array([r.tobytes() for r in rows], pa.binary())})
     return (small_batches(docs).select(F.col(key).cast("long"), text, F.xxhash64(text).alias("h"))
-            .mapInArrow(work, "id long, h long, cls binary, n long, registers binary"))
+            .mapInArrow(released(work, ss.forget), "id long, h long, cls binary, n long, registers binary"))
 
 
 def _registers(column: pa.Array) -> np.ndarray:
@@ -120,7 +120,7 @@ def _likely(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
                 j = ss.jaccard(_registers(part.column(5)), _registers(part.column(6)), *n)
                 yield pa.RecordBatch.from_arrays(part.columns[:3], names=["a", "b", "place"]).filter(
                     pa.array(j >= least))
-    return both.mapInArrow(work, "a binary, b binary, place long")
+    return both.mapInArrow(released(work, ss.forget), "a binary, b binary, place long")
 
 
 def _similar(own: np.ndarray, others: list[np.ndarray], percent: int) -> np.ndarray:
@@ -175,7 +175,7 @@ def _confirmed(members: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
                     wanted[cls] = partners
         if sets:
             yield out()
-    return laid.mapInArrow(work, "a binary, b binary")
+    return laid.mapInArrow(released(work, ss.forget), "a binary, b binary")
 
 
 def _across(comp: np.ndarray, n: np.ndarray, k: np.ndarray, fresh: np.ndarray, band: int,
@@ -268,7 +268,7 @@ def _leftover(rows: DataFrame, percent: int) -> DataFrame:
             held = t.filter(open_).to_batches()
         if held:
             yield from out(pa.Table.from_batches(held).combine_chunks())
-    return laid.mapInArrow(work, "lo long, hi long, cls binary, partners array<binary>")
+    return laid.mapInArrow(released(work, ss.forget), "lo long, hi long, cls binary, partners array<binary>")
 
 
 def duplicate_components(docs: DataFrame, *, percent: int = 85, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -354,7 +354,7 @@ def _with_class(rows: DataFrame) -> DataFrame:
             for a, texts in _texts(batch.column(at)):
                 part = batch.slice(a, len(texts))
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(map(_key, texts), pa.binary())], names=[*names, "cls"])
-    return rows.mapInArrow(work, rows.select("*", F.lit(b"").alias("cls")).schema)
+    return rows.mapInArrow(released(work, ss.forget), rows.select("*", F.lit(b"").alias("cls")).schema)
 
 
 def near_duplicates(docs: DataFrame, *, percent: int = 85) -> DataFrame:

@@ -31,6 +31,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.llm.common import released
+
 BASE_KINDS = ("email", "ip", "card", "phone")
 ADDED_KINDS = ("secret", "number", "local_phone", "national_id", "iban", "spoken_email", "name")
 KINDS = BASE_KINDS + ADDED_KINDS
@@ -241,7 +243,7 @@ def train(docs: DataFrame, *, text: str = "text") -> Model:
         yield pa.RecordBatch.from_arrays([*(pa.array([r[i] for r in rows], pa.int32()) for i in range(10)),
                                           pa.array(list(sums.values()), pa.int64())], names=[f"c{i}" for i in range(11)])
     names = [f"c{i}" for i in range(10)]
-    counted = (docs.select(text).mapInArrow(work, ", ".join(f"{c} int" for c in names) + ", c10 long")
+    counted = (docs.select(text).mapInArrow(released(work), ", ".join(f"{c} int" for c in names) + ", c10 long")
                .groupBy(*names).agg(F.sum("c10").alias("n")).collect())     # bounded: see the module's head
     rows = np.array([[r[c] for c in names] for r in counted], int).reshape(-1, 10)
     return Model(rows[:, :5], rows[:, 5:], np.array([r["n"] for r in counted], float))
@@ -273,7 +275,7 @@ def find_spans(docs: DataFrame, model: Model, *, text: str = "text", column: str
                      for t in batch.column(at)]
             yield pa.RecordBatch.from_arrays([*(batch.column(batch.schema.get_field_index(c)) for c in kept),
                                               pa.array(found, kind)], names=[*kept, column])
-    return docs.mapInArrow(work, T.StructType([*(docs.schema[c] for c in kept), T.StructField(column, SPANS)]))
+    return docs.mapInArrow(released(work), T.StructType([*(docs.schema[c] for c in kept), T.StructField(column, SPANS)]))
 
 
 def redact(docs: DataFrame, model: Model, *, text: str = "text") -> DataFrame:
@@ -295,5 +297,5 @@ def redact(docs: DataFrame, model: Model, *, text: str = "text") -> DataFrame:
             columns = list(batch.columns)
             columns[at] = pa.array([clean(t.as_py()) for t in batch.column(at)], pa.string())
             yield pa.RecordBatch.from_arrays(columns, names=names)
-    out = docs.mapInArrow(work, docs.schema)
+    out = docs.mapInArrow(released(work), docs.schema)
     return out.withColumn("n_chars", F.length(text).cast(docs.schema["n_chars"].dataType)) if "n_chars" in names else out

@@ -41,6 +41,11 @@ def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     return np.cumprod(up), np.cumprod(down)
 
 
+def forget() -> None:
+    """Drop the tables of powers, which grow with the longest text."""
+    _powers.cache_clear()
+
+
 def word_hashes(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hash of every word of UTF-8 texts laid end to end (A-Z lower-cased), and the text it is in."""
     data = _LOWER[data]

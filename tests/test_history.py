@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.history import lookup_version, merge_timelines, replay_snapshots, snapshot_check
 from tidemark.operators.load import DuplicateKeyError
+from tidemark.operators.scan import plan_segments
 from tests.conftest import rows
 
 D = [dt.datetime(2026, 7, d) for d in range(1, 29)]
@@ -230,3 +231,28 @@ def test_sampled_detection_finds_the_hot_key(spark):
     assert hot == ["hot"]
     sizes = [r["count"] for r in segs.assign(df).filter("k = 'hot'").groupBy(SEG).count().collect()]
     assert len(sizes) >= 8 and max(sizes) <= 2 * 500
+
+
+def test_bands_are_found_by_halving(spark):
+    from tidemark.operators.scan import _count_upto
+    bands = [1, 3, 3, 7, 20]
+    df = spark.createDataFrame([(v, b) for v in (0, 1, 2, 3, 7, 19, 20, 99) for b in (bands, [], list(range(1023)))],
+                               "v long, q array<long>")
+    for r in df.withColumn("n", _count_upto("q", "v")).collect():
+        assert r["n"] == sum(x <= r["v"] for x in r["q"])
+
+
+def test_assigning_a_segment_does_not_pass_over_all_bands(spark):
+    df = spark.range(3000).select(F.lit("hot").alias("k"), F.col("id").alias("t"))
+    plan = plan_segments(df, ["k"], "t", rows_per_segment=100, bands=8).assign(df)
+    assert "filter(_q" not in plan._jdf.queryExecution().toString() and plan.select("_seg").distinct().count() >= 8
+
+
+def test_a_fact_without_further_columns_and_a_given_sample(spark):
+    facts = spark.createDataFrame([("a", 5), ("a", 1), ("b", 5), (None, 5)], "k string, t int")
+    versions = spark.createDataFrame([("a", 2, None, "x")], "k string, valid_from int, valid_to int, v string")
+    asked = []
+    sample = lambda fraction: asked.append(fraction) or facts.select("k")
+    got = lookup_version(facts, versions, "k", "t", columns=["v"], sample_facts=sample)
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(
+        [("a", 5, "x"), ("a", 1, "x"), ("b", 5, None), (None, 5, None)], key=str) and len(asked) == 1

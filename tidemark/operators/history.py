@@ -282,6 +282,8 @@ def lookup_version(facts: DataFrame, versions: DataFrame, key: Keys, ts: str, *,
     repeat the fact once per overlapping version); ``check_overlap=True``
     verifies it first (:func:`require_disjoint`).  ``method="scan"`` sorts facts and versions together per
     (key, segment); ``method="join"`` is the equi + range left join.
+    ``sample_facts`` may give, for a fraction, the keys of a sample of the facts, where that is
+    cheaper than sampling ``facts`` itself (it only finds hot keys).
     """
     fk = _keys(key)
     vk = _keys(version_key) if version_key is not None else fk
@@ -332,24 +334,28 @@ def _lookup_scan(facts, vers, fk, vk, ts, valid_from, valid_to, columns, backdat
     first version (first non-NULL version of the whole key, same sort).
     """
     fact_cols = facts.columns
+    carried = [c for c in fact_cols if c not in (*fk, ts)]      # the key and the instant travel once
     key_names = [f"_k{i}" for i in range(len(fk))]
     payload = F.struct(*[F.col(c).alias(c) for c in columns], F.col(valid_to).alias("_vt"))
     f_rows = facts.select(*[F.col(k).alias(n) for k, n in zip(fk, key_names)],
                           F.col(ts).alias("_t"), F.lit(1).alias("_kind"),
                           F.lit(0).cast("long").alias("_tb"),
-                          F.struct(*fact_cols).alias("_fact"))
+                          F.struct(*(carried or [F.lit(True).alias("_fact")])).alias("_fact"))
     v_rows = vers.select(*[F.col(k).alias(n) for k, n in zip(vk, key_names)],
                          F.col(valid_from).alias("_t"), F.lit(0).alias("_kind"),
                          F.xxhash64(payload).alias("_tb"), payload.alias("_ver"))
     union = f_rows.unionByName(v_rows, allowMissingColumns=True)
     # Keys are hot by their facts (a version costs no more than a fact): looking for
     # them there spares building the versions a first time for the sample.
-    segs = plan_segments(union, key_names, "_t", **{"detect_on": f_rows, **seg_opts})
+    given = seg_opts.pop("sample_facts", None)
+    sampled = None if given is None else lambda fraction: given(fraction).select(
+        *[F.col(k).alias(n) for k, n in zip(fk, key_names)])
+    segs = plan_segments(union, key_names, "_t", **{"detect_on": f_rows if sampled is None else sampled, **seg_opts})
     rows = segs.assign(union, null_key_spread=NULL_KEY_SPREAD)
     # Facts only read versions: where one hot segment still holds too many
     # facts (e.g. many facts at one instant), they are salted and the
     # segment's versions are copied into each salt.
-    rows = salt_readers(rows, segs, F.col("_kind") == 1, F.xxhash64("_fact"))
+    rows = salt_readers(rows, segs, F.col("_kind") == 1, F.xxhash64("_t", "_fact"))
     order = ["_t", "_kind", "_tb"]
     if backdate_first:
         rows = scan(rows, segs, order, last=[("_ver", "_prev")], first_of_key=[("_ver", "_first")], salt="_salt")
@@ -363,8 +369,8 @@ def _lookup_scan(facts, vers, fk, vk, ts, valid_from, valid_to, columns, backdat
         before_first = prev.isNull() & first.isNotNull() & (first["_vt"].isNull() | (t < first["_vt"]))
         version = version.when(t.isNotNull() & before_first, first)
     return (rows.filter(F.col("_kind") == 1)
-            .select("_fact", version.alias("_v"))
-            .select(*[F.col(f"_fact.{c}").alias(c) for c in fact_cols],
+            .select(*key_names, "_t", "_fact", version.alias("_v"))
+            .select(*[F.col(key_names[fk.index(c)] if c in fk else "_t" if c == ts else f"_fact.{c}").alias(c) for c in fact_cols],
                     *[F.col(f"_v.{c}").alias(c) for c in columns]))
 
 

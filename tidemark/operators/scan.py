@@ -29,7 +29,7 @@ window would.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -84,6 +84,13 @@ def order_position(df: DataFrame, col: str, skip: Column | None = None) -> Colum
     raise TypeError(f"cannot segment on {col} of type {dtype.simpleString()}")
 
 
+def _count_upto(sorted_array: str, value: str) -> Column:
+    """How many elements of a sorted array (of at most ``MAX_BANDS``) are <= ``value``."""
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(MAX_BANDS.bit_length()))])
+    return F.aggregate(steps, F.lit(0), lambda n, step: F.when(
+        F.coalesce(F.get(sorted_array, n + step - 1) <= F.col(value), F.lit(False)), n + step).otherwise(n))
+
+
 @dataclass
 class Segments:
     """Segment plan for one (keys, order column); ``splits`` is None when no key is hot."""
@@ -114,9 +121,9 @@ class Segments:
             return df.withColumn(SEG, F.lit(0))
         joined = df.join(self.splits, self.keys, "left")
         joined = joined.withColumn(POS, order_position(df, self.order_col, F.coalesce(F.col("_skip"), F.lit(0))))
-        # band = number of inner quantiles <= position (one array pass per row,
-        # hot keys only), then an even cut inside the band.
-        joined = joined.withColumn("_band", F.expr(f"size(filter(_q, x -> x <= {POS}))"))
+        # band = number of inner quantiles <= position (they are sorted: found by halving,
+        # for hot keys only), then an even cut inside the band.
+        joined = joined.withColumn("_band", F.when(F.col("_q").isNotNull() & F.col(POS).isNotNull(), _count_upto("_q", POS)))
         lo = F.element_at(F.col("_b"), F.col("_band") + 1)
         hi = F.element_at(F.col("_b"), F.col("_band") + 2)
         width = F.greatest(hi - lo + 1, F.lit(1))
@@ -129,7 +136,8 @@ class Segments:
 def plan_segments(df: DataFrame, keys: list[str], order_col: str, *,
                   rows_per_segment: int = ROWS_PER_SEGMENT, bands: int = BANDS, max_bands: int = MAX_BANDS,
                   accuracy: int = 4_000, sample_rows: int = SAMPLE_ROWS,
-                  hot_keys: bool | DataFrame = True, detect_on: DataFrame | None = None) -> Segments:
+                  hot_keys: bool | DataFrame = True,
+                  detect_on: DataFrame | Callable[[float], DataFrame] | None = None) -> Segments:
     """Find hot keys of ``df`` and cut each into segments of its ``order_col``.
 
     ``hot_keys=True`` detects them in two column-pruned passes: per-key counts
@@ -140,7 +148,7 @@ def plan_segments(df: DataFrame, keys: list[str], order_col: str, *,
     only.  ``False`` disables splitting (every key in one task); a DataFrame
     of key values names the candidates, all of them.  ``detect_on`` is what the
     candidates are looked for in, where that is cheaper to read than ``df`` and
-    holds the rows that can make a key hot.
+    holds the rows that can make a key hot; a function gives a sample of these for a fraction.
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
@@ -152,8 +160,11 @@ def plan_segments(df: DataFrame, keys: list[str], order_col: str, *,
     else:
         threshold = rows_per_segment
         fraction = min(1.0, sample_rows / rows_per_segment)
-        base = named(df if detect_on is None else detect_on).select(*keys)
-        seen = base.sample(False, fraction, seed=17) if fraction < 1.0 else base
+        if callable(detect_on):
+            seen = named(detect_on(fraction)).select(*keys)
+        else:
+            base = named(df if detect_on is None else detect_on).select(*keys)
+            seen = base.sample(False, fraction, seed=17) if fraction < 1.0 else base
         # Half the expected sampled count as the bar: keys near the threshold
         # are checked exactly below rather than missed.
         bar = threshold * fraction * (0.5 if fraction < 1.0 else 1.0)

@@ -48,3 +48,19 @@ def test_no_nested_loops_cartesian_or_python(spark, name):
     text = plan(A.QUERIES[name](spark, SF))
     for bad in ("BroadcastNestedLoopJoin", "CartesianProduct", "BatchEvalPython", "ArrowEvalPython"):
         assert bad not in text, (name, bad)
+
+
+def test_the_fact_shuffles_no_text_of_its_lookup_tables(spark, monkeypatch):
+    from tidemark.plans import gold
+    moved = []
+    real = gold.lookup_version
+    monkeypatch.setattr(gold, "lookup_version", lambda facts, *a, **k: moved.append(facts.columns) or real(facts, *a, **k))
+    tx = spark.sql("""SELECT 't1' transaction_id, TIMESTAMP'2026-01-01 00:00:00' transaction_timestamp, 'a' account_id, 'c' card_id,
+        'm' merchant_id, 'fee' transaction_type, 'GBP' currency_code, 1 amount, 'approved' status, TIMESTAMP'2026-01-02 00:00:00' dwh_load_date""")
+    types = spark.sql("SELECT 'fee' transaction_type, 'a fee' description")
+    currencies = spark.sql("SELECT 'GBP' currency_code, 'pound' currency_name")
+    accounts = spark.sql("SELECT 'a' account_id, 'c1' customer_id")
+    customers = spark.sql("SELECT 'c1' customer_id, 'sk' customer_sk, TIMESTAMP'2026-01-01 00:00:00' valid_from, CAST(NULL AS TIMESTAMP) valid_to")
+    row = gold.fact_rows(tx, types, currencies, accounts, customers).first()
+    assert (row["transaction_type_description"], row["currency_name"], row["customer_sk"]) == ("a fee", "pound", "sk")
+    assert not {"transaction_type_description", "currency_name"} & set(moved[0])

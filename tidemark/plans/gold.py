@@ -114,11 +114,14 @@ def fact_rows(transactions: DataFrame, types: DataFrame, currencies: DataFrame,
     ty = types.select("transaction_type", F.col("description").alias("transaction_type_description"))
     cur = currencies.select("currency_code", "currency_name")
     acc = accounts_dim.select("account_id", "customer_id")
-    facts = lookup_join(lookup_join(t, ty, "transaction_type"), cur, "currency_code")
-    facts = facts.join(acc, "account_id", "left")
+    facts = t.select("account_id", "transaction_id", "transaction_timestamp", "card_id", "merchant_id", "transaction_type",
+                     "currency_code", "amount", "status", "dwh_load_date").join(acc, "account_id", "left")
     versions = customers_dim.select("customer_id", "customer_sk", "valid_from", "valid_to")
-    resolved = lookup_version(facts, versions, "customer_id", "transaction_timestamp",
-                              columns=["customer_sk"], backdate_first=True, method=method)
+    owners = lambda fraction: t.select("account_id").sample(False, fraction, seed=17).join(acc, "account_id")
+    resolved = lookup_version(facts, versions, "customer_id", "transaction_timestamp", columns=["customer_sk"],
+                              backdate_first=True, method=method, **({"sample_facts": owners} if method == "scan" else {}))
+    # Texts of the lookup tables come last: no shuffle carries them.
+    resolved = lookup_join(lookup_join(resolved, ty, "transaction_type"), cur, "currency_code")
     return resolved.select(
         "transaction_id", "transaction_timestamp", surrogate_key("account_id").alias("account_sk"),
         nullable_key("card_id").alias("card_sk"), nullable_key("merchant_id").alias("merchant_sk"),

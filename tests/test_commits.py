@@ -240,3 +240,30 @@ def test_fits_bounds_rows_and_bytes(spark):
     df = spark.range(100).select(F.repeat(F.lit("x"), 1000).alias("s"))
     assert fits(df, 100) and not fits(df, 99) and not fits(df, 100, max_bytes=50_000) and fits(df.where("false"), 0)
     assert spark.conf.getAll == before
+
+
+def test_loads_are_found_without_a_row_a_key(spark, monkeypatch):
+    monkeypatch.setattr(keyindex, "KEYS_A_PART", 500)
+    name = lambda a, b: spark.range(a, b).select(F.concat(F.lit("k"), F.col("id")).alias("k"))
+    index = keyindex.build_index(name(0, 3000), "k").withColumn("load_id", F.lit("A")).unionByName(
+        keyindex.build_index(name(5000, 5200), "k").withColumn("load_id", F.lit("B"))).cache()
+    many = name(2999, 5000).unionByName(kv(spark, (None, 0)).select("k"))
+    for few in (False, True):
+        found = lambda keys: sorted(r[0] for r in keyindex.loads_that_may_hold(index, keys, "k", broadcast_keys=few).collect())
+        assert found(many) == ["A"] and found(name(0, 6000)) == ["A", "B"] and found(many.where("k IS NULL")) == []
+    assert keyindex.loads_that_may_hold(index.where("false"), many, "k").count() == 0
+
+
+def test_a_load_of_new_keys_is_stored_once(spark, tmpdir_path, monkeypatch):
+    root, path = tmpdir_path + "/wh", tmpdir_path + "/tx.csv"
+    tx = lambda n: (f"t{n}", "2026-07-13 10:00:00", "ac-1", None, None, "deposit", "GBP", "1.00", "approved")
+    stored = []
+    real = jobs.append_log
+    monkeypatch.setattr(jobs, "append_log", lambda *a, **k: stored.append(k["stored"]) or real(*a, **k))
+    for day, ids in enumerate([range(5), range(10, 15), range(13, 18)]):
+        bank_fixture.write_file(path, "transactions", [tx(i) for i in ids])
+        jobs.load_entity(spark, "transactions", path, root, dt.datetime(2026, 7, 14 + day, 1))
+    assert stored[0] and stored[1] and stored[2] is None      # the third holds known keys
+    loads = S.table_entry(root, "bronze", "transactions")["loads"]
+    assert [v["path"] for v in loads.values()][:2] == stored[:2]
+    assert jobs.bronze_table(spark, root, "transactions").count() == 13

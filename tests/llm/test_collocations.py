@@ -110,3 +110,12 @@ def test_the_filter_lets_every_frequent_phrase_through(spark):
         assert (known[bit >> 3] >> (bit & 7).astype(np.uint8))[0] & 1
     assert np.unpackbits(known).sum() <= phrases.count()
     assert collocations._filter_of(phrases.where(F.lit(False))).sum() == 0
+
+
+def test_counting_gives_memory_back_after_each_task(spark, monkeypatch):
+    calls = []
+    real = collocations.released
+    monkeypatch.setattr(collocations, "released", lambda work, *forget: calls.append(1) or real(work, *forget))
+    docs = spark.createDataFrame([("en", "a b a b")] * 3, "lang string, text string")
+    counted = {r["phrase"]: r["n"] for r in collocations._count(docs, 1, None).collect()}
+    assert counted == {"a": 6, "b": 6} and calls == [1]

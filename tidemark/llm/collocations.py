@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import drop, stage
+from tidemark.llm.common import drop, released, small_batches, stage
 
 LONGEST = 4
 FILTER_BITS = 26
@@ -143,7 +143,8 @@ def _count(docs: DataFrame, length: int, known: np.ndarray | None) -> DataFrame:
                         some = phrases.slice(a, 1 << 16)
                         yield pa.RecordBatch.from_pydict({"lang": pa.array([lang] * len(some), pa.string()), "phrase": some,
                                                           "n": pa.array(n[a:a + (1 << 16)].astype(np.int64))})
-    return docs.mapInArrow(work, "lang string, phrase string, n long").groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
+    return (small_batches(docs).mapInArrow(released(work), "lang string, phrase string, n long")
+            .groupBy("lang", "phrase").agg(F.sum("n").alias("n")))
 
 
 def _filter_of(frequent: DataFrame) -> np.ndarray:

@@ -1,7 +1,9 @@
 import random
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
+from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
 from tidemark.llm import bpe
@@ -78,3 +80,28 @@ def test_another_normalizer_raises():
     spec = bpe.read_spec(PATH)
     with pytest.raises(ValueError, match="normalizer"):
         bpe.Encoder(spec | {"normalizer": {"type": "NFD"}})
+
+
+def test_encoding_leaves_out_cycle_searches_and_turns_them_on_again(spark, monkeypatch):
+    import gc
+    seen = []
+
+    class Watched(bpe.Encoder):
+        def encode(self, texts):
+            seen.append(gc.isenabled())
+            return super().encode(texts)
+    monkeypatch.setattr(bpe, "Encoder", Watched)
+    sent = {}
+
+    class Holder:
+        schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("text", T.StringType())])
+        columns = ["id", "text"]
+        sparkSession = spark
+
+        def mapInArrow(self, work, schema):
+            sent["work"] = work
+    monkeypatch.setattr(bpe, "small_batches", lambda df: df)
+    bpe.round_trip_bpe(Holder(), PATH)
+    batch = pa.RecordBatch.from_pydict({"id": [1, 2], "text": ["one two", None]})
+    out = list(sent["work"](iter([batch])))
+    assert sum(b.num_rows for b in out) == 2 and seen and not any(seen) and gc.isenabled()

@@ -36,7 +36,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from tidemark.llm.common import release_memory, small_batches
+from tidemark.llm.common import release_memory, small_batches, uncollected
 
 CACHE_WORDS = 200_000
 SLICE_BYTES = 1 << 20
@@ -280,7 +280,8 @@ def encode_bpe(df: DataFrame, tokenizer: str, *, text: str = "text", ids: str =
         for batch in batches:
             column = batch.column(batch.schema.get_field_index(text))
             for a, b in _slices(column):
-                flat, ends = encoder.encode(column.slice(a, b - a))
+                with uncollected():
+                    flat, ends = encoder.encode(column.slice(a, b - a))
                 yield _with(batch.slice(a, b - a), ids, pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)))
         del encoder
         release_memory()
@@ -332,7 +333,8 @@ def round_trip_bpe(df: DataFrame, tokenizer: str, *, text: str = "text", ids: st
         for batch in batches:
             column = batch.column(batch.schema.get_field_index(text))
             for a, b in _slices(column):
-                flat, ends = encoder.encode(column.slice(a, b - a))
+                with uncollected():
+                    flat, ends = encoder.encode(column.slice(a, b - a))
                 coded, part = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)), batch.slice(a, b - a)
                 yield pa.RecordBatch.from_arrays([*(part.column(part.schema.get_field_index(c)) for c in kept),
                                                   coded, _decoded(coded, strings)], names=[*kept, ids, decoded])

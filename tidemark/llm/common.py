@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import ctypes
 import gc
 import itertools
@@ -74,6 +75,18 @@ def small_batches(df: DataFrame, rows: int = 1000) -> DataFrame:
     return df
 
 
+@contextlib.contextmanager
+def uncollected() -> Iterator[None]:
+    """Work that makes many small objects and no reference cycles, without Python's searches for such cycles."""
+    was = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if was:
+            gc.enable()
+
+
 def release_memory() -> None:
     """Give back what a task's large objects held: Python workers live on, and keep freed memory otherwise."""
     gc.collect()

@@ -267,3 +267,34 @@ def test_a_load_of_new_keys_is_stored_once(spark, tmpdir_path, monkeypatch):
     loads = S.table_entry(root, "bronze", "transactions")["loads"]
     assert [v["path"] for v in loads.values()][:2] == stored[:2]
     assert jobs.bronze_table(spark, root, "transactions").count() == 13
+
+
+def test_a_large_batch_moves_stored_rows_once_to_their_buckets(spark, tmpdir_path):
+    """Like the join of a small batch, also with keys that are NULL or repeat; a bucket is one file again."""
+    schema = "k string, v int"
+    held = [(f"k{i}", 0) for i in range(200)] + [("k0", 1), (None, 2)]
+    batch = [(f"k{i}", 9) for i in range(150, 250)] + [(None, 3)]
+    found = {}
+    for small in (True, False, None):
+        root = f"{tmpdir_path}/{small}"
+        S.upsert_buckets(spark.createDataFrame(held, schema), root, "x", "t", "k", buckets=8)
+        S.upsert_buckets(spark.createDataFrame(batch, schema).repartition(6), root, "x", "t", "k", small_batch=small)
+        table = S.read_table(spark, root, "x", "t")
+        found[small] = sorted(map(tuple, table.collect()), key=str)
+    assert len(table.inputFiles()) > 8
+    assert len(S.read_table(spark, f"{tmpdir_path}/False", "x", "t").inputFiles()) == 8
+    assert found[False] == found[True] == found[None]
+    assert found[False] == sorted([*held[:150], ("k0", 1), (None, 2), *batch], key=str)
+    # a column of the name the files are dealt by is the table's own
+    both = S._merged(spark.createDataFrame([("a", 1), ("b", 2)], schema), spark.createDataFrame([("b", 3)], schema), ["k"], S.bucket_of("k", 4))
+    assert sorted(map(tuple, both.select("k", "v").collect())) == [("a", 1), ("b", 3)]
+
+
+def test_the_large_batchs_keys_move_without_their_hashes(spark):
+    from tidemark.operators import keyindex
+    keys = kv(spark, *((f"k{i}", i) for i in range(100)))
+    index = keyindex.build_index(keys, "k").withColumn("load_id", F.lit("a"))
+    found = keyindex.loads_that_may_hold(index, keys.select("k"), "k")
+    assert [r["load_id"] for r in found.collect()] == ["a"]
+    moved = keyindex._dealt(keys.select("k"), "k", 1, 1, moved=True)._jdf.queryExecution().optimizedPlan().toString()
+    assert "xxhash64" in moved.split("RepartitionByExpression")[0] and "AS _h" not in moved.split("RepartitionByExpression")[1]

@@ -1,10 +1,15 @@
 import datetime as dt
+import os
+import re
+import tempfile
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators.quality import QualityError
 from tidemark.plans import gold, jobs
+from tidemark.sources import commits
 from tests import bank_fixture
 
 DAYS = ["2026-07-13", "2026-07-14", "2026-07-15"]
@@ -246,3 +251,69 @@ def test_scoped_checks_see_keys_repeated_from_older_loads(spark, tmpdir_path):
     # T1 repeats a day-1 key (caught); day 1's NULL account is checked again unless day 1 passed
     assert failures(jobs.load_id(day1)) == {("unique", 1)}
     assert failures(None) == {("unique", 1), ("not_null", 1)}
+
+
+def _size(path):
+    return sum(os.path.getsize(os.path.join(d, f)) for d, _, files in os.walk(path) for f in files)
+
+
+def test_runs_keep_no_more_on_disk_than_the_tables_need(spark, tmpdir_path):
+    """Nothing is written twice: no parsed copy, no fact delta, no shuffle file, no superseded version and, when
+    asked for, no landing file is left after a run; the tables hold what they hold without."""
+    from tidemark.session import _scratch_root
+    rows = {}
+    for name, opts in (("kept", {}), ("lean", {"consume": True, "keep": 1})):
+        area = os.path.join(tmpdir_path, name)
+        os.makedirs(area)
+        seed_dir, incoming = bank_fixture.build(area, DAYS[:2])
+        root = area + "/warehouse"
+        scratch = lambda: set(os.listdir(_scratch_root(spark).removeprefix("file:"))) if os.path.exists(
+            _scratch_root(spark).removeprefix("file:")) else set()
+        before = scratch()
+        jobs.bootstrap(spark, seed_dir, root, dt.datetime(2026, 7, 12, 23, 0))
+        for i, day in enumerate(DAYS[:2]):
+            assert jobs.run_day(spark, day, incoming, root, dt.datetime(2026, 7, 14 + i, 0, 30), as_of=dt.date(2026, 7, 13), **opts) == {
+                "silver": [], "gold": []}
+            assert os.path.exists(os.path.join(incoming, day)) == (name == "kept")
+        left = {re.sub(r"-\d+$", "", x) for x in scratch() - before}
+        assert not left & {"fact-delta", "customers_snapshot-run", "addresses_snapshot-run"}
+        assert not any(x.startswith("landed-") for x in left)
+        rows[name] = {t: sorted(map(str, df.drop("dwh_load_date").collect()))
+                      for t, df in {**jobs.silver_tables(spark, root), **jobs.gold_tables(spark, root)}.items()}
+        if opts:
+            numbers = commits._numbers(root)
+            assert len(numbers) <= 2                # the last layer's, and the mark of its passed checks
+            named = {f for n in numbers for entry in commits.tables_at(root, n).values() for f in commits._folders(entry)}
+            assert all(any(f == at or f.startswith(at + "/") for f in named) for at in commits._data_folders(root))
+    assert rows["kept"] == rows["lean"]
+    assert _size(os.path.join(tmpdir_path, "lean")) < _size(os.path.join(tmpdir_path, "kept"))
+
+
+def test_shuffle_files_go_with_the_query_that_wrote_them(spark):
+    from tidemark.session import shuffle_files_freed
+
+    def files():
+        return {f for top in spark.sparkContext._jsc.sc().getConf().get("spark.local.dir", tempfile.gettempdir()).split(",")
+                for d, _, names in os.walk(top) if "blockmgr" in d for f in names if re.match(r"shuffle_\d+_\d+_\d+\.data$", f)}
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    own, before = spark.conf.get(key), files()
+    with shuffle_files_freed(spark):
+        assert spark.range(10_000).groupBy((F.col("id") % 100).alias("k")).count().collect()
+        for _ in range(50):
+            if not files() - before:
+                break
+            time.sleep(0.1)
+        assert not files() - before
+    assert spark.conf.get(key) == own
+
+
+def test_landing_files_are_gzipped_in_bounded_parts(spark, tmpdir_path, monkeypatch):
+    from tidemark.plans import bank
+    from tidemark.sources.landing import read_landing
+    monkeypatch.setattr(bank, "PART_ROWS", 100)
+    path = tmpdir_path + "/accounts.csv"
+    bank.land(spark, "/root/testdata/sf0.001", "accounts", 0, path)
+    parts = [f for f in os.listdir(path) if f.startswith("part-")]
+    assert len(parts) > 10 and all(f.endswith(".csv.gz") for f in parts)
+    orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet").filter("o_orderkey % 6 <> 0")
+    assert read_landing(spark, "accounts", path).count() == orders.count()

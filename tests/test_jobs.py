@@ -1,7 +1,6 @@
 import datetime as dt
 import os
 import re
-import tempfile
 import time
 
 import pytest
@@ -293,8 +292,8 @@ def test_shuffle_files_go_with_the_query_that_wrote_them(spark):
     from tidemark.session import shuffle_files_freed
 
     def files():
-        return {f for top in spark.sparkContext._jsc.sc().getConf().get("spark.local.dir", tempfile.gettempdir()).split(",")
-                for d, _, names in os.walk(top) if "blockmgr" in d for f in names if re.match(r"shuffle_\d+_\d+_\d+\.data$", f)}
+        tops = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+        return {f for top in tops for _, _, names in os.walk(top.getPath()) for f in names if f.startswith("shuffle_") and f.endswith(".data")}
     key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
     own, before = spark.conf.get(key), files()
     with shuffle_files_freed(spark):
